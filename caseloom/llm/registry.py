@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, line_dedup, mixing
+from . import chat, exact_dedup, line_dedup, mixing, packing, vector_search
 
-MODULES = (exact_dedup, line_dedup, mixing)
+MODULES = (exact_dedup, packing, chat, line_dedup, vector_search, mixing)
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLE_SQL = {name: sql for module in MODULES for name, sql in module.ORACLE_SQL.items()}
