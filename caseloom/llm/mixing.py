@@ -62,11 +62,12 @@ def sampling_key(doc_id: Column, weight: Column, seed: str = "mix") -> Column:
     return -F.log((bits + 1) / F.lit(float(2**48))) / weight
 
 
-def mix(docs: DataFrame, bucket_rows: int = 4096, **shares) -> DataFrame:
-    """doc_id, text_key, size, source_size, target, times, taken: a row per row of docs, which has doc_id, text, source
-    and may have `_weight`. times: how often the whole document is in the mix; taken = times * size."""
-    weight = F.col("_weight").cast("double") if "_weight" in docs.columns else F.lit(1.0)
-    sized = materialize(docs.select("doc_id", "source", F.xxhash64("text").alias("text_key"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), sampling_key(F.col("doc_id"), weight).alias("key")), "sized")
+def mix(docs: DataFrame, labels: DataFrame | None = None, bucket_rows: int = 4096, **shares) -> DataFrame:
+    """doc_id, text_key, size, source_size, target, times, taken: a row per row of docs, which has doc_id, text, source.
+    times: how often the whole document is in the mix; taken = times * size."""
+    measured = docs.select("doc_id", "source", F.xxhash64("text").alias("text_key"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
+    weighed = quality_weight(measured, labels) if labels is not None else measured.withColumn("_weight", F.lit(1.0))  # texts stay behind
+    sized = materialize(weighed.select("doc_id", "source", "text_key", "size", sampling_key(F.col("doc_id"), F.col("_weight")).alias("key")), "sized")
     plan = materialize(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs")), **shares), "targets")
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     n_buckets = F.greatest(F.lit(1), F.ceil(F.col("n_docs") / F.lit(bucket_rows)))
@@ -86,15 +87,14 @@ def mix(docs: DataFrame, bucket_rows: int = 4096, **shares) -> DataFrame:
 
 def mixed_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The columns of docs, each row as many times as the mix takes its document (rows that repeat a document alike)."""
-    taken = mix(quality_weight(docs.select("doc_id", "text", "source"), labels), **options)
+    taken = mix(docs, labels, **options)
     taken = taken.groupBy(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key")).agg(F.max("times").cast("int").alias("_times")).where("_times > 0")
     joined = docs.join(taken, docs["doc_id"].eqNullSafe(taken["_doc"]) & (F.xxhash64(docs["text"]) == taken["_key"]))
     return joined.withColumn("_nth", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*(docs[c] for c in docs.columns))
 
 
 def op10_mixing(spark, sf_dir):
-    docs = quality_weight(read(spark, sf_dir, "documents").select("doc_id", "text", "source"), read(spark, sf_dir, "labels"))
-    return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+    return mix(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 QUERIES = {"op10_mixing": op10_mixing}
