@@ -139,7 +139,8 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def suffix_order(data: np.ndarray) -> np.ndarray:
-    """Suffixes sorted by their first 128 bytes at least (Larsson-Sadakane refinement), ties by position."""
+    """Suffixes sorted by their first 128 bytes at least (Larsson-Sadakane refinement), ties by position; what is behind
+    the end counts as bytes of 0."""
     n = len(data)
     padded = np.r_[data, np.zeros(8, "u1")]
     first = _eights(padded, ">u8")[:n]
