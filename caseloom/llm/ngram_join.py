@@ -9,7 +9,7 @@ What keeps this in proportion to the input:
 - documents of one set are one class from the start, so exact copies cost a row each;
 - n-grams with the same list of classes are one list (count and two XOR digests tell lists apart, nothing is collected);
 - lists longer than a block meet block by block, so no list lands in one task as a whole;
-- before a pair is written down, the sizes and a parity bitmap must allow the similarity: the number of differing bits
+- before a pair is written down, the sizes and parity bitmaps must allow the similarity: the number of differing bits
   is a lower bound of the symmetric difference. A pair is written at the first list that both share, once;
 - texts move once, only those with a candidate, to the component of their candidates (large ones again in blocks).
 
@@ -39,19 +39,6 @@ ORDERS = 3
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
-class _Memo(dict):
-    """64-bit digests of words, bounded."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 200_000:
-            self.clear()
-        found = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        return found
-
-
-_memo = _Memo()
-
-
 def _mixed(x: np.ndarray, seed: int = 0) -> np.ndarray:
     """A bijection of 64-bit numbers that scatters them, another for each seed."""
     x = x + np.uint64(0x9E3779B97F4A7C15 * (seed + 1) % 2**64)
@@ -60,17 +47,66 @@ def _mixed(x: np.ndarray, seed: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_WHITE = np.zeros(256, bool)
+_WHITE[[9, 10, 11, 12, 13, 32]] = True
+#: A number for each byte (A-Z as a-z), and an odd base with its inverse modulo 2**64.
+_BYTE = _mixed(np.frombuffer(_LOWER, "u1").astype("u8"), 7)
+_BASE = 0x9E3779B97F4A7C15 | 1
+_INVERSE = np.uint64(pow(_BASE, -1, 2**64))
+
+
+def _powers(base, n: int) -> np.ndarray:
+    out = np.full(n, base, "u8")
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
+def ngram_sets(texts: list[str | None], n: int) -> list[np.ndarray]:
+    """Sorted distinct digests of the n-grams of each text's words (A-Z lowered). All texts of a batch are digested
+    together: a word's digest is a difference of running sums of its bytes' numbers."""
+    out: list[np.ndarray] = []
+    part: list[bytes] = []
+    size = 0
+    for t in texts:
+        part.append((t or "").encode("utf-8", "surrogatepass"))
+        size += len(part[-1]) + 1
+        if size > 2_000_000:
+            out += _ngram_sets(part, n)
+            part, size = [], 0
+    return out + _ngram_sets(part, n)
+
+
+def _ngram_sets(texts: list[bytes], n: int) -> list[np.ndarray]:
+    if not texts:
+        return []
+    b = np.frombuffer(b" ".join(texts) + b" ", "u1")
+    white = _WHITE[b]
+    edge = np.flatnonzero(np.diff(np.r_[True, white]))  # word starts and ends in turn
+    first, end = edge[0::2], edge[1::2]
+    sums = np.r_[np.uint64(0), np.cumsum(np.where(white, np.uint64(0), _BYTE[b]) * _powers(_BASE, len(b)), dtype="u8")]
+    w = _mixed((sums[end] - sums[first]) * _powers(_INVERSE, len(b))[first] + (end - first).astype("u8"))
+    starts = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    cut = np.searchsorted(first, starts)  # words of each text
+    whole = w[:0]
+    if len(w) >= n:
+        whole = np.full(len(w) - n + 1, n, "u8")
+        for k in range(n):
+            whole = _mixed(whole ^ w[k : len(w) - n + 1 + k], k)
+    out = []
+    for a, z in zip(cut[:-1], cut[1:], strict=True):
+        m = z - a
+        if m >= n:
+            out.append(np.unique(whole[a : z - n + 1]))
+        else:
+            h = np.full(min(m, 1), m, "u8")
+            for k in range(m):
+                h = _mixed(h ^ w[a + k], k)
+            out.append(h)
+    return out
+
+
 def ngrams(text: str | None, n: int) -> np.ndarray:
-    """Sorted distinct digests of the n-grams of a text's words (A-Z lowered)."""
-    words = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
-    if not words:
-        return np.empty(0, "u8")
-    w = np.fromiter(map(_memo.__getitem__, words), "u8", len(words))
-    n = min(n, len(w))
-    h = np.full(len(w) - n + 1, n, "u8")
-    for k in range(n):
-        h = _mixed(h ^ w[k : len(w) - n + 1 + k], k)
-    return np.unique(h)
+    return ngram_sets([text], n)[0]
 
 
 def _prefix(grams: np.ndarray, order: int, counts: np.ndarray, num: int, den: int) -> np.ndarray:
@@ -84,9 +120,20 @@ def _prefix(grams: np.ndarray, order: int, counts: np.ndarray, num: int, den: in
 
 
 def _bitmap(grams: np.ndarray) -> bytes:
-    """Parity of the members that fall on each bit."""
-    at = (_mixed(grams, 77) % np.uint64(BITS)).astype("i8")
-    return np.packbits(np.bincount(at, minlength=BITS).astype("u1") & 1).tobytes()
+    """Parity of the members that fall on each bit; of half as many bits as members, a power of two, at least BITS.
+    The halves of a longer map, joined by exclusive or, are the shorter map of the same set."""
+    bits = BITS
+    while bits < len(grams) // 2:
+        bits *= 2
+    at = (_mixed(grams, 77) % np.uint64(bits)).astype("i8")
+    return np.packbits(np.bincount(at, minlength=bits).astype("u1") & 1).tobytes()
+
+
+def _folded(bitmap: bytes, size: int) -> np.ndarray:
+    b = np.frombuffer(bitmap, "u8")
+    while len(b) > size:
+        b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+    return b
 
 
 def gram_counts(docs: DataFrame, n: int) -> np.ndarray:
@@ -97,8 +144,9 @@ def gram_counts(docs: DataFrame, n: int) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(COUNTERS, "i8")
         for batch in batches:
-            for text in batch["text"].to_pylist():
-                np.add.at(total, (ngrams(text, n) >> np.uint64(44)).astype("i8"), 1)
+            found = ngram_sets(batch["text"].to_pylist(), n)
+            for a in range(0, len(found), 2000):
+                total += np.bincount((np.concatenate(found[a : a + 2000]) >> np.uint64(44)).astype("i8"), minlength=COUNTERS)
         if total.any():
             yield pa.RecordBatch.from_arrays([pa.array(range(slices), pa.int32()), pa.array([x.astype("<i4").tobytes() for x in total.reshape(slices, width)], pa.binary())], names=["slice", "counts"])
 
@@ -119,8 +167,7 @@ def gram_counts(docs: DataFrame, n: int) -> np.ndarray:
 def _described(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int, counts) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         size, key, bits, prefix = [], [], [], []
-        for text in batch["text"].to_pylist():
-            g = ngrams(text, n)
+        for g in ngram_sets(batch["text"].to_pylist(), n):
             size.append(len(g))
             key.append(hashlib.blake2b(g.tobytes(), digest_size=16).digest() if len(g) else None)
             bits.append(_bitmap(g))
@@ -128,26 +175,57 @@ def _described(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int, co
         yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["text_key"], pa.array(size, pa.int64()), pa.array(key, pa.binary()), pa.array(bits, pa.binary()), pa.array(prefix, pa.list_(pa.int64()))], names=["doc_id", "text_key", "n_shingles", "set_key", "bits", "prefix"])
 
 
-def _allowed(pdf: pd.DataFrame, num: int, den: int) -> pd.DataFrame:
-    """Pairs of a list (or of two of its blocks) that sizes and bitmaps allow and whose first shared list this is."""
-    pdf = pdf.sort_values("node")
-    node, size, block = pdf["node"].to_numpy(), pdf["n_shingles"].to_numpy(), pdf["block"].to_numpy()
-    lists, at = pdf["lists"].to_list(), pdf["gram"].iloc[0]
-    signs = np.unpackbits(np.frombuffer(b"".join(pdf["bits"]), "u1").reshape(len(pdf), -1), axis=1).astype("f4") * 2 - 1
-    crossing = pdf["lo"].iloc[0] != pdf["hi"].iloc[0]
-    a_out, b_out = [], []
-    for i in range(0, len(pdf), 512):
-        differ = (BITS - signs[i : i + 512] @ signs.T) / 2
-        both = size[i : i + 512, None] + size[None, :]
-        ok = (differ * (num + den) <= both * (den - num)) & (np.arange(i, min(i + 512, len(pdf)))[:, None] < np.arange(len(pdf))[None, :])
-        if crossing:
-            ok &= block[i : i + 512, None] != block[None, :]
-        for a, b in zip(*np.nonzero(ok), strict=True):
-            x, y = lists[i + a], lists[b]
-            if np.intersect1d(x, y, assume_unique=True)[0] == at:
-                a_out.append(node[i + a])
-                b_out.append(node[b])
-    return pd.DataFrame({"a": np.array(a_out, "i8"), "b": np.array(b_out, "i8")})
+def _allowed(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by gram, lo, hi. Out: the pairs of each list (or of two of its blocks) that sizes and bitmaps
+    allow and whose first shared list this is. Only an unfinished list is kept between batches."""
+    held: pa.Table | None = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+        key = np.stack([table[c].to_numpy() for c in ("gram", "lo", "hi")], 1)
+        new = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(1)])
+        held = table.slice(new[-1])
+        if len(new) > 1:
+            yield from _pairs(table.slice(0, new[-1]), new, num, den)
+    if held is not None and held.num_rows:
+        yield from _pairs(held, np.array([0, held.num_rows]), num, den)
+
+
+def _pairs(table: pa.Table, cuts: np.ndarray, num: int, den: int) -> Iterator[pa.RecordBatch]:
+    node, size, block = (table[c].to_numpy() for c in ("node", "n_shingles", "block"))
+    gram, crossing = table["gram"].to_numpy(), table["lo"].to_numpy() != table["hi"].to_numpy()
+    maps, lists = table["bits"].to_pylist(), table["lists"].to_pylist()
+    short = np.stack([_folded(m, BITS // 64) for m in maps])
+
+    def tell(i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
+        both = size[i] + size[j]
+        ok = (np.minimum(size[i], size[j]) * den >= np.maximum(size[i], size[j]) * num) & (~crossing[i] | (block[i] != block[j]))
+        i, j, both = i[ok], j[ok], both[ok]
+        ok = np.bitwise_count(short[i] ^ short[j]).sum(1, dtype="i8") * (num + den) <= both * (den - num)
+        i, j, both = i[ok], j[ok], both[ok]
+        keep = []
+        for a, b, n in zip(i.tolist(), j.tolist(), both.tolist(), strict=True):
+            if min(set(lists[a]).intersection(lists[b])) != gram[a]:
+                continue
+            words = min(len(maps[a]), len(maps[b])) // 8
+            if words * 64 > BITS and int(np.bitwise_count(_folded(maps[a], words) ^ _folded(maps[b], words)).sum(dtype="i8")) * (num + den) > n * (den - num):
+                continue
+            keep.append((a, b))
+        at = np.array(keep, "i8").reshape(-1, 2)
+        x, y = node[at[:, 0]], node[at[:, 1]]
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+
+    sizes = np.diff(cuts)
+    for m in np.unique(sizes[sizes <= 64]):
+        i, j = np.triu_indices(m, 1)
+        starts = cuts[:-1][sizes == m]
+        for a in range(0, len(starts), max(1, 200_000 // max(len(i), 1))):
+            own = starts[a : a + max(1, 200_000 // max(len(i), 1)), None]
+            yield tell((own + i).ravel(), (own + j).ravel())
+    for c, m in zip(cuts[:-1][sizes > 64].tolist(), sizes[sizes > 64].tolist(), strict=True):
+        for a in range(0, m, 128):
+            i, j = np.meshgrid(np.arange(a, min(a + 128, m)), np.arange(a + 1, m), indexing="ij")
+            later = i < j
+            yield tell(c + i[later], c + j[later])
 
 
 def _in_blocks(rows: DataFrame, size, node: str, block_rows: int) -> DataFrame:
@@ -167,13 +245,14 @@ def _candidates(classes: DataFrame, num: int, den: int, block_rows: int) -> Data
     own = members.groupBy("node").agg(F.array_sort(F.collect_list("gram")).alias("lists"))
     described = own.join(classes.select("node", "n_shingles", "bits"), "node")
     dealt = _in_blocks(members.join(described, "node"), F.col("n"), "node", block_rows)
-    return dealt.groupBy("gram", "lo", "hi").applyInPandas(lambda pdf: _allowed(pdf, num, den), "a long, b long")
+    dealt = dealt.select("gram", "lo", "hi", "block", "node", "n_shingles", "bits", "lists").repartition("gram", "lo", "hi").sortWithinPartitions("gram", "lo", "hi")
+    return dealt.mapInArrow(lambda it: _allowed(it, num, den), "a long, b long")
 
 
 def _verified(key, pairs: pd.DataFrame, texts: pd.DataFrame, n: int, num: int, den: int, counts) -> pd.DataFrame:
     """Links of one component of candidates (or of two of its blocks), as a forest: what is connected already by verified
     links needs no further check."""
-    sets = {node: ngrams(text, n) for node, text in zip(texts["node"], texts["text"], strict=True)}
+    sets = dict(zip(texts["node"], ngram_sets(list(texts["text"]), n), strict=True))
     prefixes: list[dict] = [{} for _ in range(ORDERS)]
     root: dict = {}
 
@@ -215,14 +294,15 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10,
     groups = components(pairs).withColumnRenamed("component", "candidate_of")
     sizes = groups.groupBy("candidate_of").agg(F.count(F.lit(1)).alias("n_nodes"))
     groups = materialize(groups.join(sizes, "candidate_of"), "candidate-groups")
-    carried = groups.join(classes.select("node", "carrier"), "node")
-    texts = docs.join(carried, docs["doc_id"].eqNullSafe(F.col("carrier.doc_id")) & (docs["text_key"] == F.col("carrier.text_key"))).select("node", "candidate_of", "n_nodes", "text")
-    texts = _in_blocks(texts, F.col("n_nodes"), "node", block_rows).select(F.col("candidate_of").alias("t_of"), F.col("lo").alias("t_lo"), F.col("hi").alias("t_hi"), "node", "text")
     end = groups.select("node", "candidate_of", F.pmod(F.xxhash64("node"), F.ceil(F.col("n_nodes") / F.lit(block_rows)).cast("int")).cast("int").alias("block"))
     placed = pairs.join(end.select(F.col("node").alias("a"), "candidate_of", F.col("block").alias("i")), "a").join(end.select(F.col("node").alias("b"), F.col("block").alias("j")), "b")
-    placed = placed.select("candidate_of", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"), "a", "b")
-    keys = ["candidate_of", "lo", "hi"]
-    links = placed.groupBy(*keys).cogroup(texts.groupBy("t_of", "t_lo", "t_hi")).applyInPandas(lambda k, p, t: _verified(k, p, t, n, num, den, counts), "a long, b long")
+    placed = materialize(placed.select("candidate_of", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"), "a", "b"), "placed")
+    # a text goes to each pair of blocks in which it has a candidate, once
+    needed = placed.select("candidate_of", "lo", "hi", F.explode(F.array("a", "b")).alias("node")).distinct().groupBy("node").agg(F.collect_list(F.struct(F.col("candidate_of").alias("t_of"), F.col("lo").alias("t_lo"), F.col("hi").alias("t_hi"))).alias("at"))
+    carried = materialize(needed.join(classes.select("node", "carrier"), "node").select("node", "at", F.col("carrier.doc_id").alias("c_doc"), F.col("carrier.text_key").alias("c_key")), "carriers")
+    texts = docs.join(carried, docs["doc_id"].eqNullSafe(F.col("c_doc")) & (docs["text_key"] == F.col("c_key")))
+    texts = texts.select("node", "text", F.explode("at").alias("at")).select("at.*", "node", "text")
+    links = placed.groupBy("candidate_of", "lo", "hi").cogroup(texts.groupBy("t_of", "t_lo", "t_hi")).applyInPandas(lambda k, p, t: _verified(k, p, t, n, num, den, counts), "a long, b long")
     linked = components(materialize(links, "links"))
     named = classes.select("node", "set_key", F.col("carrier.doc_id").alias("smallest")).join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
     names = named.groupBy("component").agg(F.min("smallest").alias("component_id"))

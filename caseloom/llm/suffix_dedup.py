@@ -72,32 +72,64 @@ def runs(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return key.view("i8"), first, last, several
 
 
+class _Powers:
+    """Powers of an odd base and of its inverse modulo 2**64, as many as asked for so far."""
+
+    base = 0x9E3779B97F4A7C15
+    up = down = np.ones(1, "u8")
+
+    @classmethod
+    def of(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(cls.up) < n:
+            size = 2 * n
+            steps = np.full((2, size), [[cls.base], [pow(cls.base, -1, 2**64)]], "u8")
+            steps[:, 0] = 1
+            cls.up, cls.down = np.multiply.accumulate(steps, axis=1)
+        return cls.up[:n], cls.down[:n]
+
+
+_BYTE = _mixed((np.arange(256, dtype="u8") + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93))
+
+
+def context_digests(data: bytes, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Digests of the bytes of each run: differences of running sums, moved to one place."""
+    b = np.frombuffer(data, "u1")
+    up, down = _Powers.of(len(b) + 1)
+    sums = np.zeros(len(b) + 1, "u8")
+    np.cumsum(_BYTE[b] * up[: len(b)], out=sums[1:])
+    size = (last + WINDOW - first).astype("u8")
+    return _mixed((sums[last + WINDOW] - sums[first]) * down[first] + size).view("i8")
+
+
 def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """gram, context, doc, text_key, first, last, kind: of equal contexts of a task only the first goes on (kind 0, or 2
-    if it may repeat in itself); all others are repeats already (kind 1)."""
-    seen: dict[tuple, tuple] = {}
-    repeats: list[tuple] = []
+    if it may repeat in itself); all others are repeats already (kind 1). A task keeps a few numbers per run."""
+    parts = []
     for batch in batches:
         for doc, tk, text in zip(batch["doc"].to_pylist(), batch["text_key"].to_pylist(), batch["text"].to_pylist(), strict=True):
             data = (text or "").encode("utf-8", "surrogatepass")
-            for key, a, z, several in zip(*(x.tolist() for x in runs(data)), strict=True):
-                context = (key, int.from_bytes(hashlib.blake2b(data[a : z + WINDOW], digest_size=8).digest(), "little", signed=True))
-                here = (doc, tk, a, z, 2 if several else 0)
-                there = seen.setdefault(context, here)
-                if there is not here and there[:3] != here[:3]:
-                    if here[:3] < there[:3]:
-                        seen[context], here = here, there
-                    if repeats and repeats[-1][:2] == here[:2] and here[2] <= repeats[-1][3] + 1 and here[2] >= repeats[-1][2]:
-                        repeats[-1] = (*repeats[-1][:3], max(here[3], repeats[-1][3]))
-                    else:
-                        repeats.append(here[:4])
-    columns = [list(c) for c in zip(*((k, g, *x) for (k, g), x in seen.items()), strict=True)] or [[] for _ in range(7)]
-    more = [list(c) for c in zip(*repeats, strict=True)] or [[] for _ in range(4)]
-    key = [d ^ a * 0x9E3779B97F4A7C1 & 0x7FFFFFFFFFFFFFFF for d, a in zip(more[0], more[2], strict=True)]
-    columns = [x + y for x, y in zip(columns, [key, [0] * len(key), *more, [1] * len(key)], strict=True)]
-    types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int8())
-    table = pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["gram", "context", "doc", "text_key", "first", "last", "kind"])
-    yield from table.to_batches(max_chunksize=50_000)
+            key, first, last, several = runs(data)
+            if len(key):
+                parts.append((key, context_digests(data, first, last), np.full(len(key), doc), np.full(len(key), tk, "i4"), first.astype("i4"), last.astype("i4"), several))
+    if not parts:
+        return
+    key, context, doc, tk, first, last, several = map(np.concatenate, zip(*parts, strict=True))
+    order = np.lexsort((first, tk, doc, context, key))
+    key, context, doc, tk, first, last, several = (x[order] for x in (key, context, doc, tk, first, last, several))
+    new = np.r_[True, (key[1:] != key[:-1]) | (context[1:] != context[:-1])]
+    lead = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
+    again = (doc != doc[lead]) | (tk != tk[lead]) | (first != first[lead])
+    more = np.flatnonzero(again)
+    more = more[np.lexsort((first[more], tk[more], doc[more]))]
+    if len(more):  # neighbouring repeats of a text are one
+        d, t, f, z = doc[more], tk[more], first[more], last[more]
+        start = np.flatnonzero(np.r_[True, (d[1:] != d[:-1]) | (t[1:] != t[:-1]) | (f[1:] > z[:-1] + 1)])
+        stop = np.r_[start[1:] - 1, len(more) - 1]
+        joined = (_mixed(d[start].astype("u8") ^ (f[start].astype("u8") << np.uint64(40))).view("i8"), np.zeros(len(start), "i8"), d[start], t[start], f[start], z[stop], np.ones(len(start), "i1"))
+    else:
+        joined = (key[:0], context[:0], doc[:0], tk[:0], first[:0], last[:0], np.empty(0, "i1"))
+    columns = [np.concatenate(x) for x in zip((key[new], context[new], doc[new], tk[new], first[new], last[new], np.where(several[new], 2, 0).astype("i1")), joined, strict=True)]
+    yield from pa.Table.from_arrays([pa.array(c) for c in columns], names=["gram", "context", "doc", "text_key", "first", "last", "kind"]).to_batches(max_chunksize=50_000)
 
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
