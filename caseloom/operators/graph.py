@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..shared import checkpointed
+
 
 def edges(parts: list[tuple[DataFrame, str, str, str, str, str, float]]) -> DataFrame:
     """src, dst, relation, strength from (table, key, kind, key, kind, relation, strength); nodes are "kind:key"."""
@@ -23,13 +25,13 @@ def out_degree(e: DataFrame) -> DataFrame:
 
 def components(e: DataFrame, most_rounds: int = 50) -> DataFrame:
     """node, component (its smallest node), edges taken in both directions. Each round is cut by a checkpoint."""
-    both = e.select("src", "dst").union(e.select("dst", "src")).distinct().checkpoint()
-    labels = both.groupBy(F.col("src").alias("node")).agg(F.min("dst").alias("low")).select("node", F.least("node", "low").alias("component")).checkpoint()
+    both = checkpointed(e.select("src", "dst").union(e.select("dst", "src")).distinct())
+    labels = checkpointed(both.groupBy(F.col("src").alias("node")).agg(F.min("dst").alias("low")).select("node", F.least("node", "low").alias("component")))
     for _ in range(most_rounds):
         offers = both.join(labels.select(F.col("node").alias("dst"), F.col("component").alias("offer")), "dst").groupBy(F.col("src").alias("node")).agg(F.min("offer").alias("offer"))
         lower = labels.join(offers, "node").select("node", F.col("component").alias("old"), F.least("component", "offer").alias("component"))
         jump = lower.select(F.col("node").alias("component"), F.col("component").alias("next"))
-        moved = lower.join(jump, "component").select("node", "old", F.least("component", "next").alias("component")).checkpoint()
+        moved = checkpointed(lower.join(jump, "component").select("node", "old", F.least("component", "next").alias("component")))
         labels = moved.select("node", "component")
         if moved.where("component < old").isEmpty():
             return labels

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..shared import checkpointed
 
 #: What case states are called elsewhere.
 CASE_STATES = {
@@ -157,7 +158,7 @@ def attribute(items: DataFrame, people: DataFrame, case: str, sentence: str, cod
     """Items joined to the people of their case: those whose codes the sentence names, else the first person (by seq);
     items of a case without people stay with a null code. attribution says which."""
     coded = items.withColumn("_item", F.monotonically_increasing_id()).withColumn("_codes", T.person_codes(F.col(sentence)))
-    coded = coded.checkpoint()  # the item number is drawn once
+    coded = checkpointed(coded)  # the item number is drawn once
     p = people.select(F.col(case), F.col(code).alias("person_code"), F.col(seq).alias("_seq"))
     named = coded.select("_item", case, F.explode("_codes").alias("person_code")).join(p, [case, "person_code"], "left_semi")
     first = p.groupBy(case).agg(F.min_by("person_code", F.struct("_seq", "person_code")).alias("_first"))

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from . import cleaning, relations, reports
+
+MODULES = (reports, relations, cleaning)
+QUERIES = {name: query for module in MODULES for name, query in module.R.queries.items()}
+ORACLE_SQL = {name: sql for module in MODULES for name, sql in module.R.sql.items()}
 
 
 def flagship(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/orders.parquet").groupBy("o_orderstatus").count()
+    """The case overview: joins, one aggregation per child, status and due date."""
+    return QUERIES["case_overview"](spark, sf_dir)
