@@ -2,25 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shared import shared_dir
+
 #: A word, as all contracts of this subpackage define it (same in Java, RE2 and Python).
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster shares (spark.checkpoint.dir); a temporary one only where it is unset, as in tests."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="caseloom-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
-
-
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: lineage ends there, and lost executors lose nothing."""
     spark = df.sparkSession
@@ -41,3 +33,23 @@ def fold(key: Column, modulus: int) -> Column:
 def numbered(df: DataFrame, name: str, order: list[str]) -> DataFrame:
     """A unique long per row: partitions are sorted first, so a recomputed partition gives the same numbers."""
     return df.sortWithinPartitions(*order).withColumn(name, F.monotonically_increasing_id())
+
+
+def possibly_in(rows: DataFrame, key: str, keys: DataFrame, most_bits: int = 1 << 27) -> DataFrame:
+    """rows (key: a long column) without most of those whose key is not among `keys` (its one long column), as a step
+    before a join that decides: it keeps wide rows out of that join's shuffle. The keys become a bitmap of 16 bits a key,
+    at most most_bits (16 MB), in rows of 4 KB that are broadcast; beyond that more rows pass, and none is lost."""
+    name = keys.columns[0]
+    keys = keys.where(F.col(name).isNotNull())
+    bits = 1 << 15
+    while bits < min(16 * keys.count(), most_bits):
+        bits *= 2
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
+    placed = keys.select(place(name).alias("_place")).select(F.bitmap_bucket_number("_place").alias("_bucket"), F.bitmap_bit_position("_place").alias("_at"))
+    maps = placed.repartition("_bucket").groupBy("_bucket").agg(F.bitmap_construct_agg("_at").alias("_map"))
+    word = lambda i: F.conv(F.hex(F.substring("_map", i * 8 + 1, F.lit(8))), 16, -10).cast("long")
+    words = materialize(maps.select("_bucket", F.transform(F.sequence(F.lit(0), F.lit(511)), word).alias("_words")), "bitmap")
+    at = F.bitmap_bit_position("_place")
+    bit = (F.lit(7) - F.floor(at / 8) % 8) * 8 + at % 8
+    held = rows.withColumn("_place", place(key)).withColumn("_bucket", F.bitmap_bucket_number("_place")).join(F.broadcast(words), "_bucket")
+    return held.where(F.getbit(F.element_at("_words", (F.floor(at / 64) + 1).cast("int")), bit.cast("int")) == 1).select(*(F.col(f"`{c}`") for c in rows.columns))

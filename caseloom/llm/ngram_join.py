@@ -9,9 +9,10 @@ What keeps this in proportion to the input:
 - documents of one set are one class from the start, so exact copies cost a row each;
 - n-grams with the same list of classes are one list (count and two XOR digests tell lists apart, nothing is collected);
 - lists longer than a block meet block by block, so no list lands in one task as a whole;
-- before a pair is written down, the sizes and parity bitmaps must allow the similarity: the number of differing bits
-  is a lower bound of the symmetric difference. A pair is written at the first list that both share, once;
-- texts move once, only those with a candidate, to the component of their candidates (large ones again in blocks).
+- within a list, sizes and parity bitmaps must allow the similarity (the number of differing bits is a lower bound of the
+  symmetric difference), and only as many links are written as connect what they allow, not all pairs;
+- texts move once, only those with a candidate, to the component of their candidates (large ones again in blocks), where
+  all orders filter and exact set sizes decide. Pairs that links connect already are left out, as only classes count.
 
 Every filter is a necessary condition, so no link between different sets is lost; links are verified by exact set sizes.
 
@@ -31,10 +32,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, numbered, read
+from .common import materialize, numbered, possibly_in, read
 from .components import components
 
-BITS, COUNTERS, BLOCK = 1024, 1 << 20, 1500
+BITS, COUNTERS, BLOCK, BLOCK_SHINGLES = 1024, 1 << 20, 1500, 2_000_000
 ORDERS = 3
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -175,9 +176,30 @@ def _described(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int, co
         yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["text_key"], pa.array(size, pa.int64()), pa.array(key, pa.binary()), pa.array(bits, pa.binary()), pa.array(prefix, pa.list_(pa.int64()))], names=["doc_id", "text_key", "n_shingles", "set_key", "bits", "prefix"])
 
 
+class Forest:
+    """Which of some numbered nodes are connected so far."""
+
+    def __init__(self, size: int):
+        self.root = np.arange(size)
+
+    def join(self, i: int, j: int) -> bool:
+        """Whether i and j were not connected before."""
+        x, y = self.root[i], self.root[j]
+        if x != y:
+            self.root[self.root == x] = y
+        return bool(x != y)
+
+
+def _could(size: np.ndarray, short: np.ndarray, i, j, num: int, den: int) -> np.ndarray:
+    """Whether sizes and bitmaps allow the similarity."""
+    both = size[i] + size[j]
+    ok = np.minimum(size[i], size[j]) * den >= np.maximum(size[i], size[j]) * num
+    return ok & (np.bitwise_count(short[i] ^ short[j]).sum(-1, dtype="i8") * (num + den) <= both * (den - num))
+
+
 def _allowed(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by gram, lo, hi. Out: the pairs of each list (or of two of its blocks) that sizes and bitmaps
-    allow and whose first shared list this is. Only an unfinished list is kept between batches."""
+    """Rows come sorted by gram, lo, hi. Out: links that connect, within each list (or two of its blocks), what sizes and
+    bitmaps allow to be similar; one link fewer than connected nodes. Only an unfinished list is kept between batches."""
     held: pa.Table | None = None
     for batch in batches:
         table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
@@ -185,97 +207,103 @@ def _allowed(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[
         new = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(1)])
         held = table.slice(new[-1])
         if len(new) > 1:
-            yield from _pairs(table.slice(0, new[-1]), new, num, den)
+            yield _connected(table.slice(0, new[-1]), new, num, den)
     if held is not None and held.num_rows:
-        yield from _pairs(held, np.array([0, held.num_rows]), num, den)
+        yield _connected(held, np.array([0, held.num_rows]), num, den)
 
 
-def _pairs(table: pa.Table, cuts: np.ndarray, num: int, den: int) -> Iterator[pa.RecordBatch]:
+def _connected(table: pa.Table, cuts: np.ndarray, num: int, den: int) -> pa.RecordBatch:
     node, size, block = (table[c].to_numpy() for c in ("node", "n_shingles", "block"))
-    gram, crossing = table["gram"].to_numpy(), table["lo"].to_numpy() != table["hi"].to_numpy()
-    maps, lists = table["bits"].to_pylist(), table["lists"].to_pylist()
-    short = np.stack([_folded(m, BITS // 64) for m in maps])
-
-    def tell(i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
-        both = size[i] + size[j]
-        ok = (np.minimum(size[i], size[j]) * den >= np.maximum(size[i], size[j]) * num) & (~crossing[i] | (block[i] != block[j]))
-        i, j, both = i[ok], j[ok], both[ok]
-        ok = np.bitwise_count(short[i] ^ short[j]).sum(1, dtype="i8") * (num + den) <= both * (den - num)
-        i, j, both = i[ok], j[ok], both[ok]
-        keep = []
-        for a, b, n in zip(i.tolist(), j.tolist(), both.tolist(), strict=True):
-            if min(set(lists[a]).intersection(lists[b])) != gram[a]:
-                continue
-            words = min(len(maps[a]), len(maps[b])) // 8
-            if words * 64 > BITS and int(np.bitwise_count(_folded(maps[a], words) ^ _folded(maps[b], words)).sum(dtype="i8")) * (num + den) > n * (den - num):
-                continue
-            keep.append((a, b))
-        at = np.array(keep, "i8").reshape(-1, 2)
-        x, y = node[at[:, 0]], node[at[:, 1]]
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+    crossing = table["lo"].to_numpy() != table["hi"].to_numpy()
+    short = np.stack([_folded(m, BITS // 64) for m in table["bits"].to_pylist()])
+    own = {x: i for i, x in enumerate(dict.fromkeys(node.tolist()))}
+    place, root, out = [own[x] for x in node.tolist()], list(range(len(own))), []
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    def tell(i: np.ndarray, j: np.ndarray) -> None:
+        ok = ~crossing[i] | (block[i] != block[j])
+        i, j = i[ok], j[ok]
+        ok = _could(size, short, i, j, num, den)
+        for a, b in zip(i[ok].tolist(), j[ok].tolist(), strict=True):
+            x, y = find(place[a]), find(place[b])
+            if x != y:
+                root[x] = y
+                out.append((a, b))
 
     sizes = np.diff(cuts)
-    for m in np.unique(sizes[sizes <= 64]):
+    for m in np.unique(sizes[sizes <= 64]):  # short lists of one length together
         i, j = np.triu_indices(m, 1)
-        starts = cuts[:-1][sizes == m]
-        for a in range(0, len(starts), max(1, 200_000 // max(len(i), 1))):
-            own = starts[a : a + max(1, 200_000 // max(len(i), 1)), None]
-            yield tell((own + i).ravel(), (own + j).ravel())
+        starts, step = cuts[:-1][sizes == m], max(1, 200_000 // max(len(i), 1))
+        for a in range(0, len(starts), step):
+            tell((starts[a : a + step, None] + i).ravel(), (starts[a : a + step, None] + j).ravel())
     for c, m in zip(cuts[:-1][sizes > 64].tolist(), sizes[sizes > 64].tolist(), strict=True):
-        for a in range(0, m, 128):
-            i, j = np.meshgrid(np.arange(a, min(a + 128, m)), np.arange(a + 1, m), indexing="ij")
-            later = i < j
-            yield tell(c + i[later], c + j[later])
-
-
-def _in_blocks(rows: DataFrame, size, node: str, block_rows: int) -> DataFrame:
+        here = Forest(m)  # long lists row by row, without what is connected already
+        for i in range(m - 1):
+            j = i + 1 + np.flatnonzero(here.root[i + 1 :] != here.root[i])
+            j = j[(block[c + j] != block[c + i]) | ~crossing[c]]
+            j = j[_could(size, short, c + i, c + j, num, den)]
+            for x in j.tolist():
+                if here.join(i, x):
+                    tell(np.array([c + i]), np.array([c + x]))
+    at = np.array(out, "i8").reshape(-1, 2)
+    return pa.RecordBatch.from_arrays([pa.array(node[at[:, 0]]), pa.array(node[at[:, 1]])], names=["a", "b"])
+
+
+def _in_blocks(rows: DataFrame, blocks, node: str) -> DataFrame:
     """rows dealt to every pair of blocks (lo <= hi) that has their block: whole if the group fits in one block."""
-    n = F.ceil(size / F.lit(block_rows)).cast("int")
-    rows = rows.withColumn("_n", n).withColumn("block", F.pmod(F.xxhash64(node), F.col("_n")).cast("int"))
+    rows = rows.withColumn("_n", blocks.cast("int")).withColumn("block", F.pmod(F.xxhash64(node), F.col("_n")).cast("int"))
     rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
     return rows.select("*", F.least("block", "_other").alias("lo"), F.greatest("block", "_other").alias("hi")).drop("_n", "_other")
 
 
 def _candidates(classes: DataFrame, num: int, den: int, block_rows: int) -> DataFrame:
-    """a, b: pairs of nodes that share a prefix member of the first order and pass the bounds."""
-    grams = materialize(classes.select("node", F.explode("prefix").alias("gram")), "grams")
-    lists = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y")).where("n > 1")
-    lists = lists.groupBy("n", "x", "y").agg(F.min("gram").alias("gram")).select("gram", "n")
-    members = materialize(grams.join(lists, "gram"), "members")
-    own = members.groupBy("node").agg(F.array_sort(F.collect_list("gram")).alias("lists"))
-    described = own.join(classes.select("node", "n_shingles", "bits"), "node")
-    dealt = _in_blocks(members.join(described, "node"), F.col("n"), "node", block_rows)
-    dealt = dealt.select("gram", "lo", "hi", "block", "node", "n_shingles", "bits", "lists").repartition("gram", "lo", "hi").sortWithinPartitions("gram", "lo", "hi")
+    """a, b: links that connect all nodes that share a prefix member of the first order and pass the bounds."""
+    grams = classes.select("node", F.explode("prefix").alias("gram"))
+    shared = materialize(grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
+    members = materialize(possibly_in(grams, "gram", shared.select("gram")).join(shared, "gram"), "members")
+    lists = members.groupBy("gram", "n").agg(F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
+    lists = lists.groupBy("n", "x", "y").agg(F.min("gram").alias("gram")).select("gram")
+    listed = members.join(lists, "gram").join(classes.select("node", "n_shingles", "bits"), "node")
+    dealt = _in_blocks(listed, F.ceil(F.col("n") / F.lit(block_rows)), "node")
+    dealt = dealt.select("gram", "lo", "hi", "block", "node", "n_shingles", "bits").repartition("gram", "lo", "hi").sortWithinPartitions("gram", "lo", "hi")
     return dealt.mapInArrow(lambda it: _allowed(it, num, den), "a long, b long")
 
 
-def _verified(key, pairs: pd.DataFrame, texts: pd.DataFrame, n: int, num: int, den: int, counts) -> pd.DataFrame:
-    """Links of one component of candidates (or of two of its blocks), as a forest: what is connected already by verified
-    links needs no further check."""
-    sets = dict(zip(texts["node"], ngram_sets(list(texts["text"]), n), strict=True))
-    prefixes: list[dict] = [{} for _ in range(ORDERS)]
-    root: dict = {}
-
-    def find(x):
-        while root.setdefault(x, x) != x:
-            root[x] = x = root[root[x]]
-        return x
-
-    def prefix(order: int, node) -> frozenset:
-        own = prefixes[order]
-        if node not in own:
-            own[node] = frozenset(_prefix(sets[node], order, counts.value, num, den).tolist())
-        return own[node]
-
-    out = []
-    for a, b in zip(pairs["a"].to_numpy(), pairs["b"].to_numpy(), strict=True):
-        x, y = find(a), find(b)
-        if x == y or any(prefix(k, a).isdisjoint(prefix(k, b)) for k in range(1, ORDERS)):
-            continue
-        shared = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
-        if den * shared >= num * (len(sets[a]) + len(sets[b]) - shared):
-            root[x] = y
-            out.append((a, b))
+def _verified(texts: pd.DataFrame, n: int, num: int, den: int, counts) -> pd.DataFrame:
+    """Links within one component of candidates (or between two of its blocks). Each node meets those that share prefix
+    members under every order and pass the bounds; what verified links connect already needs no further check."""
+    node, block = texts["node"].to_numpy(), texts["block"].to_numpy()
+    crossing = texts["lo"].iloc[0] != texts["hi"].iloc[0]
+    sets = ngram_sets(list(texts["text"]), n)
+    size, short = np.array([len(s) for s in sets]), np.stack([_folded(_bitmap(s), BITS // 64) for s in sets])
+    prefixes = [[_prefix(s, order, counts.value, num, den) for s in sets] for order in range(ORDERS)]
+    owner = np.repeat(np.arange(len(sets)), [len(p) for p in prefixes[0]])
+    gram = np.concatenate(prefixes[0])
+    by_gram = np.argsort(gram, kind="stable")
+    gram, owner = gram[by_gram], owner[by_gram]
+    others = [[frozenset(p.tolist()) for p in own] for own in prefixes[1:]]
+    forest, out = Forest(len(sets)), []
+    for i in range(len(sets) - 1):
+        met = np.zeros(len(sets), bool)
+        first, last = np.searchsorted(gram, prefixes[0][i]), np.searchsorted(gram, prefixes[0][i], side="right")
+        for a, z in zip(first[last - first > 1].tolist(), last[last - first > 1].tolist(), strict=True):
+            met[owner[a:z]] = True
+        met[: i + 1] = False
+        if crossing:
+            met &= block != block[i]
+        j = np.flatnonzero(met & (forest.root != forest.root[i]))
+        j = j[_could(size, short, i, j, num, den)]
+        for x in j.tolist():
+            if forest.root[i] == forest.root[x] or any(own[i].isdisjoint(own[x]) for own in others):
+                continue
+            both = len(np.intersect1d(sets[i], sets[x], assume_unique=True))
+            if den * both >= num * (size[i] + size[x] - both):
+                forest.join(i, x)
+                out.append((node[i], node[x]))
     return pd.DataFrame(out, columns=["a", "b"]).astype("i8")
 
 
@@ -290,19 +318,14 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10,
     carrier = F.struct("doc_id", "text_key")
     first = described.where("set_key IS NOT NULL").groupBy("set_key").agg(F.min(F.when(F.col("doc_id").isNotNull(), carrier)).alias("own"), F.min(carrier).alias("any"), F.first("n_shingles").alias("n_shingles"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix"))
     classes = materialize(numbered(first.withColumn("carrier", F.coalesce("own", "any")).drop("own", "any"), "node", ["set_key"]), "classes")
-    pairs = materialize(_candidates(classes, num, den, block_rows), "candidates")
-    groups = components(pairs).withColumnRenamed("component", "candidate_of")
-    sizes = groups.groupBy("candidate_of").agg(F.count(F.lit(1)).alias("n_nodes"))
-    groups = materialize(groups.join(sizes, "candidate_of"), "candidate-groups")
-    end = groups.select("node", "candidate_of", F.pmod(F.xxhash64("node"), F.ceil(F.col("n_nodes") / F.lit(block_rows)).cast("int")).cast("int").alias("block"))
-    placed = pairs.join(end.select(F.col("node").alias("a"), "candidate_of", F.col("block").alias("i")), "a").join(end.select(F.col("node").alias("b"), F.col("block").alias("j")), "b")
-    placed = materialize(placed.select("candidate_of", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"), "a", "b"), "placed")
-    # a text goes to each pair of blocks in which it has a candidate, once
-    needed = placed.select("candidate_of", "lo", "hi", F.explode(F.array("a", "b")).alias("node")).distinct().groupBy("node").agg(F.collect_list(F.struct(F.col("candidate_of").alias("t_of"), F.col("lo").alias("t_lo"), F.col("hi").alias("t_hi"))).alias("at"))
-    carried = materialize(needed.join(classes.select("node", "carrier"), "node").select("node", "at", F.col("carrier.doc_id").alias("c_doc"), F.col("carrier.text_key").alias("c_key")), "carriers")
-    texts = docs.join(carried, docs["doc_id"].eqNullSafe(F.col("c_doc")) & (docs["text_key"] == F.col("c_key")))
-    texts = texts.select("node", "text", F.explode("at").alias("at")).select("at.*", "node", "text")
-    links = placed.groupBy("candidate_of", "lo", "hi").cogroup(texts.groupBy("t_of", "t_lo", "t_hi")).applyInPandas(lambda k, p, t: _verified(k, p, t, n, num, den, counts), "a long, b long")
+    groups = components(materialize(_candidates(classes, num, den, block_rows), "candidates")).withColumnRenamed("component", "candidate_of")
+    groups = groups.join(classes.select("node", "n_shingles", F.col("carrier.doc_id").alias("c_doc"), F.col("carrier.text_key").alias("c_key")), "node")
+    sizes = groups.groupBy("candidate_of").agg(F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)), F.ceil(F.sum("n_shingles") / F.lit(BLOCK_SHINGLES))).alias("blocks"))
+    carried = materialize(groups.join(sizes, "candidate_of").select("node", "candidate_of", "blocks", "c_doc", "c_key"), "carriers")
+    # only texts of candidates move; a text of a large component goes to each pair of blocks that has its own
+    texts = possibly_in(docs, "text_key", carried.select("c_key")).join(carried, docs["doc_id"].eqNullSafe(F.col("c_doc")) & (docs["text_key"] == F.col("c_key")))
+    texts = texts.dropDuplicates(["node"]).select("node", "candidate_of", "blocks", "text")
+    links = _in_blocks(texts, F.col("blocks"), "node").groupBy("candidate_of", "lo", "hi").applyInPandas(lambda t: _verified(t, n, num, den, counts), "a long, b long")
     linked = components(materialize(links, "links"))
     named = classes.select("node", "set_key", F.col("carrier.doc_id").alias("smallest")).join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
     names = named.groupBy("component").agg(F.min("smallest").alias("component_id"))
