@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +15,19 @@ from ..shared import shared_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 512) -> Iterator[None]:
+    """Whole texts go to Python in batches of so few rows, for what is computed inside: a batch of long texts stays
+    within a few MB on both sides."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: lineage ends there, and lost executors lose nothing."""
     spark = df.sparkSession

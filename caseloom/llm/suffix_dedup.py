@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, read
+from .common import materialize, read, small_batches
 
 WINDOW, GRAM = 100, 24
 SHARD_BYTES, SHARD_CONTEXTS = 2_000_000, 8192
@@ -132,12 +132,24 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from pa.Table.from_arrays([pa.array(c) for c in columns], names=["gram", "context", "doc", "text_key", "first", "last", "kind"]).to_batches(max_chunksize=50_000)
 
 
+def gathered(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """Batches of so many rows at least, but for the last."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= rows:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by gram, context, doc, text_key, first. Out: repeats (kind 1), and the first contexts of grams
     that have several or whose context may repeat in itself (kind 0). Only the last row is kept between batches."""
     names = ["gram", "context", "doc", "text_key", "first", "last", "kind"]
     before = None  # the last first context, not yet known to have a partner
-    for batch in batches:
+    for batch in gathered(batches, 20_000):
         p = batch.to_pandas()
         if before is not None:
             p = pd.concat([before, p], ignore_index=True)
@@ -371,10 +383,16 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def deduplicate_substrings(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, kept_sha256, spans (maximal removed byte ranges): a row per row of docs."""
+    with small_batches(docs.sparkSession):
+        return _deduplicated(docs)
+
+
+def _deduplicated(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     keyed = docs.withColumn("doc", F.coalesce("doc_id", F.lit(-(2**63)))).withColumn("text_key", F.hash("text"))
     spans = repeated_spans(keyed.select("doc", "text_key", "text"))
-    return keyed.join(spans, ["doc", "text_key"], "left").select("doc_id", "text", "spans").mapInArrow(_kept, "doc_id long, n_bytes long, n_removed long, kept_sha256 string, spans array<struct<lo:long,hi:long>>")
+    kept = keyed.join(spans, ["doc", "text_key"], "left").select("doc_id", "text", "spans").mapInArrow(_kept, "doc_id long, n_bytes long, n_removed long, kept_sha256 string, spans array<struct<lo:long,hi:long>>")
+    return materialize(kept, "kept")
 
 
 def op2_suffix_dedup(spark, sf_dir):
