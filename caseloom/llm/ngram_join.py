@@ -197,6 +197,12 @@ def _could(size: np.ndarray, short: np.ndarray, i, j, num: int, den: int) -> np.
     return ok & (np.bitwise_count(short[i] ^ short[j]).sum(-1, dtype="i8") * (num + den) <= both * (den - num))
 
 
+def _could_in_full(a: bytes, b: bytes, both: int, num: int, den: int) -> bool:
+    """The same by the longer bitmaps that two long sets have."""
+    words = min(len(a), len(b)) // 8
+    return words * 64 <= BITS or int(np.bitwise_count(_folded(a, words) ^ _folded(b, words)).sum(dtype="i8")) * (num + den) <= both * (den - num)
+
+
 def _allowed(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by gram, lo, hi. Out: links that connect, within each list (or two of its blocks), what sizes and
     bitmaps allow to be similar; one link fewer than connected nodes. Only an unfinished list is kept between batches."""
@@ -215,7 +221,8 @@ def _allowed(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[
 def _connected(table: pa.Table, cuts: np.ndarray, num: int, den: int) -> pa.RecordBatch:
     node, size, block = (table[c].to_numpy() for c in ("node", "n_shingles", "block"))
     crossing = table["lo"].to_numpy() != table["hi"].to_numpy()
-    short = np.stack([_folded(m, BITS // 64) for m in table["bits"].to_pylist()])
+    maps = table["bits"].to_pylist()
+    short = np.stack([_folded(m, BITS // 64) for m in maps])
     own = {x: i for i, x in enumerate(dict.fromkeys(node.tolist()))}
     place, root, out = [own[x] for x in node.tolist()], list(range(len(own))), []
 
@@ -230,7 +237,7 @@ def _connected(table: pa.Table, cuts: np.ndarray, num: int, den: int) -> pa.Reco
         ok = _could(size, short, i, j, num, den)
         for a, b in zip(i[ok].tolist(), j[ok].tolist(), strict=True):
             x, y = find(place[a]), find(place[b])
-            if x != y:
+            if x != y and _could_in_full(maps[a], maps[b], size[a] + size[b], num, den):
                 root[x] = y
                 out.append((a, b))
 
@@ -247,7 +254,8 @@ def _connected(table: pa.Table, cuts: np.ndarray, num: int, den: int) -> pa.Reco
             j = j[(block[c + j] != block[c + i]) | ~crossing[c]]
             j = j[_could(size, short, c + i, c + j, num, den)]
             for x in j.tolist():
-                if here.join(i, x):
+                if here.root[i] != here.root[x] and _could_in_full(maps[c + i], maps[c + x], size[c + i] + size[c + x], num, den):
+                    here.join(i, x)
                     tell(np.array([c + i]), np.array([c + x]))
     at = np.array(out, "i8").reshape(-1, 2)
     return pa.RecordBatch.from_arrays([pa.array(node[at[:, 0]]), pa.array(node[at[:, 1]])], names=["a", "b"])
@@ -279,7 +287,8 @@ def _verified(texts: pd.DataFrame, n: int, num: int, den: int, counts) -> pd.Dat
     node, block = texts["node"].to_numpy(), texts["block"].to_numpy()
     crossing = texts["lo"].iloc[0] != texts["hi"].iloc[0]
     sets = ngram_sets(list(texts["text"]), n)
-    size, short = np.array([len(s) for s in sets]), np.stack([_folded(_bitmap(s), BITS // 64) for s in sets])
+    maps = [_bitmap(s) for s in sets]
+    size, short = np.array([len(s) for s in sets]), np.stack([_folded(m, BITS // 64) for m in maps])
     prefixes = [[_prefix(s, order, counts.value, num, den) for s in sets] for order in range(ORDERS)]
     owner = np.repeat(np.arange(len(sets)), [len(p) for p in prefixes[0]])
     gram = np.concatenate(prefixes[0])
@@ -298,7 +307,7 @@ def _verified(texts: pd.DataFrame, n: int, num: int, den: int, counts) -> pd.Dat
         j = np.flatnonzero(met & (forest.root != forest.root[i]))
         j = j[_could(size, short, i, j, num, den)]
         for x in j.tolist():
-            if forest.root[i] == forest.root[x] or any(own[i].isdisjoint(own[x]) for own in others):
+            if forest.root[i] == forest.root[x] or not _could_in_full(maps[i], maps[x], size[i] + size[x], num, den) or any(own[i].isdisjoint(own[x]) for own in others):
                 continue
             both = len(np.intersect1d(sets[i], sets[x], assume_unique=True))
             if den * both >= num * (size[i] + size[x] - both):
