@@ -45,7 +45,7 @@ def sound_overlap(a: Column, b: Column) -> Column:
     plain = dice(codes(a), codes(b))
     # one differing letter of equally long names: the letters where they differ
     differing = F.filter(F.sequence(F.lit(1), F.greatest(F.length(a), F.lit(1))), lambda i: F.substring(a, i, F.lit(1)) != F.substring(b, i, F.lit(1)))
-    letter = lambda c: F.substring(c, F.element_at(differing, 1), F.lit(1))
+    letter = lambda c: F.substring(c, F.try_element_at(differing, F.lit(1)), F.lit(1))
     swap = (F.length(a) < 8) & (F.length(b) < 8) & (F.length(a) == F.length(b)) & (F.levenshtein(a, b) == 1) & letter(a).rlike("[b-df-hj-np-tv-z]") & letter(b).rlike("[b-df-hj-np-tv-z]")
     return F.when(F.coalesce((plain == 1) & swap, F.lit(False)), F.lit(0.2)).otherwise(plain)
 

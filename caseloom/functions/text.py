@@ -157,6 +157,6 @@ def valid_person_name(c: Column, placeholders: tuple[str, ...] = ("unknown", "na
 def relevance(text: Column, first: tuple[str, ...], patterns: tuple[str, ...], second: tuple[str, ...]) -> Column:
     """100 for any first-tier word, 80 for any pattern, 15 for each second-tier word that occurs."""
     low = F.lower(F.coalesce(text, F.lit("")))
-    hit = lambda words: low.rlike("|".join(rf"\b{w}\b" for w in words))
-    score = F.when(hit(first), 100).otherwise(0) + F.when(low.rlike("|".join(patterns)), 80).otherwise(0)
-    return reduce(lambda s, w: s + F.when(low.rlike(rf"\b{w}\b"), 15).otherwise(0), second, score)
+    hit = lambda *words: low.rlike(rf"(?:^|[^\p{{L}}\p{{N}}_])(?:{'|'.join(words)})(?:$|[^\p{{L}}\p{{N}}_])")
+    score = F.when(hit(*first), 100).otherwise(0) + F.when(low.rlike("|".join(patterns)), 80).otherwise(0)
+    return reduce(lambda s, w: s + F.when(hit(w), 15).otherwise(0), second, score)

@@ -43,10 +43,10 @@ def standard_quantity(quantity: Column, unit: Column, form: Column, worth: Colum
 
 def quantity_label(weight_g: Column, volume_ml: Column, count_total: Column) -> Column:
     """As people write it: Kg from 1 kg on, L from 1 l on, else g, ml or units."""
-    show = lambda c, unit: F.concat(F.format_number(c, "0.00"), F.lit(f" {unit}"))
+    show = lambda c, unit: F.concat(F.format_string("%.2f", c), F.lit(f" {unit}"))
     return (
         F.when(weight_g >= 1000, show(weight_g / 1000, "Kg")).when(weight_g > 0, show(weight_g, "g")).when(volume_ml >= 1000, show(volume_ml / 1000, "L"))
-        .when(volume_ml > 0, show(volume_ml, "ml")).when(count_total > 0, F.concat(F.format_number(count_total, "0"), F.lit(" Units"))).otherwise("N/A")
+        .when(volume_ml > 0, show(volume_ml, "ml")).when(count_total > 0, F.concat(F.format_string("%.0f", count_total), F.lit(" Units"))).otherwise("N/A")
     )
 
 

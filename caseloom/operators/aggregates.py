@@ -39,7 +39,7 @@ def allocate(df: DataFrame, keys: list[str], quantity: str, total: str, name: st
     """The group's largest total dealt out by quantity (equally where there is none), rounded to 2 digits."""
     g = df.groupBy(*keys).agg(F.sum(F.coalesce(F.col(quantity), F.lit(0))).alias("_q"), F.max(total).alias("_t"), F.count(F.lit(1)).alias("_n"))
     share = F.when(F.col("_q") > 0, F.coalesce(F.col(quantity), F.lit(0)) / F.col("_q") * F.col("_t")).otherwise(F.col("_t") / F.col("_n"))
-    return df.join(g, keys).withColumn(name, F.round(share, 2)).drop("_q", "_t", "_n")
+    return df.join(g, keys).withColumn(name, F.round(share.cast("decimal(38,10)"), 2).cast("double")).drop("_q", "_t", "_n")
 
 
 def consolidate(df: DataFrame, keys: list[str], confidence: str, fill: list[str], source: str, order: Column) -> DataFrame:

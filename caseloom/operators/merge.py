@@ -91,7 +91,7 @@ def park_and_retry(queue: DataFrame, known: DataFrame, key: str, most_attempts:
     tried = queue.join(have, queue[key] == have["_known"], "left")
     due = ~F.col("resolved") & (F.col("attempts") < most_attempts)
     found = due & F.col("_known").isNotNull()
-    out = tried.withColumn("attempts", F.col("attempts") + due.cast("int")).withColumn("resolved", F.col("resolved") | found).drop("_known")
+    out = tried.withColumns({"attempts": F.col("attempts") + due.cast("int"), "resolved": F.col("resolved") | found}).drop("_known")
     return out.withColumn("state", F.when(F.col("resolved"), "resolved").when(F.col("attempts") >= most_attempts, "given_up").otherwise("parked"))
 
 

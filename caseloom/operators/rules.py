@@ -181,7 +181,10 @@ IDENTIFIERS = {
 
 def identifiers(c: Column) -> Column:
     """array<struct(kind, value)> of the identifiers in a text."""
-    return F.flatten(F.array(*(F.transform(F.regexp_extract_all(c, F.lit(f"({p})"), 1), lambda v, k=kind: F.struct(F.lit(k).alias("kind"), v.alias("value"))) for kind, p in IDENTIFIERS.items())))
+    def found(kind: str, pattern: str) -> Column:
+        return F.transform(F.regexp_extract_all(c, F.lit(f"({pattern})"), 1), lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value")))
+
+    return F.flatten(F.array(*(found(kind, p) for kind, p in IDENTIFIERS.items())))
 
 
 def redact(c: Column) -> Column:

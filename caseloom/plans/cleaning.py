@@ -215,7 +215,7 @@ def validation_errors(t):
     return v.select("o_orderkey", F.array_join("errors", ",").alias("errors"))
 
 
-@R.query(r"""SELECT doc_id, CASE WHEN regexp_matches(lower(text), '\bthe\b|\bla\b') THEN 100 ELSE 0 END + CASE WHEN regexp_matches(lower(text), 'license') THEN 80 ELSE 0 END + CASE WHEN regexp_matches(lower(text), '\bof\b') THEN 15 ELSE 0 END + CASE WHEN regexp_matches(lower(text), '\bde\b') THEN 15 ELSE 0 END AS score FROM documents""")
+@R.query(r"""SELECT doc_id, CASE WHEN regexp_matches(lower(text), '(?:^|[^\p{L}\p{N}_])(?:the|la)(?:$|[^\p{L}\p{N}_])') THEN 100 ELSE 0 END + CASE WHEN regexp_matches(lower(text), 'license') THEN 80 ELSE 0 END + CASE WHEN regexp_matches(lower(text), '(?:^|[^\p{L}\p{N}_])(?:of)(?:$|[^\p{L}\p{N}_])') THEN 15 ELSE 0 END + CASE WHEN regexp_matches(lower(text), '(?:^|[^\p{L}\p{N}_])(?:de)(?:$|[^\p{L}\p{N}_])') THEN 15 ELSE 0 END AS score FROM documents""")
 def text_relevance(t):
     """P16"""
     return t.documents.select("doc_id", T.relevance(F.col("text"), ("the", "la"), ("license",), ("of", "de")).cast("int").alias("score"))
@@ -252,7 +252,7 @@ def commercial_flag(t):
 
 
 @R.query("""WITH g AS (SELECT l_orderkey, sum(l_quantity) AS q, max(l_extendedprice) AS w FROM lineitem GROUP BY 1)
-SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, round(l.l_quantity / q * w, 2) AS share FROM lineitem l JOIN g ON g.l_orderkey = l.l_orderkey""")
+SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, CAST(round(CAST(l.l_quantity / q * w AS DECIMAL(38,10)), 2) AS DOUBLE) AS share FROM lineitem l JOIN g ON g.l_orderkey = l.l_orderkey""")
 def worth_allocation(t):
     """A21"""
     return aggregates.allocate(t.lineitem, ["l_orderkey"], "l_quantity", "l_extendedprice", "share").select("l_orderkey", "l_linenumber", "l_partkey", "share")
@@ -265,11 +265,11 @@ def dedup_consolidate(t):
     return out.select("l_orderkey", "l_returnflag", "l_discount", "l_shipdate", F.array_join("sources", ",").alias("sources"), F.col("merged").cast("long").alias("merged"))
 
 
-@R.query("""SELECT l_orderkey, l_returnflag, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS q, arg_min(l_shipdate, struct_pack(n := l_linenumber, p := l_partkey)) AS l_shipdate FROM lineitem GROUP BY 1, 2""")
+@R.query("""SELECT l_orderkey, l_returnflag, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS q, arg_min(l_shipdate, struct_pack(n := l_linenumber, p := l_partkey, d := l_shipdate)) AS l_shipdate FROM lineitem GROUP BY 1, 2""")
 def sum_merge(t):
     """A26"""
     rows = t.lineitem.withColumn("q", F.col("l_quantity").cast("decimal(18,2)"))
-    return aggregates.sum_merge(rows, ["l_orderkey", "l_returnflag"], "q", ["l_shipdate"], F.struct("l_linenumber", "l_partkey")).withColumn("q", F.col("q").cast("double"))
+    return aggregates.sum_merge(rows, ["l_orderkey", "l_returnflag"], "q", ["l_shipdate"], F.struct("l_linenumber", "l_partkey", "l_shipdate")).withColumn("q", F.col("q").cast("double"))
 
 
 @R.query("""WITH b AS (SELECT l_orderkey, l_linenumber AS n, l_quantity AS q, false AS total FROM lineitem UNION ALL SELECT l_orderkey, 0, sum(l_quantity) + CASE WHEN l_orderkey % 2 = 0 THEN 0 ELSE 50 END, true FROM lineitem GROUP BY l_orderkey)

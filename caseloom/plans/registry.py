@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import cleaning, relations, reports
+from . import cleaning, identities, maintenance, relations, reports, views
 
-MODULES = (reports, relations, cleaning)
+MODULES = (reports, relations, cleaning, maintenance, identities, views)
 QUERIES = {name: query for module in MODULES for name, query in module.R.queries.items()}
 ORACLE_SQL = {name: sql for module in MODULES for name, sql in module.R.sql.items()}
 
