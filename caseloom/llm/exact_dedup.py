@@ -78,6 +78,7 @@ def identities(docs: DataFrame, block_bytes: int = 4096, key_bits: int = 64) ->
     shared = light.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     if not shared.isEmpty():  # two different blocks with one 64-bit key: name these by their bytes
         names = materialize(names, "full-names")
+        light = names.select("key", "name")  # one numbering for all
         at = docs.mapInArrow(lambda it: _positions(it, block_bytes, key_bits), "text_sha256 string, pos int, key long, block binary")
         exact = at.join(shared, "key", "left_semi").join(names, ["key", "block"]).groupBy("text_sha256", "pos").agg(F.first("name").alias("exact"))
         level = level.join(meta.select("row", "text_sha256"), "row").join(exact, ["text_sha256", "pos"], "left").drop("text_sha256")
