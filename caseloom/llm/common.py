@@ -64,7 +64,7 @@ def possibly_in(rows: DataFrame, key: str, keys: DataFrame, most_bits: int = 1 <
     maps = placed.repartition("_bucket").groupBy("_bucket").agg(F.bitmap_construct_agg("_at").alias("_map"))
     word = lambda i: F.conv(F.hex(F.substring("_map", i * 8 + 1, F.lit(8))), 16, -10).cast("long")
     words = materialize(maps.select("_bucket", F.transform(F.sequence(F.lit(0), F.lit(511)), word).alias("_words")), "bitmap")
-    at = F.bitmap_bit_position("_place")
-    bit = (F.lit(7) - F.floor(at / 8) % 8) * 8 + at % 8
-    held = rows.withColumn("_place", place(key)).withColumn("_bucket", F.bitmap_bucket_number("_place")).join(F.broadcast(words), "_bucket")
-    return held.where(F.getbit(F.element_at("_words", (F.floor(at / 64) + 1).cast("int")), bit.cast("int")) == 1).select(*(F.col(f"`{c}`") for c in rows.columns))
+    own = place(F.col(f"r.`{key}`"))
+    at = F.bitmap_bit_position(own)
+    bit = F.getbit(F.element_at(F.col("m._words"), (F.floor(at / 64) + 1).cast("int")), ((F.lit(7) - F.floor(at / 8) % 8) * 8 + at % 8).cast("int"))
+    return rows.alias("r").join(F.broadcast(words.alias("m")), F.bitmap_bucket_number(own) == F.col("m._bucket")).where((bit == 1) & F.col(f"r.`{key}`").isNotNull()).select("r.*")
