@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..shared import checkpointed
+from .joins import BROADCAST_ROWS
 
 #: What case states are called elsewhere.
 CASE_STATES = {
@@ -134,9 +135,15 @@ def without_ignored(rows: DataFrame, name: str, ignored: DataFrame, ignored_name
 
 
 def longest_keyword(rows: DataFrame, text: str, words: DataFrame, word: str) -> DataFrame:
-    """rows with the longest known word of one token that their text holds: words are looked up, not searched."""
-    tokens = rows.select(text).distinct().select(text, F.explode(F.array_distinct(F.split(F.lower(text), r"\W+"))).alias("_w"))
-    found = tokens.join(words.select(F.lower(F.col(word)).alias("_w")).distinct(), "_w").groupBy(text).agg(F.max_by("_w", F.struct(F.length("_w"), "_w")).alias("keyword"))
+    """rows with the longest known word of one token that their text holds. A counted small list is one broadcast array,
+    so texts do not move; a long list is joined by token."""
+    known = words.select(F.lower(F.col(word)).alias("_w")).where("_w <> ''").distinct()
+    tokens = F.array_distinct(F.split(F.lower(text), r"\W+"))
+    if known.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        held = rows.join(F.broadcast(known.agg(F.collect_set("_w").alias("_known"))))
+        best = F.array_max(F.transform(F.array_intersect(tokens, F.col("_known")), lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))
+        return held.withColumn("keyword", best["w"]).drop("_known")
+    found = rows.select(text).distinct().select(text, F.explode(tokens).alias("_w")).join(known, "_w").groupBy(text).agg(F.max_by("_w", F.struct(F.length("_w"), "_w")).alias("keyword"))
     return rows.join(found, text, "left")
 
 

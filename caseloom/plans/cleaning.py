@@ -236,7 +236,8 @@ def keyword_base(t):
     return words.agg(F.lit(1).alias("one"), F.countDistinct("w").alias("words"))
 
 
-@R.query()
+@R.query(r"""WITH k AS (SELECT DISTINCT unnest(string_split(lower(p_type), ' ')) AS w FROM part UNION SELECT 'the' UNION SELECT 'tion'), d AS (SELECT DISTINCT doc_id, unnest(string_split_regex(lower(text), '\W+')) AS w FROM documents)
+SELECT doc_id, best AS keyword FROM documents LEFT JOIN (SELECT d.doc_id AS id, arg_max(d.w, struct_pack(n := length(d.w), w := d.w)) AS best FROM d JOIN k ON k.w = d.w GROUP BY 1) ON id = doc_id""")
 def longest_keyword(t):
     """The longest word of the part types that a document holds."""
     words = t.part.select(F.explode(F.split(F.lower("p_type"), " ")).alias("w")).distinct()
@@ -288,7 +289,7 @@ def token_shares(t):
     return aggregates.token_shares(t.part, F.lower("p_type"), "p_brand", 3, 0.03).withColumn("share", F.round("share", 6))
 
 
-@R.query()
+@R.query("WITH i AS (" + " UNION ALL ".join(f"SELECT '{k}' AS kind, unnest(regexp_extract_all(text, '{p}')) AS value FROM documents" for k, p in rules.IDENTIFIERS.items()) + ") SELECT kind, count(*) AS n, count(DISTINCT value) AS distinct_values FROM i GROUP BY kind")
 def identifiers(t):
     """Q4: identifiers in documents, counted by kind."""
     return t.documents.select(F.explode(rules.identifiers(F.col("text"))).alias("i")).groupBy("i.kind").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("i.value").alias("distinct_values"))

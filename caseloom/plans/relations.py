@@ -239,8 +239,8 @@ def soundex_block(t):
     return joins.blocked_pairs(names, "p_type", F.array(F.array_join(key, "-")))
 
 
-@R.query()
-def case_by_code_found(t):
+@R.query("SELECT DISTINCT lower(trim(r_name)) AS r_name, lower(trim(n_name)) AS n_name FROM nation JOIN region ON n_regionkey = r_regionkey")
+def hierarchy_names(t):
     """Distinct trimmed names of nested levels."""
     from ..sources.readers import hierarchy
 
