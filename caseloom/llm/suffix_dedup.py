@@ -218,11 +218,11 @@ def suffix_order(data: np.ndarray) -> np.ndarray:
 
 def common_prefixes(data: np.ndarray, order: np.ndarray, enough: int = WINDOW) -> np.ndarray:
     """Per sorted place the common prefix with the place before. Kasai's rule: one position later both suffixes share one
-    byte less, so only where the neighbour is not simply the next one are bytes compared."""
+    byte less, so bytes are compared only where the neighbour is not simply the next one, or where nothing was shared."""
     n = len(data)
     before = np.full(n, -1, "i8")
     before[order[1:]] = order[:-1]
-    chain = np.r_[False, (before[1:] == before[:-1] + 1) & (before[:-1] >= 0)]
+    chain = np.r_[False, (before[1:] == before[:-1] + 1) & (before[:-1] >= 0) & (data[:-1] == data[before[:-1]])]
     start = np.flatnonzero(~chain & (before >= 0))
     length = np.zeros(len(start), "i8")
     active = np.arange(len(start))
@@ -241,7 +241,7 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, enough: int = WINDOW) -
     full = np.zeros(n, "i8")
     full[start] = length
     head = np.maximum.accumulate(np.where(~chain, np.arange(n), 0))
-    full = np.where(chain, np.maximum(full[head] - (np.arange(n) - head), 0), full)
+    full = np.where(chain, full[head] - (np.arange(n) - head), full)
     return full[order]
 
 

@@ -91,6 +91,27 @@ def test_suffix_order_and_common_prefixes():
             assert lcp[k] == next((i for i, (p, q) in enumerate(zip(x, y, strict=False)) if p != q), min(len(x), len(y)))
 
 
+def test_common_prefixes_behind_a_rare_byte_that_differs():
+    r = random.Random(3)
+    shared = bytes(r.choice(b"abcd") for _ in range(400))
+    data = b"ab" + b"\xa8" + shared + b"cd" + b"\xa9" + shared + b"z"
+    order = suffix_dedup.suffix_order(np.frombuffer(data, "u1"))
+    lcp = suffix_dedup.common_prefixes(np.frombuffer(data, "u1"), order)
+    for k in range(1, len(data)):
+        x, y = data[order[k] :], data[order[k - 1] :]
+        assert lcp[k] == next((i for i, (p, q) in enumerate(zip(x, y, strict=False)) if p != q), min(len(x), len(y)))
+
+
+def test_suffix_dedup_of_passages_that_differ_in_a_rare_byte(spark):
+    rows = []
+    for i, (a, b) in enumerate([("\u00a8", "\u00a9"), ("\u00b1", "\u00b2"), ("\u00ba", "\u00bb"), ("{", "}")]):
+        passage = " ".join(words(60, 500 + i))
+        rows += [(2 * i, a + passage, "a"), (2 * i + 1, b + passage, "a")]
+    expected = substrings_removed([(d, t) for d, t, _ in rows])
+    out = suffix_dedup.deduplicate_substrings(frame(spark, rows)).collect()
+    assert {(r.doc_id, r.n_bytes, r.n_removed, len(r.spans), r.kept_sha256) for r in out} == {(d, *x) for (d, _), x in expected.items()}
+
+
 @pytest.mark.parametrize(("n", "num", "den", "block"), [(3, 90, 100, 1500), (5, 8, 10, 1500), (2, 8, 10, 4)])
 def test_ngram_join(spark, n, num, den, block):
     r = random.Random(n)
