@@ -1,8 +1,9 @@
 """Line de-duplication over overlapping three-line windows, with DataFrame functions only.
 
 Each run of three consecutive lines is one window, named by the 128-bit MD5 of its text. Windows that occur more than
-once in the whole collection keep their first occurrence (smallest doc_id, then smallest line number); the lines of all
-later occurrences are covered, overlapping and touching covers are merged into spans, and the spans are removed.
+once in the whole collection keep their first occurrence (smallest doc_id, among texts of one doc_id by a digest of the
+text, then smallest line number); the lines of all later occurrences are covered, overlapping and touching covers are
+merged into spans, and the spans are removed.
 
 Only digests are shuffled for the search; counts are combined before the shuffle, so one very common window costs one
 row per task. Texts move once, to meet the few spans of their document.
@@ -38,8 +39,9 @@ def windows(docs: DataFrame) -> DataFrame:
 def removed_spans(docs: DataFrame) -> DataFrame:
     """doc, text_key, spans: array<struct<lo, hi>> of merged line numbers that later occurrences cover."""
     found = materialize(windows(docs), "windows")
-    repeated = found.groupBy("window").agg(F.min(F.struct("doc", "pos")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    later = found.join(repeated, "window").where(~F.struct("doc", "pos").eqNullSafe(F.col("first"))).select("doc", "text_key", "pos").distinct()
+    place = F.struct("doc", "text_key", "pos")
+    repeated = found.groupBy("window").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    later = found.join(repeated, "window").where(~place.eqNullSafe(F.col("first"))).select("doc", "text_key", "pos").distinct()
     own = W.partitionBy("doc", "text_key").orderBy("pos")
     gap = F.coalesce((F.col("pos") - F.lag("pos").over(own) > WINDOW).cast("int"), F.lit(1))
     merged = later.withColumn("gap", gap).withColumn("run", F.sum("gap").over(own)).groupBy("doc", "text_key", "run").agg(F.min("pos").alias("lo"), (F.max("pos") + (WINDOW - 1)).alias("hi"))

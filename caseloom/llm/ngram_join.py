@@ -319,6 +319,11 @@ def _verified(texts: pd.DataFrame, n: int, num: int, den: int, counts) -> pd.Dat
 def jaccard_components(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10, block_rows: int = BLOCK) -> DataFrame:
     """doc_id, text_key, n_shingles, component_id: a row per row of docs. Sets of word n-grams link when
     den * intersection >= num * union; component_id is the smallest doc_id that links reach."""
+    return _in_components(docs, n, num, den, block_rows).drop("component")
+
+
+def _in_components(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10, block_rows: int = BLOCK) -> DataFrame:
+    """The same with component, a number of its own for each component (doc_ids may repeat or be null); null for blank texts."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("text_key", F.xxhash64("text"))
     counts = spark.sparkContext.broadcast(gram_counts(docs, n))  # 4 MB at any size of the input
@@ -338,15 +343,20 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10,
     linked = components(materialize(links, "links"))
     named = classes.select("node", "set_key", F.col("carrier.doc_id").alias("smallest")).join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
     names = named.groupBy("component").agg(F.min("smallest").alias("component_id"))
-    named = named.join(names, "component").select("set_key", "component_id")
+    named = named.join(names, "component").select("set_key", "component", "component_id")
     out = described.select("doc_id", "text_key", "n_shingles", "set_key").join(named, "set_key", "left")
-    return out.select("doc_id", "text_key", "n_shingles", F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    return out.select("doc_id", "text_key", "n_shingles", F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "component")
 
 
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """The rows of docs, all columns, that keep one document per component: the one that names it. Blank texts stay,
-    and so do all rows that repeat the kept document's id and text."""
-    kept = jaccard_components(docs, **options).where("n_shingles = 0 OR doc_id <=> component_id").groupBy(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key")).agg(F.min("n_shingles").alias("_n"))
+    """The rows of docs, all columns, that keep one document per component: that of the smallest doc_id (a null only if
+    all are), of several texts with that doc_id the one of the smallest digest. Blank texts stay, and so do all rows that
+    repeat the kept document's id and text."""
+    rows = materialize(_in_components(docs, **options), "in-components")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    best = rows.where("component IS NOT NULL").groupBy("component").agg(F.min(order).alias("best")).select(F.col("best.doc_id").alias("_doc"), F.col("best.text_key").alias("_key"))
+    blank = rows.where("component IS NULL").select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"))
+    kept = best.unionByName(blank).distinct()
     joined = docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(F.col("_doc")) & (F.xxhash64(docs["text"].cast("string")) == F.col("_key")))
     return joined.select(*(docs[c] for c in docs.columns))
 

@@ -55,6 +55,15 @@ def test_line_dedup(spark):
     assert line_dedup.without_repeated_lines(frame(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("doc", [7, None])
+def test_line_dedup_of_texts_that_share_a_doc_id(spark, doc):
+    head = "one header\nof three\nlines"
+    rows = [(doc, f"{head}\nbody {i}", "a") for i in range(4)]
+    out = line_dedup.deduplicate_lines(frame(spark, rows), "r").collect()
+    assert sorted(r.r.n_removed for r in out) == [0, 3, 3, 3]
+    assert {r.r.text for r in out if r.r.n_removed} <= {f"body {i}" for i in range(4)}
+
+
 def test_suffix_dedup(spark):
     rows = awkward()
     out = suffix_dedup.deduplicate_substrings(frame(spark, rows)).collect()
@@ -135,3 +144,11 @@ def test_ngram_join_keeps_one_of_each(spark):
     expected = jaccard_components([(d, t) for d, t, _ in rows], 5, 8, 10)
     assert Counter(r.doc_id for r in kept.collect()) == Counter(d for d, t, _ in rows if expected[d, t][1] == d or not expected[d, t][0])
     assert ngram_join.one_of_each(frame(spark, [])).count() == 0
+
+
+def test_ngram_join_keeps_one_of_each_whatever_the_ids(spark):
+    base, other, third = (words(90, seed) for seed in (31, 32, 33))
+    near = lambda own, i: " ".join(own[:-1] + [f"e{i}"])
+    rows = [(None, near(base, i), "a") for i in range(3)] + [(5, near(other, i), "a") for i in range(3)] + [(6, near(third, 0), "a"), (None, near(third, 1), "a"), (5, near(third, 2), "a"), (5, "quite another text", "a"), (None, "and one more text", "a"), (None, None, "b"), (5, " ", "b")]
+    kept = Counter(" ".join((r.text or "").split()[:2]) for r in ngram_join.one_of_each(frame(spark, rows), n=5, num=8, den=10).collect())
+    assert kept == {" ".join(base[:2]): 1, " ".join(other[:2]): 1, " ".join(third[:2]): 1, "quite another": 1, "and one": 1, "": 2}
