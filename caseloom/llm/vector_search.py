@@ -7,12 +7,13 @@ only vectors whose upper bound reaches the k-th best lower bound remain. Across
 raised again, and only for what still remains are exact vectors read, in bound order, until the k-th exact score is
 above every bound that is left.
 
-Queries and vectors meet in blocks of fixed row counts; nothing is sent to the driver. Equal vectors of a block beyond
-the k + 1 smallest ids cannot be among any k best (ties go to smaller ids), so long runs of copies do not grow.
+Queries and vectors meet in blocks of fixed row counts; nothing is sent to the driver. Every row has a number of its own,
+by which cells, bounds and exact vectors belong together. Of equal vectors of a block only those stay that are among the
+k smallest ids without some query's own id (ties go to smaller ids), 2 k at most, so long runs of copies do not grow.
 
 Defined results: rows with a null id, a null vector, or one with null or non-finite components take no part; neither do
 vectors of another length than the query's; repeated rows are candidates each, but never for the query of the same id
-(a repeated query is asked once); an empty table gives an empty result; other columns are ignored.
+(a repeated query is asked once, by its smallest vector); an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,15 +32,15 @@ BLOCK, QUERY_BLOCK = 8192, 2048
 
 def _packed(rows: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]:
     """Blocks of at most `size` rows of one dimension, as little-endian binaries."""
-    waiting: dict[int, list[tuple[int, np.ndarray]]] = {}
+    waiting: dict[int, list[tuple[int, int, np.ndarray]]] = {}
 
     def block(dim: int, own: list) -> pd.DataFrame:
-        return pd.DataFrame({"dim": [dim], "n": [len(own)], "ids": [np.array([i for i, _ in own], "<i8").tobytes()], "vectors": [np.array([v for _, v in own], "<i4").tobytes()]})
+        return pd.DataFrame({"dim": [dim], "n": [len(own)], "ids": [np.array([i for i, _, _ in own], "<i8").tobytes()], "rows": [np.array([x for _, x, _ in own], "<i8").tobytes()], "vectors": [np.array([v for _, _, v in own], "<i4").tobytes()]})
 
     for pdf in rows:
-        for i, v in zip(pdf["id"].to_numpy(), pdf["vector"], strict=True):
+        for i, x, v in zip(pdf["id"].to_numpy(), pdf["row"].to_numpy(), pdf["vector"], strict=True):
             own = waiting.setdefault(len(v), [])
-            own.append((i, v))
+            own.append((i, x, v))
             if len(own) >= size:
                 yield block(len(v), waiting.pop(len(v)))
     for dim, own in waiting.items():
@@ -50,12 +51,17 @@ def _unpack(ids: bytes, vectors: bytes, dim: int) -> tuple[np.ndarray, np.ndarra
     return np.frombuffer(ids, "<i8"), np.frombuffer(vectors, "<i4").reshape(-1, dim)
 
 
-def _without_late_copies(ids: np.ndarray, vectors: np.ndarray, keep: int) -> np.ndarray:
-    """Positions, without those of equal vectors after the `keep` smallest ids."""
+def _without_late_copies(ids: np.ndarray, vectors: np.ndarray, k: int) -> np.ndarray:
+    """Positions, without those of equal vectors that k rows of smaller ids precede whichever one id is left out."""
     order = np.lexsort((ids, *vectors.T[::-1]))
-    same = np.r_[False, (vectors[order][1:] == vectors[order][:-1]).all(1)]
-    starts = np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))
-    return np.sort(order[np.arange(len(order)) - starts < keep])
+    n, at = len(order), np.arange(len(order))
+    new = np.r_[True, (vectors[order][1:] != vectors[order][:-1]).any(1)][:n]
+    new_id = new | np.r_[True, ids[order][1:] != ids[order][:-1]][:n]
+    starts, group, run = np.maximum.accumulate(np.where(new, at, 0)), np.cumsum(new), np.cumsum(new_id) - 1
+    # per run of one id: the longest run before it among the same vectors
+    longest = np.maximum.accumulate(group[new_id] * (n + 1) + np.bincount(run))
+    longest = np.maximum(np.r_[0, longest][:-1] - group[new_id] * (n + 1), 0)
+    return np.sort(order[at - starts - longest[run] < k])
 
 
 def _approximate(rows: Iterator[pd.DataFrame], k: int, cell: int) -> Iterator[pd.DataFrame]:
@@ -64,20 +70,20 @@ def _approximate(rows: Iterator[pd.DataFrame], k: int, cell: int) -> Iterator[pd
         out = []
         for r in pdf.itertuples():
             ids, vectors = _unpack(r.ids, r.vectors, r.dim)
-            at = _without_late_copies(ids, vectors, k + 1)
+            at = _without_late_copies(ids, vectors, k)
             cells = np.floor_divide(vectors[at], cell)
             low = int(cells.min()) if cells.size else 0
             kind = "<u1" if not cells.size or cells.max() - low < 256 else "<u4"
-            out.append((r.block, r.dim, len(at), ids[at].tobytes(), (cells - low).astype(kind).tobytes(), low))
-        yield pd.DataFrame(out, columns=["block", "dim", "n", "ids", "cells", "low"])
+            out.append((r.block, r.dim, len(at), ids[at].tobytes(), np.frombuffer(r.rows, "<i8")[at].tobytes(), (cells - low).astype(kind).tobytes(), low))
+        yield pd.DataFrame(out, columns=["block", "dim", "n", "ids", "rows", "cells", "low"])
 
 
 def _bounded(rows: Iterator[pd.DataFrame], k: int, cell: int) -> Iterator[pd.DataFrame]:
-    """query_id, vec_id, block, lower, upper: the first scan of one block of cells against one block of queries."""
+    """query_id, row, lower, upper: the first scan of one block of cells against one block of queries."""
     for pdf in rows:
         for r in pdf.itertuples():
             queries = np.frombuffer(r.q_vectors, "<i4").reshape(-1, r.dim).astype("f8")
-            q_ids, ids = np.frombuffer(r.q_ids, "<i8"), np.frombuffer(r.ids, "<i8")
+            q_ids, ids, numbers = (np.frombuffer(x, "<i8") for x in (r.q_ids, r.ids, r.rows))
             cells = np.frombuffer(r.cells, "<u1" if len(r.cells) == len(ids) * r.dim else "<u4").reshape(-1, r.dim)
             centres = (cells.astype("f8") + r.low) * cell + (cell - 1) / 2
             slack = np.abs(queries).sum(1) * (cell - 1) / 2
@@ -90,7 +96,7 @@ def _bounded(rows: Iterator[pd.DataFrame], k: int, cell: int) -> Iterator[pd.Dat
                 m = middle[at_q, at_v]
                 ok = np.isfinite(m)
                 at_q, at_v, m = at_q[ok], at_v[ok], m[ok]
-                yield pd.DataFrame({"query_id": q_ids[a + at_q], "vec_id": ids[at_v], "lower": m - s[at_q], "upper": m + s[at_q]})
+                yield pd.DataFrame({"query_id": q_ids[a + at_q], "row": numbers[at_v], "lower": m - s[at_q], "upper": m + s[at_q]})
 
 
 def _best(pdf: pd.DataFrame, k: int) -> pd.DataFrame:
@@ -108,18 +114,19 @@ def _best(pdf: pd.DataFrame, k: int) -> pd.DataFrame:
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, cell: int = 2, block: int = BLOCK, query_block: int = QUERY_BLOCK) -> DataFrame:
     """query_id, rank, vec_id, score: both inputs have id (long) and vector (array<int>)."""
-    packed = "dim int, n int, ids binary, vectors binary"
+    packed = "dim int, n int, ids binary, rows binary, vectors binary"
+    vectors = materialize(vectors.select("id", F.monotonically_increasing_id().alias("row"), "vector"), "vectors")  # numbers hold once written
     blocks = vectors.mapInPandas(lambda it: _packed(it, block), packed).select(F.monotonically_increasing_id().alias("block"), "*")
-    file = materialize(blocks.mapInPandas(lambda it: _approximate(it, k, cell), "block long, dim int, n int, ids binary, cells binary, low int"), "cells")
-    asked = queries.dropDuplicates(["id"])
-    asked_blocks = asked.mapInPandas(lambda it: _packed(it, query_block), packed).select("dim", F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
+    file = materialize(blocks.mapInPandas(lambda it: _approximate(it, k, cell), "block long, dim int, n int, ids binary, rows binary, cells binary, low int"), "cells")
+    asked = queries.groupBy("id").agg(F.min("vector").alias("vector"))
+    asked_blocks = asked.select("id", F.lit(0).cast("long").alias("row"), "vector").mapInPandas(lambda it: _packed(it, query_block), packed).select("dim", F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
     # every block of cells meets every block of queries: a stated set against all rows, a row per pair of blocks
     meeting = file.join(asked_blocks, "dim").repartition(F.col("block"), F.xxhash64("q_ids"))
-    bounds = materialize(meeting.mapInPandas(lambda it: _bounded(it, k, cell), "query_id long, vec_id long, lower double, upper double"), "bounds")
+    bounds = materialize(meeting.mapInPandas(lambda it: _bounded(it, k, cell), "query_id long, row long, lower double, upper double"), "bounds")
     highest = F.sort_array(F.collect_list("lower"), False)
     kth = bounds.groupBy("query_id").agg(F.element_at(F.slice(highest, 1, k), -1).alias("kth"), F.count(F.lit(1)).alias("n"))
-    left = bounds.join(kth, "query_id").where((F.col("n") <= k) | (F.col("upper") >= F.col("kth"))).select("query_id", "vec_id", "upper")
-    wanted = left.join(vectors.select(F.col("id").alias("vec_id"), "vector"), "vec_id")
+    left = bounds.join(kth, "query_id").where((F.col("n") <= k) | (F.col("upper") >= F.col("kth"))).select("query_id", "row", "upper")
+    wanted = left.join(vectors.select("row", F.col("id").alias("vec_id"), "vector"), "row").drop("row")
     wanted = wanted.join(asked.select(F.col("id").alias("query_id"), F.col("vector").alias("query")), "query_id")
     return wanted.groupBy("query_id").applyInPandas(lambda pdf: _best(pdf, k), "query_id long, rank int, vec_id long, score long")
 

@@ -156,3 +156,21 @@ def test_top_k(spark, cell, block, query_block):
         scores = sorted((-int(vectors[q] @ vectors[i]), i) for i in range(150) if i != q)[:20]
         assert got[q] == [(k + 1, i, -s) for k, (s, i) in enumerate(scores)]
     assert vector_search.top_k(table.limit(0), table.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("block", [8192, 40])
+def test_top_k_of_repeated_ids(spark, block):
+    r = np.random.default_rng(6)
+    vectors = r.integers(-30, 30, (160, 8))
+    vectors[40:110] = vectors[40]  # copies under ids of their own and under repeated ones
+    ids = [i if i < 50 else 50 if i < 80 else i - 30 if i < 90 else i // 4 if i < 130 else i for i in range(160)]
+    rows = [(i, v.tolist()) for i, v in zip(ids, vectors, strict=True)]
+    table = spark.createDataFrame(rows, "id long, vector array<int>")
+    got = defaultdict(list)
+    for x in vector_search.top_k(table, table.where("id % 5 = 0"), 20, 2, block, 16).orderBy("query_id", "rank").collect():
+        got[x.query_id].append((x["rank"], x.vec_id, x.score))
+    assert set(got) == {i for i in ids if i % 5 == 0}
+    for q in got:
+        own = min(v for i, v in rows if i == q)
+        scores = sorted((-int(np.dot(own, v)), i) for i, v in rows if i != q)[:20]
+        assert got[q] == [(k + 1, i, -s) for k, (s, i) in enumerate(scores)]
