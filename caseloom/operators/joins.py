@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..shared import checkpointed
+
 #: A table of at most so many rows may be sent to every executor.
 BROADCAST_ROWS = 200_000
 
@@ -94,9 +96,19 @@ def lookup_ladder(rows: DataFrame, text: str, known: DataFrame, raw: str, standa
     return rows.withColumn("_text", low).join(ladder, "_text", "left").drop("_text")
 
 
+def _ranked_by_range(rows: DataFrame, key: str, rank: str, first: int) -> DataFrame:
+    """rows numbered by key from first on: counts of ranges give offsets, only ranges are sorted."""
+    ranges = checkpointed(rows.repartitionByRange(F.col(key)).withColumn("_range", F.spark_partition_id()))
+    counts = sorted(ranges.groupBy("_range").count().collect())  # a row per partition
+    before = [(c["_range"], first - 1 + sum(x["count"] for x in counts[:i])) for i, c in enumerate(counts)]
+    offsets = F.broadcast(rows.sparkSession.createDataFrame(before, "_range int, _before int"))
+    nth = F.row_number().over(W.partitionBy("_range").orderBy(key))
+    return ranges.withColumn("_nth", nth).join(offsets, "_range").withColumn(rank, F.col("_before") + F.col("_nth")).drop("_range", "_before", "_nth")
+
+
 def found_or_new(rows: DataFrame, name: str, known: DataFrame, known_name: str, code: str, similarity, least: float, first_new: int) -> DataFrame:
     """Code of the same or a similar known name; distinct other names get new codes from first_new on, by name."""
     matched = best_match(rows, name, known, known_name, similarity, least)
     coded = matched.join(small(known.select(F.col(known_name).alias("match"), F.col(code).alias("_code"))), "match", "left")
-    new = coded.where("_code IS NULL").select(name).where(F.col(name).isNotNull()).distinct().withColumn("_new", F.row_number().over(W.orderBy(name)) + F.lit(first_new - 1))
+    new = _ranked_by_range(coded.where("_code IS NULL").select(name).where(F.col(name).isNotNull()).distinct(), name, "_new", first_new)
     return coded.join(new, name, "left").withColumn("code", F.coalesce("_code", "_new")).withColumn("is_new", F.col("_code").isNull()).drop("_code", "_new", "match", "score")

@@ -122,3 +122,13 @@ def test_windowed_counts_of_a_stream(spark, tmp_path):
     stream = incremental.first_seen(incremental.file_stream(spark, str(tmp_path / "in"), df.schema), "ts", ["event_id"])
     out = incremental.windowed_counts(df, "ts", ["event_type"], "value")
     assert stream.isStreaming and out.agg(F.sum("n")).first()[0] == df.count()
+
+
+def test_new_codes_are_numbered_over_ranges(spark):
+    names = [f"n{i * 7919 % 1000:04d}" for i in range(1000)]
+    rows = spark.createDataFrame([(n,) for n in [*names, "known one", None]], "name string").repartition(3)
+    known = spark.createDataFrame([("known one", 5)], "known string, code_ int")
+    out = joins.found_or_new(rows, "name", known, "known", "code_", similarity.trigram_similarity, 0.8, 9000)
+    assert "SinglePartition" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {r.name: (r.code, r.is_new) for r in out.collect()}
+    assert got == {n: (9000 + i, True) for i, n in enumerate(sorted(names))} | {"known one": (5, False), None: (None, True)}
