@@ -1,238 +1,383 @@
 """Toxicity: nearest labelled examples by exact TF-IDF cosine over a block-max inverted index.
 
-Terms are lower-cased words and the first three to seven letters of longer words (so inflected forms share a term). From
-a bounded sample of labelled documents (`per_class` of each class) the terms whose document counts depend on the label
-(chi-square at least `least_chi2`, at most `max_terms` of them) form the vocabulary; all other words of a document count
-as one further term, so that a vector tells how much of the text its terms are. Every example is a normalised TF-IDF
-vector (square root of the count times the inverse document frequency); an inverted index lists, per term, the examples
-in blocks together with the largest weight of each block. A query visits blocks in the order of the bound that these
-maxima give and stops when no block can change the k nearest, so the k similarities are exact. Votes are weighted by the
-inverse of distance; a logistic curve, fitted to the leave-one-out votes of the examples at the classes' true rates,
-turns them into probabilities. The neighbours are the evidence.
-
-Sample, counts and index are bounded by the parameters and broadcast; every whole text is then scored where it lies,
-without a shuffle.
-
-Defined results: null and empty texts get the score of a text without any term of the vocabulary; repeated rows are scored each; label rows with null or other labels are ignored, of several labels
-of a document the larger counts; with no labels, or with one class only, the score is that class's rate (0.5 without
-labels); an empty table gives an empty result; other columns are ignored by `score` and kept by `without_toxic`.
+Terms are lower-cased words and, so that inflected forms share one, the first `STEM` letters of longer words; both are
+known by 64-bit digests. The examples are a bounded sample of labelled documents (`per_class` of each class); every term
+of every example is indexed, none is left out. A term weighs its inverse document frequency, counted over all documents,
+times what the sample's labels say about it (`LEAST` plus the part of its label correlation that chance does not
+explain); a vector is the square roots of a text's counts times these weights, normalised.
+
+The inverted index lists, per term, the examples in blocks of similar ones with the largest weight of each block; the
+lists of terms that `DENSE` or more of the examples hold are rows of a matrix instead. For a text, the matrix gives exact
+parts of all cosines, and with the maxima these bound every block; blocks are read from the highest bound on until no
+other block can change the k nearest, so the k similarities are exact. Votes are weighted by the inverse of distance; a
+logistic curve, fitted to the leave-one-out votes of the examples at the classes' true rates, makes them probabilities.
+The neighbours are the evidence.
+
+Sample and index are bounded by `per_class` texts and broadcast; every whole text is counted and then scored where it
+lies, without a shuffle. The leave-one-out votes are computed in tasks; the driver sees a number per example.
+
+Defined results: null and empty texts, and texts without any term of the index, get the classes' rate as score; repeated
+rows are scored each; label rows with null or other labels are ignored, of several labels of a document the larger
+counts; with no labels, with one class only, or where the labelled documents of a class are missing, every score is that
+rate (0.5 without labels); a null doc_id is not held out; an empty table gives an empty result; other columns are ignored
+by `score` and kept by `without_toxic`.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, read
+from .common import fold, materialize, read, small_batches
 from .labelled import logistic, sample
 
-_WORD = re.compile(r"\w+")
-BLOCK = 64
-PREFIXES = range(3, 8)
-#: The term of all words outside the vocabulary, and how near a vote may come.
-OTHER, NEAR = "", 0.02
-
-
-def terms_of(word: str) -> tuple[str, ...]:
-    return (word, *(f"{word[:n]}*" for n in PREFIXES if len(word) > n))
+STEM, BLOCK, DENSE = 4, 64, 1 / 16
+#: The least factor of a term, and the chi-square that chance may give a term (p about 0.0005).
+LEAST, CHANCE = 0.05, 12.0
+#: How near a vote may come.
+NEAR = 0.02
+#: Whether a character belongs to a word; from the end of the table on all do.
+_IN_WORD = np.array([bool(re.match(r"\w", chr(c))) for c in range(0x3040)] + [True])
+_BASE = 0x9E3779B97F4A7C15
+_CHARS = 400_000
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, "u8")
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
+class Terms:
+    """Counted terms of texts. The digest of a word is a difference of running sums, moved to one place."""
+
+    def __init__(self) -> None:
+        self.up = self.down = np.empty(0, "u8")
+
+    def of(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Text, term and count of each distinct term of each text, sorted by text and term."""
+        low = [(t or "").lower() for t in texts]
+        code = np.frombuffer("\n".join([*low, ""]).encode("utf-32-le", "surrogatepass"), "<u4")
+        if len(code) > len(self.up):
+            n = max(len(code), _CHARS)
+            self.up, self.down = _powers(_BASE, n + 1), _powers(pow(_BASE, -1, 2**64), n + 1)
+        edge = np.flatnonzero(np.diff(np.r_[False, _IN_WORD[np.minimum(code, len(_IN_WORD) - 1)], False]))
+        first, size = edge[0::2], (edge[1::2] - edge[0::2])
+        sums = np.zeros(len(code) + 1, "u8")
+        np.cumsum(_mixed(code.astype("u8") + np.uint64(1)) * self.up[: len(code)], out=sums[1:])
+        owner = np.searchsorted(np.cumsum([len(t) + 1 for t in low]), first, side="right")
+        long = size > STEM
+        digest = lambda at, n, kind: _mixed((sums[at + n] - sums[at]) * self.down[at] + n.astype("u8") + np.uint64(kind))
+        term = np.r_[digest(first, size, 0), digest(first[long], np.full(long.sum(), STEM), 1 << 40)]
+        owner = np.r_[owner, owner[long]]
+        order = np.argsort(term)
+        order = order[np.argsort(owner[order], kind="stable")]
+        owner, term = owner[order], term[order]
+        new = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (term[1:] != term[:-1])]) if len(term) else np.empty(0, "i8")
+        return owner[new], term[new], np.diff(np.r_[new, len(term)])
+
+
+def parts_of(texts: list[str | None]) -> Iterator[list[str | None]]:
+    """Texts in parts of about so many characters."""
+    part, size = [], 0
+    for t in texts:
+        part.append(t)
+        size += len(t or "")
+        if size >= _CHARS:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
+def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc_id, y, terms, counts: a row per sampled document."""
+    terms = Terms()
+    for batch in batches:
+        owner, term, n = terms.of(batch["text"].to_pylist())
+        cuts = pa.array(np.searchsorted(owner, np.arange(batch.num_rows + 1)), pa.int32())
+        yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["y"], pa.ListArray.from_arrays(cuts, pa.array(term.view("i8"))), pa.ListArray.from_arrays(cuts, pa.array(n, pa.int64()))], names=["doc_id", "y", "terms", "counts"])
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, y, term, tf of the sampled documents."""
-    for batch in batches:
-        for doc, y, text in zip(batch["doc_id"].to_pylist(), batch["y"].to_pylist(), batch["text"].to_pylist(), strict=True):
-            tf: Counter = Counter()
-            for word, n in Counter(_WORD.findall(text.lower())).items():
-                for t in terms_of(word):
-                    tf[t] += n
-                tf[OTHER] += n
-            yield pa.RecordBatch.from_arrays([pa.array([doc] * len(tf), pa.int64()), pa.array([y] * len(tf), pa.int32()), pa.array(list(tf), pa.string()), pa.array(list(tf.values()), pa.int64())], names=["doc_id", "y", "term", "tf"])
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of several ranges, one after the other."""
+    before = np.cumsum(sizes) - sizes
+    return np.arange(sizes.sum()) + np.repeat(starts - before, sizes)
 
 
 @dataclass
 class Index:
-    """Examples (rows of postings) sorted so that similar ones share blocks; posting lists by term, cut at blocks."""
+    """Examples sorted so that similar ones share blocks. A list is what one term has in one block: lists of a term and
+    postings of a list lie side by side, and each list has its largest weight."""
 
-    vocabulary: dict[str, int]
-    idf: np.ndarray
+    vocabulary: np.ndarray  # sorted digests
+    weight: np.ndarray  # of terms
     doc_ids: np.ndarray
     labels: np.ndarray
-    starts: np.ndarray  # [term, block]: where the postings of the term in the block start; one more column: the end
-    examples: np.ndarray
-    weights: np.ndarray
-    block_max: np.ndarray  # [term, block]
+    dense: np.ndarray  # row of the matrix of each term, or -1
+    matrix: np.ndarray  # weights by row and example, whole blocks
+    lists: np.ndarray  # where the lists of each term start, and the end
+    blocks: np.ndarray  # of lists
+    highest: np.ndarray  # of lists
+    postings: np.ndarray  # where the postings of each list start, and the end
+    examples: np.ndarray  # of postings
+    weights: np.ndarray  # of postings
     k: int
     prior: float
-    curve: tuple[float, float] = (0.0, 1.0)
 
     @classmethod
-    def build(cls, vocabulary: list[str], df: np.ndarray, n_docs: int, postings, k: int, prior: float) -> Index:
-        """postings: (doc_id, y, term number, tf) rows."""
-        idf = np.log((1 + n_docs) / (1 + df)) + 1
-        docs, first, own = np.unique(postings["doc_id"], return_index=True, return_inverse=True)
-        labels = postings["y"][first]
-        w = np.sqrt(postings["tf"]) * idf[postings["term"]]
-        norm = np.sqrt(np.bincount(own, w * w, len(docs)))
-        w = w / norm[own]
-        main = np.zeros(len(docs), "i8")  # the heaviest term of each example, but for OTHER (number 0)
-        by_weight = np.lexsort((w * (postings["term"] > 0), own))
-        main[own[by_weight]] = postings["term"][by_weight]
-        order = np.lexsort((docs, main))
+    def build(cls, vocabulary: np.ndarray, weight: np.ndarray, docs: np.ndarray, labels: np.ndarray, own: np.ndarray, terms: np.ndarray, tf: np.ndarray, k: int, prior: float) -> Index:
+        """own, terms, tf: example, term and count of each posting, sorted by example."""
+        w = np.sqrt(tf) * weight[terms]
+        w = w / np.sqrt(np.bincount(own, w * w, len(docs)))[own]
+        held_by = np.bincount(terms, minlength=len(vocabulary))
+        # examples of one heaviest term (of those that others hold too) are neighbours
+        by_weight = np.lexsort((w * (held_by[terms] > 1), own))
+        last = np.searchsorted(own[by_weight], np.arange(len(docs)), side="right") - 1
+        main = np.where(np.bincount(own, minlength=len(docs)) > 0, terms[by_weight[last]], -1)
+        order = np.lexsort((docs, main, labels))
         place = np.empty(len(docs), "i8")
         place[order] = np.arange(len(docs))
-        at, terms = place[own], postings["term"]
-        n_blocks = max(1, -(-len(docs) // BLOCK))
+        n_blocks = -(-len(docs) // BLOCK)
+        often = held_by >= max(2, len(docs) * DENSE)
+        dense = np.where(often, np.cumsum(often) - 1, -1)
+        matrix = np.zeros((often.sum(), n_blocks * BLOCK))
+        at = place[own]
+        full = often[terms]
+        matrix[dense[terms[full]], at[full]] = w[full]
+        at, terms, w = at[~full], terms[~full], w[~full]
         sort = np.lexsort((at, terms))
         at, terms, w = at[sort], terms[sort], w[sort]
-        cell = terms * n_blocks + at // BLOCK
-        starts = np.searchsorted(cell, np.arange(len(vocabulary) * n_blocks + 1))
-        block_max = np.zeros(len(vocabulary) * n_blocks)
-        np.maximum.at(block_max, cell, w)
-        ends = np.concatenate([starts[:-1].reshape(len(vocabulary), n_blocks), starts[n_blocks::n_blocks, None]], 1) if vocabulary else np.zeros((0, n_blocks + 1), "i8")
-        return cls({t: i for i, t in enumerate(vocabulary)}, idf, docs[order], labels[order], ends, at, w, block_max.reshape(len(vocabulary), n_blocks), k, prior)
-
-    def query(self, tf: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-        """Term numbers and normalised weights of a document's counts."""
-        terms = np.fromiter(tf, "i8")
-        q = np.sqrt(np.fromiter(tf.values(), "f8")) * self.idf[terms]
-        return terms, q / np.sqrt(q @ q)
-
-    def nearest(self, terms: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Positions and cosines of the k nearest examples of positive similarity; ties go to the earlier position."""
-        bounds = q @ self.block_max[terms]
+        block = at // BLOCK
+        new = np.flatnonzero(np.r_[True, (terms[1:] != terms[:-1]) | (block[1:] != block[:-1])]) if len(at) else np.empty(0, "i8")
+        highest = np.maximum.reduceat(w, new) if len(at) else np.empty(0)
+        lists = np.searchsorted(terms[new], np.arange(len(vocabulary) + 1))
+        return cls(vocabulary, weight, docs[order], labels[order], dense.astype("i4"), matrix, lists.astype("i4"), block[new].astype("i4"), highest, np.r_[new, len(at)].astype("i4"), at.astype("i4"), w, k, prior)
+
+    def known(self, owner: np.ndarray, term: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same with numbers of terms, without terms that no example has."""
+        order = np.argsort(term)
+        at = np.empty(len(term), "i8")
+        at[order] = np.searchsorted(self.vocabulary, term[order])
+        ok = self.vocabulary[np.minimum(at, len(self.vocabulary) - 1)] == term
+        return owner[ok], at[ok], n[ok]
+
+    def query(self, terms: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Normalised weights of a document's terms."""
+        q = np.sqrt(n) * self.weight[terms]
+        return q / np.sqrt(q @ q)
+
+    def dense_parts(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """What the matrix adds to the cosine of each query and each example."""
+        q = np.zeros((len(queries), len(self.matrix)))
+        for i, (terms, x) in enumerate(queries):
+            rows = self.dense[terms]
+            q[i, rows[rows >= 0]] = x[rows >= 0]
+        return q @ self.matrix
+
+    def nearest(self, terms: np.ndarray, q: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Positions and cosines of the k nearest examples of positive similarity; ties go to the earlier position.
+        scores: the query's row of `dense_parts`."""
+        sparse = self.dense[terms] < 0
+        terms, q = terms[sparse], q[sparse]
+        n_lists = self.lists[terms + 1] - self.lists[terms]
+        own = _ranges(self.lists[terms], n_lists)
+        blocks, weight = self.blocks[own], np.repeat(q, n_lists)
+        n_blocks = len(scores) // BLOCK
+        bounds = np.bincount(blocks, weight * self.highest[own], n_blocks) + scores.reshape(n_blocks, BLOCK).max(1)
+        order = np.argsort(-bounds, kind="stable")
         best_at, best = np.empty(0, "i8"), np.empty(0)
-        for b in np.argsort(-bounds, kind="stable"):
-            if bounds[b] <= 0 or len(best) == k and bounds[b] < best[-1] - 1e-12:
+        done, step = 0, 2 + 2 * k // BLOCK
+        while done < n_blocks:
+            least = best[-1] - 1e-9 if len(best) == k else 0.0
+            now = order[done : done + step]
+            now = now[bounds[now] > max(least, 0.0)]
+            if not len(now):
                 break
-            scores = np.zeros(BLOCK)
-            for t, x, a, z in zip(terms, q, self.starts[terms, b], self.starts[terms, b + 1], strict=True):
-                if a < z:
-                    scores[self.examples[a:z] - b * BLOCK] += x * self.weights[a:z]
-            at = np.flatnonzero(scores > (best[-1] - 1e-12 if len(best) == k else 0))
-            if len(at):
-                best_at, best = np.r_[best_at, at + b * BLOCK], np.r_[best, scores[at]]
-                top = np.lexsort((best_at, -best))[:k]
-                best_at, best = best_at[top], best[top]
+            chosen = np.zeros(n_blocks, bool)
+            chosen[now] = True
+            mine = np.flatnonzero(chosen[blocks])
+            mine, x = own[mine], weight[mine]
+            sizes = self.postings[mine + 1] - self.postings[mine]
+            p = _ranges(self.postings[mine], sizes)
+            more = np.bincount(self.examples[p], np.repeat(x, sizes) * self.weights[p], len(scores)).reshape(n_blocks, BLOCK)[now]
+            total = (more + scores.reshape(n_blocks, BLOCK)[now]).ravel()
+            at = np.flatnonzero(total > least)
+            best_at, best = np.r_[best_at, now[at // BLOCK] * BLOCK + at % BLOCK], np.r_[best, total[at]]
+            if len(best) > k:
+                cut = np.partition(best, len(best) - k)[len(best) - k]
+                best_at, best = best_at[best >= cut], best[best >= cut]
+            top = np.lexsort((best_at, -best))[:k]
+            best_at, best = best_at[top], best[top]
+            done, step = done + step, 8 * step
         return best_at, best
 
-    def vote(self, at: np.ndarray, similar: np.ndarray) -> float:
-        """Between -1 and 1: the mean label of the neighbours, weighted by inverse distance."""
+    def vote(self, at: np.ndarray, similar: np.ndarray) -> float | None:
+        """Between -1 and 1: the mean label of the neighbours, weighted by inverse distance; None without neighbours."""
         near = 1 / (NEAR + np.maximum(0, 1 - similar))
-        return float(near @ (2.0 * self.labels[at] - 1) / near.sum()) if len(at) else -1.0
+        return float(near @ (2.0 * self.labels[at] - 1) / near.sum()) if len(at) else None
+
+
+@dataclass
+class Model:
+    """An index, held by the executors (None: nothing to compare with), and the curve from votes to probabilities."""
 
-    def probability(self, vote: float) -> float:
+    index: Broadcast | None
+    curve: tuple[float, float]
+    prior: float
+
+    def probability(self, vote: float | None) -> float:
+        if vote is None:
+            return self.prior
         return float(1 / (1 + np.exp(-np.clip(self.curve[0] + self.curve[1] * vote, -30, 30))))
 
-    def calibrate(self, sizes: dict[int, int]) -> None:
-        """Fit the curve to the leave-one-out votes; sizes: of the classes among all learnable rows."""
-        by_example = np.argsort(self.examples, kind="stable")
-        terms = np.searchsorted(self.starts[:, -1], np.arange(len(self.examples)), side="right")[by_example]
-        ends = np.searchsorted(self.examples[by_example], np.arange(len(self.doc_ids) + 1))
-        votes = np.empty(len(self.doc_ids))
-        for i in range(len(votes)):
-            own = slice(ends[i], ends[i + 1])
-            at, s = self.nearest(terms[own], self.weights[by_example[own]], self.k + 1)
-            keep = at != i
-            votes[i] = self.vote(at[keep][: self.k], s[keep][: self.k])
-        rate = np.array([sizes[c] / max((self.labels == c).sum(), 1) for c in (0, 1)])[self.labels]
-        self.curve = logistic(votes, self.labels, rate / rate.mean())
 
+def document_counts(docs: DataFrame, vocabulary: np.ndarray, width: int = 8192) -> tuple[np.ndarray, int]:
+    """In how many of all documents each term occurs, and how many documents there are; summed in slices of the
+    vocabulary, so that a task and the driver hold a number per term."""
+    held = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    size = len(vocabulary)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms, total, n = Terms(), np.zeros(size, "i8"), 0
+        for batch in batches:
+            for part in parts_of(batch["text"].to_pylist()):
+                term = np.sort(terms.of(part)[1])
+                at = np.minimum(np.searchsorted(held.value, term), size - 1)
+                total += np.bincount(at[held.value[at] == term], minlength=size)
+            n += batch.num_rows
+        slices = [(i // width, total[i : i + width].astype("<i8").tobytes()) for i in range(0, size, width)] + [(-1, np.array([n], "<i8").tobytes())]
+        yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in slices], pa.int32()), pa.array([b for _, b in slices], pa.binary())], names=["slice", "counts"])
+
+    def add(pdf):
+        import pandas as pd
+
+        return pd.DataFrame({"slice": [pdf["slice"].iloc[0]], "counts": [sum(np.frombuffer(x, "<i8") for x in pdf["counts"]).astype("<i8").tobytes()]})
+
+    slices = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "slice int, counts binary")
+    summed = {r["slice"]: np.frombuffer(r["counts"], "<i8") for r in slices.groupBy("slice").applyInPandas(add, "slice int, counts binary").collect()}  # 8 bytes a term
+    out = [summed.get(i, np.zeros(min(width, size - i * width), "i8")) for i in range(-(-size // width))]
+    return np.concatenate([np.empty(0, "i8"), *out]), int(summed.get(-1, np.zeros(1, "i8"))[0])
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", learn=None, per_class: int = 2000, max_terms: int = 4096, least_chi2: float = 20.0, k: int = 15) -> Index:
+
+def label_factors(labels: np.ndarray, own: np.ndarray, terms: np.ndarray, size: int) -> np.ndarray:
+    """LEAST plus the correlation of a term's presence with the label, without what chance explains."""
+    n0, n1 = (labels == 0).sum(), (labels == 1).sum()
+    toxic = np.bincount(terms, labels[own], size)
+    both = np.bincount(terms, minlength=size)
+    cross = toxic * n0 - (both - toxic) * n1
+    chi2 = len(labels) * cross * cross / np.maximum(n0 * n1 * both * (len(labels) - both), 1.0)
+    return LEAST + np.sqrt(np.maximum(chi2 - CHANCE, 0) / len(labels))
+
+
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", learn=None, per_class: int = 2000, k: int = 15) -> Model:
     """Learn from the rows of labels for which `learn` (a condition on doc_id) holds."""
-    rows, sizes = sample(docs, labels, label, F.lit(True) if learn is None else learn, per_class)
+    with small_batches(docs.sparkSession):
+        return _fit(docs, labels, label, F.lit(True) if learn is None else learn, per_class, k)
+
+
+def _fit(docs: DataFrame, labels: DataFrame, label: str, learn, per_class: int, k: int) -> Model:
+    rows, sizes = sample(docs, labels, label, learn, per_class)
     total = sum(sizes.values())
-    empty_index = Index.build([], np.zeros(0), 0, {"doc_id": np.zeros(0, "i8"), "y": np.zeros(0, "i8"), "term": np.zeros(0, "i8"), "tf": np.ones(0)}, k, sizes.get(1, 0) / total if total else 0.5)
-    empty_index.curve = (float(np.log(np.clip(empty_index.prior, 1e-6, 1 - 1e-6) / np.clip(1 - empty_index.prior, 1e-6, 1))), 0.0)
+    prior = float(np.clip(sizes.get(1, 0) / total, 1e-6, 1 - 1e-6)) if total else 0.5
+    rate = Model(None, (float(np.log(prior / (1 - prior))), 0.0), prior)
     if len(sizes) < 2:
-        return empty_index
-    from .common import materialize
-
-    counted = materialize(rows.select(F.col("doc_id").cast("long").alias("doc_id"), "y", "text").mapInArrow(_counted, "doc_id long, y int, term string, tf long"), "terms")
-    n = {r["y"]: r["n"] for r in counted.groupBy("y").agg(F.countDistinct("doc_id").alias("n")).collect()}
-    n0, n1 = (float(max(n.get(c, 0), 1)) for c in (0, 1))
-    by_term = counted.groupBy("term").agg(F.sum((F.col("y") == 0).cast("double")).alias("a"), F.sum((F.col("y") == 1).cast("double")).alias("b"))
-    both, cross = F.col("a") + F.col("b"), F.col("a") * (n1 - F.col("b")) - F.col("b") * (n0 - F.col("a"))
-    chi2 = (n0 + n1) * cross * cross / (n0 * n1 * both * F.greatest(n0 + n1 - both, F.lit(1e-9)))
-    chosen = by_term.where(F.col("term") != OTHER).withColumn("chi2", chi2).where((both >= 3) & (F.col("chi2") >= least_chi2)).orderBy(F.desc("chi2"), "term").limit(max_terms)
-    found = [(OTHER, n0 + n1), *((r["term"], r["a"] + r["b"]) for r in chosen.collect())]  # at most max_terms rows
-    spark = docs.sparkSession
-    numbers = spark.createDataFrame([(t, i) for i, (t, _) in enumerate(found)], "term string, number long")
-    p = counted.join(F.broadcast(numbers), "term").select("doc_id", "y", "number", "tf").toPandas()  # at most 2 * per_class * max_terms
-    postings = {"doc_id": p["doc_id"].to_numpy("i8"), "y": p["y"].to_numpy("i8"), "term": p["number"].to_numpy("i8"), "tf": p["tf"].to_numpy("f8")}
-    index = Index.build([t for t, _ in found], np.array([d for _, d in found]), int(n0 + n1), postings, k, empty_index.prior)
-    index.calibrate(sizes)
-    return index
-
-
-class _Memo(dict):
-    """Numbers of a word's terms; bounded, as texts hold words without end."""
-
-    def __init__(self, vocabulary: dict[str, int]):
-        super().__init__()
-        self.vocabulary = vocabulary
-
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        if len(self) > 200_000:
-            self.clear()
-        found = self[word] = tuple(self.vocabulary[t] for t in terms_of(word) if t in self.vocabulary)
-        return found
-
-
-def _scored(batches: Iterator[pa.RecordBatch], index: Index) -> Iterator[pa.RecordBatch]:
-    memo = _Memo(index.vocabulary)
-    without: tuple | None = None  # all texts without terms of the vocabulary have one direction and one answer
+        return rate
+    counted = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "y", "text").mapInArrow(_examples, "doc_id long, y int, terms array<long>, counts array<long>")
+    found = materialize(counted, "examples").toArrow().sort_by([("doc_id", "ascending"), ("y", "ascending")])  # at most 2 * per_class rows
+    docs_of, y = found["doc_id"].to_numpy(), found["y"].to_numpy().astype("i8")
+    if len(np.unique(y)) < 2:
+        return rate
+    lists, counts = found["terms"].combine_chunks(), found["counts"].combine_chunks()
+    own = np.repeat(np.arange(len(y)), lists.value_lengths().to_numpy())
+    vocabulary, terms = np.unique(lists.flatten().to_numpy().view("u8"), return_inverse=True)
+    tf = counts.flatten().to_numpy().astype("f8")
+    del found, lists, counts
+    if not len(vocabulary):
+        return rate
+    df, n_docs = document_counts(docs, vocabulary)
+    weight = (np.log((1 + n_docs) / (1 + df)) + 1) * label_factors(y, own, terms, len(vocabulary))
+    index = Index.build(vocabulary, weight, docs_of, y, own, terms, tf, k, prior)
+    held = docs.sparkSession.sparkContext.broadcast(index)
+    n = len(index.doc_ids)
+    votes = np.array([v for _, v in sorted(docs.sparkSession.range(n).repartition(max(1, n // 200)).mapInArrow(lambda it: _left_out(it, held), "at long, vote double").collect())])  # a number per example
+    of_class = np.array([sizes[c] / max((index.labels == c).sum(), 1) for c in (0, 1)])[index.labels]
+    return Model(held, logistic(votes, index.labels, of_class / of_class.mean()), prior)
+
+
+def _left_out(batches: Iterator[pa.RecordBatch], held: Broadcast) -> Iterator[pa.RecordBatch]:
+    """Votes about examples by all others."""
+    index = held.value
+    term_of_row = np.flatnonzero(index.dense >= 0)
+    term_of_list = np.repeat(np.arange(len(index.lists) - 1), np.diff(index.lists))
+    term_of_posting = np.repeat(term_of_list, np.diff(index.postings))
+    by_example = np.argsort(index.examples, kind="stable")
+    ends = np.searchsorted(index.examples[by_example], np.arange(len(index.doc_ids) + 1))
+    for batch in batches:
+        votes = []
+        for i in batch["id"].to_pylist():
+            own, rows = by_example[ends[i] : ends[i + 1]], np.flatnonzero(index.matrix[:, i])
+            query = np.r_[term_of_row[rows], term_of_posting[own]], np.r_[index.matrix[rows, i], index.weights[own]]
+            at, s = index.nearest(*query, index.dense_parts([query])[0], index.k + 1)
+            keep = at != i
+            votes.append(index.vote(at[keep][: index.k], s[keep][: index.k]) or 0.0)
+        yield pa.RecordBatch.from_arrays([batch["id"], pa.array(votes, pa.float64())], names=["at", "vote"])
+
+
+def _scored(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    index, counter = model.index.value if model.index else None, Terms()
     kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("label", pa.int32())]))
     for batch in batches:
         scores, evidence = [], []
-        for text in batch["text"].to_pylist():
-            words = _WORD.findall((text or "").lower())
-            tf = Counter(t for word in words if (own := memo[word]) for t in own)
-            if tf or not without:
-                at, s = index.nearest(*index.query({**tf, 0: max(len(words), 1)}), index.k) if index.vocabulary else (np.empty(0, "i8"), np.empty(0))
-                answer = at, s, index.probability(index.vote(at, s))
-                without = without or (None if tf else answer)
-            else:
-                answer = without
-            at, s, p = answer
-            scores.append(p)
-            evidence.append([{"doc_id": int(index.doc_ids[i]), "similarity": float(x), "label": int(index.labels[i])} for i, x in zip(at[:3], s[:3], strict=True)])
+        for part in parts_of(batch["text"].to_pylist()):
+            owner, terms, n = index.known(*counter.of(part)) if index else (np.empty(0, "i8"),) * 3
+            cuts = np.searchsorted(owner, np.arange(len(part) + 1)).tolist()
+            queries = [(terms[a:z], index.query(terms[a:z], n[a:z])) if a < z else (terms[:0], np.empty(0)) for a, z in zip(cuts[:-1], cuts[1:], strict=True)]
+            dense = index.dense_parts(queries) if index else [None] * len(part)
+            for (own, q), row in zip(queries, dense, strict=True):
+                at, s = index.nearest(own, q, row, index.k) if len(own) else (np.empty(0, "i8"), np.empty(0))
+                scores.append(model.probability(index.vote(at, s) if index else None))
+                evidence.append([{"doc_id": int(index.doc_ids[i]), "similarity": float(x), "label": int(index.labels[i])} for i, x in zip(at[:3], s[:3], strict=True)])
         yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(scores, pa.float64()), pa.array(evidence, kind)], names=["doc_id", "score", "evidence"])
 
 
-def score(docs: DataFrame, index: Index) -> DataFrame:
+def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, score, predicted, evidence (the three nearest examples)."""
-    held = docs.sparkSession.sparkContext.broadcast(index)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    out = rows.mapInArrow(lambda it: _scored(it, held.value), "doc_id long, score double, evidence array<struct<doc_id:long,similarity:double,label:int>>")
+    out = rows.mapInArrow(lambda it: _scored(it, model), "doc_id long, score double, evidence array<struct<doc_id:long,similarity:double,label:int>>")
     return out.select("doc_id", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
 
 
-def without_toxic(docs: DataFrame, index: Index) -> DataFrame:
+def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of docs, all columns, whose score is under one half."""
-    held = docs.sparkSession.sparkContext.broadcast(index)
 
     @F.pandas_udf("double")
     def toxic(text):
         import pandas as pd
 
         batch = pa.RecordBatch.from_arrays([pa.array(range(len(text)), pa.int64()), pa.array(text, pa.string())], names=["doc_id", "text"])
-        return pd.Series(next(_scored(iter([batch]), held.value))["score"].to_pylist(), dtype="float64")
+        return pd.Series(next(_scored(iter([batch]), model))["score"].to_pylist(), dtype="float64")
 
     return docs.where(toxic(docs["text"].cast("string")) < 0.5)
 
 
 def op1_toxicity(spark, sf_dir):
-    docs, held_out = read(spark, sf_dir, "documents"), fold(F.col("doc_id"), 5) == 0
-    index = fit(docs, read(spark, sf_dir, "labels"), "toxic", ~held_out)
-    return score(docs, index).select("doc_id", held_out.alias("held_out"), "score", "predicted", "evidence")
+    docs, held_out = read(spark, sf_dir, "documents"), F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False))
+    model = fit(docs, read(spark, sf_dir, "labels"), "toxic", ~held_out)
+    return score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted", "evidence")
 
 
 QUERIES = {"op1_toxicity": op1_toxicity}
