@@ -2,6 +2,7 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -122,23 +123,69 @@ def test_mixing(spark, bucket_rows):
     assert mixing.mix(frame(spark, [])).count() == 0
 
 
-def test_water_filling(spark):
-    sizes = [("a", 100, 1), ("b", 1000, 1), ("c", 50, 1), (None, 400, 1), ("d", 0, 1)]
-    got = {r.source: r.target for r in mixing.targets(spark.createDataFrame(sizes, "source string, source_size long, n_docs long")).collect()}
-    weight = dict(zip(["a", "b", "c", "d", None], [3, 1, 2, 3, 1], strict=True))
-    cap = {s: 2 * n for s, n, _ in sizes}
-    expected, open_, left = {}, set(weight), 1.5 * 1550
+def shared_again(sizes):
+    """{source: target}: the budget by weight; what sources above their cap leave is shared again."""
+    names = sorted((s for s in sizes if s is not None)) + [None] * (None in sizes)
+    weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(names)}
+    cap = {s: 2 * n for s, n in sizes.items()}
+    expected, open_, left = {}, set(weight), 1.5 * sum(sizes.values())
     while True:
         share = {s: left * weight[s] / sum(weight[x] for x in open_) for s in open_}
         over = {s for s in open_ if share[s] > cap[s]}
         if not over:
-            expected |= share
-            break
+            return expected | share
         for s in over:
             expected[s] = cap[s]
             left -= cap[s]
         open_ -= over
-    assert got == pytest.approx(expected)
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 5, 20, 1000])
+@pytest.mark.parametrize("kind", ["lopsided", "equal", "random"])
+def test_water_filling(spark, n, kind):
+    r = random.Random(n)
+    size = {"lopsided": lambda i: (100, 1000, 50, 400, 0)[i % 5] * (i + 1), "equal": lambda i: 250, "random": lambda i: int(r.paretovariate(0.7) * 10)}[kind]
+    sizes = {(None if i == 3 else f"s{i}"): size(i) for i in range(n)}
+    got = {x.source: x.target for x in mixing.targets(spark.createDataFrame(list(sizes.items()), "source string, source_size long")).collect()}
+    assert got == pytest.approx(shared_again(sizes) if n else {})
+    assert sum(got.values()) == pytest.approx(1.5 * sum(sizes.values())) and all(0 <= got[s] <= 2 * sizes[s] for s in sizes)
+
+
+@pytest.mark.parametrize("n_sources", [1, 2, 20, 300])
+def test_mix_meets_its_targets(spark, n_sources):
+    r = random.Random(n_sources)
+    rows = [(i if i % 50 else None, " ".join(["w"] * r.randrange(0, 40)) + f" {i}", f"s{r.randrange(n_sources)}" if r.random() < 0.7 else "s0") for i in range(3000)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(0, 3000, 3)], "doc_id long, quality int")
+    out = mixing.mix(frame(spark, rows), labels, bucket_rows=100).collect()
+    assert len(out) == len(rows)
+    totals, taken, target = Counter(), Counter(), {}
+    for d, t, s in rows:
+        totals[s] += len(t.split())
+    expected = shared_again(totals)
+    by_size = {}
+    for s, n in totals.items():
+        by_size.setdefault(n, []).append(expected[s])
+    for x in out:
+        assert 0 <= x.taken <= 2 * x.size and any(x.target == pytest.approx(e) for e in by_size[x.source_size])
+        taken[x.source_size, round(x.target, 3)] += x.taken
+        target[x.source_size, round(x.target, 3)] = x.target
+    largest = max(x.size for x in out)
+    for key, n in taken.items():
+        sources = sum(1 for e in by_size[key[0]] if round(e, 3) == key[1])
+        assert abs(n - sources * target[key]) <= sources * largest
+
+
+@pytest.mark.parametrize("sf", ["0.001", "0.01"])
+def test_mixing_query_against_its_sql(spark, sf):
+    folder = f"/root/testdata/sf{sf}"
+    con = duckdb.connect()
+    for t in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet'")
+    sql = mixing.ORACLE_SQL["op10_mixing"]
+    expected = {x[0]: x[1:] for x in con.execute(f"SELECT doc_id, size, source_size, target, taken FROM ({sql})").fetchall()}
+    out = mixing.op10_mixing(spark, folder).collect()
+    assert {x.doc_id: (x.size, x.source_size, x.target, x.taken) for x in out} == expected
+    assert sum(x.taken for x in out) > sum(x.size for x in out)
 
 
 @pytest.mark.parametrize(("cell", "block", "query_block"), [(2, 8192, 2048), (16, 7, 5), (1000, 8192, 3)])

@@ -32,8 +32,9 @@ def test_stages_against_plain_references(spark):
     assert one.columns == columns and {r.doc_id for r in one.collect()} == {d for d, t in rows if expected[d, t][1] == d or not expected[d, t][0]}
 
     mixed = materialize(stage["mixing"](spark, one, SF), "m")
-    assert mixed.columns == columns
+    assert mixed.columns == columns and mixed.count() > one.count() > 0
     packed = stage["packing"](spark, mixed, SF).collect()
+    assert len(packed) >= mixed.count()
     encoder = packing.encoder(packing.default_tokenizer())
     assert sum(p.length for p in packed) == sum(len(encoder.ids(r.text or "")) + 1 for r in mixed.collect())
 
