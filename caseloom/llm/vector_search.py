@@ -1,19 +1,22 @@
 """Exact top-k search by vector-approximation files.
 
-The approximation file holds one byte per component: the number of the cell, on a grid of `cell` integers, that the
-component falls in. A first scan reads only these bytes and bounds every inner product: the cell centres give a middle
-value and, as all cells have one width, the query's absolute components give the same slack for every vector. Per block
-only vectors whose upper bound reaches the k-th best lower bound remain. Across blocks the k-th best lower bound is
-raised again, and only for what still remains are exact vectors read, in bound order, until the k-th exact score is
-above every bound that is left.
-
-Queries and vectors meet in blocks of fixed row counts; nothing is sent to the driver. Every row has a number of its own,
-by which cells, bounds and exact vectors belong together. Of equal vectors of a block only those stay that are among the
-k smallest ids without some query's own id (ties go to smaller ids), 2 k at most, so long runs of copies do not grow.
+The approximation file holds one byte per component (more for wide ranges): the number of the cell, on a grid of `cell`
+integers, that the component falls in. A first scan reads only these bytes and bounds every inner product: the cell
+centres give a middle value and, as all cells have one width, the query's absolute components give the same slack for
+every vector. Only vectors whose upper bound reaches the k-th highest lower bound remain, and only for these are exact
+vectors read, in the order of their bounds, until the k-th exact score is above every bound that is left.
+
+Queries are dealt to slots and the file's blocks to runs; a task takes the queries of a slot through the blocks of a run,
+carries their k highest lower bounds from block to block and writes what remains once, at the end. Nothing is sent to the
+driver but row counts per vector length. Every row has a number of its own, by which cells, bounds and exact vectors belong together.
+Of equal vectors of a block only those stay that are among the k smallest ids without some query's own id (ties go to
+smaller ids), so long runs of copies do not grow.
 
 Defined results: rows with a null id, a null vector, or one with null or non-finite components take no part; neither do
 vectors of another length than the query's; repeated rows are candidates each, but never for the query of the same id
-(a repeated query is asked once, by its smallest vector); an empty table gives an empty result; other columns are ignored.
+(a repeated query is asked once, by its smallest vector); components are whole numbers, up to 2**62 in absolute value
+(what is beyond counts as that), and a score beyond a long is ranked by its value and shown as the nearest long; an empty table gives an empty result;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,17 +28,18 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, read
+from .common import materialize, read, small_batches
 
-BLOCK, QUERY_BLOCK = 8192, 2048
+BLOCK, QUERY_BLOCK, RUN = 8192, 512, 64
+LARGEST = 1 << 62
 
 
 def _packed(rows: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]:
-    """Blocks of at most `size` rows of one dimension, as little-endian binaries."""
+    """Blocks of at most `size` rows of one length, as little-endian binaries."""
     waiting: dict[int, list[tuple[int, int, np.ndarray]]] = {}
 
     def block(dim: int, own: list) -> pd.DataFrame:
-        return pd.DataFrame({"dim": [dim], "n": [len(own)], "ids": [np.array([i for i, _, _ in own], "<i8").tobytes()], "rows": [np.array([x for _, x, _ in own], "<i8").tobytes()], "vectors": [np.array([v for _, _, v in own], "<i4").tobytes()]})
+        return pd.DataFrame({"dim": [dim], "ids": [np.array([i for i, _, _ in own], "<i8").tobytes()], "rows": [np.array([x for _, x, _ in own], "<i8").tobytes()], "vectors": [np.array([v for _, _, v in own], "<i8").tobytes()]})
 
     for pdf in rows:
         for i, x, v in zip(pdf["id"].to_numpy(), pdf["row"].to_numpy(), pdf["vector"], strict=True):
@@ -47,10 +51,6 @@ def _packed(rows: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]:
         yield block(dim, own)
 
 
-def _unpack(ids: bytes, vectors: bytes, dim: int) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(ids, "<i8"), np.frombuffer(vectors, "<i4").reshape(-1, dim)
-
-
 def _without_late_copies(ids: np.ndarray, vectors: np.ndarray, k: int) -> np.ndarray:
     """Positions, without those of equal vectors that k rows of smaller ids precede whichever one id is left out."""
     order = np.lexsort((ids, *vectors.T[::-1]))
@@ -64,76 +64,142 @@ def _without_late_copies(ids: np.ndarray, vectors: np.ndarray, k: int) -> np.nda
     return np.sort(order[at - starts - longest[run] < k])
 
 
-def _approximate(rows: Iterator[pd.DataFrame], k: int, cell: int) -> Iterator[pd.DataFrame]:
-    """The approximation file: per block the lowest cell and a byte (or two, for wide ranges) per component."""
-    for pdf in rows:
-        out = []
-        for r in pdf.itertuples():
-            ids, vectors = _unpack(r.ids, r.vectors, r.dim)
-            at = _without_late_copies(ids, vectors, k)
-            cells = np.floor_divide(vectors[at], cell)
-            low = int(cells.min()) if cells.size else 0
-            kind = "<u1" if not cells.size or cells.max() - low < 256 else "<u4"
-            out.append((r.block, r.dim, len(at), ids[at].tobytes(), np.frombuffer(r.rows, "<i8")[at].tobytes(), (cells - low).astype(kind).tobytes(), low))
-        yield pd.DataFrame(out, columns=["block", "dim", "n", "ids", "rows", "cells", "low"])
+def _approximate(rows: Iterator[pd.DataFrame], size: int, k: int, cell: int) -> Iterator[pd.DataFrame]:
+    """The approximation file: per block the lowest cell and the least number of bytes per component that holds the rest."""
+    for pdf in _packed(rows, size):
+        r = pdf.iloc[0]
+        ids, numbers, vectors = np.frombuffer(r["ids"], "<i8"), np.frombuffer(r["rows"], "<i8"), np.frombuffer(r["vectors"], "<i8").reshape(-1, r["dim"])
+        at = _without_late_copies(ids, vectors, k)
+        cells = np.floor_divide(vectors[at], cell)
+        low = int(cells.min()) if cells.size else 0
+        rest = (cells - low).astype("u8")
+        width = next(w for w in (1, 2, 4, 8) if not cells.size or int(rest.max()) < 1 << 8 * w)
+        yield pd.DataFrame({"dim": [r["dim"]], "ids": [ids[at].tobytes()], "rows": [numbers[at].tobytes()], "cells": [rest.astype(f"<u{width}").tobytes()], "low": [low], "width": [width]})
+
+
+class _Slot:
+    """The queries of a slot on their way through a run of blocks."""
+
+    def __init__(self, queries: list[tuple[int, np.ndarray]], k: int, cell: int):
+        self.ids, self.queries = np.array([i for i, _ in queries], "i8"), np.array([v for _, v in queries], "f8")
+        self.k, self.cell = k, cell
+        self.highest = np.full((len(queries), k), -np.inf)  # lower bounds
+        self.found = [np.empty(0, "i8"), np.empty(0, "i8"), np.empty(0), np.empty(0)]  # query, row, lower, upper
+
+    def pass_block(self, ids: np.ndarray, numbers: np.ndarray, cells: np.ndarray, low: int) -> None:
+        centres = (cells.astype("f8") + low) * self.cell + (self.cell - 1) / 2
+        # what sums of products may be off by, for large components
+        off = np.abs(self.queries) @ np.abs(centres).max(0, initial=0) * (len(centres.T) + 8) * 2.0**-50 if np.abs(centres).max(initial=0) > 1 << 20 or np.abs(self.queries).max() > 1 << 20 else 0.0
+        slack = np.abs(self.queries).sum(1) * (self.cell - 1) / 2 + off
+        middle = self.queries @ centres.T
+        middle[self.ids[:, None] == ids[None, :]] = -np.inf
+        lower = middle - slack[:, None]
+        kept = np.partition(lower, len(ids) - self.k, 1)[:, len(ids) - self.k :] if len(ids) > self.k else lower
+        self.highest = np.sort(np.concatenate([self.highest, kept], 1), 1)[:, -self.k :]
+        least = self.highest[:, 0]
+        at_q, at_v = np.nonzero((middle + slack[:, None] >= least[:, None]) & (middle > -np.inf))
+        m = middle[at_q, at_v]
+        new = [at_q, numbers[at_v], m - slack[at_q], m + slack[at_q]]
+        still = self.found[3] >= least[self.found[0]]
+        self.found = [np.concatenate([a[still], b]) for a, b in zip(self.found, new, strict=True)]
+
+    def left(self) -> pd.DataFrame:
+        return pd.DataFrame({"query_id": self.ids[self.found[0]], "row": self.found[1], "lower": self.found[2], "upper": self.found[3]})
 
 
 def _bounded(rows: Iterator[pd.DataFrame], k: int, cell: int) -> Iterator[pd.DataFrame]:
-    """query_id, row, lower, upper: the first scan of one block of cells against one block of queries."""
+    """query_id, row, lower, upper. Rows come sorted by dim, slot, run and kind: queries (kind 0) before blocks (kind 1)."""
+    key, queries, slot = None, [], None
     for pdf in rows:
         for r in pdf.itertuples():
-            queries = np.frombuffer(r.q_vectors, "<i4").reshape(-1, r.dim).astype("f8")
-            q_ids, ids, numbers = (np.frombuffer(x, "<i8") for x in (r.q_ids, r.ids, r.rows))
-            cells = np.frombuffer(r.cells, "<u1" if len(r.cells) == len(ids) * r.dim else "<u4").reshape(-1, r.dim)
-            centres = (cells.astype("f8") + r.low) * cell + (cell - 1) / 2
-            slack = np.abs(queries).sum(1) * (cell - 1) / 2
-            for a in range(0, len(q_ids), 256):
-                middle = queries[a : a + 256] @ centres.T
-                middle[q_ids[a : a + 256, None] == ids[None, :]] = -np.inf
-                kth = np.partition(middle, max(0, len(ids) - k), 1)[:, max(0, len(ids) - k)] if len(ids) else np.zeros(len(middle))
-                s = slack[a : a + 256]
-                at_q, at_v = np.nonzero(middle + s[:, None] >= (kth - s)[:, None])
-                m = middle[at_q, at_v]
-                ok = np.isfinite(m)
-                at_q, at_v, m = at_q[ok], at_v[ok], m[ok]
-                yield pd.DataFrame({"query_id": q_ids[a + at_q], "row": numbers[at_v], "lower": m - s[at_q], "upper": m + s[at_q]})
-
-
-def _best(pdf: pd.DataFrame, k: int) -> pd.DataFrame:
-    """Exact vectors of one query's candidates in order of their upper bounds, until the k-th score is certain."""
-    pdf = pdf.sort_values(["upper", "vec_id"], ascending=[False, True])
-    upper, ids = pdf["upper"].to_numpy(), pdf["vec_id"].to_numpy()
-    query = np.asarray(pdf["query"].iloc[0], "i8")
-    scores, done = np.empty(0, "i8"), 0
-    while done < len(ids) and (done < k or upper[done] >= np.partition(scores, len(scores) - k)[len(scores) - k]):
-        step = np.stack(pdf["vector"].iloc[done : done + 4 * k].to_numpy()).astype("i8")
-        scores, done = np.r_[scores, step @ query], done + len(step)
-    order = np.lexsort((ids[:done], -scores))[:k]
-    return pd.DataFrame({"query_id": pdf["query_id"].iloc[0], "rank": np.arange(1, len(order) + 1, dtype="i4"), "vec_id": ids[order], "score": scores[order]})
-
-
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, cell: int = 2, block: int = BLOCK, query_block: int = QUERY_BLOCK) -> DataFrame:
-    """query_id, rank, vec_id, score: both inputs have id (long) and vector (array<int>)."""
-    packed = "dim int, n int, ids binary, rows binary, vectors binary"
+            if (r.dim, r.slot, r.run) != key:
+                if slot:
+                    yield slot.left()
+                key, queries, slot = (r.dim, r.slot, r.run), [], None
+            if not r.kind:
+                queries.append((r.id, r.vector))
+            elif queries:
+                slot = slot or _Slot(queries, k, cell)
+                slot.pass_block(np.frombuffer(r.ids, "<i8"), np.frombuffer(r.rows, "<i8"), np.frombuffer(r.cells, f"<u{r.width}").reshape(-1, r.dim), r.low)
+    if slot:
+        yield slot.left()
+
+
+def _scores(query: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    """Exact inner products, as Python's integers where a long may not hold them."""
+    if float(np.abs(query).max()) * float(np.abs(vectors).max()) * len(query) < 2.0**62:
+        return vectors @ query
+    return vectors.astype(object) @ query.astype(object)
+
+
+class _Best:
+    """The k best of one query, from its candidates in the order of their upper bounds."""
+
+    def __init__(self, query_id: int, query: np.ndarray, k: int):
+        self.query_id, self.query, self.k = query_id, np.asarray(query, "i8"), k
+        self.ids, self.scores, self.certain = np.empty(0, "i8"), np.empty(0, "i8"), False
+
+    def read(self, upper: np.ndarray, ids: np.ndarray, vectors: list) -> None:
+        for a in range(0, len(ids), 4 * self.k):
+            if self.certain or len(self.ids) == self.k and upper[a] < self.scores[-1]:
+                self.certain = True
+                return
+            step = np.stack(vectors[a : a + 4 * self.k]).astype("i8")
+            all_ids, scores = np.r_[self.ids, ids[a : a + 4 * self.k]], np.r_[self.scores, _scores(self.query, step)]
+            order = np.lexsort((all_ids, -scores)) if scores.dtype == "i8" else np.array(sorted(range(len(scores)), key=lambda i: (-scores[i], all_ids[i])))
+            order = order[: self.k]
+            self.ids, self.scores = all_ids[order], scores[order]
+
+    def ranked(self) -> pd.DataFrame:
+        return pd.DataFrame({"query_id": self.query_id, "rank": np.arange(1, len(self.ids) + 1, dtype="i4"), "vec_id": self.ids, "score": np.clip(self.scores, -(2**63), 2**63 - 1).astype("i8")})
+
+
+def _ranked(rows: Iterator[pd.DataFrame], k: int) -> Iterator[pd.DataFrame]:
+    """Rows come sorted by query_id, kind (the query before its candidates) and descending upper bounds."""
+    best = None
+    for pdf in rows:
+        for query_id, own in pdf.groupby("query_id", sort=False):
+            if best is None or best.query_id != query_id:
+                if best:
+                    yield best.ranked()
+                best, own = _Best(query_id, own["vector"].iloc[0], k), own.iloc[1:]
+            if len(own):
+                best.read(own["upper"].to_numpy(), own["vec_id"].to_numpy(), own["vector"].tolist())
+    if best:
+        yield best.ranked()
+
+
+def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, cell: int = 2, block: int = BLOCK, query_block: int = QUERY_BLOCK, run: int = RUN) -> DataFrame:
+    """query_id, rank, vec_id, score: both inputs have id (long) and vector (array<long>)."""
     vectors = materialize(vectors.select("id", F.monotonically_increasing_id().alias("row"), "vector"), "vectors")  # numbers hold once written
-    blocks = vectors.mapInPandas(lambda it: _packed(it, block), packed).select(F.monotonically_increasing_id().alias("block"), "*")
-    file = materialize(blocks.mapInPandas(lambda it: _approximate(it, k, cell), "block long, dim int, n int, ids binary, rows binary, cells binary, low int"), "cells")
-    asked = queries.groupBy("id").agg(F.min("vector").alias("vector"))
-    asked_blocks = asked.select("id", F.lit(0).cast("long").alias("row"), "vector").mapInPandas(lambda it: _packed(it, query_block), packed).select("dim", F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
-    # every block of cells meets every block of queries: a stated set against all rows, a row per pair of blocks
-    meeting = file.join(asked_blocks, "dim").repartition(F.col("block"), F.xxhash64("q_ids"))
-    bounds = materialize(meeting.mapInPandas(lambda it: _bounded(it, k, cell), "query_id long, row long, lower double, upper double"), "bounds")
-    highest = F.sort_array(F.collect_list("lower"), False)
-    kth = bounds.groupBy("query_id").agg(F.element_at(F.slice(highest, 1, k), -1).alias("kth"), F.count(F.lit(1)).alias("n"))
-    left = bounds.join(kth, "query_id").where((F.col("n") <= k) | (F.col("upper") >= F.col("kth"))).select("query_id", "row", "upper")
-    wanted = left.join(vectors.select("row", F.col("id").alias("vec_id"), "vector"), "row").drop("row")
-    wanted = wanted.join(asked.select(F.col("id").alias("query_id"), F.col("vector").alias("query")), "query_id")
-    return wanted.groupBy("query_id").applyInPandas(lambda pdf: _best(pdf, k), "query_id long, rank int, vec_id long, score long")
+    asked = materialize(queries.groupBy("id").agg(F.min("vector").alias("vector")).withColumn("dim", F.size("vector")), "asked")
+    file = vectors.mapInPandas(lambda it: _approximate(it, block, k, cell), "dim int, ids binary, rows binary, cells binary, low long, width int")
+    with small_batches(vectors.sparkSession, 2048):
+        file = materialize(file.withColumn("block", F.monotonically_increasing_id()), "cells")
+    # per vector length: how many runs and slots there are
+    runs = file.groupBy(F.col("dim").alias("d")).agg(F.ceil(F.count(F.lit(1)) / F.lit(run)).cast("int").alias("runs"))
+    slots = asked.groupBy(F.col("dim").alias("s")).agg(F.ceil(F.count(F.lit(1)) / F.lit(query_block)).cast("int").alias("slots"))
+    sizes = materialize(runs.join(slots, F.col("d") == F.col("s")).drop("s"), "lengths")
+    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    q = asked.join(sizes, F.col("dim") == F.col("d")).select("dim", F.pmod(F.xxhash64("id"), F.col("slots")).cast("int").alias("slot"), upto("runs").alias("run"), F.lit(0).alias("kind"), "id", "vector", F.lit(0).cast("long").alias("low"), F.lit(0).alias("width"))
+    b = file.join(sizes, F.col("dim") == F.col("d")).select("dim", upto("slots").alias("slot"), F.pmod(F.xxhash64("block"), F.col("runs")).cast("int").alias("run"), F.lit(1).alias("kind"), F.lit(0).cast("long").alias("id"), "ids", "rows", "cells", "low", "width")
+    # every block of cells meets every slot of queries: a stated set against all rows
+    meeting = q.unionByName(b, allowMissingColumns=True).repartition("dim", "slot", "run").sortWithinPartitions("dim", "slot", "run", "kind")
+    with small_batches(vectors.sparkSession, 32):
+        bounds = materialize(meeting.mapInPandas(lambda it: _bounded(it, k, cell), "query_id long, row long, lower double, upper double"), "bounds")
+    nth = bounds.selectExpr("query_id", "lower", "row_number() OVER (PARTITION BY query_id ORDER BY lower DESC) AS nth").where(F.col("nth") <= k)
+    kth = nth.groupBy("query_id").agg(F.min("lower").alias("kth"), F.count(F.lit(1)).alias("n"))
+    left = bounds.join(kth, "query_id").where((F.col("n") < k) | (F.col("upper") >= F.col("kth"))).select("query_id", "row", "upper")
+    wanted = left.join(vectors.select("row", F.col("id").alias("vec_id"), "vector"), "row").select("query_id", F.lit(1).alias("kind"), "upper", "vec_id", "vector")
+    asking = asked.select(F.col("id").alias("query_id"), F.lit(0).alias("kind"), F.lit(float("inf")).alias("upper"), F.lit(0).cast("long").alias("vec_id"), "vector")
+    ordered = asking.unionByName(wanted).repartition("query_id").sortWithinPartitions(F.col("query_id"), F.col("kind"), F.desc("upper"), F.col("vec_id"))
+    return ordered.mapInPandas(lambda it: _ranked(it, k), "query_id long, rank int, vec_id long, score long")
 
 
 def whole_vectors(table: DataFrame, scale: int = 64) -> DataFrame:
-    """id, vector (array<int>, floor(scale * component)), rows without any null or non-finite component only."""
-    numbers = F.transform("embedding", lambda x: F.floor(x.cast("double") * scale).cast("int"))
+    """id, vector (array<long>, floor(scale * component)), rows without any null or non-finite component only."""
+    most = float(LARGEST)
+    numbers = F.transform("embedding", lambda x: F.floor(F.greatest(F.least(x.cast("double") * scale, F.lit(most)), F.lit(-most))).cast("long"))
     fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
     return table.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & F.coalesce(fine, F.lit(False)) & (F.size("embedding") > 0)).select(F.col("vec_id").cast("long").alias("id"), numbers.alias("vector"))
 

@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -188,7 +189,7 @@ def test_mixing_query_against_its_sql(spark, sf):
     assert sum(x.taken for x in out) > sum(x.size for x in out)
 
 
-@pytest.mark.parametrize(("cell", "block", "query_block"), [(2, 8192, 2048), (16, 7, 5), (1000, 8192, 3)])
+@pytest.mark.parametrize(("cell", "block", "query_block"), [(2, 8192, 2048), (16, 7, 5), (1000, 8192, 3), (1, 20, 4)])
 def test_top_k(spark, cell, block, query_block):
     r = np.random.default_rng(5)
     vectors = r.integers(-30, 30, (150, 8))
@@ -197,7 +198,7 @@ def test_top_k(spark, cell, block, query_block):
     table = vector_search.whole_vectors(spark.createDataFrame([(*x, 1) for x in rows], "vec_id long, embedding array<double>, id long"))
     assert table.count() == 150
     got = defaultdict(list)
-    for x in vector_search.top_k(table, table.where("id % 10 = 0"), 20, cell, block, query_block).orderBy("query_id", "rank").collect():
+    for x in vector_search.top_k(table, table.where("id % 10 = 0"), 20, cell, block, query_block, 3).orderBy("query_id", "rank").collect():
         got[x.query_id].append((x["rank"], x.vec_id, x.score))
     for q in range(0, 150, 10):
         scores = sorted((-int(vectors[q] @ vectors[i]), i) for i in range(150) if i != q)[:20]
@@ -212,7 +213,7 @@ def test_top_k_of_repeated_ids(spark, block):
     vectors[40:110] = vectors[40]  # copies under ids of their own and under repeated ones
     ids = [i if i < 50 else 50 if i < 80 else i - 30 if i < 90 else i // 4 if i < 130 else i for i in range(160)]
     rows = [(i, v.tolist()) for i, v in zip(ids, vectors, strict=True)]
-    table = spark.createDataFrame(rows, "id long, vector array<int>")
+    table = spark.createDataFrame(rows, "id long, vector array<long>")
     got = defaultdict(list)
     for x in vector_search.top_k(table, table.where("id % 5 = 0"), 20, 2, block, 16).orderBy("query_id", "rank").collect():
         got[x.query_id].append((x["rank"], x.vec_id, x.score))
@@ -221,3 +222,19 @@ def test_top_k_of_repeated_ids(spark, block):
         own = min(v for i, v in rows if i == q)
         scores = sorted((-int(np.dot(own, v)), i) for i, v in rows if i != q)[:20]
         assert got[q] == [(k + 1, i, -s) for k, (s, i) in enumerate(scores)]
+
+
+@pytest.mark.parametrize("most", [1e3, 1e9, 1e12, 1e300])
+def test_top_k_of_large_components(spark, most):
+    r = np.random.default_rng(8)
+    rows = [(2**60 + i, (r.standard_normal(6) * (most if i % 3 else 1)).tolist()) for i in range(120)]
+    rows += [(i, [1.0] * 4) for i in range(30)]  # another length
+    table = vector_search.whole_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    whole = {i: [max(-(2**62), min(2**62, math.floor(min(max(x * 64, -(2.0**62)), 2.0**62)))) for x in v] for i, v in rows}
+    got = defaultdict(list)
+    for x in vector_search.top_k(table, table.where("id % 10 = 0"), 20, 2, 16, 4, 2).orderBy("query_id", "rank").collect():
+        got[x.query_id].append((x.vec_id, x.score))
+    assert set(got) == {i for i in whole if i % 10 == 0}
+    for q in got:
+        scores = [(sum(a * b for a, b in zip(whole[q], v, strict=True)), i) for i, v in whole.items() if i != q and len(v) == len(whole[q])]
+        assert got[q] == [(i, min(2**63 - 1, max(-(2**63), s))) for s, i in sorted(scores, key=lambda x: (-x[0], x[1]))[:20]]
