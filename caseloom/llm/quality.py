@@ -11,7 +11,8 @@ of good lines; a logistic curve, fitted at the classes' true rates, turns their
 
 The model is a few hundred numbers and is broadcast; documents are scored where they lie, without a shuffle.
 
-Defined results: null and empty texts are one empty line and are scored as such; very long texts are scored whole;
+Defined results: null and empty texts are one empty line and are scored as such; very long texts are scored whole, in
+segments of lines whose messages are passed exactly; a null doc_id is not held out;
 repeated rows are scored each; label rows with null or other labels are ignored, of several labels of a document the
 larger counts; without labels, or with one class only, every score is that class's rate (0.5 without labels); an empty
 table gives an empty result; other columns are ignored.
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, materialize, read
+from .common import fold, materialize, read, small_batches
 from .labelled import logistic, sample
 
 THRESHOLD = 0.7
@@ -49,6 +50,8 @@ EDGES = {
 OWN = (*EDGES, "end", "again", "place")
 NEIGHBOUR = ("length", "symbols", "capitals", "distinct", "adjacent", "common", "words")
 WIDTH = 12  # values of a feature, 11: no such line
+#: Documents of more lines are cut into segments.
+LONG = 512
 _PLAIN = re.compile(r"[^\w.,]|_")
 COLUMNS = len(OWN) + 2 * len(NEIGHBOUR)
 
@@ -96,45 +99,97 @@ class Field:
     curve: tuple[float, float] = (0.0, 0.0)
 
     def scores(self, values: np.ndarray) -> np.ndarray:
-        return self.emission[np.arange(COLUMNS), values].sum(-1)
+        parts = [self.emission[np.arange(COLUMNS), values[a : a + 50_000]].sum(-1) for a in range(0, len(values), 50_000)]
+        return np.concatenate(parts) if parts else np.empty(0)
 
     def chains(self, emitted: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray, float]:
-        """Marginals of bad per line, expected counts of neighbouring states, log partition function: all documents of
-        similar length advance together, line by line."""
+        """Marginals of bad per line, expected counts of neighbouring states, log partition function. Short documents of
+        similar length advance together, line by line; a long one is cut into segments that advance together."""
         marginals: list = [None] * len(emitted)
         pairs, log_z = np.zeros((2, 2)), 0.0
-        order = np.argsort([len(e) for e in emitted], kind="stable")
-        t = self.transition
+        sizes = np.array([len(e) for e in emitted], "i8")
+        for i in np.flatnonzero(sizes > LONG):
+            marginals[i], p, z = self.long_chain(emitted[i])
+            pairs, log_z = pairs + p, log_z + z
+        order = np.flatnonzero(sizes <= LONG)
+        order = order[np.argsort(sizes[order], kind="stable")]
         for a in range(0, len(order), 128):
-            own = order[a : a + 128]
-            sizes = np.array([len(emitted[i]) for i in own])
-            longest = sizes.max()
-            e = np.zeros((len(own), longest))
-            for row, i in enumerate(own):
-                e[row, : sizes[row]] = emitted[i]
-            forward, backward = np.zeros((longest, 2, len(own))), np.zeros((longest, 2, len(own)))
-            forward[0, 1] = e[:, 0]
-            for j in range(1, longest):
-                f = forward[j - 1]
-                forward[j, 0] = np.logaddexp(f[0] + t[0, 0], f[1] + t[1, 0])
-                forward[j, 1] = np.logaddexp(f[0] + t[0, 1], f[1] + t[1, 1]) + e[:, j]
-            for j in range(longest - 2, -1, -1):
-                g0, g1 = backward[j + 1, 0], backward[j + 1, 1] + e[:, j + 1]
-                inside = j + 1 < sizes
-                backward[j, 0] = np.where(inside, np.logaddexp(t[0, 0] + g0, t[0, 1] + g1), 0)
-                backward[j, 1] = np.where(inside, np.logaddexp(t[1, 0] + g0, t[1, 1] + g1), 0)
-            z = np.logaddexp(forward[0, 0] + backward[0, 0], forward[0, 1] + backward[0, 1])
-            log_z += z.sum()
-            p = np.exp(np.minimum(forward[:, 1] + backward[:, 1] - z, 0)).T  # places after the last line hold no probability
-            for row, i in enumerate(own):
-                marginals[i] = p[row, : sizes[row]]
-            inside = np.arange(1, longest)[:, None] < sizes
-            for x in (0, 1):
-                for y in (0, 1):
-                    m = forward[:-1, x] + t[x, y] + backward[1:, y] + (e.T[1:] if y else 0) - z
-                    pairs[x, y] += np.exp(np.where(inside, m, -np.inf)).sum()
+            p, z = self._together(order[a : a + 128], emitted, marginals)
+            pairs, log_z = pairs + p, log_z + z
         return marginals, pairs, log_z
 
+    def _together(self, own: np.ndarray, emitted: list[np.ndarray], marginals: list) -> tuple[np.ndarray, float]:
+        t, pairs = self.transition, np.zeros((2, 2))
+        sizes = np.array([len(emitted[i]) for i in own])
+        longest = sizes.max()
+        e = np.zeros((len(own), longest))
+        for row, i in enumerate(own):
+            e[row, : sizes[row]] = emitted[i]
+        forward, backward = np.zeros((longest, 2, len(own))), np.zeros((longest, 2, len(own)))
+        forward[0, 1] = e[:, 0]
+        for j in range(1, longest):
+            f = forward[j - 1]
+            forward[j, 0] = np.logaddexp(f[0] + t[0, 0], f[1] + t[1, 0])
+            forward[j, 1] = np.logaddexp(f[0] + t[0, 1], f[1] + t[1, 1]) + e[:, j]
+        for j in range(longest - 2, -1, -1):
+            g0, g1 = backward[j + 1, 0], backward[j + 1, 1] + e[:, j + 1]
+            inside = j + 1 < sizes
+            backward[j, 0] = np.where(inside, np.logaddexp(t[0, 0] + g0, t[0, 1] + g1), 0)
+            backward[j, 1] = np.where(inside, np.logaddexp(t[1, 0] + g0, t[1, 1] + g1), 0)
+        z = np.logaddexp(forward[0, 0] + backward[0, 0], forward[0, 1] + backward[0, 1])
+        p = np.exp(np.minimum(forward[:, 1] + backward[:, 1] - z, 0)).T  # places after the last line hold no probability
+        for row, i in enumerate(own):
+            marginals[i] = p[row, : sizes[row]]
+        inside = np.arange(1, longest)[:, None] < sizes
+        for x in (0, 1):
+            for y in (0, 1):
+                m = forward[:-1, x] + t[x, y] + backward[1:, y] + (e.T[1:] if y else 0) - z
+                pairs[x, y] += np.exp(np.where(inside, m, -np.inf)).sum()
+        return pairs, float(z.sum())
+
+    def long_chain(self, emitted: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+        """The same for one document of n lines in about sqrt(n) segments: what each segment makes of either state before
+        it (2 by 2) is found for all segments at once, passed from segment to segment, and then each is filled in."""
+        n = len(emitted)
+        length = int(np.ceil(np.sqrt(n)))
+        count = -(-n // length)
+        place = np.arange(count * length).reshape(count, length)
+        e = np.zeros(count * length)
+        e[:n] = emitted
+
+        def step(j: int) -> np.ndarray:
+            """[segment, state before, state]: log weights of line j of each segment; none is left after the last line."""
+            m = np.repeat(self.transition[None], count, 0)
+            m[0] = 0.0 if j == 0 else m[0]
+            m[:, :, 1] += e[place[:, j]][:, None]
+            m[place[:, j] >= n] = [[0.0, -np.inf], [-np.inf, 0.0]]
+            return m
+
+        through = np.repeat(np.array([[[0.0, -np.inf], [-np.inf, 0.0]]]), count, 0)
+        for j in range(length):
+            through = np.logaddexp(through[:, :, :1] + step(j)[:, :1], through[:, :, 1:] + step(j)[:, 1:])
+        start, end = np.zeros((count, 2)), np.zeros((count, 2))
+        start[0] = [0.0, -np.inf]  # before the first line there is one state
+        for s in range(1, count):
+            start[s] = np.logaddexp(start[s - 1, 0] + through[s - 1, 0], start[s - 1, 1] + through[s - 1, 1])
+        for s in range(count - 2, -1, -1):
+            end[s] = np.logaddexp(through[s + 1, :, 0] + end[s + 1, 0], through[s + 1, :, 1] + end[s + 1, 1])
+        last = np.logaddexp(start[-1, 0] + through[-1, 0], start[-1, 1] + through[-1, 1])
+        z = float(np.logaddexp(last[0], last[1]))
+        before = np.empty((length, count, 2))
+        f = start
+        for j in range(length):
+            before[j], m = f, step(j)
+            f = np.logaddexp(f[:, :1] + m[:, 0], f[:, 1:] + m[:, 1])
+        bad, pairs, g = np.empty((count, length)), np.zeros((2, 2)), end
+        for j in range(length - 1, -1, -1):
+            m = step(j)
+            both = np.exp(before[j][:, :, None] + m + g[:, None] - z)  # [segment, state before, state]
+            bad[:, j] = both[:, :, 1].sum(1)
+            pairs += both[(place[:, j] < n) & (place[:, j] > 0)].sum(0)
+            g = np.logaddexp(m[:, :, 0] + g[:, :1], m[:, :, 1] + g[:, 1:])
+        return np.minimum(bad.ravel()[:n], 1.0), pairs, z
+
     def learn(self, values: list[np.ndarray], states: list[np.ndarray], steps: int, ridge: float = 2.0) -> None:
         """Gradient ascent (Adam) on the log likelihood of the states."""
         flat, where = np.concatenate(values), np.cumsum([0, *map(len, values)])
@@ -171,7 +226,13 @@ def _featured(batches: Iterator[pa.RecordBatch], common: frozenset) -> Iterator[
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", learn=None, per_class: int = 1500, most_lines: int = 400, n_common: int = 400, rounds: int = 3) -> Field:
-    rows, sizes = sample(docs, labels, label, F.lit(True) if learn is None else learn, per_class)
+    """Learn from the rows of labels for which `learn` (a condition on doc_id) holds."""
+    with small_batches(docs.sparkSession):
+        return _fit(docs, labels, label, F.lit(True) if learn is None else learn, per_class, most_lines, n_common, rounds)
+
+
+def _fit(docs: DataFrame, labels: DataFrame, label: str, learn, per_class: int, most_lines: int, n_common: int, rounds: int) -> Field:
+    rows, sizes = sample(docs, labels, label, learn, per_class)
     total = sum(sizes.values())
     if len(sizes) < 2:
         rate = sizes.get(1, 0) / total if total else 0.5
@@ -205,7 +266,7 @@ def _scored(batches: Iterator[pa.RecordBatch], model: Field) -> Iterator[pa.Reco
         texts = batch["text"].to_pylist()
         x = np.empty(len(texts))
         for a in range(0, len(texts), 512):
-            out = [line_features(t or "", model.common) for t in texts[a : a + 512]]
+            out = [line_features(t or "", model.common) for t in texts[a : a + 512]]  # a small number of bytes per line
             where = np.cumsum([0, *(len(v) for v, _ in out)])
             flat = model.scores(np.concatenate([v for v, _ in out]))
             marginals, _, _ = model.chains([flat[i:j] for i, j in zip(where[:-1], where[1:], strict=True)])
@@ -222,7 +283,7 @@ def score(docs: DataFrame, model: Field) -> DataFrame:
 
 
 def op3_quality(spark, sf_dir):
-    docs, held_out = read(spark, sf_dir, "documents"), fold(F.col("doc_id"), 4) == 2
+    docs, held_out = read(spark, sf_dir, "documents"), F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False))
     model = fit(docs, read(spark, sf_dir, "labels"), "quality", ~held_out)
     return score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 

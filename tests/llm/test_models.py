@@ -134,6 +134,25 @@ def test_field_marginals_match_enumeration():
     assert np.isclose(total, log_z) and np.allclose(pairs, counts)
 
 
+def test_long_chains_match_short_ones():
+    r = np.random.default_rng(4)
+    model = quality.Field(frozenset(), transition=r.normal(size=(2, 2)) * 2)
+    for n in (1, 2, 3, 10, 101, 500):
+        e = r.normal(size=n) * 3
+        (a,), pairs, z = model.chains([e])
+        b, long_pairs, long_z = model.long_chain(e)
+        assert np.allclose(a, b) and np.allclose(pairs, long_pairs) and np.isclose(z, long_z)
+
+
+def test_a_very_long_text(spark):
+    """A million lines, in bounded memory and time."""
+    values, weights = quality.line_features("\n".join(["some words, here."] * 999_999 + ["%%%"]), frozenset(["some"]))
+    r = np.random.default_rng(4)
+    model = quality.Field(frozenset(["some"]), r.normal(size=(quality.COLUMNS, quality.WIDTH)) * 0.1, r.normal(size=(2, 2)))
+    (m,), _, _ = model.chains([model.scores(values)])
+    assert len(m) == 1_000_000 and ((m >= 0) & (m <= 1)).all() and np.isfinite(model.aggregate(m, weights))
+
+
 def test_scores_do_not_use_other_columns(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(50)
     index = toxicity.fit(docs, spark.read.parquet(f"{SF}/labels.parquet"), "toxic", fold(F.col("doc_id"), 5) != 0)
