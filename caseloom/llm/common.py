@@ -50,6 +50,16 @@ def numbered(df: DataFrame, name: str, order: list[str]) -> DataFrame:
     return df.sortWithinPartitions(*order).withColumn(name, F.monotonically_increasing_id())
 
 
+def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, parts: int = 2000) -> DataFrame:
+    """rows joined with groups (a row per key, with the number of rows that have it in `size`) on keys without nulls. Keys
+    of a 1/parts of all rows or more, at most `parts` of them, are broadcast, so that no task gets a large group; the
+    others are joined by a shuffle."""
+    total = groups.agg(F.sum(size)).first()[0] or 0
+    hot = materialize(groups.where(F.col(size) * parts >= total), "hot-groups")  # at most `parts` rows
+    large = rows.join(F.broadcast(hot), keys)
+    return large.unionByName(rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(groups.where(F.col(size) * parts < total), keys))
+
+
 def possibly_in(rows: DataFrame, key: str, keys: DataFrame, most_bits: int = 1 << 27) -> DataFrame:
     """rows (key: a long column) without most of those whose key is not among `keys` (its one long column), as a step
     before a join that decides: it keeps wide rows out of that join's shuffle. The keys become a bitmap of 16 bits a key,

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, numbered, read
+from .common import join_groups, materialize, numbered, read, small_batches
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -60,8 +60,14 @@ def _positions(batches: Iterator[pa.RecordBatch], size: int, bits: int) -> Itera
 
 
 def _named(pairs: DataFrame, columns: list[str], name: str) -> DataFrame:
-    """Sort the distinct rows of pairs into integer names."""
-    return numbered(pairs.select(*columns).groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).drop("n"), name, columns)
+    """Sort the distinct rows of pairs into integer names; n: how many rows have each."""
+    return numbered(pairs.select(*columns).groupBy(*columns).agg(F.count(F.lit(1)).alias("n")), name, columns)
+
+
+def _level(level: DataFrame, names: DataFrame) -> DataFrame:
+    """level (row, n_blocks, pos, key) joined with its names (key, name), also where one block is in very many texts."""
+    sizes = level.groupBy("key").agg(F.count(F.lit(1)).alias("_n"))
+    return join_groups(level, materialize(names.join(sizes, "key"), "sized-names"), ["key"], "_n").drop("_n")
 
 
 def identities(docs: DataFrame, block_bytes: int = 4096, key_bits: int = 64) -> DataFrame:
@@ -83,9 +89,9 @@ def identities(docs: DataFrame, block_bytes: int = 4096, key_bits: int = 64) ->
         exact = at.join(shared, "key", "left_semi").join(names, ["key", "block"]).groupBy("text_sha256", "pos").agg(F.first("name").alias("exact"))
         level = level.join(meta.select("row", "text_sha256"), "row").join(exact, ["text_sha256", "pos"], "left").drop("text_sha256")
         light = light.groupBy("key").agg(F.min("name").alias("name"))
-        level = level.join(light, "key").select("row", "n_blocks", "pos", F.coalesce("exact", "name").alias("name"))
+        level = _level(materialize(level, "keyed-level"), light).select("row", "n_blocks", "pos", F.coalesce("exact", "name").alias("name"))
     else:
-        level = level.join(light, "key").select("row", "n_blocks", "pos", "name")
+        level = _level(level, light).select("row", "n_blocks", "pos", "name")
     level = materialize(level, "level")
     done = level.where("n_blocks = 1").select("row", "name")
     longest = level.agg(F.max("n_blocks")).first()[0] or 1
@@ -94,16 +100,17 @@ def identities(docs: DataFrame, block_bytes: int = 4096, key_bits: int = 64) ->
         half = (F.col("pos") / 2).cast("int")
         pairs = level.groupBy("row", half.alias("pos")).agg(F.max(F.when(F.col("pos") % 2 == 0, F.col("name"))).alias("a"), F.coalesce(F.max(F.when(F.col("pos") % 2 == 1, F.col("name"))), F.lit(-1)).alias("b"))
         pairs = materialize(pairs, "pairs")
-        level = materialize(pairs.join(_named(pairs, ["a", "b"], "name"), ["a", "b"]).select("row", "pos", "name"), "level")
+        level = materialize(join_groups(pairs, materialize(_named(pairs, ["a", "b"], "name"), "pair-names"), ["a", "b"], "n").select("row", "pos", "name"), "level")
         longest = (longest + 1) // 2
     return meta.withColumn("n_blocks", F.size("keys")).drop("keys").join(done.unionByName(level.select("row", "name")), "row")
 
 
 def exact_dedup(docs: DataFrame, block_bytes: int = 4096, key_bits: int = 64) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256: of equal texts the row with the largest doc_id stays."""
-    rows = identities(docs, block_bytes, key_bits)
-    groups = rows.groupBy("n_blocks", "name").agg(F.max(F.struct("doc_id", "row")).alias("keep"), F.count(F.lit(1)).alias("group_size"))
-    return rows.join(groups, ["n_blocks", "name"]).select("doc_id", F.col("keep.doc_id").alias("keep_id"), "group_size", (F.col("row") == F.col("keep.row")).alias("kept"), "text_sha256")
+    with small_batches(docs.sparkSession):
+        rows = materialize(identities(docs, block_bytes, key_bits), "identities")
+    groups = materialize(rows.groupBy("n_blocks", "name").agg(F.max(F.struct("doc_id", "row")).alias("keep"), F.count(F.lit(1)).alias("group_size")), "groups")
+    return join_groups(rows, groups, ["n_blocks", "name"], "group_size").select("doc_id", F.col("keep.doc_id").alias("keep_id"), "group_size", (F.col("row") == F.col("keep.row")).alias("kept"), "text_sha256")
 
 
 def op5_exact_dedup(spark, sf_dir):
