@@ -6,7 +6,7 @@ text, then smallest line number); the lines of all later occurrences are covered
 merged into spans, and the spans are removed.
 
 Only digests are shuffled for the search; counts are combined before the shuffle, so one very common window costs one
-row per task. Texts move once, to meet the few spans of their document.
+row per task, and its occurrences meet its first one by a broadcast of the few commonest windows. Texts move once, to meet the few spans of their document.
 
 Defined results: lines are what "\\n" separates, kept byte for byte; a null text has no lines and stays null; documents
 of fewer than three lines have no window and stay as they are; rows that repeat both doc_id and text count as one
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import materialize, read
+from .common import join_groups, materialize, read
 
 WINDOW = 3
 
@@ -40,8 +40,8 @@ def removed_spans(docs: DataFrame) -> DataFrame:
     """doc, text_key, spans: array<struct<lo, hi>> of merged line numbers that later occurrences cover."""
     found = materialize(windows(docs), "windows")
     place = F.struct("doc", "text_key", "pos")
-    repeated = found.groupBy("window").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    later = found.join(repeated, "window").where(~place.eqNullSafe(F.col("first"))).select("doc", "text_key", "pos").distinct()
+    repeated = materialize(found.groupBy("window").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1"), "repeated")
+    later = join_groups(found, repeated, ["window"], "n").where(~place.eqNullSafe(F.col("first"))).select("doc", "text_key", "pos").distinct()
     own = W.partitionBy("doc", "text_key").orderBy("pos")
     gap = F.coalesce((F.col("pos") - F.lag("pos").over(own) > WINDOW).cast("int"), F.lit(1))
     merged = later.withColumn("gap", gap).withColumn("run", F.sum("gap").over(own)).groupBy("doc", "text_key", "run").agg(F.min("pos").alias("lo"), (F.max("pos") + (WINDOW - 1)).alias("hi"))
