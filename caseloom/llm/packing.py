@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import math
 import re
 import zlib
 from collections.abc import Iterator
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import materialize, read
+from .common import materialize, read, small_batches
 
 MAX_LEN = 2048
 END_ID = 1
@@ -39,7 +40,7 @@ LONG_RUN = 20_000
 class Encoder:
     """Ids of whole texts by a tokenizer file. Where the file holds a plain byte-level BPE whose ids are its merge ranks,
     `tiktoken` gives the same ids in a fraction of the time; texts with a special token's string, and files of any other
-    kind, are encoded by `tokenizers` itself."""
+    kind, are encoded by `tokenizers` itself, and so is everything where `tiktoken` is not installed."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -49,7 +50,10 @@ class Encoder:
         self.fast = self._ranked(path)
 
     def _ranked(self, path: str):
-        import tiktoken
+        try:
+            import tiktoken
+        except ModuleNotFoundError:
+            return None
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -147,24 +151,32 @@ def slots(found: list[tuple[int, list[int]]]) -> list[tuple[int, int, int, int,
     return out
 
 
-def ranked(rows: DataFrame, bucket_rows: int = 20_000) -> DataFrame:
-    """rows with `rank`, from 0 among the rows of one length: bucket counts give offsets, only buckets are sorted."""
-    n_buckets = max(1, -(-rows.count() // bucket_rows))
-    rows = rows.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "start"), F.lit(n_buckets)))
+def ranked(rows: DataFrame, histogram: dict[int, int]) -> DataFrame:
+    """rows (with a number `_row` each) with `rank`, from 0 among the rows of one length. A length of n rows is dealt to
+    buckets of about sqrt(all rows): their counts give offsets, and only buckets are sorted."""
+    bucket_rows = max(256, math.isqrt(sum(histogram.values())))
+    buckets = rows.sparkSession.createDataFrame([(n, -(-m // bucket_rows)) for n, m in histogram.items()], "_at long, _buckets long")  # at most max_len rows
+    rows = rows.join(F.broadcast(buckets), F.col("length") == F.col("_at")).withColumn("_bucket", F.pmod(F.xxhash64("_row"), F.col("_buckets"))).drop("_at", "_buckets")
     totals = rows.groupBy("length", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     before = totals.withColumn("_before", F.coalesce(F.sum("_n").over(W.partitionBy("length").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    within = W.partitionBy("length", "_bucket").orderBy("doc_id", "start", "ids_crc32")
-    return rows.withColumn("_nth", F.row_number().over(within) - 1).join(before, ["length", "_bucket"]).withColumn("rank", F.col("_before") + F.col("_nth")).drop("_bucket", "_before", "_nth")
+    within = W.partitionBy("length", "_bucket").orderBy("doc_id", "start", "ids_crc32", "_row")
+    return rows.withColumn("_nth", F.row_number().over(within) - 1).join(before, ["length", "_bucket"]).withColumn("rank", F.col("_before") + F.col("_nth")).drop("_bucket", "_before", "_nth", "_row")
+
+
+#: More places than these are joined by a shuffle.
+MOST_PLACES = 200_000
 
 
 def pack(docs: DataFrame, tokenizer_path: str, max_len: int = MAX_LEN, with_ids: bool = False) -> DataFrame:
     """The rows of `pieces` with sequence_id and offset."""
-    cut = materialize(pieces(docs, tokenizer_path, max_len, with_ids), "pieces")
+    with small_batches(docs.sparkSession):
+        cut = materialize(pieces(docs, tokenizer_path, max_len, with_ids).withColumn("_row", F.monotonically_increasing_id()), "pieces")
     histogram = dict(cut.groupBy("length").count().collect())  # at most max_len rows
-    places = cut.sparkSession.createDataFrame(slots(patterns(histogram, max_len)), "at_length long, lo long, hi long, sequence long, offset long")
-    # places: at most a few per pattern, and patterns are bounded by max_len, so they may be broadcast
-    rows = ranked(cut).join(F.broadcast(places), (F.col("length") == F.col("at_length")) & F.col("rank").between(F.col("lo"), F.col("hi")))
-    keep = [c for c in cut.columns if c != "ids"]
+    found = slots(patterns(histogram, max_len))
+    places = cut.sparkSession.createDataFrame(found, "at_length long, lo long, hi long, sequence long, offset long")
+    places = F.broadcast(places) if len(found) <= MOST_PLACES else places
+    rows = ranked(cut, histogram).join(places, (F.col("length") == F.col("at_length")) & F.col("rank").between(F.col("lo"), F.col("hi")))
+    keep = [c for c in cut.columns if c not in ("ids", "_row")]
     return rows.select(*keep, (F.col("sequence") + F.col("rank") - F.col("lo")).alias("sequence_id"), "offset", *(["ids"] if with_ids else []))
 
 
