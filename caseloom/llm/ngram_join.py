@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, numbered, possibly_in, read
+from .common import materialize, numbered, possibly_in, read, small_batches
 from .components import components
 
 BITS, COUNTERS, BLOCK, BLOCK_SHINGLES = 1024, 1 << 20, 1500, 2_000_000
