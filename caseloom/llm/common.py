@@ -50,14 +50,17 @@ def numbered(df: DataFrame, name: str, order: list[str]) -> DataFrame:
     return df.sortWithinPartitions(*order).withColumn(name, F.monotonically_increasing_id())
 
 
-def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, parts: int = 2000) -> DataFrame:
-    """rows joined with groups (a row per key, with the number of rows that have it in `size`) on keys without nulls. Keys
-    of a 1/parts of all rows or more, at most `parts` of them, are broadcast, so that no task gets a large group; the
-    others are joined by a shuffle."""
+def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, parts: int = 2000, least: int = 64) -> DataFrame:
+    """rows joined with groups (a row per key, with the number of rows that have it in `size`) on keys without nulls. A key
+    of more than 1/parts of all rows is dealt to pieces of that size, so that no task gets a large group; the keys that
+    are dealt, at most `parts`, are broadcast."""
     total = groups.agg(F.sum(size)).first()[0] or 0
-    hot = materialize(groups.where(F.col(size) * parts >= total), "hot-groups")  # at most `parts` rows
-    large = rows.join(F.broadcast(hot), keys)
-    return large.unionByName(rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(groups.where(F.col(size) * parts < total), keys))
+    piece = max(least, -(-total // parts))
+    dealt = groups.withColumn("_pieces", F.ceil(F.col(size) / F.lit(piece)).cast("int"))
+    hot = materialize(dealt.where("_pieces > 1").select(*keys, "_pieces"), "hot-keys")  # at most `parts` rows
+    own = rows.join(F.broadcast(hot), keys, "left").withColumn("_piece", F.pmod(F.xxhash64(*rows.columns), F.coalesce("_pieces", F.lit(1))).cast("int")).drop("_pieces")
+    every = dealt.withColumn("_piece", F.explode(F.sequence(F.lit(0), F.greatest(F.col("_pieces"), F.lit(1)) - 1))).drop("_pieces")
+    return own.join(every, [*keys, "_piece"]).drop("_piece")
 
 
 def possibly_in(rows: DataFrame, key: str, keys: DataFrame, most_bits: int = 1 << 27) -> DataFrame:

@@ -6,7 +6,7 @@ text, then smallest line number); the lines of all later occurrences are covered
 merged into spans, and the spans are removed.
 
 Only digests are shuffled for the search; counts are combined before the shuffle, so one very common window costs one
-row per task, and its occurrences meet its first one by a broadcast of the few commonest windows. Texts move once, to meet the few spans of their document.
+row per task, and its occurrences meet its first one in pieces. Texts move once, to meet the few spans of their document.
 
 Defined results: lines are what "\\n" separates, kept byte for byte; a null text has no lines and stays null; documents
 of fewer than three lines have no window and stay as they are; rows that repeat both doc_id and text count as one

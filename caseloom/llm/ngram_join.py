@@ -8,13 +8,17 @@ must then share prefix members under further orders too, and only the intersecti
 What keeps this in proportion to the input:
 - documents of one set are one class from the start, so exact copies cost a row each;
 - n-grams with the same list of classes are one list (count and two XOR digests tell lists apart, nothing is collected);
-- lists longer than a block meet block by block, so no list lands in one task as a whole;
+- a list longer than a block is dealt to parts, and each part compares its rows with one leader of the list; only rows
+  that are far from the leader meet all parts, so that a large group of near copies costs a comparison a row;
 - within a list, sizes and parity bitmaps must allow the similarity (the number of differing bits is a lower bound of the
   symmetric difference), and only as many links are written as connect what they allow, not all pairs;
-- texts move once, only those with a candidate, to the component of their candidates (large ones again in blocks), where
-  all orders filter and exact set sizes decide. Pairs that links connect already are left out, as only classes count.
+- texts move once, only those with a candidate, to the component of their candidates (in large ones again a leader first,
+  then what is far from it), where all orders filter and exact set sizes decide. Pairs that links connect already are left
+  out, as only classes count.
 
-Every filter is a necessary condition, so no link between different sets is lost; links are verified by exact set sizes.
+Every filter is a necessary condition, so no link between different sets is lost; links are verified by the exact sizes of
+sets of 64-bit digests (two n-grams of one text or pair would have to share a digest to change a size). A list or a
+component whose members are mostly far from its leader is compared pair by pair of its blocks.
 
 Defined results: null and blank texts have no n-gram and link with nothing; texts of fewer words than n are one n-gram,
 the whole sequence; rows that repeat doc_id and text are one member and get one result each; a null doc_id takes part
@@ -32,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, numbered, possibly_in, read, small_batches
+from .common import join_groups, materialize, numbered, possibly_in, read, small_batches
 from .components import components
 
 BITS, COUNTERS, BLOCK, BLOCK_SHINGLES = 1024, 1 << 20, 1500, 2_000_000
@@ -203,28 +207,51 @@ def _could_in_full(a: bytes, b: bytes, both: int, num: int, den: int) -> bool:
     return words * 64 <= BITS or int(np.bitwise_count(_folded(a, words) ^ _folded(b, words)).sum(dtype="i8")) * (num + den) <= both * (den - num)
 
 
-def _allowed(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by gram, lo, hi. Out: links that connect, within each list (or two of its blocks), what sizes and
-    bitmaps allow to be similar; one link fewer than connected nodes. Only an unfinished list is kept between batches."""
+def _groups(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole groups, with where each starts and the end; rows come sorted by keys. Only an unfinished group is
+    kept between batches."""
     held: pa.Table | None = None
     for batch in batches:
         table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
-        key = np.stack([table[c].to_numpy() for c in ("gram", "lo", "hi")], 1)
+        key = np.stack([table[c].to_numpy() for c in keys], 1)
         new = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(1)])
         held = table.slice(new[-1])
         if len(new) > 1:
-            yield _connected(table.slice(0, new[-1]), new, num, den)
+            yield table.slice(0, new[-1]), new
     if held is not None and held.num_rows:
-        yield _connected(held, np.array([0, held.num_rows]), num, den)
+        yield held, np.array([0, held.num_rows])
+
+
+class _Sets:
+    """Nodes of a table with the sizes and bitmaps of their sets."""
+
+    def __init__(self, table: pa.Table, num: int, den: int):
+        self.node, self.size, self.maps = table["node"].to_numpy(), table["n_shingles"].to_numpy(), table["bits"].to_pylist()
+        self.short = np.stack([_folded(m, BITS // 64) for m in self.maps])
+        self.num, self.den = num, den
+
+    def could(self, i, j) -> np.ndarray:
+        return _could(self.size, self.short, i, j, self.num, self.den)
+
+    def in_full(self, a: int, b: int) -> bool:
+        return _could_in_full(self.maps[a], self.maps[b], self.size[a] + self.size[b], self.num, self.den)
+
 
+def _links(sets: _Sets, found: list[tuple[int, int]]) -> pa.RecordBatch:
+    at = np.array(found, "i8").reshape(-1, 2)
+    return pa.RecordBatch.from_arrays([pa.array(sets.node[at[:, 0]]), pa.array(sets.node[at[:, 1]])], names=["a", "b"])
 
-def _connected(table: pa.Table, cuts: np.ndarray, num: int, den: int) -> pa.RecordBatch:
-    node, size, block = (table[c].to_numpy() for c in ("node", "n_shingles", "block"))
-    crossing = table["lo"].to_numpy() != table["hi"].to_numpy()
-    maps = table["bits"].to_pylist()
-    short = np.stack([_folded(m, BITS // 64) for m in maps])
-    own = {x: i for i, x in enumerate(dict.fromkeys(node.tolist()))}
-    place, root, out = [own[x] for x in node.tolist()], list(range(len(own))), []
+
+def _allowed(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by gram. Out: links that connect, within each list, what sizes and bitmaps allow to be similar; one
+    link fewer than connected nodes."""
+    for table, cuts in _groups(batches, ("gram",)):
+        yield _connected(_Sets(table, num, den), cuts)
+
+
+def _connected(sets: _Sets, cuts: np.ndarray) -> pa.RecordBatch:
+    own = {x: i for i, x in enumerate(dict.fromkeys(sets.node.tolist()))}
+    place, root, out = [own[x] for x in sets.node.tolist()], list(range(len(own))), []
 
     def find(x: int) -> int:
         while root[x] != x:
@@ -232,12 +259,10 @@ def _connected(table: pa.Table, cuts: np.ndarray, num: int, den: int) -> pa.Reco
         return x
 
     def tell(i: np.ndarray, j: np.ndarray) -> None:
-        ok = ~crossing[i] | (block[i] != block[j])
-        i, j = i[ok], j[ok]
-        ok = _could(size, short, i, j, num, den)
+        ok = sets.could(i, j)
         for a, b in zip(i[ok].tolist(), j[ok].tolist(), strict=True):
             x, y = find(place[a]), find(place[b])
-            if x != y and _could_in_full(maps[a], maps[b], size[a] + size[b], num, den):
+            if x != y and sets.in_full(a, b):
                 root[x] = y
                 out.append((a, b))
 
@@ -251,71 +276,171 @@ def _connected(table: pa.Table, cuts: np.ndarray, num: int, den: int) -> pa.Reco
         here = Forest(m)  # long lists row by row, without what is connected already
         for i in range(m - 1):
             j = i + 1 + np.flatnonzero(here.root[i + 1 :] != here.root[i])
-            j = j[(block[c + j] != block[c + i]) | ~crossing[c]]
-            j = j[_could(size, short, c + i, c + j, num, den)]
+            j = j[sets.could(c + i, c + j)]
             for x in j.tolist():
-                if here.root[i] != here.root[x] and _could_in_full(maps[c + i], maps[c + x], size[c + i] + size[c + x], num, den):
+                if here.root[i] != here.root[x] and sets.in_full(c + i, c + x):
                     here.join(i, x)
                     tell(np.array([c + i]), np.array([c + x]))
-    at = np.array(out, "i8").reshape(-1, 2)
-    return pa.RecordBatch.from_arrays([pa.array(node[at[:, 0]]), pa.array(node[at[:, 1]])], names=["a", "b"])
+    return _links(sets, out)
 
 
-def _in_blocks(rows: DataFrame, blocks, node: str) -> DataFrame:
-    """rows dealt to every pair of blocks (lo <= hi) that has their block: whole if the group fits in one block."""
-    rows = rows.withColumn("_n", blocks.cast("int")).withColumn("block", F.pmod(F.xxhash64(node), F.col("_n")).cast("int"))
-    rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
-    return rows.select("*", F.least("block", "_other").alias("lo"), F.greatest("block", "_other").alias("hi")).drop("_n", "_other")
+def _led(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by gram, part and kind; a part starts with the leader of the list (kind 0). Out: gram, node, and the
+    leader if sizes and bitmaps allow the two to be similar."""
+    leader: pa.Table | None = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch]) if leader is None else pa.concat_tables([leader, pa.Table.from_batches([batch])])
+        kind = table["kind"].to_numpy()
+        sets, own = _Sets(table, num, den), np.arange(table.num_rows)
+        at = np.maximum.accumulate(np.where(kind == 0, own, 0))
+        leader = table.slice(at[-1], 1)
+        ok = sets.could(at, own)
+        for x in np.flatnonzero(ok & (kind == 1)).tolist():
+            ok[x] = sets.in_full(at[x], x)
+        rows = np.flatnonzero(kind == 1)
+        yield pa.RecordBatch.from_arrays([pa.array(table["gram"].to_numpy()[rows]), pa.array(sets.node[rows]), pa.array(sets.node[at][rows], mask=~ok[rows])], names=["gram", "node", "leader"])
+
+
+def _far_links(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by gram, slot, part and kind. Out: links that connect the far nodes of a slot (kind 0) with what the
+    part has (kind 1, leader null where that is far too); all with a leader count as connected."""
+    for table, cuts in _groups(batches, ("gram", "slot", "part")):
+        sets, kind, led = _Sets(table, num, den), table["kind"].to_numpy(), np.array(table["leader"].is_valid().to_pylist())
+        out = []
+        for a, z in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            here = Forest(z - a)
+            near = np.flatnonzero((kind[a:z] == 1) & led[a:z])
+            here.root[near] = near[0] if len(near) else 0
+            members = np.flatnonzero(kind[a:z] == 1)
+            for i in np.flatnonzero(kind[a:z] == 0).tolist():
+                j = members[(here.root[members] != here.root[i]) & (sets.node[a + members] != sets.node[a + i])]
+                for x in j[sets.could(a + i, a + j)].tolist():
+                    if here.root[i] != here.root[x] and sets.in_full(a + i, a + x):
+                        here.join(i, x)
+                        out.append((a + i, a + x))
+        yield _links(sets, out)
+
+
+def _parted(rows: DataFrame, group: str, parts: str) -> tuple[DataFrame, DataFrame]:
+    """rows of large groups dealt to `part`s, and one row of each group, its leader, for every part; kind tells them apart."""
+    leader = rows.groupBy(group, parts).agg(F.min_by(F.struct(*(c for c in rows.columns if c not in (group, parts))), F.xxhash64("node")).alias("l")).select(group, parts, "l.*")
+    leader = leader.withColumn("part", F.explode(F.sequence(F.lit(0), F.col(parts) - 1))).withColumn("kind", F.lit(0))
+    return leader, rows.withColumn("part", F.pmod(F.xxhash64("node"), F.col(parts)).cast("int")).withColumn("kind", F.lit(1))
+
+
+def _far_and_all(rows: DataFrame, checked: DataFrame, group: str, parts: str, block_rows: int) -> DataFrame:
+    """What the far members of large groups have to meet: they go to every part of their group (kind 0), and each member
+    goes to its part once per slot of far ones (kind 1). Few far members leave it at a row each."""
+    counts = checked.groupBy(group).agg(F.count(F.lit(1)).alias("_n"), F.count_if(F.col("leader").isNull()).alias("_far")).where("_far > 0")
+    known = join_groups(rows.join(checked, [group, "node"]), materialize(counts, "far"), [group], "_n")
+    known = known.withColumn("_slots", F.ceil(F.col("_far") / F.lit(block_rows)).cast("int")).drop("_n", "_far")
+    own, every = F.pmod(F.xxhash64("node"), F.col(parts)).cast("int"), lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    far = known.where("leader IS NULL").withColumn("slot", F.pmod(F.xxhash64("node", F.lit(1)), F.col("_slots")).cast("int")).withColumn("part", every(parts)).withColumn("kind", F.lit(0))
+    member = known.withColumn("slot", every("_slots")).withColumn("part", own).withColumn("kind", F.lit(1))
+    return far.unionByName(member).drop("_slots")
 
 
 def _candidates(classes: DataFrame, num: int, den: int, block_rows: int) -> DataFrame:
     """a, b: links that connect all nodes that share a prefix member of the first order and pass the bounds."""
     grams = classes.select("node", F.explode("prefix").alias("gram"))
     shared = materialize(grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
-    members = materialize(possibly_in(grams, "gram", shared.select("gram")).join(shared, "gram"), "members")
+    members = materialize(join_groups(possibly_in(grams, "gram", shared.select("gram")), shared, ["gram"], "n"), "members")
     lists = members.groupBy("gram", "n").agg(F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
-    lists = lists.groupBy("n", "x", "y").agg(F.min("gram").alias("gram")).select("gram")
-    listed = members.join(lists, "gram").join(classes.select("node", "n_shingles", "bits"), "node")
-    dealt = _in_blocks(listed, F.ceil(F.col("n") / F.lit(block_rows)), "node")
-    dealt = dealt.select("gram", "lo", "hi", "block", "node", "n_shingles", "bits").repartition("gram", "lo", "hi").sortWithinPartitions("gram", "lo", "hi")
-    return dealt.mapInArrow(lambda it: _allowed(it, num, den), "a long, b long")
-
-
-def _verified(texts: pd.DataFrame, n: int, num: int, den: int, counts) -> pd.DataFrame:
-    """Links within one component of candidates (or between two of its blocks). Each node meets those that share prefix
-    members under every order and pass the bounds; what verified links connect already needs no further check."""
-    node, block = texts["node"].to_numpy(), texts["block"].to_numpy()
-    crossing = texts["lo"].iloc[0] != texts["hi"].iloc[0]
-    sets = ngram_sets(list(texts["text"]), n)
-    maps = [_bitmap(s) for s in sets]
-    size, short = np.array([len(s) for s in sets]), np.stack([_folded(m, BITS // 64) for m in maps])
-    prefixes = [[_prefix(s, order, counts.value, num, den) for s in sets] for order in range(ORDERS)]
-    owner = np.repeat(np.arange(len(sets)), [len(p) for p in prefixes[0]])
-    gram = np.concatenate(prefixes[0])
-    by_gram = np.argsort(gram, kind="stable")
-    gram, owner = gram[by_gram], owner[by_gram]
-    others = [[frozenset(p.tolist()) for p in own] for own in prefixes[1:]]
-    forest, out = Forest(len(sets)), []
-    for i in range(len(sets) - 1):
-        met = np.zeros(len(sets), bool)
-        first, last = np.searchsorted(gram, prefixes[0][i]), np.searchsorted(gram, prefixes[0][i], side="right")
-        for a, z in zip(first[last - first > 1].tolist(), last[last - first > 1].tolist(), strict=True):
-            met[owner[a:z]] = True
-        met[: i + 1] = False
-        if crossing:
-            met &= block != block[i]
-        j = np.flatnonzero(met & (forest.root != forest.root[i]))
-        j = j[_could(size, short, i, j, num, den)]
-        for x in j.tolist():
-            if forest.root[i] == forest.root[x] or not _could_in_full(maps[i], maps[x], size[i] + size[x], num, den) or any(own[i].isdisjoint(own[x]) for own in others):
-                continue
-            both = len(np.intersect1d(sets[i], sets[x], assume_unique=True))
-            if den * both >= num * (size[i] + size[x] - both):
+    lists = materialize(lists.groupBy("n", "x", "y").agg(F.min("gram").alias("gram")).select("gram", "n"), "lists")
+    listed = join_groups(members.drop("n"), lists, ["gram"], "n").join(classes.select("node", "n_shingles", "bits"), "node").select("gram", "n", "node", "n_shingles", "bits")
+    short = listed.where(F.col("n") <= block_rows).drop("n").repartition("gram").sortWithinPartitions("gram")
+    links = short.mapInArrow(lambda it: _allowed(it, num, den), "a long, b long")
+    if lists.where(F.col("n") > block_rows).isEmpty():
+        return links
+    long = materialize(listed.where(F.col("n") > block_rows).withColumn("parts", F.ceil(F.col("n") / F.lit(block_rows)).cast("int")).drop("n"), "long-lists")
+    leader, member = _parted(long, "gram", "parts")
+    ordered = leader.unionByName(member).repartition("gram", "part").sortWithinPartitions("gram", "part", "kind")
+    checked = materialize(ordered.mapInArrow(lambda it: _led(it, num, den), "gram long, node long, leader long"), "led")
+    links = links.unionByName(checked.where("leader <> node").select(F.col("leader").alias("a"), F.col("node").alias("b")))
+    if checked.where("leader IS NULL").isEmpty():
+        return links
+    rest = _far_and_all(long, checked, "gram", "parts", block_rows).repartition("gram", "slot", "part").sortWithinPartitions("gram", "slot", "part", "kind")
+    return links.unionByName(rest.mapInArrow(lambda it: _far_links(it, num, den), "a long, b long"))
+
+
+class _Texts:
+    """Sets of texts that have met: the filters of all orders, the bounds, and exact verification."""
+
+    def __init__(self, texts: pd.Series, n: int, num: int, den: int, counts: np.ndarray):
+        self.sets, self.num, self.den = ngram_sets(list(texts), n), num, den
+        self.maps = [_bitmap(s) for s in self.sets]
+        self.size, self.short = np.array([len(s) for s in self.sets]), np.stack([_folded(m, BITS // 64) for m in self.maps])
+        self.prefixes = [[_prefix(s, order, counts, num, den) for s in self.sets] for order in range(ORDERS)]
+        owner = np.repeat(np.arange(len(self.sets)), [len(p) for p in self.prefixes[0]])
+        gram = np.concatenate(self.prefixes[0])
+        by_gram = np.argsort(gram, kind="stable")
+        self.gram, self.owner = gram[by_gram], owner[by_gram]
+        self.others = [[frozenset(p.tolist()) for p in own] for own in self.prefixes[1:]]
+
+    def met(self, i: int) -> np.ndarray:
+        """Which share a prefix member of the first order with i."""
+        out = np.zeros(len(self.sets), bool)
+        first, last = np.searchsorted(self.gram, self.prefixes[0][i]), np.searchsorted(self.gram, self.prefixes[0][i], side="right")
+        for a, z in zip(first.tolist(), last.tolist(), strict=True):
+            out[self.owner[a:z]] = True
+        return out
+
+    def could(self, i, j) -> np.ndarray:
+        return _could(self.size, self.short, i, j, self.num, self.den)
+
+    def similar(self, i: int, x: int) -> bool:
+        if not _could_in_full(self.maps[i], self.maps[x], self.size[i] + self.size[x], self.num, self.den) or any(own[i].isdisjoint(own[x]) for own in self.others):
+            return False
+        both = len(np.intersect1d(self.sets[i], self.sets[x], assume_unique=True))
+        return self.den * both >= self.num * (self.size[i] + self.size[x] - both)
+
+
+def _verified(rows: pd.DataFrame, n: int, num: int, den: int, counts) -> pd.DataFrame:
+    """Links within one component of candidates, or (with `kind`) between the far members of a slot and a part of a large
+    one. Each node meets those that share prefix members under every order and pass the bounds; what verified links, or
+    the leader of a large component, connect already needs no further check."""
+    node, texts = rows["node"].to_numpy(), _Texts(rows["text"], n, num, den, counts.value)
+    forest, out, place = Forest(len(node)), [], np.arange(len(node))
+    kind = rows["kind"].to_numpy() if "kind" in rows else np.zeros(len(node), "i8")
+    if kind.any():
+        led = np.flatnonzero((kind == 1) & rows["leader"].notna().to_numpy())
+        forest.root[led] = led[0] if len(led) else 0
+    for i in np.flatnonzero(kind == 0).tolist():
+        other = (place > i) if not kind.any() else (kind == 1) & (node != node[i])
+        j = np.flatnonzero(texts.met(i) & other & (forest.root != forest.root[i]))
+        for x in j[texts.could(i, j)].tolist():
+            if forest.root[i] != forest.root[x] and texts.similar(i, x):
                 forest.join(i, x)
                 out.append((node[i], node[x]))
     return pd.DataFrame(out, columns=["a", "b"]).astype("i8")
 
 
+def _led_texts(rows: pd.DataFrame, n: int, num: int, den: int, counts) -> pd.DataFrame:
+    """candidate_of, node, and the leader of the component if a part's text is similar to its text."""
+    rows = rows.sort_values("kind", kind="stable")
+    node, texts = rows["node"].to_numpy(), _Texts(rows["text"], n, num, den, counts.value)
+    j = np.flatnonzero(texts.met(0) & (np.arange(len(node)) > 0))
+    j = [x for x in j[texts.could(0, j)].tolist() if node[x] == node[0] or texts.similar(0, x)]
+    leader = pd.array([None] * len(node), "Int64")
+    leader[j] = node[0]
+    return pd.DataFrame({"candidate_of": rows["candidate_of"].to_numpy(), "node": node, "leader": leader})[1:]
+
+
+def _verified_links(texts: DataFrame, n: int, num: int, den: int, counts, block_rows: int) -> DataFrame:
+    """a, b: verified links that connect all similar texts; texts: node, candidate_of, blocks, text."""
+    verify = lambda t: _verified(t, n, num, den, counts)
+    links = texts.where("blocks = 1").select("candidate_of", "node", "text").groupBy("candidate_of").applyInPandas(verify, "a long, b long")
+    large = texts.where("blocks > 1")
+    leader, member = _parted(large, "candidate_of", "blocks")
+    checked = leader.unionByName(member).groupBy("candidate_of", "part").applyInPandas(lambda t: _led_texts(t, n, num, den, counts), "candidate_of long, node long, leader long")
+    checked = materialize(checked, "led-texts")
+    links = links.unionByName(checked.where("leader <> node").select(F.col("leader").alias("a"), F.col("node").alias("b")))
+    if checked.where("leader IS NULL").isEmpty():
+        return links
+    rest = _far_and_all(large, checked, "candidate_of", "blocks", block_rows).select("candidate_of", "slot", "part", "kind", "node", "leader", "text")
+    return links.unionByName(rest.groupBy("candidate_of", "slot", "part").applyInPandas(verify, "a long, b long"))
+
+
 def jaccard_components(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10, block_rows: int = BLOCK) -> DataFrame:
     """doc_id, text_key, n_shingles, component_id: a row per row of docs. Sets of word n-grams link when
     den * intersection >= num * union; component_id is the smallest doc_id that links reach."""
@@ -338,9 +463,8 @@ def _in_components(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10, blo
     carried = materialize(groups.join(sizes, "candidate_of").select("node", "candidate_of", "blocks", "c_doc", "c_key"), "carriers")
     # only texts of candidates move; a text of a large component goes to each pair of blocks that has its own
     texts = possibly_in(docs, "text_key", carried.select("c_key")).join(carried, docs["doc_id"].eqNullSafe(F.col("c_doc")) & (docs["text_key"] == F.col("c_key")))
-    texts = texts.dropDuplicates(["node"]).select("node", "candidate_of", "blocks", "text")
-    links = _in_blocks(texts, F.col("blocks"), "node").groupBy("candidate_of", "lo", "hi").applyInPandas(lambda t: _verified(t, n, num, den, counts), "a long, b long")
-    linked = components(materialize(links, "links"))
+    texts = materialize(texts.dropDuplicates(["node"]).select("node", "candidate_of", F.col("blocks").cast("int").alias("blocks"), "text"), "candidate-texts")
+    linked = components(materialize(_verified_links(texts, n, num, den, counts, block_rows), "links"))
     named = classes.select("node", "set_key", F.col("carrier.doc_id").alias("smallest")).join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
     names = named.groupBy("component").agg(F.min("smallest").alias("component_id"))
     named = named.join(names, "component").select("set_key", "component", "component_id")

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from caseloom.llm.common import numbered, possibly_in, shared_dir, small_batches
+from caseloom.llm.common import join_groups, numbered, possibly_in, shared_dir, small_batches
 
 
 @pytest.mark.parametrize(("n", "most_bits"), [(0, 1 << 27), (5, 1 << 27), (5000, 1 << 27), (5000, 1 << 15)])
@@ -31,3 +31,15 @@ def test_numbers_are_unique_and_repeatable(spark):
     df = spark.range(1000).repartition(5, "id")
     a, b = ({r.id: r.n for r in numbered(df, "n", ["id"]).collect()} for _ in range(2))
     assert a == b and len(set(a.values())) == 1000 and shared_dir(spark)
+
+
+@pytest.mark.parametrize("least", [1, 64])
+def test_join_groups_is_a_join(spark, least):
+    r = random.Random(3)
+    pairs = [(r.choice(["hot"] * 30 + [f"k{i}" for i in range(40)]), i) for i in range(3000)]
+    rows = spark.createDataFrame(pairs, "k string, v long")
+    groups = rows.where("k <> 'k7'").groupBy("k").count()
+    got = sorted((x.k, x.v, x["count"]) for x in join_groups(rows, groups, ["k"], "count", 50, least).collect())
+    sizes = {x: sum(k == x for k, _ in pairs) for x, _ in pairs}
+    assert got == sorted((k, v, sizes[k]) for k, v in pairs if k != "k7")
+    assert join_groups(rows, groups.limit(0), ["k"], "count").count() == 0
