@@ -1,17 +1,21 @@
 """Removal of repeated 100-byte strings by suffix arrays over shards.
 
-Only places that may repeat reach a suffix array. Every window of WINDOW bytes is keyed by the smallest digest among its
-GRAM-byte substrings: equal windows have equal keys, wherever they are. Consecutive windows with one key form a run, and
-a run's bytes are its context. Contexts of one key are compared as wholes first: of equal contexts all but the first are
-repeats from end to end, and a key with a single context has no further repeats (unless its gram occurs twice in it).
-
-The first contexts of all other keys go to shards by key. A shard sorts its suffixes by Larsson-Sadakane refinement (the
-groups that are still unsorted are sorted by the rank of the suffix that starts as far behind as is sorted already),
-takes the common prefixes of neighbours by Kasai's rule (one byte less when both start one byte later) and finds the
-classes of equal windows, in each of which all but the first are repeats. A key with more contexts than a shard may hold
-is dealt over several shards; their sorted classes are merged by binary search of each shard's windows in the others'.
-
-Rows shuffled for the search are digests, one per run and task; texts move twice, to meet their runs and their spans.
+Whole texts are gathered in shards of about `shard_bytes` (a longer text is cut into pieces that share no window). A shard
+sorts its suffixes by Larsson-Sadakane refinement (the groups that are still unsorted are sorted by the rank of the
+suffix that starts as far behind as is sorted already), takes the common prefixes of neighbours by Kasai's rule (one byte
+less when both start one byte later) and so finds the classes of equal windows, in each of which all but the first are
+repeats. What is first in its shard may still repeat what another shard has.
+
+Equal windows of different shards are brought together by a key, the smallest digest among a window's GRAM-byte
+substrings: equal windows have equal keys, wherever they are. Consecutive first windows with one key form a run, and a
+run's bytes are its context. A key that only one shard has needs nothing more. Of contexts with one key and one
+cryptographic digest (128 bits of BLAKE2b) all but the first are repeats from end to end; the bytes of all other contexts
+go to buckets by key. There, contexts are sorted by suffix arrays of their own, block by block, and each block's distinct
+windows are merged into those of the blocks before it by binary search on the bytes; what is found there under an earlier
+place, or has been, is a repeat. A key with more contexts than `hot_contexts` is dealt over several such blocks, whose
+distinct windows meet by a shuffle, each window for itself.
+
+Rows shuffled for the search are digests, one per run; texts move twice, to meet their runs and their spans.
 
 Defined results: a null text counts as empty; texts shorter than WINDOW have no window and stay; rows that repeat both
 doc_id and text count as one document and get one result each; of documents with one doc_id the order is by a digest of
@@ -29,10 +33,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, read, small_batches
+from .common import join_groups, materialize, read, small_batches
 
 WINDOW, GRAM = 100, 24
-SHARD_BYTES, SHARD_CONTEXTS = 2_000_000, 8192
+SHARD_BYTES, BLOCK_BYTES, HOT_CONTEXTS = 4_000_000, 500_000, 8192
+#: Common prefixes are followed from places so far apart at most, and no further than so many bytes.
+STRIDE = 1024
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -46,90 +52,113 @@ def _eights(data: np.ndarray, kind: str) -> np.ndarray:
     return np.lib.stride_tricks.as_strided(data[:8].view(kind), (len(data) - 7,), (1,)).astype("u8")
 
 
-def runs(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Key, first and last window of each run; and whether the key's gram occurs more than once in the run."""
+def runs(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Key, first and last window of each run of the windows that lie within one of several pieces of data."""
     if len(data) < WINDOW:
-        none = np.empty(0, "i8")
-        return none, none, none, none.astype(bool)
-    b = np.frombuffer(data, "u1")
-    e = _eights(b, "<u8")
+        return (np.empty(0, "i8"),) * 3
+    e = _eights(data, "<u8")
     h = _mixed(e[:-16] * np.uint64(0x9E3779B97F4A7C15) + _mixed(e[8:-8]) * np.uint64(0xD6E8FEB86659FD93) + _mixed(e[16:]))
     w, s, low = WINDOW - GRAM + 1, 1, h
     while 2 * s <= w:
         low = np.minimum(low[:-s], low[s:])
         s *= 2
     low = np.minimum(low[: len(h) - w + 1], low[w - s : w - s + len(h) - w + 1])
-    cut = np.flatnonzero(low[1:] != low[:-1]) + 1
-    first, last = np.r_[0, cut], np.r_[cut - 1, len(low) - 1]
-    key = low[first]
-    # a run of more windows than one gram place can serve, or with the gram at two places
-    at = np.searchsorted(first, np.arange(len(h)), side="right") - 1
-    places = np.bincount(at[h == key[at]], minlength=len(first))
-    several = (last - first >= w) | (places > 1)
-    # the gram of a run may also lie behind its last first-window place
-    for r in np.flatnonzero(~several & (places == 0)):
-        several[r] = np.count_nonzero(h[first[r] : last[r] + w] == key[r]) > 1
-    return key.view("i8"), first, last, several
-
-
-class _Powers:
-    """Powers of an odd base and of its inverse modulo 2**64, as many as asked for so far."""
-
-    base = 0x9E3779B97F4A7C15
-    up = down = np.ones(1, "u8")
-
-    @classmethod
-    def of(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(cls.up) < n:
-            size = 2 * n
-            steps = np.full((2, size), [[cls.base], [pow(cls.base, -1, 2**64)]], "u8")
-            steps[:, 0] = 1
-            cls.up, cls.down = np.multiply.accumulate(steps, axis=1)
-        return cls.up[:n], cls.down[:n]
-
-
-_BYTE = _mixed((np.arange(256, dtype="u8") + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93))
-
-
-def context_digests(data: bytes, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """Digests of the bytes of each run: differences of running sums, moved to one place."""
-    b = np.frombuffer(data, "u1")
-    up, down = _Powers.of(len(b) + 1)
-    sums = np.zeros(len(b) + 1, "u8")
-    np.cumsum(_BYTE[b] * up[: len(b)], out=sums[1:])
-    size = (last + WINDOW - first).astype("u8")
-    return _mixed((sums[last + WINDOW] - sums[first]) * down[first] + size).view("i8")
-
-
-def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """gram, context, doc, text_key, first, last, kind: of equal contexts of a task only the first goes on (kind 0, or 2
-    if it may repeat in itself); all others are repeats already (kind 1). A task keeps a few numbers per run."""
-    parts = []
+    cut = np.zeros(len(low), bool)
+    cut[0], cut[1:] = True, low[1:] != low[:-1]
+    cut[starts[starts < len(low)]] = True
+    ends = starts + np.maximum(sizes - WINDOW + 1, 0)  # behind the last window of each piece
+    cut[ends[ends < len(low)]] = True
+    first = np.flatnonzero(cut)
+    last = np.r_[first[1:] - 1, len(low) - 1]
+    piece = np.searchsorted(starts, first, side="right") - 1
+    ok = first < ends[piece]
+    return low[first[ok]].view("i8"), first[ok], last[ok]
+
+
+class Shard:
+    """Pieces of texts side by side, in the order of their places; windows that are the first of their class, and others."""
+
+    def __init__(self, pieces: list[tuple[int, int, int, bytes]]):
+        """pieces: doc, text_key, the place of the piece in its text, bytes; what repeats a place counts once."""
+        pieces = sorted({p[:3]: p for p in pieces}.values())
+        self.doc, self.text_key, self.offset = (np.array([p[i] for p in pieces], "i8") for i in range(3))
+        self.sizes = np.array([len(p[3]) for p in pieces], "i8")
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.data = np.frombuffer(b"".join(p[3] for p in pieces), "u1")
+        order, shared = suffix_order(self.data)
+        group = np.cumsum(common_prefixes(self.data, order, shared) < WINDOW)
+        left = np.repeat(self.starts + self.sizes, self.sizes) - np.arange(len(self.data))
+        within = left[order] >= WINDOW
+        self.sorted, group = order[within], group[within]  # windows in the order of their bytes
+        new = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(group) else np.empty(0, "i8")
+        #: The first place of each class, classes in the order of their bytes.
+        self.leads = np.minimum.reduceat(self.sorted, new) if len(new) else new
+        self.is_lead = np.zeros(len(self.data), bool)
+        self.is_lead[self.leads] = True
+        self.repeats = np.zeros(len(self.data), bool)
+        self.repeats[self.sorted] = True
+        self.repeats[self.leads] = False
+
+    def places(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """doc, text_key and place of windows."""
+        piece = np.searchsorted(self.starts, at, side="right") - 1
+        return self.doc[piece], self.text_key[piece], self.offset[piece] + at - self.starts[piece]
+
+    def spans(self, repeats: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """doc, text_key, first and last window of consecutive repeats of one piece."""
+        at = np.flatnonzero(repeats)
+        piece = np.searchsorted(self.starts, at, side="right") - 1
+        new = np.flatnonzero(np.r_[True, (at[1:] != at[:-1] + 1) | (piece[1:] != piece[:-1])]) if len(at) else at
+        doc, text_key, first = self.places(at[new])
+        return doc, text_key, first, first + np.diff(np.r_[new, len(at)]) - 1
+
+    def windows(self, at: np.ndarray) -> np.ndarray:
+        """Windows as fixed strings, one byte of 1 behind so that trailing zeros count."""
+        out = np.ones((len(at), WINDOW + 1), "u1")
+        out[:, :WINDOW] = self.data[at[:, None] + np.arange(WINDOW)]
+        return out.view(f"S{WINDOW + 1}").ravel()
+
+
+_NAMES = ["gram", "context", "more", "doc", "text_key", "first", "last", "kind"]
+
+
+def _shard_rows(pieces: list[tuple[int, int, int, bytes]]) -> pa.Table:
+    """The runs of first windows (kind 0) and the spans of repeated ones (kind 1) of one shard."""
+    shard = Shard(pieces)
+    key, first, last = runs(shard.data, shard.starts, shard.sizes)
+    count = np.r_[0, np.cumsum(shard.is_lead)]
+    some = count[last + 1] > count[first]
+    key, first, last = key[some], first[some], last[some]
+    # a run shrinks to what lies between its first and its last first window
+    leads = np.flatnonzero(shard.is_lead)
+    first, last = leads[count[first]], leads[count[last + 1] - 1]
+    view = memoryview(shard.data)
+    digest = hashlib.blake2b
+    made = b"".join([digest(view[a:z], digest_size=16).digest() for a, z in zip(first.tolist(), (last + WINDOW).tolist(), strict=True)])
+    context = np.frombuffer(made, "<i8").reshape(-1, 2)
+    doc, text_key, place = shard.places(first)
+    r = shard.spans(shard.repeats)
+    scattered = _mixed(r[0].astype("u8") ^ (r[2].astype("u8") << np.uint64(40))).view("i8")  # spreads rows that need no key
+    none = np.zeros(len(r[0]), "i8")
+    columns = (key, scattered), (context[:, 0], none), (context[:, 1], none), (doc, r[0]), (text_key, r[1]), (place, r[2]), (place + last - first, r[3]), (np.zeros(len(key)), np.ones(len(none)))
+    types = ("i8", "i8", "i8", "i8", "i4", "i8", "i8", "i1")
+    return pa.table({n: np.concatenate(c).astype(t) for n, c, t in zip(_NAMES, columns, types, strict=True)})
+
+
+def _keyed(batches: Iterator[pa.RecordBatch], shard_bytes: int) -> Iterator[pa.RecordBatch]:
+    pieces, size = [], 0
     for batch in batches:
         for doc, tk, text in zip(batch["doc"].to_pylist(), batch["text_key"].to_pylist(), batch["text"].to_pylist(), strict=True):
             data = (text or "").encode("utf-8", "surrogatepass")
-            key, first, last, several = runs(data)
-            if len(key):
-                parts.append((key, context_digests(data, first, last), np.full(len(key), doc), np.full(len(key), tk, "i4"), first.astype("i4"), last.astype("i4"), several))
-    if not parts:
-        return
-    key, context, doc, tk, first, last, several = map(np.concatenate, zip(*parts, strict=True))
-    order = np.lexsort((first, tk, doc, context, key))
-    key, context, doc, tk, first, last, several = (x[order] for x in (key, context, doc, tk, first, last, several))
-    new = np.r_[True, (key[1:] != key[:-1]) | (context[1:] != context[:-1])]
-    lead = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
-    again = (doc != doc[lead]) | (tk != tk[lead]) | (first != first[lead])
-    more = np.flatnonzero(again)
-    more = more[np.lexsort((first[more], tk[more], doc[more]))]
-    if len(more):  # neighbouring repeats of a text are one
-        d, t, f, z = doc[more], tk[more], first[more], last[more]
-        start = np.flatnonzero(np.r_[True, (d[1:] != d[:-1]) | (t[1:] != t[:-1]) | (f[1:] > z[:-1] + 1)])
-        stop = np.r_[start[1:] - 1, len(more) - 1]
-        joined = (_mixed(d[start].astype("u8") ^ (f[start].astype("u8") << np.uint64(40))).view("i8"), np.zeros(len(start), "i8"), d[start], t[start], f[start], z[stop], np.ones(len(start), "i1"))
-    else:
-        joined = (key[:0], context[:0], doc[:0], tk[:0], first[:0], last[:0], np.empty(0, "i1"))
-    columns = [np.concatenate(x) for x in zip((key[new], context[new], doc[new], tk[new], first[new], last[new], np.where(several[new], 2, 0).astype("i1")), joined, strict=True)]
-    yield from pa.Table.from_arrays([pa.array(c) for c in columns], names=["gram", "context", "doc", "text_key", "first", "last", "kind"]).to_batches(max_chunksize=50_000)
+            for at in range(0, len(data) - WINDOW + 1, shard_bytes):
+                piece = data[at : at + shard_bytes + WINDOW - 1]
+                if size + len(piece) > shard_bytes + WINDOW and pieces:
+                    yield from _shard_rows(pieces).to_batches(max_chunksize=50_000)
+                    pieces, size = [], 0
+                pieces.append((doc, tk, at, piece))
+                size += len(piece)
+    if pieces:
+        yield from _shard_rows(pieces).to_batches(max_chunksize=50_000)
 
 
 def gathered(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
@@ -146,9 +175,8 @@ def gathered(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Record
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by gram, context, doc, text_key, first. Out: repeats (kind 1), and the first contexts of grams
-    that have several or whose context may repeat in itself (kind 0). Only the last row is kept between batches."""
-    names = ["gram", "context", "doc", "text_key", "first", "last", "kind"]
-    before = None  # the last first context, not yet known to have a partner
+    that have several (kind 0). Only the last first context is kept between batches."""
+    before = None  # the last first context; kind 3: it was given out already
     for batch in gathered(batches, 20_000):
         p = batch.to_pandas()
         if before is not None:
@@ -158,162 +186,141 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = [p[passed]]
         before = None
         if len(own):
-            gram, context = own["gram"].to_numpy(), own["context"].to_numpy()
-            new_gram = np.r_[True, gram[1:] != gram[:-1]]
-            new = new_gram | np.r_[True, context[1:] != context[:-1]]
+            gram = own["gram"].to_numpy()
+            new = np.r_[True, gram[1:] != gram[:-1]]
+            for c in ("context", "more"):
+                x = own[c].to_numpy()
+                new[1:] |= x[1:] != x[:-1]
             place = own[["doc", "text_key", "first"]].to_numpy()
             lead = np.maximum.accumulate(np.where(new, np.arange(len(own)), 0))
-            same = (place == place[lead]).all(1)
-            repeat = own[~new & ~same].copy()
+            repeat = own[~new & ~(place == place[lead]).all(1)].copy()  # a repeated row is its own first
             repeat["kind"] = np.int8(1)
             firsts = own[new].reset_index(drop=True)
             g, kind = firsts["gram"].to_numpy(), firsts["kind"].to_numpy()
-            partner = (np.r_[False, g[1:] == g[:-1]]) | (np.r_[g[1:] == g[:-1], False])
-            ready = partner | (kind >= 2)
-            # kind 3 marks a first context that was given out in an earlier batch
+            ready = np.r_[False, g[1:] == g[:-1]] | np.r_[g[1:] == g[:-1], False] | (kind == 3)
             give = firsts[ready & (kind != 3)].copy()
-            give["kind"] = np.int8(0)
             out += [repeat, give]
             before = firsts.iloc[[-1]].copy()
             if ready[-1]:
                 before["kind"] = np.int8(3)
         made = pd.concat(out, ignore_index=True)
         if len(made):
-            yield pa.RecordBatch.from_pandas(made[names], schema=batch.schema, preserve_index=False)
+            yield pa.RecordBatch.from_pandas(made[_NAMES], schema=batch.schema, preserve_index=False)
 
 
-def suffix_order(data: np.ndarray) -> np.ndarray:
-    """Suffixes sorted by their first 128 bytes at least (Larsson-Sadakane refinement), ties by position; what is behind
-    the end counts as bytes of 0."""
+def suffix_order(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Suffixes sorted by their first 128 bytes at least (Larsson-Sadakane refinement), ties by position, and whether each
+    shares its first 64 bytes with the one before; what is behind the end counts as bytes of 255, which no text in UTF-8
+    has."""
     n = len(data)
-    padded = np.r_[data, np.zeros(8, "u1")]
-    first = _eights(padded, ">u8")[:n]
-    order = np.argsort(first, kind="stable")
-    rank = np.empty(n + 128, "i8")
-    rank[n:] = -1
-
-    def groups(keys: np.ndarray) -> np.ndarray:
-        """Where the group of each sorted place starts."""
-        new = np.r_[True, keys[1:] != keys[:-1]]
-        return np.maximum.accumulate(np.where(new, np.arange(len(keys)), 0))
-
-    rank[order] = groups(first[order])
-    sorted_to = 8
-    while sorted_to < 128:
-        r = rank[order]
-        size = np.bincount(r, minlength=n)
-        open_ = np.flatnonzero(size[r] > 1)  # places of unsorted groups
-        if not len(open_):
-            break
-        at = order[open_]
-        key = (r[open_].astype("u8") << np.uint64(32)) | (rank[at + sorted_to] + 1).astype("u8")
-        by = np.argsort(key, kind="stable")
-        order[open_] = at[by]
-        key = key[by]
+    first = _eights(np.r_[data, np.full(8, 255, "u1")], ">u8")[:n]
+    order = np.argsort(first)
+    key = first[order]
+    rank, shared = np.full(n + 128, n, "u4"), np.zeros(n, bool)
+    open_, sorted_to = np.arange(n), 8  # places of groups that are not sorted yet
+    while True:
         new = np.r_[True, key[1:] != key[:-1]]
-        rank[order[open_]] = open_[np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))]
-        sorted_to *= 2
-    return order
-
-
-def common_prefixes(data: np.ndarray, order: np.ndarray, enough: int = WINDOW) -> np.ndarray:
-    """Per sorted place the common prefix with the place before. Kasai's rule: one position later both suffixes share one
-    byte less, so bytes are compared only where the neighbour is not simply the next one, or where nothing was shared."""
+        rank[order[open_]] = open_[np.maximum.accumulate(np.where(new, np.arange(len(open_)), 0))]
+        if sorted_to == 64:
+            shared[open_[~new]] = True
+        open_ = open_[~new | ~np.r_[new[1:], True]]
+        at = order[open_]
+        if sorted_to == 128 or not len(open_):
+            order[open_] = at[np.lexsort((at, rank[at]))]
+            return order, shared
+        key = (rank[at].astype("u8") << np.uint64(32)) | rank[at + sorted_to]
+        by = np.argsort(key)
+        order[open_], key, sorted_to = at[by], key[by], 2 * sorted_to
+
+
+def common_prefixes(data: np.ndarray, order: np.ndarray, shared: np.ndarray) -> np.ndarray:
+    """Per sorted place the common prefix with the place before, where they share 64 bytes (0 elsewhere), or WINDOW at least where it is longer than STRIDE.
+    Kasai's rule: one position later both suffixes share one byte less, so bytes are compared only where the neighbour is
+    not simply the next one, and anew after STRIDE positions, so that long repeats are followed from many places at once."""
     n = len(data)
-    before = np.full(n, -1, "i8")
-    before[order[1:]] = order[:-1]
-    chain = np.r_[False, (before[1:] == before[:-1] + 1) & (before[:-1] >= 0) & (data[:-1] == data[before[:-1]])]
-    start = np.flatnonzero(~chain & (before >= 0))
-    length = np.zeros(len(start), "i8")
-    active = np.arange(len(start))
-    padded = np.r_[data, np.zeros(8, "u1")]
-    eights = _eights(padded, "<u8")[: n + 1]
-    while len(active):
-        x, y = start[active] + length[active], before[start[active]] + length[active]
-        inside = np.minimum(n - x, n - y)
-        differ = eights[np.minimum(x, n)] ^ eights[np.minimum(y, n)]
-        # equal low bytes: trailing zero bits of the difference
-        low = differ & (~differ + np.uint64(1))
-        same = np.where(differ == 0, 8, (np.log2(np.maximum(low, 1).astype("f8")) // 8).astype("i8"))
-        step = np.minimum(same, np.maximum(inside, 0))
-        length[active] += step
-        active = active[step == 8]
-    full = np.zeros(n, "i8")
-    full[start] = length
-    head = np.maximum.accumulate(np.where(~chain, np.arange(n), 0))
-    full = np.where(chain, full[head] - (np.arange(n) - head), full)
+    before = np.full(n, -1, "i4")
+    before[order[1:][shared[1:]]] = order[:-1][shared[1:]]
+    place = np.flatnonzero(before >= 0)
+    full = np.zeros(n, "i4")
+    if len(place):
+        prior = before[place]
+        chain = np.r_[False, (place[1:] == place[:-1] + 1) & (prior[1:] == prior[:-1] + 1)] & (place % STRIDE > 0)
+        head = np.flatnonzero(~chain)
+        length, active = np.full(len(head), 64, "i8"), np.arange(len(head))
+        eights = _eights(np.r_[data, np.zeros(8, "u1")], "<u8")[: n + 1]
+        while len(active):
+            x, y = place[head[active]] + length[active], prior[head[active]] + length[active]
+            differ = eights[np.minimum(x, n)] ^ eights[np.minimum(y, n)]
+            # equal low bytes: trailing zero bits of the difference
+            low = differ & (~differ + np.uint64(1))
+            same = np.where(differ == 0, 8, (np.log2(np.maximum(low, 1).astype("f8")) // 8).astype("i8"))
+            step = np.minimum(same, np.maximum(n - np.maximum(x, y), 0))
+            length[active] += step
+            active = active[(step == 8) & (length[active] < STRIDE + WINDOW)]
+        own = np.cumsum(~chain) - 1
+        full[place] = length[own] - (place - place[head[own]])
     return full[order]
 
 
-class Shard:
-    """Contexts side by side; classes of equal windows among the windows that lie within a context."""
-
-    def __init__(self, pdf: pd.DataFrame):
-        sizes = pdf["bytes"].map(len).to_numpy("i8")
-        self.data = np.frombuffer(b"".join(pdf["bytes"]), "u1")
-        self.starts = np.cumsum(np.r_[0, sizes[:-1]])
-        self.doc, self.text_key, self.first = (pdf[c].to_numpy("i8") for c in ("doc", "text_key", "first"))
-        order = suffix_order(self.data)
-        shared = common_prefixes(self.data, order)
-        group = np.cumsum(shared < WINDOW)
-        owner = np.searchsorted(self.starts, order, side="right") - 1
-        within = order + WINDOW <= self.starts[owner] + sizes[owner]
-        self.at, self.owner, self.group = order[within], owner[within], group[within]
-        self.place = self.at - self.starts[self.owner] + self.first[self.owner]
-        by = np.lexsort((self.place, self.text_key[self.owner], self.doc[self.owner], self.group))
-        self.at, self.owner, self.group, self.place = self.at[by], self.owner[by], self.group[by], self.place[by]
-        lead = np.r_[True, self.group[1:] != self.group[:-1]] if len(by) else np.empty(0, bool)
-        # the same place of a text, seen in two contexts, is one place
-        lead_at = np.maximum.accumulate(np.where(lead, np.arange(len(by)), 0)) if len(by) else np.empty(0, "i8")
-        same = (self.doc[self.owner] == self.doc[self.owner[lead_at]]) & (self.text_key[self.owner] == self.text_key[self.owner[lead_at]]) & (self.place == self.place[lead_at])
-        self.lead, self.repeat = lead, ~same
-
-    def spans(self, repeat: np.ndarray) -> pd.DataFrame:
-        """doc, text_key, lo, hi (bytes) of repeated windows, consecutive ones as one span."""
-        i = np.flatnonzero(repeat)
-        i = i[np.argsort(self.at[i], kind="stable")]
-        if not len(i):
-            return pd.DataFrame({"doc": np.empty(0, "i8"), "text_key": np.empty(0, "i8"), "lo": np.empty(0, "i8"), "hi": np.empty(0, "i8")})
-        new = np.r_[True, (self.at[i][1:] != self.at[i][:-1] + 1) | (self.owner[i][1:] != self.owner[i][:-1])]
-        a, z = i[new], i[np.r_[np.flatnonzero(new)[1:] - 1, len(i) - 1]]
-        return pd.DataFrame({"doc": self.doc[self.owner[a]], "text_key": self.text_key[self.owner[a]], "lo": self.place[a], "hi": self.place[z] + WINDOW})
-
-    def windows(self, i: np.ndarray) -> np.ndarray:
-        """Windows as fixed strings, one byte of 1 behind so that trailing zeros count."""
-        out = np.ones((len(i), WINDOW + 1), "u1")
-        out[:, :WINDOW] = self.data[self.at[i][:, None] + np.arange(WINDOW)]
-        return out.view(f"S{WINDOW + 1}").ravel()
-
-
-def _shard_spans(pdf: pd.DataFrame) -> pd.DataFrame:
-    shard = Shard(pdf)
-    return shard.spans(shard.repeat)
-
-
-def _merged_spans(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Two shards of one key: each class's first window is looked up by binary search among the other's classes."""
-    parts = [Shard(pdf[pdf["block"] == b].reset_index(drop=True)) for b in sorted(pdf["block"].unique())]
-    if len(parts) < 2:
-        return parts[0].spans(np.zeros(len(parts[0].at), bool))
-    out = []
-    leads = [np.flatnonzero(p.lead) for p in parts]
-    strings = [p.windows(i) for p, i in zip(parts, leads, strict=True)]
-    sort = [np.argsort(s, kind="stable") for s in strings]
-    leads, strings = [i[o] for i, o in zip(leads, sort, strict=True)], [s[o] for s, o in zip(strings, sort, strict=True)]
-    for a, b in ((0, 1), (1, 0)):
-        x, y = parts[a], parts[b]
-        at = np.minimum(np.searchsorted(strings[b], strings[a]), len(strings[b]) - 1)
-        found = strings[b][at] == strings[a]
-        i, j = leads[a][found], leads[b][at[found]]
-        mine = np.stack([x.doc[x.owner[i]], x.text_key[x.owner[i]], x.place[i]], 1)
-        other = np.stack([y.doc[y.owner[j]], y.text_key[y.owner[j]], y.place[j]], 1)
-        differ = mine != other
-        k = differ.argmax(1)
-        later = differ.any(1) & (np.take_along_axis(mine, k[:, None], 1) > np.take_along_axis(other, k[:, None], 1)).ravel()
-        repeat = np.zeros(len(x.at), bool)
-        repeat[i[later]] = True
-        out.append(x.spans(repeat))
-    return pd.concat(out, ignore_index=True)
+def _blocks_of(pdf: pd.DataFrame, block_bytes: int) -> Iterator[Shard]:
+    pieces, size = [], 0
+    for r in zip(pdf["doc"].tolist(), pdf["text_key"].tolist(), pdf["first"].tolist(), pdf["bytes"], strict=True):
+        pieces.append(r)
+        size += len(r[3])
+        if size >= block_bytes:
+            yield Shard(pieces)
+            pieces, size = [], 0
+    if pieces:
+        yield Shard(pieces)
+
+
+def _later(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Whether the places (doc, text_key, place) of a come behind those of b."""
+    return (a[0] > b[0]) | (a[0] == b[0]) & ((a[1] > b[1]) | (a[1] == b[1]) & (a[2] > b[2]))
+
+
+def _merged_spans(pdf: pd.DataFrame, block_bytes: int) -> pd.DataFrame:
+    """Repeats among the contexts of a bucket: distinct windows, sorted, with their earliest place so far; the sorted
+    windows of each further block are looked up among them by binary search."""
+    known, places = None, None
+    out: list[tuple] = []
+    for shard in _blocks_of(pdf, block_bytes):
+        out.append(shard.spans(shard.repeats))
+        windows, own = shard.windows(shard.leads), list(shard.places(shard.leads))
+        if known is None:
+            known, places = windows, own
+            continue
+        at = np.minimum(np.searchsorted(known, windows), max(len(known) - 1, 0))
+        found = known[at] == windows if len(known) else np.zeros(len(windows), bool)
+        there = at[found]
+        mine, theirs = [x[found] for x in own], [x[there] for x in places]
+        later, earlier = _later(mine, theirs), _later(theirs, mine)
+        for x, which in ((mine, later), (theirs, earlier)):
+            out.append((x[0][which], x[1][which], x[2][which], x[2][which]))
+        for x, y in zip(places, mine, strict=True):
+            x[there[earlier]] = y[earlier]
+        into = np.searchsorted(known, windows[~found])
+        known, places = np.insert(known, into, windows[~found]), [np.insert(x, into, y[~found]) for x, y in zip(places, own, strict=True)]
+    columns = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.empty(0, "i8")] * 4
+    return _joined(*columns)
+
+
+def _joined(doc: np.ndarray, text_key: np.ndarray, first: np.ndarray, last: np.ndarray) -> pd.DataFrame:
+    """doc, text_key, lo, hi (bytes) of windows, neighbours as one span."""
+    by = np.lexsort((last, first, text_key, doc))
+    doc, text_key, first, last = doc[by], text_key[by], first[by], last[by]
+    new = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (text_key[1:] != text_key[:-1]) | (first[1:] > last[:-1] + 1)]) if len(doc) else np.empty(0, "i8")
+    return pd.DataFrame({"doc": doc[new], "text_key": text_key[new], "lo": first[new], "hi": (np.maximum.reduceat(last, new) if len(new) else last) + WINDOW})
+
+
+def _distinct_windows(pdf: pd.DataFrame) -> pd.DataFrame:
+    """A block of one key's contexts: its distinct windows and their first places (kind 0), and its repeats (kind 1)."""
+    shard = Shard(list(zip(pdf["doc"].tolist(), pdf["text_key"].tolist(), pdf["first"].tolist(), pdf["bytes"], strict=True)))
+    doc, text_key, place = shard.places(shard.leads)
+    one = pd.DataFrame({"window": [bytes(shard.data[a : a + WINDOW]) for a in shard.leads.tolist()], "doc": doc, "text_key": text_key, "lo": place, "hi": place + WINDOW})
+    again = _joined(*shard.spans(shard.repeats))
+    again.insert(0, "window", None)
+    return pd.concat([one, again], ignore_index=True)
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -324,29 +331,31 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             data = (r["text"] or "").encode("utf-8", "surrogatepass")
             rows += [(c["gram"], r["doc"], r["text_key"], c["first"], data[c["first"] : c["last"] + WINDOW]) for c in r["wanted"]]
         columns = [list(c) for c in zip(*rows, strict=True)] or [[] for _ in range(5)]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=["gram", "doc", "text_key", "first", "bytes"])
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()), strict=True)], names=["gram", "doc", "text_key", "first", "bytes"])
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
+def repeated_spans(docs: DataFrame, shard_bytes: int = SHARD_BYTES, block_bytes: int = BLOCK_BYTES, hot_contexts: int = HOT_CONTEXTS) -> DataFrame:
     """doc, text_key, spans (array of struct lo, hi; bytes, may overlap): docs has doc (no nulls), text_key, text."""
-    rows = docs.mapInArrow(_keyed, "gram long, context long, doc long, text_key int, first int, last int, kind tinyint")
-    dealt = rows.repartition("gram").sortWithinPartitions("gram", "context", "doc", "text_key", "first")
+    rows = docs.mapInArrow(lambda it: _keyed(it, shard_bytes), "gram long, context long, more long, doc long, text_key int, first long, last long, kind tinyint")
+    dealt = rows.repartition("gram").sortWithinPartitions("gram", "context", "more", "doc", "text_key", "first")
     known = materialize(dealt.mapInArrow(_compared, rows.schema), "runs")
-    whole = known.where("kind = 1").select("doc", "text_key", F.col("first").cast("long").alias("lo"), (F.col("last") + WINDOW).cast("long").alias("hi"))
+    whole = known.where("kind = 1").select("doc", "text_key", F.col("first").alias("lo"), (F.col("last") + WINDOW).alias("hi"))
     first = known.where("kind = 0")
     wanted = first.groupBy("doc", "text_key").agg(F.collect_list(F.struct("gram", "first", "last")).alias("wanted"))
-    contexts = materialize(docs.join(wanted, ["doc", "text_key"]).select("doc", "text_key", "text", "wanted").mapInArrow(_contexts, "gram long, doc long, text_key int, first int, bytes binary"), "contexts")
+    contexts = materialize(docs.join(wanted, ["doc", "text_key"]).select("doc", "text_key", "text", "wanted").mapInArrow(_contexts, "gram long, doc long, text_key int, first long, bytes binary"), "contexts")
     total = contexts.agg(F.sum(F.length("bytes"))).first()[0] or 0
-    hot = materialize(contexts.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > SHARD_CONTEXTS), "hot-keys")
-    n_shards = max(1, -(-total // SHARD_BYTES))
+    hot = materialize(contexts.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_contexts), "hot-keys")
+    n_buckets = max(1, -(-total // (4 * block_bytes)))
     span = "doc long, text_key long, lo long, hi long"
-    cold = contexts.join(hot, "gram", "left_anti").withColumn("shard", F.pmod(F.xxhash64("gram"), F.lit(n_shards)))
-    spans = cold.groupBy("shard").applyInPandas(_shard_spans, span)
+    cold = contexts.join(hot, "gram", "left_anti").withColumn("bucket", F.pmod(F.xxhash64("gram"), F.lit(n_buckets)))
+    spans = cold.groupBy("bucket").applyInPandas(lambda pdf: _merged_spans(pdf, block_bytes), span)
     if not hot.isEmpty():
-        blocks = contexts.join(hot, "gram").withColumn("blocks", F.ceil(F.col("n") / F.lit(SHARD_CONTEXTS)).cast("int")).withColumn("block", F.pmod(F.xxhash64("doc", "text_key", "first"), F.col("blocks")).cast("int"))
-        alone = blocks.groupBy("gram", "block").applyInPandas(_shard_spans, span)
-        pairs = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("other <> block").withColumn("lo_block", F.least("block", "other")).withColumn("hi_block", F.greatest("block", "other"))
-        spans = spans.unionByName(alone).unionByName(pairs.groupBy("gram", "lo_block", "hi_block").applyInPandas(_merged_spans, span))
+        blocks = join_groups(contexts, hot, ["gram"], "n").withColumn("block", F.pmod(F.xxhash64("doc", "text_key", "first"), F.ceil(F.col("n") / F.lit(hot_contexts))).cast("int"))
+        found = materialize(blocks.groupBy("gram", "block").applyInPandas(_distinct_windows, "window binary, doc long, text_key long, lo long, hi long"), "hot-windows")
+        place = F.struct("doc", "text_key", "lo")
+        firsts = found.where("window IS NOT NULL").groupBy("window").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+        later = join_groups(found.where("window IS NOT NULL"), materialize(firsts, "hot-firsts"), ["window"], "n").where(place != F.col("first"))
+        spans = spans.unionByName(found.where("window IS NULL").drop("window")).unionByName(later.select("doc", "text_key", "lo", "hi"))
     spans = spans.withColumn("text_key", F.col("text_key").cast("int")).unionByName(whole)
     return spans.groupBy("doc", "text_key").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
 
@@ -381,16 +390,17 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(digests, pa.string()), pa.array(found, kind)], names=["doc_id", "n_bytes", "n_removed", "kept_sha256", "spans"])
 
 
-def deduplicate_substrings(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, kept_sha256, spans (maximal removed byte ranges): a row per row of docs."""
+def deduplicate_substrings(docs: DataFrame, **sizes: int) -> DataFrame:
+    """doc_id, n_bytes, n_removed, kept_sha256, spans (maximal removed byte ranges): a row per row of docs. sizes: those of
+    `repeated_spans`."""
     with small_batches(docs.sparkSession):
-        return _deduplicated(docs)
+        return _deduplicated(docs, sizes)
 
 
-def _deduplicated(docs: DataFrame) -> DataFrame:
+def _deduplicated(docs: DataFrame, sizes: dict[str, int]) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     keyed = docs.withColumn("doc", F.coalesce("doc_id", F.lit(-(2**63)))).withColumn("text_key", F.hash("text"))
-    spans = repeated_spans(keyed.select("doc", "text_key", "text"))
+    spans = repeated_spans(keyed.select("doc", "text_key", "text"), **sizes)
     kept = keyed.join(spans, ["doc", "text_key"], "left").select("doc_id", "text", "spans").mapInArrow(_kept, "doc_id long, n_bytes long, n_removed long, kept_sha256 string, spans array<struct<lo:long,hi:long>>")
     return materialize(kept, "kept")
 

@@ -75,40 +75,51 @@ def test_suffix_dedup(spark):
     assert suffix_dedup.deduplicate_substrings(frame(spark, [])).count() == 0
 
 
-def test_suffix_dedup_of_hot_keys_in_blocks(spark, monkeypatch):
-    monkeypatch.setattr(suffix_dedup, "SHARD_CONTEXTS", 3)
+@pytest.mark.parametrize("sizes", [{}, {"hot_contexts": 3}, {"shard_bytes": 300, "block_bytes": 500}, {"shard_bytes": 150, "block_bytes": 200, "hot_contexts": 2}])
+def test_suffix_dedup_of_shards_blocks_and_hot_keys(spark, sizes):
     r = random.Random(5)
     passage = " ".join(words(40, 8))
     rows = [(i, " ".join(words(r.randrange(5, 60), 100 + i)) + " " + passage[: r.randrange(90, len(passage))] + " " + " ".join(words(20, 300 + i)), "a") for i in range(40)]
-    rows += [(100, "ab" * 300, "a"), (101, "x" + "ab" * 200, "a"), (102, "abc" * 50 + "d", "a")]
+    rows += [(100, "ab" * 300, "a"), (101, "x" + "ab" * 200, "a"), (102, "abc" * 50 + "d", "a"), (103, rows[3][1], "a"), (None, rows[5][1] + " more", "a")]
     expected = substrings_removed([(d, t) for d, t, _ in rows])
-    out = suffix_dedup.deduplicate_substrings(frame(spark, rows)).collect()
+    out = suffix_dedup.deduplicate_substrings(frame(spark, rows), **sizes).collect()
     assert {(r.doc_id, r.n_bytes, r.n_removed, len(r.spans), r.kept_sha256) for r in out} == {(d, *x) for (d, _), x in expected.items()}
 
 
+@pytest.mark.parametrize("alphabet", [b"ab", b"abc\x00"])
+def test_shards_by_brute_force(alphabet):
+    r = random.Random(2)
+    for _ in range(25):
+        base = [bytes(r.choice(alphabet) for _ in range(r.randrange(500))) for _ in range(4)]
+        pieces = [(d, 0, 0, b"".join(r.choice(base) for _ in range(r.randrange(4))) + bytes(r.choice(alphabet) for _ in range(r.randrange(200))) + bytes(r.choice([0, 140]))) for d in range(r.randrange(1, 9))]
+        shard, seen = suffix_dedup.Shard(pieces), set()
+        for (*_, text), start in zip(pieces, shard.starts.tolist(), strict=True):
+            for i in range(len(text) - 99):
+                assert shard.is_lead[start + i] == (text[i : i + 100] not in seen) != shard.repeats[start + i]
+                seen.add(text[i : i + 100])
+        windows = shard.windows(shard.leads).tolist()
+        assert sorted(seen) == [w[:100] for w in windows] and shard.is_lead.sum() + shard.repeats.sum() == sum(max(0, len(p[3]) - 99) for p in pieces)
+
+
 def test_suffix_order_and_common_prefixes():
     r = random.Random(2)
     for size in (1, 7, 300, 2000):
         data = bytes(r.choice(b"ab\x00") for _ in range(size)) if size < 2000 else b"abcabd" * 300 + bytes(200)
-        order = suffix_dedup.suffix_order(np.frombuffer(data, "u1"))
+        order, shared = suffix_dedup.suffix_order(np.frombuffer(data, "u1"))
         assert sorted(order.tolist()) == list(range(len(data)))
-        padded = data + bytes(200)  # bytes of 0 at the very end compare as what is behind it
-        assert all(padded[a : a + 128] <= padded[b : b + 128] for a, b in zip(order, order[1:], strict=False))
-        lcp = suffix_dedup.common_prefixes(np.frombuffer(data, "u1"), order)
+        padded = data + b"\xff" * 200
+        assert all((padded[a : a + 128], a) <= (padded[b : b + 128], b) for a, b in zip(order, order[1:], strict=False))
+        lcp = suffix_dedup.common_prefixes(np.frombuffer(data, "u1"), order, shared)
         for k in range(1, len(data)):
             x, y = data[order[k] :], data[order[k - 1] :]
-            assert lcp[k] == next((i for i, (p, q) in enumerate(zip(x, y, strict=False)) if p != q), min(len(x), len(y)))
-
-
-def test_common_prefixes_behind_a_rare_byte_that_differs():
-    r = random.Random(3)
-    shared = bytes(r.choice(b"abcd") for _ in range(400))
-    data = b"ab" + b"\xa8" + shared + b"cd" + b"\xa9" + shared + b"z"
-    order = suffix_dedup.suffix_order(np.frombuffer(data, "u1"))
-    lcp = suffix_dedup.common_prefixes(np.frombuffer(data, "u1"), order)
-    for k in range(1, len(data)):
-        x, y = data[order[k] :], data[order[k - 1] :]
-        assert lcp[k] == next((i for i, (p, q) in enumerate(zip(x, y, strict=False)) if p != q), min(len(x), len(y)))
+            exact = next((i for i, (p, q) in enumerate(zip(x, y, strict=False)) if p != q), min(len(x), len(y)))
+            assert (lcp[k] == exact or suffix_dedup.WINDOW <= lcp[k] < exact) if exact >= 64 else lcp[k] <= 64
+
+
+def test_a_long_periodic_text():
+    """In pieces, each in time about linear in its length."""
+    rows = suffix_dedup._shard_rows([(1, 0, 0, b"abcdefg " * 250_000)]).to_pandas()
+    assert len(rows[rows["kind"] == 1]) == 1 and rows[rows["kind"] == 1]["first"].iloc[0] == 8
 
 
 def test_suffix_dedup_of_passages_that_differ_in_a_rare_byte(spark):
