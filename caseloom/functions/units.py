@@ -25,20 +25,17 @@ def standard_quantity(quantity: Column, unit: Column, form: Column, worth: Colum
     q = F.coalesce(quantity.cast("double"), F.lit(0.0))
     u = F.regexp_replace(F.lower(F.coalesce(unit, F.lit("unknown"))), "[^a-z]", "")
     f = F.regexp_replace(F.lower(F.coalesce(form, F.lit("unknown"))), "[^a-z]", "")
-    kind, factor = F.lit(None).cast("string"), F.lit(None).cast("double")
-    for (k, x), names in UNITS.items():
-        kind, factor = F.when(u.isin(*names), k).otherwise(kind), F.when(u.isin(*names), x).otherwise(factor)
-    by_form = F.lit("count")
-    for name, k in FORMS.items():
-        by_form = F.when(f == name, k).otherwise(by_form)
+    known = F.create_map(*(x for (k, y), names in UNITS.items() for n in names for x in (F.lit(n), F.struct(F.lit(k).alias("kind"), F.lit(y).alias("factor")))))
+    forms = F.create_map(*(F.lit(x) for pair in FORMS.items() for x in pair))
+    found = F.try_element_at(known, u)
     absurd = u.isin(*UNITS["weight", 1.0]) & (q > 0) & (worth / q > ABSURD_PRICE) & F.coalesce(F.lower(sentence).rlike("wg|w/g"), F.lit(False))
-    factor = F.when(F.coalesce(absurd, F.lit(False)), 1000.0).otherwise(F.coalesce(factor, F.lit(1.0)))
-    kind = F.coalesce(kind, F.when(q > 0, by_form), F.lit("weight"))
-    base = q * factor
-    return F.struct(
-        F.when(kind == "weight", base).alias("weight_g"), F.when(kind == "weight", base / 1000).alias("weight_kg"),
-        F.when(kind == "volume", base).alias("volume_ml"), F.when(kind == "volume", base / 1000).alias("volume_l"), F.when(kind == "count", base).alias("count_total"),
-    )
+    factor = F.when(F.coalesce(absurd, F.lit(False)), 1000.0).otherwise(F.coalesce(found["factor"], F.lit(1.0)))
+    kind = F.coalesce(found["kind"], F.when(q > 0, F.coalesce(F.try_element_at(forms, f), F.lit("count"))), F.lit("weight"))
+    # one array element, so that the look-up is not repeated in each field
+    one = F.array(F.struct(kind.alias("kind"), (q * factor).alias("base")))
+    of = lambda x, k, by=1.0: F.when(x.kind == k, x.base / by)
+    fields = lambda x: F.struct(of(x, "weight").alias("weight_g"), of(x, "weight", 1000).alias("weight_kg"), of(x, "volume").alias("volume_ml"), of(x, "volume", 1000).alias("volume_l"), of(x, "count").alias("count_total"))
+    return F.element_at(F.transform(one, fields), 1)
 
 
 def quantity_label(weight_g: Column, volume_ml: Column, count_total: Column) -> Column:

@@ -45,10 +45,8 @@ def allocate(df: DataFrame, keys: list[str], quantity: str, total: str, name: st
 def consolidate(df: DataFrame, keys: list[str], confidence: str, fill: list[str], source: str, order: Column) -> DataFrame:
     """One row per key: the fields of the most confident row, gaps filled by the others in order; all sources."""
     by = F.struct(-F.coalesce(F.col(confidence), F.lit(-1.0)), order)
-    row = F.struct(by.alias("by"), *(F.col(c) for c in fill))
-    g = df.groupBy(*keys).agg(F.array_sort(F.collect_list(row)).alias("_rows"), F.max(confidence).alias(confidence), F.array_sort(F.collect_set(source)).alias("sources"), F.count(F.lit(1)).alias("merged"))
-    first = lambda c: F.try_element_at(F.filter(F.transform("_rows", lambda r: r[c]), lambda v: v.isNotNull()), F.lit(1))
-    return g.select(*keys, confidence, *(first(c).alias(c) for c in fill), "sources", "merged")
+    first = lambda c: F.min_by(c, F.struct(F.col(c).isNull(), by)).alias(c)
+    return df.groupBy(*keys).agg(F.max(confidence).alias(confidence), *(first(c) for c in fill), F.array_sort(F.collect_set(source)).alias("sources"), F.count(F.lit(1)).alias("merged"))
 
 
 def sum_merge(df: DataFrame, keys: list[str], amount: str, keep: list[str], order: Column) -> DataFrame:

@@ -9,9 +9,15 @@ from ..functions import similarity
 from ..functions import text as T
 from .joins import best_match, small
 
+#: A reference that is compared with every row has at most so many rows.
+REFERENCE_ROWS = 2000
 #: Gender by title, and confidences of the steps.
 TITLES = {"mr": "Male", "sri": "Male", "shri": "Male", "mrs": "Female", "smt": "Female", "kumari": "Female", "ms": "Female"}
-GIVEN, BY_TITLE, BY_RULE = 1.0, 0.95, 0.90
+GIVEN, BY_TITLE, BY_RULE, BY_SUFFIX = 1.0, 0.95, 0.90, 0.65
+#: Ends of last names that tell nothing, and ends that mostly go with one gender.
+NEUTRAL_ENDS = ("pati", "pathi", "kurthi", "reddy", "raju", "naidu", "gari", "wari", "ouri", "uri", "ari", "puri", "vari", "neni", "sani", "dhar", "kar", "war", "pur")
+MALE_ENDS = ("esh", "endra", "kumar", "raj", "veer", "wanth", "kanth", "nath", "deep", "jeet", "preet", "arth")
+FEMALE_ENDS = ("ya", "ika", "itha", "ita", "ini", "avani", "avathi", "aveni", "rani", "devi", "veni", "vathi")
 
 
 def resolve_level(rows: DataFrame, column: str, known: DataFrame, name: str, out: str, parent: str | None = None, least: float = 0.65) -> DataFrame:
@@ -36,9 +42,10 @@ def mirror(first: list[str], second: list[str]) -> dict[str, Column]:
     return {x: F.when(a, F.col(y)).otherwise(F.col(x)) for x, y in zip(first, second, strict=True)} | {y: F.when(b, F.col(x)).otherwise(F.col(y)) for x, y in zip(first, second, strict=True)}
 
 
-def gender(given: Column, name: Column, rule: Column | None = None) -> Column:
-    """struct(value, source, confidence): the given value, else a title, else a learned rule; null where none tells.
-    An inferred value is marked as such, and callers choose the confidence they accept."""
+def gender(given: Column, name: Column, rule: Column | None = None, accept: float = BY_SUFFIX) -> Column:
+    """struct(value, source, confidence): the given value, else a title, else a learned rule, else the end of the last
+    name; null where none tells or what tells is below `accept`. An inferred value is marked as such, and callers choose
+    the confidence they accept."""
     low = F.lower(F.trim(given))
     own = F.when(low.isin("m", "male"), "Male").when(low.isin("f", "female"), "Female").when(low.isin("t", "transgender", "other"), "Other")
     title = F.lower(F.regexp_extract(name, r"^\s*([A-Za-z]+)\b", 1))
@@ -46,18 +53,25 @@ def gender(given: Column, name: Column, rule: Column | None = None) -> Column:
     for word, value in TITLES.items():
         by_title = F.when(title == word, value).otherwise(by_title)
     by_rule = F.lit(None).cast("string") if rule is None else rule
-    source = F.when(own.isNotNull(), "given").when(by_title.isNotNull(), "title").when(by_rule.isNotNull(), "rule")
-    return F.struct(F.coalesce(own, by_title, by_rule).alias("value"), source.alias("source"), F.when(source == "given", GIVEN).when(source == "title", BY_TITLE).when(source == "rule", BY_RULE).alias("confidence"))
+    last = F.element_at(F.split(T.normal_name(name), " "), -1)
+    ends = lambda parts: last.rlike(f"(?:{'|'.join(parts)})$")
+    by_end = F.when(~ends(NEUTRAL_ENDS), F.when(ends(MALE_ENDS), "Male").when(ends(FEMALE_ENDS), "Female"))
+    steps = [(own, "given", GIVEN), (by_title, "title", BY_TITLE), (by_rule, "rule", BY_RULE), (by_end, "suffix", BY_SUFFIX)]
+    found = [F.when(v.isNotNull(), F.struct(v.alias("value"), F.lit(source).alias("source"), F.lit(c).alias("confidence"))) for v, source, c in steps if c >= accept]
+    nothing = F.struct(F.lit(None).cast("string").alias("value"), F.lit(None).cast("string").alias("source"), F.lit(None).cast("double").alias("confidence"))
+    return F.coalesce(*found, nothing)
 
 
 def nearest_with_margin(rows: DataFrame, vector: str, known: DataFrame, known_vector: str, name: str, id_: str, least: float, margin: float) -> DataFrame:
     """rows with the known name of highest cosine, null below `least` or where the second is nearer than margin. The known
-    table is a small one (checked before it is broadcast)."""
-    k = small(known.select(F.col(name).alias("_name"), F.col(known_vector).alias("_v")))
-    scored = rows.select(id_, vector).crossJoin(k).select(id_, F.struct(F.round(similarity.cosine(F.col(vector), F.col("_v")), 9).alias("s"), F.col("_name").alias("n")).alias("_s"))
-    top = scored.groupBy(id_).agg(F.max("_s").alias("_first"), F.sort_array(F.collect_list("_s"), False).alias("_all"))
-    second = F.coalesce(F.try_element_at("_all", F.lit(2))["s"], F.lit(-1.0))
-    clear = (F.col("_first.s") >= least) & (F.col("_first.s") - second >= margin)
+    table is a reference of counted, bounded size: it is one broadcast array, and each row keeps its two best names only."""
+    entries = known.select(F.col(name).alias("n"), F.col(known_vector).alias("v"))
+    if entries.limit(REFERENCE_ROWS + 1).count() > REFERENCE_ROWS:
+        raise ValueError(f"the reference has more than {REFERENCE_ROWS} rows: search it with an index")
+    held = rows.select(id_, vector).join(F.broadcast(entries.agg(F.collect_list(F.struct("n", "v")).alias("_known"))))
+    score = lambda k: F.struct(F.round(similarity.cosine(F.col(vector), k.v), 9).alias("s"), k.n.alias("n"))
+    top = held.select(id_, F.slice(F.sort_array(F.transform("_known", score), False), 1, 2).alias("_top")).select(id_, F.try_element_at("_top", F.lit(1)).alias("_first"), F.try_element_at("_top", F.lit(2)).alias("_second"))
+    clear = (F.col("_first.s") >= least) & (F.col("_first.s") - F.coalesce("_second.s", F.lit(-1.0)) >= margin)
     return rows.join(top.select(id_, F.when(clear, F.col("_first.n")).alias("match"), F.round("_first.s", 6).alias("score")), id_, "left")
 
 

@@ -150,6 +150,62 @@ def fingerprint(tiers: list[list[Column]]) -> Column:
     return F.struct(tier.alias("tier"), digest.alias("fingerprint"))
 
 
+#: Weights by which a row without a fingerprint is attached, and what they must reach; weights of two people.
+ATTACH = {"name": 0.40, "relative": 0.30, "relation": 0.15, "gender": 0.10, "age": 0.03, "locality": 0.015, "phone": 0.005}
+PERSON = {"name": 0.50, "relative": 0.30, "gender": 0.10, "locality": 0.10}
+LEAST = 0.65
+
+
+def _slip(a: Column, b: Column, most: int = 3) -> Column:
+    """Whether two texts of more than four letters differ by so many edits at most."""
+    return (F.least(F.length(a), F.length(b)) > 4) & (F.levenshtein(a, b) <= most)
+
+
+def attach_evidence(a: dict[str, Column], b: dict[str, Column]) -> dict[str, Column]:
+    """A value between 0 and 1 per weight of ATTACH; 0 where either side is blank."""
+    filled = lambda f: T.blank_to_null(a[f].cast("string")).isNotNull() & T.blank_to_null(b[f].cast("string")).isNotNull()
+
+    def likely(f: str) -> Column:
+        x, y = T.normal_name(a[f]), T.normal_name(b[f])
+        u, v = similarity.words(x), similarity.words(y)
+        overlap = F.size(F.array_intersect(u, v)) / F.greatest(F.size(F.array_union(u, v)), F.lit(1))
+        return F.when(_slip(x, y), 1.0).otherwise(F.greatest(similarity.levenshtein_similarity(x, y), overlap))
+
+    apart = F.abs(a["age"].cast("int") - b["age"].cast("int"))
+    first = lambda f, p: F.lower(F.left(F.trim(p[f]), F.lit(1)))
+    digits = lambda p: T.phone_digits(p["phone"])
+    rules = {
+        "name": likely("name"), "relative": likely("relative"), "relation": (T.normal_name(a["relation"]) == T.normal_name(b["relation"])).cast("double"), "gender": (first("gender", a) == first("gender", b)).cast("double"),
+        "age": F.when(apart == 0, 1.0).when(apart <= 2, 0.8).when(apart <= 5, 0.5).otherwise(0.0), "locality": similarity.levenshtein_similarity(T.normal_name(a["locality"]), T.normal_name(b["locality"])), "phone": (digits(a) == digits(b)).cast("double"),
+    }
+    return {f: F.when(filled(f), rules[f]).otherwise(0.0) for f in a}
+
+
+def person_score(a: dict[str, Column], b: dict[str, Column]) -> Column:
+    """How much two people (name, relative, gender, locality) are alike, by the ensemble of string scores."""
+    value = lambda f: F.when((F.coalesce(a[f], F.lit("")) != "") & (F.coalesce(b[f], F.lit("")) != ""), similarity.ensemble(T.normal_name(a[f]), T.normal_name(b[f]))).otherwise(0.0)
+    gender = F.coalesce((F.lower(F.left(a["gender"], F.lit(1))) == F.lower(F.left(b["gender"], F.lit(1)))).cast("double"), F.lit(0.0))
+    return F.round(sum((w * (gender if f == "gender" else value(f)) for f, w in PERSON.items()), F.lit(0.0)), 3)
+
+
+def attach(known: DataFrame, rows: DataFrame, id_: str, person: str, fields: dict[str, str]) -> DataFrame:
+    """rows (id) with attached_to, the known person of the highest score from LEAST on (ties: the smaller id), and that score.
+    Rows resolve against the known people only, so the result does not depend on their order. Candidates have the first
+    three letters of a name's first word in common, or all of a phone number."""
+    from .joins import small
+
+    def keyed(df: DataFrame, side: str) -> DataFrame:
+        keys = F.array_distinct(F.array_compact(F.array(F.concat(F.lit("p:"), F.left(T.normal_name(F.col(fields["name"])), F.lit(3))), F.when(F.length(T.phone_digits(F.col(fields["phone"]))) == 10, F.concat(F.lit("t:"), T.phone_digits(F.col(fields["phone"])))))))
+        return df.select(F.col(id_).alias(f"_{side}"), F.col(person).alias(side), F.explode(keys).alias("_key"))
+
+    pairs = keyed(rows, "r").join(small(keyed(known, "k")), "_key").drop("_key").dropDuplicates(["_r", "_k"])
+    side = lambda s: {f: F.col(f"{s}.{c.removeprefix(f'{person}.')}") for f, c in fields.items()}
+    evidence = attach_evidence(side("r"), side("k"))
+    scored = pairs.withColumn("_score", sum((w * evidence[f] for f, w in ATTACH.items()), F.lit(0.0))).where(F.col("_score") >= LEAST)
+    best = scored.groupBy("_r").agg(F.max(F.struct("_score", (-F.col("_k")).alias("n"))).alias("_best"))
+    return rows.join(best, rows[id_] == best["_r"], "left").select(rows[id_], (-F.col("_best.n")).alias("attached_to"), F.col("_best._score").alias("score"))
+
+
 def completeness(*columns: Column) -> Column:
     """Share of filled columns."""
     return sum((T.blank_to_null(c.cast("string")).isNotNull().cast("int") for c in columns), F.lit(0)) / float(len(columns))

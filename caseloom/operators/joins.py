@@ -63,34 +63,57 @@ def blocked_pairs(rows: DataFrame, id_: str, keys: Column, most: int | None = No
     return exploded.join(other, "key").where("a < b").select("a", "b").distinct()
 
 
+def name_keys(name: Column) -> Column:
+    """Block keys of a lower-case name: the whole of it, its first three letters, its words of more than three letters."""
+    words = F.transform(F.filter(F.split(name, " "), lambda w: F.length(w) > 3), lambda w: F.concat(F.lit("w:"), w))
+    return F.concat(F.array(F.concat(F.lit("n:"), name), F.concat(F.lit("p:"), F.left(name, F.lit(3)))), words)
+
+
 def common_keys(rows: DataFrame, id_: str, keys: Column, most: int) -> DataFrame:
     return rows.select(F.col(id_), F.explode(F.array_distinct(keys)).alias("key")).groupBy("key").count().where(F.col("count") > most)
 
 
 def best_match(rows: DataFrame, text: str, known: DataFrame, name: str, similarity, least: float, parent: str | None = None) -> DataFrame:
-    """rows with the most similar name of a small table (within the same parent, if one is named) and its score; null
-    below `least`. Ties go to the first name. Distinct texts are matched once; candidates share a trigram."""
+    """rows with the most similar name of a table (within the same parent, if one is named) and its score; null below
+    `least`. Ties go to the first name. Distinct texts are matched once. similarity: a Jaccard similarity of trigrams; two
+    texts of `least` or more must share a trigram among the first n - ceil(least * n) + 1 in a fixed order, so only these
+    make candidates."""
     from ..functions.similarity import trigrams
 
     p = [parent] if parent else []
+
+    def prefixes(df: DataFrame, c: str) -> DataFrame:
+        grams = F.array_sort(F.transform(trigrams(F.col(c)), lambda g: F.struct(F.xxhash64(g).alias("h"), g.alias("g"))))
+        n = F.size("_grams")
+        kept = F.slice("_grams", 1, (n - F.ceil(n * F.lit(least) - F.lit(1e-6)) + 1).cast("int"))
+        return df.withColumn("_grams", grams).where(n > 0).withColumn("_gram", F.explode(F.transform(kept, lambda x: x.g))).drop("_grams")
+
     texts = rows.select(text, *p).where(F.col(text).isNotNull()).distinct()
-    a = texts.select(text, *p, F.explode(trigrams(F.col(text))).alias("_gram"))
-    b = known.select(F.col(name).alias("_name"), *p).distinct()
-    b = b.select("*", F.explode(trigrams(F.col("_name"))).alias("_gram"))
-    pairs = a.join(small(b), ["_gram", *p]).select(text, *p, "_name").distinct()
+    b = prefixes(known.select(F.col(name).alias("_name"), *p).distinct(), "_name")
+    pairs = prefixes(texts, text).join(small(b), ["_gram", *p]).select(text, *p, "_name").distinct()
     scored = pairs.withColumn("score", similarity(F.col(text), F.col("_name"))).where(F.col("score") >= least)
     best = first_per_key(scored, [text, *p], F.desc("score"), F.col("_name")).withColumnRenamed("_name", "match")
     return rows.join(best, [text, *p], "left")
 
 
+def containing(texts: DataFrame, text: str, known: DataFrame, part: str) -> DataFrame:
+    """Pairs of a text and a known part of three letters or more that it contains: a part is looked up by one three-letter
+    string of its own, so no text meets parts that it has nothing of."""
+    threes = lambda c: F.transform(F.sequence(F.lit(1), F.length(c) - 2), lambda i: F.substring(c, i, F.lit(3)))
+    own = F.array_min(F.transform(threes(F.col(part)), lambda g: F.struct(F.xxhash64(g).alias("h"), g.alias("g"))))["g"]
+    keyed = known.where(F.length(part) > 2).withColumn("_three", own)
+    cut = texts.where(F.length(text) > 2).withColumn("_three", F.explode(F.array_distinct(threes(F.col(text)))))
+    return cut.join(small(keyed), "_three").where(F.col(text).contains(F.col(part))).drop("_three")
+
+
 def lookup_ladder(rows: DataFrame, text: str, known: DataFrame, raw: str, standard: str, similarity, least: float) -> DataFrame:
     """standard name by exact match, else the longest known name inside the text, else the most similar; and which."""
     low = F.lower(F.trim(F.col(text)))
-    k = small(known.select(F.lower(F.trim(F.col(raw))).alias("_raw"), F.col(standard).alias("_std")).dropDuplicates(["_raw"]))
+    k = known.groupBy(F.lower(F.trim(F.col(raw))).alias("_raw")).agg(F.min(standard).alias("_std"))
     texts = rows.select(low.alias("_text")).where("_text IS NOT NULL").distinct()
     exact = texts.join(k, F.col("_text") == F.col("_raw")).select("_text", F.col("_std").alias("_exact"))
-    inside = texts.join(k, F.col("_text").contains(F.col("_raw")) & (F.length("_raw") > 2)).groupBy("_text").agg(F.max_by("_std", F.struct(F.length("_raw"), "_raw")).alias("_inside"))
-    near = best_match(texts, "_text", known.select(F.lower(F.trim(F.col(raw))).alias("_raw2")), "_raw2", similarity, least).join(k, F.col("match") == F.col("_raw")).select("_text", F.col("_std").alias("_near"))
+    inside = containing(texts, "_text", k, "_raw").groupBy("_text").agg(F.max_by("_std", F.struct(F.length("_raw"), "_raw")).alias("_inside"))
+    near = best_match(texts, "_text", k.select(F.col("_raw").alias("_raw2")), "_raw2", similarity, least).join(k, F.col("match") == F.col("_raw")).select("_text", F.col("_std").alias("_near"))
     ladder = texts.join(exact, "_text", "left").join(inside, "_text", "left").join(near, "_text", "left")
     ladder = ladder.select("_text", F.coalesce("_exact", "_inside", "_near").alias("standard_name"), F.when(F.col("_exact").isNotNull(), "exact").when(F.col("_inside").isNotNull(), "contains").when(F.col("_near").isNotNull(), "similar").alias("matched_by"))
     return rows.withColumn("_text", low).join(ladder, "_text", "left").drop("_text")

@@ -16,10 +16,10 @@ from .joins import first_per_key
 
 
 def last_of_key(rows: DataFrame, keys: list[str], order: Column) -> DataFrame:
-    """Of rows with one key the last in order, and how many there were."""
-    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("occurrences"))
-    on = reduce(and_, (F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys))
-    return first_per_key(rows, keys, order.desc()).alias("l").join(counted.alias("r"), on).select("l.*", "r.occurrences")
+    """Of rows with one key the last in order (a value that can be compared), and how many there were: one grouping, which
+    combines before it shuffles."""
+    best = rows.groupBy(*keys).agg(F.max_by(F.struct(*rows.columns), order).alias("_last"), F.count(F.lit(1)).alias("occurrences"))
+    return best.select("_last.*", "occurrences")
 
 
 def merge(old: DataFrame, new: DataFrame, keys: list[str], values: list[str], keep_old_where_null: bool = False, newer: str | None = None) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -81,21 +82,28 @@ def route(rows: DataFrame, column: str, targets: dict[str, Column]) -> dict[str,
     return {name: rows.where(F.coalesce(condition, F.lit(False))) for name, condition in targets.items()}
 
 
-#: Words of a role, in the order in which they are tested.
-ROLES = {
-    "manufacturer": "manufactur|prepar(?:ed|ing)|cook(?:ed|ing)",
-    "processor": "process(?:ed|ing)|pack(?:ed|ing)",
-    "supplier": "suppl(?:y|ied|ier)|procur",
-    "peddler": "peddl|sell|sold|sale",
-    "transporter": "transport|carr(?:y|ied|ier)|courier|driver",
-    "harbourer": "harbou?r|shelter|hid(?:den|ing)",
-    "financier": "financ|fund(?:ed|ing)|invest",
-    "consumer": "consum|smok|addict",
-}
+#: What a text about a role holds, class by class in the order in which they are tested. (Words that hold
+#: another word of their class are not repeated.)
+ROLES = (
+    ("peddler", ("selling", "sold", "retailer", "street dealer", "waiting for customers", "sale of", "business", "to sell", "distributing", "pushing", "hawking", "street sale", "spot sale", "trafficking", "peddling")),
+    ("consumer", ("consuming", "consumption", "smoking", "urine test", "tested positive", "for personal use", "for self use", "addict", "consumed", "using drugs", "drug user", "under influence", "for own use")),
+    ("organizer_kingpin", ("mastermind", "kingpin", "organizer", "planned the operation", "network leader", "head of", "directed", "controlled", "ringleader", "boss", "gang leader", "in-charge", "overseeing", "coordinating", "managing the operation")),
+    ("supplier", ("supplied", "supplier", "distributor", "wholesaler", "bulk", "large quantity", "provided drugs to", "source of", "procured", "transport", "carrying", "delivering", "courier", "driver", "dispatch", "shipment", "transit", "receiver", "recipient", "received from", "crime vehicle", "owner of the vehicle", "brought from", "bought from", "hand over")),
+    ("manufacturer", ("manufactured", "production of", "producing", "growing", "cultivator", "farm", "cultivated", "grown", "grower", "cultivation", "producer")),
+    ("harbourer", ("shelter", "safe house", "lodge owner", "rented room", "harboured", "concealed", "premises used", "hiding", "stash house", "storing at", "stored at", "kept at", "concealing")),
+    ("financier", ("finance", "funded", "funding", "investor", "invested", "money launder", "provided capital", "backer", "sponsored", "money for purchase", "provided money", "lender")),
+    ("processor", ("processed ganja", "converted", "refined", "chemical processing", "lab", "processing", "packaging", "packed", "mixing", "adulteration", "weighing and packing")),
+    ("peddler", ("caught with", "possession", "purchasing", "purchased", "bought", "buy", "small scale")),
+)
+
+
+def holds(c: Column, words: tuple[str, ...]) -> Column:
+    """Whether a text holds any of some words, in any case."""
+    return F.coalesce(F.lower(c).rlike("|".join(map(re.escape, words))), F.lit(False))
 
 
 def role(c: Column) -> Column:
-    return ladder([(F.lower(c).rlike(p), name) for name, p in ROLES.items()], "unknown")
+    return ladder([(holds(c, words), name) for name, words in ROLES], "unknown")
 
 
 def is_minor(age: Column, *texts: Column) -> Column:
@@ -104,17 +112,28 @@ def is_minor(age: Column, *texts: Column) -> Column:
     return F.coalesce(age.between(1, 17), F.lit(False)) | word
 
 
-#: Signs of a seizure, and of no more than use or test.
-SEIZED = r"(?i)\b(?:seiz|recover|found in possession|packet|contraband)"
-USE_ONLY = r"(?i)\b(?:consum|tested positive|urine|smok)"
-EQUIPMENT = r"(?i)\b(?:ocb|rolling paper|chillum|hookah|lighter)\b"
-
-
-def seizure_filter(sentence: Column) -> Column:
-    """struct(keep, reason) of a sentence about a drug."""
-    seized = F.coalesce(sentence.rlike(SEIZED), F.lit(False))
-    reason = ladder([(sentence.rlike(EQUIPMENT), "EQUIPMENT"), (~seized & sentence.rlike(USE_ONLY), "CONSUMPTION_ONLY"), (~seized & sentence.rlike(r"(?i)\b(?:sold|selling)\b"), "SALE_ONLY"), (~seized, "NO_SEIZURE")])
-    return F.struct(reason.isNull().alias("keep"), reason.alias("reason"))
+#: Signs of a seizure, of use or a test, of a sale, and of equipment; and what joins a drug to its seizure.
+SEIZED = ("seized", "confiscated", "recovered", "found with", "caught with", "arrested with", "possessed of", "possession", "contraband", "apprehended")
+USED = ("tested positive", "positive for", "urine test", "drug test", "detected in test", "found positive", "positive in test", "smoked", "consumed", "ingested", "consumption", "drank", "drink")
+SOLD = ("sold to", "sold by", "sold for", "selling to", "buyer", "customers", "purchased", "transaction", "transacted", "dealt to", "given to", "distributed to", "bought")
+EQUIPMENT = ("urine sample", "drug testing kit", "test kit", "testing kit", "positive indication", "positive result", "matchbox", "matchsticks", "hollow pen tube", "thums up bottle", "plastic bottle", "bottle fitted", "panchanama", "photographs and videography", "nearby bushes")
+SEIZURE_OF = ("seized", "confiscated", "recovered", "found with", "apprehended with", "caught with", "arrested with", "in possession of", "possession of", "possessed")
+
+
+def seizure_filter(sentence: Column, text: Column | None = None, drug: Column | None = None) -> Column:
+    """struct(keep, reason) of a sentence about a drug, in its text: use or sale alone is no seizure; a sentence without any
+    sign counts if its text has one; equipment counts only where the sentence joins the drug's name to a seizure (within
+    80 characters, in one clause)."""
+    seized = holds(sentence, SEIZED)
+    whole = seized if text is None else seized | holds(text, SEIZED)
+    reason = [(holds(sentence, USED) & ~seized, "CONSUMPTION_ONLY"), (holds(sentence, SOLD) & ~seized, "SALE_ONLY"), (~whole & F.coalesce(F.trim(sentence) != "", F.lit(False)), "NO_SEIZURE")]
+    if drug is not None:
+        name = F.concat(F.lit(r"\b\Q"), F.lower(F.trim(drug)), F.lit(r"\E\b"))
+        terms, gap = f"(?:{'|'.join(SEIZURE_OF)})", r"[^.\n]{0,80}"
+        joined = F.regexp_like(F.lower(sentence), F.concat(F.lit(terms + gap), name, F.lit("|"), name, F.lit(gap + terms)))
+        reason.append((holds(sentence, EQUIPMENT) & ~F.coalesce(joined & (F.trim(drug) != ""), F.lit(False)), "EQUIPMENT"))
+    found = ladder(reason)
+    return F.struct(found.isNull().alias("keep"), found.alias("reason"))
 
 
 def creation_gate(name: Column, text: Column, known: Column) -> Column:

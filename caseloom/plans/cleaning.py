@@ -27,7 +27,11 @@ def normal_names(t):
 @R.query("""SELECT c_custkey, c_name AS cleaned FROM customer""")
 def clean_full_names(t):
     """remarks around a name are taken off again."""
-    noisy = F.concat(F.lit("A-"), F.col("c_custkey") % 9 + 1, F.lit(") "), "c_name", F.lit(" s/o X, age: "), F.col("c_custkey") % 60 + 18, F.lit(" yrs, cell: 9876501234 (Absconding) @ zed"))
+    remarks = (
+        " s/o X, age: 30 yrs, cell: 9876501234 (Absconding) @ zed", ", 25 yrs, Caste: abc, r/o some place, town", " \u2706 9876501234, H.No. 1-23", " (Adhaar No. 1234 5678 9012)", " driver of a lorry, n/o there",
+        " (main receiver), d/o Y", " (UT prisoner no. 55), Ph.No: 12345", " owner of bolero vehicle", " CRPF 12th battalion", " and others",
+    )
+    noisy = F.concat(F.lit("A-"), F.col("c_custkey") % 9 + 1, F.lit(") "), "c_name", F.element_at(F.array(*map(F.lit, remarks)), (F.col("c_custkey") % len(remarks) + 1).cast("int")))
     return t.customer.select("c_custkey", T.clean_full_name(noisy).alias("cleaned"))
 
 
@@ -177,18 +181,42 @@ def domicile_class(t):
     return j.select("c_custkey", rules.domicile(state, F.lit(" "), F.lit(None).cast("string"), F.col("r_name"), F.lit("x"), "asia", "home", ["other"]).alias("domicile"))
 
 
-@R.query("""SELECT l_orderkey, l_linenumber, l_partkey, CASE l_linenumber % 8 WHEN 0 THEN 'supplier' WHEN 1 THEN 'peddler' WHEN 2 THEN 'transporter' WHEN 3 THEN 'consumer' WHEN 4 THEN 'manufacturer' WHEN 5 THEN 'financier' WHEN 6 THEN 'harbourer' ELSE 'unknown' END AS role, l_quantity < 18 AS minor FROM lineitem""")
+ROLE_TEXTS = ("Supplied ganja", "was SELLING it near the school", "driver of the crime vehicle", "tested positive", "manufactured at home", "funded the deal", "gave them shelter", "was present", "mastermind of the gang", "caught with a packet", "packed and sold it")
+ONE_TEXT = "[{}][1 + (l_linenumber + l_partkey) % {}]"
+
+
+def one_text(texts):
+    return F.element_at(F.array(*map(F.lit, texts)), ((F.col("l_linenumber") + F.col("l_partkey")) % len(texts) + 1).cast("int"))
+
+
+def one_text_sql(texts):
+    return ONE_TEXT.format(", ".join("'" + x.replace("'", "''") + "'" for x in texts), len(texts))
+
+
+def held_sql(text, words):
+    return f"coalesce(len(list_filter([{', '.join(chr(39) + w + chr(39) for w in words)}], lambda w: contains(lower({text}), w))) > 0, false)"
+
+
+@R.query(f"""WITH x AS (SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, {one_text_sql(ROLE_TEXTS)} AS text FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_partkey, CASE {' '.join(f"WHEN {held_sql('text', words)} THEN '{name}'" for name, words in rules.ROLES)} ELSE 'unknown' END AS role, l_quantity < 18 AS minor FROM x""")
 def role_and_minor(t):
     """D12 D13"""
-    text = F.element_at(F.array(*map(F.lit, ("Supplied ganja", "was selling", "Transported by car", "consumes", "manufactured", "funded", "sheltered", "present"))), (F.col("l_linenumber") % 8 + 1).cast("int"))
-    return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", rules.role(text).alias("role"), rules.is_minor(F.col("l_quantity").cast("int"), F.lit("")).alias("minor"))
+    return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", rules.role(one_text(ROLE_TEXTS)).alias("role"), rules.is_minor(F.col("l_quantity").cast("int"), F.lit("")).alias("minor"))
+
 
+SEIZURE_TEXTS = ("seized 2 kg ganja and consumed", "tested positive for ganja", "they sold to a buyer", "he spoke of ganja", "matchbox and ganja residue, test kit used and item seized. Later", "ganja in a matchbox was seized", "Apprehended with ganja", "")
 
-@R.query("""SELECT l_orderkey, l_linenumber, l_partkey, l_linenumber % 5 IN (0) AS keep, CASE l_linenumber % 5 WHEN 1 THEN 'CONSUMPTION_ONLY' WHEN 2 THEN 'SALE_ONLY' WHEN 3 THEN 'NO_SEIZURE' WHEN 4 THEN 'EQUIPMENT' END AS reason FROM lineitem""")
+
+@R.query(f"""WITH x AS (SELECT l_orderkey, l_linenumber, l_partkey, {one_text_sql(SEIZURE_TEXTS)} AS s, CASE WHEN l_linenumber % 2 = 0 THEN 'contraband was recovered' ELSE 'nothing' END AS whole FROM lineitem),
+m AS (SELECT *, {held_sql('s', rules.SEIZED)} AS seized, {held_sql('whole', rules.SEIZED)} AS elsewhere, {held_sql('s', rules.USED)} AS used, {held_sql('s', rules.SOLD)} AS sold, {held_sql('s', rules.EQUIPMENT)} AS tools,
+  regexp_matches(lower(s), '({'|'.join(rules.SEIZURE_OF)})[^.\\n]{{0,80}}\\bganja\\b|\\bganja\\b[^.\\n]{{0,80}}({'|'.join(rules.SEIZURE_OF)})') AS joined FROM x),
+r AS (SELECT *, CASE WHEN used AND NOT seized THEN 'CONSUMPTION_ONLY' WHEN sold AND NOT seized THEN 'SALE_ONLY' WHEN NOT seized AND NOT elsewhere AND trim(s) <> '' THEN 'NO_SEIZURE' WHEN tools AND NOT joined THEN 'EQUIPMENT' END AS reason FROM m)
+SELECT l_orderkey, l_linenumber, l_partkey, reason IS NULL AS keep, reason FROM r""")
 def seizure_filter(t):
     """P12"""
-    s = F.element_at(F.array(*map(F.lit, ("seized 2 kg ganja and consumed", "tested positive for it", "they sold ganja", "he spoke of it", "rolling paper seized"))), (F.col("l_linenumber") % 5 + 1).cast("int"))
-    return t.lineitem.withColumn("f", rules.seizure_filter(s)).select("l_orderkey", "l_linenumber", "l_partkey", "f.keep", "f.reason")
+    whole = F.when(F.col("l_linenumber") % 2 == 0, "contraband was recovered").otherwise("nothing")
+    f = rules.seizure_filter(one_text(SEIZURE_TEXTS), whole, F.lit("ganja"))
+    return t.lineitem.withColumn("f", f).select("l_orderkey", "l_linenumber", "l_partkey", "f.keep", "f.reason")
 
 
 @R.query("""SELECT p_partkey, p_type FROM part WHERE lower(p_type) NOT IN (SELECT lower(p_type) FROM part WHERE p_partkey < 3) AND NOT contains(lower(p_brand), '#3')""")
@@ -301,10 +329,17 @@ def valid_names(t):
     return t.customer.select("c_custkey", T.valid_person_name(T.title_case(F.concat(F.lit("ram "), "c_name"), ("PS",))).alias("valid"))
 
 
-@R.query()
+@R.query("SELECT doc_id, length(strip_accents(text)) AS n, md5(strip_accents(text)) AS md5 FROM documents")
 def accent_free(t):
     """F13"""
-    return t.documents.where("lang <> 'en'").select("doc_id", F.length(similarity.strip_accents("text")).alias("n"))
+    return t.documents.select("doc_id", similarity.strip_accents("text").alias("plain")).select("doc_id", F.length("plain").cast("long").alias("n"), F.md5("plain").alias("md5"))
+
+
+@R.query("SELECT c_custkey, concat(CASE c_custkey % 3 WHEN 0 THEN 'rm' WHEN 1 THEN 'raamu' ELSE 'plain' END, ' ', c_name) AS latin FROM customer")
+def latin_names(t):
+    """names in Devanagari, Telugu and Latin letters."""
+    indic = F.element_at(F.array(F.lit("\u0930\u092e"), F.lit("\u0c30\u0c3e\u0c2e\u0c41"), F.lit("plain")), (F.col("c_custkey") % 3 + 1).cast("int"))
+    return t.customer.select("c_custkey", T.latin(F.concat_ws(" ", indic, "c_name")).alias("latin"))
 
 
 @R.query("SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_linenumber % 2 = 1 THEN 'named' ELSE 'first_person' END AS attribution FROM lineitem")

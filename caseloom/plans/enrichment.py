@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import similarity
 from ..functions import text as T
-from ..operators import enrich, rules
+from ..operators import enrich, rules, vectors
 from .base import Registry
 
 R = Registry()
@@ -32,23 +32,30 @@ def mirrored_slots(t):
     return rows.withColumns(enrich.mirror(["perm"], ["pres"]))
 
 
-@R.query("""SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 'Female' WHEN 1 THEN 'Male' WHEN 2 THEN 'Female' END AS value, CASE c_custkey % 4 WHEN 0 THEN 'given' WHEN 1 THEN 'title' WHEN 2 THEN 'rule' END AS source,
- CASE c_custkey % 4 WHEN 0 THEN 1.0::DOUBLE WHEN 1 THEN 0.95::DOUBLE WHEN 2 THEN 0.9::DOUBLE END AS confidence FROM customer""")
+ENDINGS = ("Ramesh", "Lakshmi Devi", "Venkat Reddy", "Sunitha", "Zyx", "Anil Kumar", "Kavya s/o Ravi")
+
+
+@R.query(f"""WITH p AS (SELECT c_custkey, c_custkey % 4 AS k, lower(split_part([{', '.join(f"'{e}'" for e in ENDINGS)}][1 + c_custkey % {len(ENDINGS)}], ' s/o', 1)) AS who FROM customer),
+e AS (SELECT *, CASE WHEN regexp_matches(who, '({'|'.join(enrich.NEUTRAL_ENDS)})$') THEN NULL WHEN regexp_matches(who, '({'|'.join(enrich.MALE_ENDS)})$') THEN 'Male' WHEN regexp_matches(who, '({'|'.join(enrich.FEMALE_ENDS)})$') THEN 'Female' END AS by_end FROM p)
+SELECT c_custkey, CASE k WHEN 0 THEN 'Female' WHEN 1 THEN 'Male' WHEN 2 THEN 'Female' ELSE by_end END AS value, CASE k WHEN 0 THEN 'given' WHEN 1 THEN 'title' WHEN 2 THEN 'rule' ELSE CASE WHEN by_end IS NOT NULL THEN 'suffix' END END AS source,
+ CASE k WHEN 0 THEN 1.0::DOUBLE WHEN 1 THEN 0.95::DOUBLE WHEN 2 THEN 0.9::DOUBLE ELSE CASE WHEN by_end IS NOT NULL THEN 0.65::DOUBLE END END AS confidence FROM e""")
 def gender_sources(t):
     """D9 D24"""
     k = F.col("c_custkey") % 4
-    g = enrich.gender(F.when(k == 0, " F "), F.when(k == 1, F.concat(F.lit("Mr. "), "c_name")).otherwise(F.col("c_name")), F.when(k == 2, F.lit("Female")))
+    ending = F.element_at(F.array(*map(F.lit, ENDINGS)), (F.col("c_custkey") % len(ENDINGS) + 1).cast("int"))
+    who = F.regexp_replace(ending, " s/o.*", "")
+    g = enrich.gender(F.when(k == 0, " F "), F.when(k == 1, F.concat(F.lit("Mr. "), "c_name")).when(k == 2, F.col("c_name")).otherwise(who), F.when(k == 2, F.lit("Female")))
     return t.customer.select("c_custkey", g.alias("g")).select("c_custkey", "g.value", "g.source", "g.confidence")
 
 
-@R.query("""WITH k AS (SELECT vec_id AS name, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id < 20), s AS (SELECT e.vec_id, k.name, round(list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), k.v), 9) AS s FROM embeddings e, k WHERE e.vec_id % 10 = 0),
+@R.query("""WITH x AS (SELECT label, i, avg(v) AS m FROM (SELECT label, unnest(CAST(embedding AS DOUBLE[])) AS v, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings) GROUP BY label, i), k AS (SELECT label AS name, list(m ORDER BY i) AS v FROM x GROUP BY label),
+s AS (SELECT e.vec_id, k.name, round(list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), k.v), 9) AS s FROM embeddings e, k),
 r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, name DESC) AS n, lead(s) OVER (PARTITION BY vec_id ORDER BY s DESC, name DESC) AS second FROM s)
 SELECT vec_id, CASE WHEN s >= 0.2 AND s - second >= 0.01 THEN name END AS match, round(s, 6) AS score FROM r WHERE n = 1""")
 def nearest_reference(t):
-    """A reference of 20 vectors; an ambiguous match stays open."""
-    known = t.embeddings.where("vec_id < 20").select(F.col("vec_id").alias("name"), F.col("embedding").alias("v"))
-    rows = t.embeddings.where("vec_id % 10 = 0").select("vec_id", "embedding")
-    return enrich.nearest_with_margin(rows, "embedding", known, "v", "name", "vec_id", 0.2, 0.01).select("vec_id", "match", "score")
+    """Every row against the mean vector of each label; an ambiguous match stays open."""
+    known = vectors.centroids(t.embeddings, "embedding", "label")
+    return enrich.nearest_with_margin(t.embeddings, "embedding", known, "v", "label", "vec_id", 0.2, 0.01).select("vec_id", "match", "score")
 
 
 @R.query("""SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment ELSE 'x' END AS relation, CASE WHEN c_custkey % 3 = 0 THEN 'place' END AS place, concat_ws(',', CASE WHEN c_custkey % 3 = 0 THEN 'place=extracted' END, concat('relation=', CASE WHEN c_custkey % 2 = 0 THEN 'stored' ELSE 'extracted' END)) AS came FROM customer""")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import nested, similarity
 from ..functions import text as T
-from ..operators import aggregates, joins, merge
+from ..operators import aggregates, joins, merge, vectors
 from .base import Registry
 
 R = Registry()
@@ -93,10 +93,10 @@ def distinct_over_union(t):
     return u.groupBy("k").agg(F.array_join(nested.sorted_set(F.col("who")), ",").alias("kinds"))
 
 
-@R.query("SELECT DISTINCT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)")
+@R.query("SELECT DISTINCT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL AND o_totalprice > 400000)")
 def fetched_not_processed(t):
     """U4"""
-    return t.customer.select("c_custkey").join(t.orders.select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti").distinct()
+    return t.customer.select("c_custkey").join(t.orders.where("o_totalprice > 400000").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti").distinct()
 
 
 @R.query("""SELECT e.event_id, e.event_type, c_name AS parent_name FROM events e JOIN customer ON c_custkey = user_id WHERE event_type = 'click'
@@ -134,16 +134,26 @@ def three_levels(t):
 TRGM = "list_distinct(flatten(list_transform(list_filter(string_split_regex(lower({c}), '[^a-z0-9]+'), lambda w: w <> ''), lambda w: list_transform(range(1, length(w) + 2), lambda i: substr(concat('  ', w, ' '), i, 3)))))"
 
 
-@R.query(f"""WITH p AS (SELECT DISTINCT p_type FROM part), k AS (SELECT DISTINCT p_type AS name FROM part WHERE p_partkey <= 20),
-x AS (SELECT p_type, name, {TRGM.format(c='p_type')} AS a, {TRGM.format(c='name')} AS b FROM p, k),
-s AS (SELECT p_type, name, len(list_intersect(a, b)) * 1.0 / (len(a) + len(b) - len(list_intersect(a, b))) AS score FROM x),
-r AS (SELECT *, row_number() OVER (PARTITION BY p_type ORDER BY round(score, 9) DESC, name) AS n FROM s WHERE round(score, 9) >= 0.3)
-SELECT p.p_type, name AS match, round(score, 6) AS score FROM p LEFT JOIN r ON r.p_type = p.p_type AND n = 1""")
+SIMILARITY = "len(list_intersect({a}, {b})) * 1.0 / (len({a}) + len({b}) - len(list_intersect({a}, {b})))"
+#: The distinct part names, and each as it is written by mistake: without its last letter and with another word.
+SPELLINGS = "k AS (SELECT DISTINCT lower(p_name) AS name FROM part), w AS (SELECT name AS text FROM k UNION SELECT left(name, length(name) - 1) FROM k UNION SELECT concat('old ', name, ' box') FROM k)"
+
+
+def _spellings(t):
+    k = t.part.select(F.lower("p_name").alias("name")).distinct()
+    variants = [F.col("name"), F.expr("left(name, length(name) - 1)"), F.concat(F.lit("old "), "name", F.lit(" box"))]
+    return k, k.select(F.explode(F.array(*variants)).alias("text")).distinct()
+
+
+@R.query(f"""WITH {SPELLINGS}, x AS (SELECT text, name, {TRGM.format(c='text')} AS a, {TRGM.format(c='name')} AS b FROM w, k),
+s AS (SELECT text, name, {SIMILARITY.format(a='a', b='b')} AS score FROM x),
+r AS (SELECT *, row_number() OVER (PARTITION BY text ORDER BY round(score, 9) DESC, name) AS n FROM s WHERE round(score, 9) >= 0.3)
+SELECT w.text, r.name AS match, round(score, 6) AS score FROM w LEFT JOIN r ON r.text = w.text AND n = 1""")
 def trigram_match(t):
-    """X16 J21 J22"""
+    """Spellings against the table of names."""
     score = lambda a, b: F.round(similarity.trigram_similarity(a, b), 9)
-    known = t.part.where("p_partkey <= 20").select(F.col("p_type").alias("name"))
-    return joins.best_match(t.part.select("p_type").distinct(), "p_type", known, "name", score, 0.3).select("p_type", "match", F.round("score", 6).alias("score"))
+    known, texts = _spellings(t)
+    return joins.best_match(texts, "text", known, "name", score, 0.3).select("text", "match", F.round("score", 6).alias("score"))
 
 
 @R.query("""WITH a AS (SELECT n_name AS x, n_regionkey FROM nation) SELECT a.x, b.x AS y, levenshtein(a.x, b.x) AS d FROM a JOIN a b ON a.n_regionkey = b.n_regionkey AND a.x < b.x WHERE levenshtein(a.x, b.x) <= 8""")
@@ -154,21 +164,24 @@ def levenshtein_match(t):
     return a.join(b, "n_regionkey").where("x < y").withColumn("d", F.levenshtein("x", "y").cast("long")).where("d <= 8").select("x", "y", "d")
 
 
-@R.query("""WITH k AS (SELECT p_partkey, p_name, unnest(list_distinct([concat('p:', substr(lower(p_name), 1, 3)), concat('b:', p_brand, ':', p_size)])) AS key FROM part),
-c AS (SELECT DISTINCT a.p_partkey AS a, b.p_partkey AS b FROM k a JOIN k b ON a.key = b.key AND a.p_partkey < b.p_partkey WHERE a.key LIKE 'b:%')
-SELECT a, b FROM c""")
+@R.query("""WITH n AS (SELECT DISTINCT lower(p_name) AS name FROM part UNION SELECT DISTINCT lower(p_type) FROM part UNION SELECT DISTINCT lower(c_mktsegment) FROM customer),
+k AS (SELECT DISTINCT name, unnest(list_concat([concat('n:', name), concat('p:', left(name, 3))], list_transform(list_filter(string_split(name, ' '), lambda w: length(w) > 3), lambda w: concat('w:', w)))) AS key FROM n)
+SELECT DISTINCT a.name AS a, b.name AS b FROM k a JOIN k b ON a.key = b.key AND a.name < b.name""")
 def blocking_pairs(t):
-    """Shared keys of brand and size."""
-    return joins.blocked_pairs(t.part, "p_partkey", F.array(F.concat_ws(":", F.lit("b"), "p_brand", "p_size")))
+    """Names with the same form, the same first three letters, or a word of more than three letters in common."""
+    names = t.part.select(F.lower("p_name").alias("name")).union(t.part.select(F.lower("p_type"))).union(t.customer.select(F.lower("c_mktsegment"))).distinct()
+    return joins.blocked_pairs(names, "name", joins.name_keys(F.col("name")))
 
 
-@R.query("""WITH k AS (SELECT p_partkey, p_name, p_brand, p_size FROM part) SELECT a.p_partkey AS a, b.p_partkey AS b, round(jaro_winkler_similarity(a.p_name, b.p_name), 6) AS score FROM k a JOIN k b ON a.p_brand = b.p_brand AND a.p_size = b.p_size AND a.p_partkey < b.p_partkey""")
+@R.query("""WITH n AS (SELECT DISTINCT p_brand, p_name FROM part), p AS (SELECT DISTINCT a.p_name AS a, b.p_name AS b FROM n a JOIN n b ON a.p_brand = b.p_brand AND a.p_name < b.p_name) SELECT a, b, round(jaro_winkler_similarity(a, b), 6) AS score FROM p""")
 def jaro_winkler_pairs(t):
-    """Scores only within blocks."""
-    names = t.part.select("p_partkey", "p_name")
-    pairs = joins.blocked_pairs(t.part, "p_partkey", F.array(F.concat_ws(":", "p_brand", "p_size")))
-    both = pairs.join(names.toDF("a", "x"), "a").join(names.toDF("b", "y"), "b")
-    return both.select("a", "b", F.round(similarity.jaro_winkler(F.col("x"), F.col("y")), 6).alias("score"))
+    """Distinct names of one brand, each pair scored once."""
+    return _names_of_one_brand(t).select("a", "b", F.round(similarity.jaro_winkler(F.col("a"), F.col("b")), 6).alias("score"))
+
+
+def _names_of_one_brand(t):
+    n = t.part.select("p_brand", "p_name").distinct()
+    return n.select("p_brand", F.col("p_name").alias("a")).join(n.select("p_brand", F.col("p_name").alias("b")), "p_brand").where("a < b").select("a", "b").distinct()
 
 
 @R.query("""WITH t AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY ts DESC, event_id DESC) AS n, count(*) OVER (PARTITION BY key) AS occurrences FROM (SELECT *, user_id AS key FROM events)) SELECT key, event_id, event_type, occurrences FROM t WHERE n = 1""")
@@ -178,19 +191,19 @@ def last_of_key(t):
     return merge.last_of_key(rows, ["key"], F.struct("ts", "event_id")).select("key", "event_id", "event_type", "occurrences")
 
 
-@R.query("""WITH q AS (SELECT embedding AS e, vec_id FROM embeddings WHERE vec_id = 0) SELECT c.vec_id, round(list_cosine_similarity(CAST(q.e AS DOUBLE[]), CAST(c.embedding AS DOUBLE[])), 6) AS score FROM embeddings c, q WHERE c.vec_id <> q.vec_id ORDER BY list_cosine_similarity(CAST(q.e AS DOUBLE[]), CAST(c.embedding AS DOUBLE[])) DESC, c.vec_id LIMIT 10""")
+VECTORS = "WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings), s AS (SELECT q.vec_id AS query_id, c.vec_id AS id, {score} AS score FROM e q JOIN e c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS n FROM s) SELECT query_id, id, {shown} FROM r WHERE n <= 10"
+
+
+@R.query(VECTORS.format(score="round(list_cosine_similarity(q.v, c.v), 9)", shown="round(score, 6) AS score"))
 def vector_topk_cosine(t):
-    """One query vector, broadcast, against all others."""
-    q = t.embeddings.where("vec_id = 0").select(F.col("embedding").alias("q"), F.col("vec_id").alias("q_id"))
-    s = t.embeddings.join(F.broadcast(q)).where("vec_id <> q_id").withColumn("s", similarity.cosine(F.col("q"), F.col("embedding")))
-    return s.orderBy(F.desc("s"), "vec_id").limit(10).select("vec_id", F.round("s", 6).alias("score"))
+    """The stated queries (ids divisible by 50) against all other rows."""
+    return vectors.top_k(t.embeddings, t.embeddings.where("vec_id % 50 = 0"), "vec_id", "embedding", 10).select("query_id", "id", F.round("score", 6).alias("score"))
 
 
-@R.query("""WITH q AS (SELECT embedding AS e, vec_id FROM embeddings WHERE vec_id = 0) SELECT c.vec_id, round(list_distance(CAST(q.e AS DOUBLE[]), CAST(c.embedding AS DOUBLE[])), 6) AS distance FROM embeddings c, q WHERE c.vec_id <> q.vec_id ORDER BY list_distance(CAST(q.e AS DOUBLE[]), CAST(c.embedding AS DOUBLE[])), c.vec_id LIMIT 10""")
+@R.query(VECTORS.format(score="-round(list_distance(q.v, c.v), 6)", shown="-score AS distance"))
 def vector_topk_l2(t):
-    q = t.embeddings.where("vec_id = 0").select(F.col("embedding").alias("q"), F.col("vec_id").alias("q_id"))
-    s = t.embeddings.join(F.broadcast(q)).where("vec_id <> q_id").withColumn("d", similarity.l2_distance(F.col("q"), F.col("embedding")))
-    return s.orderBy("d", "vec_id").limit(10).select("vec_id", F.round("d", 6).alias("distance"))
+    """O5"""
+    return vectors.top_k(t.embeddings, t.embeddings.where("vec_id % 50 = 0"), "vec_id", "embedding", 10, "l2").select("query_id", "id", (-F.col("score")).alias("distance"))
 
 
 @R.query("""SELECT l_orderkey, len(list_filter(list(l_returnflag), lambda x: x = 'R')) > 0 AS has_returned FROM lineitem GROUP BY l_orderkey""")
@@ -206,37 +219,61 @@ def null_safe_inequality(t):
     return t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"), "left_semi").where(~a.eqNullSafe(b)).select("o_orderkey")
 
 
-@R.query("""WITH w AS (SELECT p_partkey, lower(p_name) AS n FROM part), k AS (SELECT lower(p_name) AS raw, p_brand AS std FROM part WHERE p_partkey % 7 = 0), f AS (SELECT raw, min(std) AS std FROM k GROUP BY raw)
-SELECT p_partkey, f.std AS standard_name, CASE WHEN f.std IS NOT NULL THEN 'exact' END AS matched_by FROM w LEFT JOIN f ON f.raw = w.n""")
+@R.query(f"""WITH {SPELLINGS} SELECT text, k.name AS standard_name, CASE WHEN k.name IS NOT NULL THEN 'exact' END AS matched_by FROM w LEFT JOIN k ON k.name = w.text""")
 def lookup_exact(t):
     """J24, its first step alone"""
-    k = t.part.where("p_partkey % 7 = 0").groupBy(F.lower("p_name").alias("raw")).agg(F.min("p_brand").alias("std"))
-    out = t.part.select("p_partkey", F.lower("p_name").alias("raw")).join(k, "raw", "left")
-    return out.select("p_partkey", F.col("std").alias("standard_name"), F.when(F.col("std").isNotNull(), "exact").alias("matched_by"))
+    known, texts = _spellings(t)
+    out = texts.join(known, F.col("text") == F.col("name"), "left")
+    return out.select("text", F.col("name").alias("standard_name"), F.when(F.col("name").isNotNull(), "exact").alias("matched_by"))
 
 
-@R.query()
+@R.query(f"""WITH {SPELLINGS}, x AS (SELECT text, name, {TRGM.format(c='text')} AS a, {TRGM.format(c='name')} AS b FROM w, k),
+i AS (SELECT text, arg_max(name, struct_pack(n := length(name), s := name)) AS name FROM x WHERE contains(text, name) AND length(name) > 2 GROUP BY text),
+s AS (SELECT text, name, round({SIMILARITY.format(a='a', b='b')}, 9) AS score FROM x),
+r AS (SELECT *, row_number() OVER (PARTITION BY text ORDER BY score DESC, name) AS n FROM s WHERE score >= 0.5)
+SELECT w.text, coalesce(e.name, i.name, r.name) AS standard_name, CASE WHEN e.name IS NOT NULL THEN 'exact' WHEN i.name IS NOT NULL THEN 'contains' WHEN r.name IS NOT NULL THEN 'similar' END AS matched_by
+FROM w LEFT JOIN k e ON e.name = w.text LEFT JOIN i ON i.text = w.text LEFT JOIN r ON r.text = w.text AND r.n = 1""")
 def lookup_ladder(t):
     """Exact, contained, similar."""
-    known = t.part.where("p_partkey % 7 = 0").select(F.col("p_name").alias("raw"), F.col("p_brand").alias("std"))
-    return joins.lookup_ladder(t.part.select("p_partkey", "p_name"), "p_name", known, "raw", "std", similarity.trigram_similarity, 0.5).select("p_partkey", "standard_name", "matched_by")
+    known, texts = _spellings(t)
+    score = lambda a, b: F.round(similarity.trigram_similarity(a, b), 9)
+    return joins.lookup_ladder(texts, "text", known.withColumn("std", F.col("name")), "name", "std", score, 0.5)
 
 
-@R.query()
+@R.query(f"""WITH c AS (SELECT c_custkey, CASE WHEN c_custkey % 10 = 0 THEN concat('Post ', c_mktsegment) WHEN c_custkey % 10 = 1 THEN concat('NATION_', c_nationkey, '.') ELSE 'NATION_1' END AS station FROM customer),
+d AS (SELECT DISTINCT station FROM c), x AS (SELECT station, n_name, n_nationkey, {TRGM.format(c='station')} AS a, {TRGM.format(c='n_name')} AS b FROM d, nation),
+m AS (SELECT station, arg_max(n_nationkey, struct_pack(s := round({SIMILARITY.format(a='a', b='b')}, 9), n := -rank)) AS code FROM (SELECT *, row_number() OVER (PARTITION BY station ORDER BY n_name) AS rank FROM x) WHERE round({SIMILARITY.format(a='a', b='b')}, 9) >= 0.8 GROUP BY station),
+n AS (SELECT station, 8999 + row_number() OVER (ORDER BY station) AS code FROM d WHERE station NOT IN (SELECT station FROM m))
+SELECT c_custkey, c.station, CAST(coalesce(m.code, n.code) AS BIGINT) AS code, m.code IS NULL AS is_new FROM c LEFT JOIN m ON m.station = c.station LEFT JOIN n ON n.station = c.station""")
 def found_or_new_code(t):
     """J23"""
     known = t.nation.select(F.col("n_name").alias("known"), F.col("n_nationkey").alias("code_"))
-    rows = t.customer.select("c_custkey", F.when(F.col("c_custkey") % 10 == 0, F.concat(F.lit("Post "), F.col("c_mktsegment"))).otherwise(F.lit("NATION_1")).alias("station"))
-    return joins.found_or_new(rows, "station", known, "known", "code_", similarity.trigram_similarity, 0.8, 9000).select("c_custkey", "station", "code", "is_new")
+    k = F.col("c_custkey") % 10
+    rows = t.customer.select("c_custkey", F.when(k == 0, F.concat(F.lit("Post "), F.col("c_mktsegment"))).when(k == 1, F.concat(F.lit("NATION_"), "c_nationkey", F.lit("."))).otherwise(F.lit("NATION_1")).alias("station"))
+    score = lambda a, b: F.round(similarity.trigram_similarity(a, b), 9)
+    return joins.found_or_new(rows, "station", known, "known", "code_", score, 0.8, 9000).select("c_custkey", "station", F.col("code").cast("long").alias("code"), "is_new")
+
+
+def _soundex_sql(w: str) -> str:
+    """Soundex of a word of letters: H and W vanish, equal neighbours count once, vowels part them."""
+    coded = f"concat(left(upper({w}), 1), translate(substr(upper({w}), 2), 'HW', ''))"
+    digits = f"translate({coded}, 'AEIOUYHWBFPVCGJKQSXZDTLMNR', '00000077111122222222334556')"
+    for d in "01234567":
+        digits = f"regexp_replace({digits}, '{d}+', '{d}', 'g')"
+    return f"left(concat(left(upper({w}), 1), replace(substr({digits}, 2), '0', ''), '000'), 4)"
+
+
+SOUND_NAMES = "n AS (SELECT DISTINCT lower(p_name) AS name FROM part), v AS (SELECT name FROM n UNION SELECT left(name, length(name) - 1) FROM n UNION SELECT translate(name, 'aeiou', 'eioua') FROM n)"
 
 
-@R.query()
+@R.query(f"""WITH {SOUND_NAMES}, k AS (SELECT name, array_to_string(list_transform(list_distinct(list_filter(string_split(name, ' '), lambda w: w <> '')), lambda w: {_soundex_sql('w')}), '-') AS key FROM v)
+SELECT a.name AS a, b.name AS b FROM k a JOIN k b ON a.key = b.key AND a.name < b.name""")
 def soundex_block(t):
-    """Names that sound alike, here each type and its spelling without the last letter."""
-    types = t.part.select("p_type").distinct()
-    names = types.union(types.select(F.expr("substring(p_type, 1, length(p_type) - 1)")))
-    key = F.transform(similarity.words(T.normal_name(F.col("p_type"))), similarity.soundex_or_zero)
-    return joins.blocked_pairs(names, "p_type", F.array(F.array_join(key, "-")))
+    """X1, and the sound key of J19: names that sound alike, here each name, without its last letter and with other vowels."""
+    n = t.part.select(F.lower("p_name").alias("name")).distinct()
+    v = n.union(n.select(F.expr("left(name, length(name) - 1)"))).union(n.select(F.translate("name", "aeiou", "eioua"))).distinct()
+    key = F.transform(similarity.words(F.col("name")), similarity.soundex_or_zero)
+    return joins.blocked_pairs(v, "name", F.array(F.array_join(key, "-")))
 
 
 @R.query("SELECT DISTINCT lower(trim(r_name)) AS r_name, lower(trim(n_name)) AS n_name FROM nation JOIN region ON n_regionkey = r_regionkey")

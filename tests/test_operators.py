@@ -132,3 +132,30 @@ def test_new_codes_are_numbered_over_ranges(spark):
     assert "SinglePartition" not in out._jdf.queryExecution().executedPlan().toString()
     got = {r.name: (r.code, r.is_new) for r in out.collect()}
     assert got == {n: (9000 + i, True) for i, n in enumerate(sorted(names))} | {"known one": (5, False), None: (None, True)}
+
+
+@pytest.mark.parametrize(("raw", "expected"), [
+    ("Ravi Kumar s/o Ramu, cell: 9876543210", "Ravi Kumar"), ("A-2) Ravi Kumar", "Ravi Kumar"), ("Ravi (Absconding)", "Ravi"), ("Ravi, Age: 30 yrs", "Ravi"), ("Ravi, 30 yrs.", "Ravi"), ("Ravi Caste: x", "Ravi"), ("Ravi ph. no.: 12345", "Ravi"),
+    ("Ravi (Adhaar No. 1234 5678 9012)", "Ravi"), ("Ravi H.No. 1-2", "Ravi"), ("Ravi H/No 12", "Ravi"), ("Ravi and others", "Ravi"), ("Ravi (bulk receiver) Kumar", "Ravi Kumar"), ("Ravi owner of vehicle AB 12", "Ravi"), ("Ravi driver of auto", "Ravi"),
+    ("under trial prisoner at x, Ravi", "Ravi"), ("Ravi (UT prisoner no. 12)", "Ravi"), ("Ravi CRPF 39 battalion", "Ravi"), ("Ravi r/o town, street", "Ravi"), ("Ravi N/o village", "Ravi"), ("Ravi (alias Babu)", "Ravi (alias Babu)"), ("s/o Ramu", "s/o Ramu"), ("Hno Rodriguez", "Hno Rodriguez"), (None, None),
+])
+def test_full_names_without_remarks(spark, raw, expected):
+    assert values(spark, text.clean_full_name(F.lit(raw).cast("string")))[0] == expected
+
+
+@pytest.mark.parametrize(("raw", "expected"), [("found selling and packed it", "peddler"), ("tested positive", "consumer"), ("in-charge of it", "organizer_kingpin"), ("the driver", "supplier"), ("growing plants", "manufacturer"), ("in possession", "peddler"), (None, "unknown"), ("nothing", "unknown")])
+def test_roles(spark, raw, expected):
+    assert values(spark, rules.role(F.lit(raw).cast("string")))[0] == expected
+
+
+def test_indic_letters():
+    letters = text.indic_letters()
+    assert letters["क"] == "k" and letters["ా"] == "aa" and letters["्"] == "" and letters["०"] == " "
+
+
+def test_a_person_is_attached_only_to_a_likely_one(spark):
+    person = "struct<name:string,relative:string,relation:string,gender:string,age:int,locality:string,phone:string>"
+    known = spark.createDataFrame([(1, ("ravi kumar", "ramu", "Father", "Male", 30, "alpha", "8123456780")), (2, ("ravi varma", "somu", "Father", "Male", 50, "beta", None))], f"id long, p {person}")
+    rows = spark.createDataFrame([(-1, ("ravi kumarr", "ramu", "father", "m", 31, "alpha", "+91 8123456780")), (-2, ("ravi", None, None, None, None, None, None)), (-3, (None, None, None, None, None, None, None))], f"id long, p {person}")
+    got = {r.id: r.attached_to for r in identity.attach(known, rows, "id", "p", {c: f"p.{c}" for c in identity.ATTACH}).collect()}
+    assert got == {-1: 1, -2: None, -3: None}
