@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import cleaning, enrichment, identities, maintenance, relations, reports, views
+from . import cleaning, enrichment, identities, lookups, maintenance, relations, reports, views
 
-MODULES = (reports, relations, cleaning, enrichment, maintenance, identities, views)
+MODULES = (reports, relations, cleaning, enrichment, maintenance, identities, views, lookups)
 QUERIES = {name: query for module in MODULES for name, query in module.R.queries.items()}
 ORACLE_SQL = {name: sql for module in MODULES for name, sql in module.R.sql.items()}
 

@@ -18,15 +18,11 @@ AS_OF = "1998-01-01"
 
 
 def items_of_cases(t) -> DataFrame:
-    """case_id, items array<struct(n, part, quantity, flag)>, kinds, quantity."""
+    """case_id, items array<struct(n, part, quantity, flag)>, kinds, counts map<flag, n>, quantity: one grouping."""
     item = F.struct(F.col("l_linenumber").alias("n"), F.col("l_partkey").alias("part"), F.col("l_quantity").alias("quantity"), F.col("l_returnflag").alias("flag"))
-    return t.lineitem.groupBy(F.col("l_orderkey").alias("case_id")).agg(nested.ordered_list(item, F.col("l_linenumber"), F.col("l_partkey"), F.col("l_shipdate")).alias("items"), nested.sorted_set(F.col("l_returnflag")).alias("kinds"), F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("quantity"))
-
-
-def flag_counts(t) -> DataFrame:
-    """case_id, counts map<flag, n>."""
-    c = t.lineitem.groupBy(F.col("l_orderkey").alias("case_id"), "l_returnflag").agg(F.count(F.lit(1)).alias("n"))
-    return c.groupBy("case_id").agg(nested.to_map(F.col("l_returnflag"), F.col("n")).alias("counts"))
+    g = t.lineitem.groupBy(F.col("l_orderkey").alias("case_id")).agg(nested.ordered_list(item, F.col("l_linenumber"), F.col("l_partkey"), F.col("l_shipdate")).alias("items"), nested.sorted_set(F.col("l_returnflag")).alias("kinds"), F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("quantity"))
+    of_kind = F.transform("kinds", lambda k: F.size(F.filter("items", lambda x: x.flag == k)).cast("long"))
+    return g.withColumn("counts", F.map_from_arrays("kinds", of_kind))
 
 
 def places(t) -> DataFrame:
@@ -38,7 +34,7 @@ def case_view(t) -> DataFrame:
     """Cases with at least one item: place, people, items, counts, days until due."""
     person = F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
     c = t.orders.select(F.col("o_orderkey").alias("case_id"), "o_custkey", F.col("o_orderdate").cast("date").alias("registered"), F.col("o_orderstatus").alias("state"))
-    c = c.join(items_of_cases(t), "case_id").join(flag_counts(t), "case_id").join(t.customer, F.col("o_custkey") == F.col("c_custkey"), "left").join(places(t), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    c = c.join(items_of_cases(t), "case_id").join(t.customer, F.col("o_custkey") == F.col("c_custkey"), "left").join(places(t), F.col("c_nationkey") == F.col("n_nationkey"), "left")
     days = dates.sla_days(F.col("quantity") > 100)
     return c.select("case_id", "registered", "state", "station", "district", F.array(person).alias("people"), "items", "kinds", "counts", "quantity", F.date_add("registered", days).alias("due"), dates.sla_bucket(F.col("registered"), F.lit(AS_OF).cast("date"), days).alias("sla"))
 

@@ -14,6 +14,8 @@ def shared_dir(spark: SparkSession) -> str:
         return folder.rstrip("/")
     context = spark.sparkContext
     if not context.getCheckpointDir():
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="caseloom-"))
     return context.getCheckpointDir().rstrip("/")
 

@@ -9,9 +9,10 @@ from pyspark.sql import types as T
 from ..functions.text import blank_to_null
 
 
-def api_records(spark: SparkSession, path: str, record: str) -> DataFrame:
-    """Rows of landed responses {status, data: [record]}; record is a DDL of its fields. Failed responses give none."""
-    answers = spark.read.schema(f"status boolean, data array<struct<{record}>>").option("multiLine", True).json(path)
+def api_records(spark: SparkSession, path: str, record: str, multi_line: bool = True) -> DataFrame:
+    """Rows of landed responses {status, data: [record]}; record is a DDL of its fields. Failed responses give none.
+    multi_line: a response is a file of its own, not a line of one."""
+    answers = spark.read.schema(f"status boolean, data array<struct<{record}>>").option("multiLine", multi_line).json(path)
     return answers.where("status").select(F.explode("data").alias("r")).select("r.*")
 
 
