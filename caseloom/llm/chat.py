@@ -9,8 +9,9 @@ control string, of this template or of common others, gets a backslash after its
 backslash before each character restores the text exactly.
 
 Defined results: turns are ordered by turn (nulls first), then role, then text, so repeated turns are kept side by side
-in one order; a null role or text counts as empty; roles are compared as they are ("assistant" replies); a null conv_id
-is a conversation of its own; an empty table gives an empty result; other columns are ignored.
+in one order; a null role or text counts as empty; roles are compared as they are ("assistant" replies); all turns of a
+null conv_id are one conversation, as those of any other conv_id (the query's planted conversation -7 would join turns of
+that number in the table); a conversation is one row, so its turns must fit in memory; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations

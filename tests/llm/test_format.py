@@ -97,6 +97,37 @@ def test_fast_ids_equal_the_tokenizers_library():
         assert e.ids(t).tolist() == e.tokenizer.encode(t, add_special_tokens=False).ids
 
 
+def test_fast_encoding_of_whole_texts_and_long_runs():
+    e = packing.encoder(packing.default_tokenizer())
+    texts = duckdb.sql("SELECT text FROM '/root/testdata/sf0.01/documents.parquet' WHERE text IS NOT NULL").fetchall()
+    n = packing.LONG_RUN
+    for (t,) in [*texts, *((x * k,) for x in ("a", " ", "ab ", "é", "\n", "1") for k in (n - 1, n, n + 1))]:
+        assert e.ids(t).tolist() == e.tokenizer.encode(t, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("max_len", [16, 64])
+def test_packing_against_packing_piece_by_piece(max_len):
+    """Shortest pack first without a histogram: each piece, longest first, on the least filled sequence with room."""
+    r = random.Random(max_len)
+    for _ in range(40):
+        lengths = [r.randrange(1, max_len + 1) if r.random() < 0.7 else r.choice([1, 3, max_len // 2]) for _ in range(r.randrange(1, 300))]
+        found = packing.patterns(Counter(lengths), max_len)
+        packed = Counter()
+        for n, pattern in found:
+            assert n > 0 and sum(pattern) <= max_len
+            for x in pattern:
+                packed[x] += n
+        assert packed == Counter(lengths)
+        plain = []
+        for x in sorted(lengths, reverse=True):
+            room = [i for i, used in enumerate(plain) if used + x <= max_len]
+            if room and min(plain) + x <= max_len:
+                plain[min(room, key=lambda i: plain[i])] += x
+            else:
+                plain.append(x)
+        assert sum(n for n, _ in found) <= len(plain)
+
+
 @pytest.mark.parametrize("bucket_rows", [4096, 3])
 def test_mixing(spark, bucket_rows):
     rows = awkward()
