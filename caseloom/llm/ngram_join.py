@@ -8,7 +8,7 @@ must then share prefix members under further orders too, and only the intersecti
 What keeps this in proportion to the input:
 - documents of one set are one class from the start, so exact copies cost a row each;
 - n-grams with the same list of classes are one list (count and two XOR digests tell lists apart, nothing is collected);
-- a list longer than a block is dealt to parts, and each part compares its rows with one leader of the list; only rows
+- a list of more than `LEADER_ROWS` is dealt to parts, and each part compares its rows with one leader of the list; only rows
   that are far from the leader meet all parts, so that a large group of near copies costs a comparison a row;
 - within a list, sizes and parity bitmaps must allow the similarity (the number of differing bits is a lower bound of the
   symmetric difference), and only as many links are written as connect what they allow, not all pairs;
@@ -40,6 +40,8 @@ from .common import join_groups, materialize, numbered, possibly_in, read, small
 from .components import components
 
 BITS, COUNTERS, BLOCK, BLOCK_SHINGLES = 1024, 1 << 20, 1500, 2_000_000
+#: How many rows meet a leader in one task.
+LEADER_ROWS = 256
 ORDERS = 3
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -330,10 +332,12 @@ def _parted(rows: DataFrame, group: str, parts: str) -> tuple[DataFrame, DataFra
 
 def _far_and_all(rows: DataFrame, checked: DataFrame, group: str, parts: str, block_rows: int) -> DataFrame:
     """What the far members of large groups have to meet: they go to every part of their group (kind 0), and each member
-    goes to its part once per slot of far ones (kind 1). Few far members leave it at a row each."""
+    goes to its part once per slot of far ones (kind 1). Few far members leave it at about a row each; where they are many,
+    parts are larger, so that less is sent."""
     counts = checked.groupBy(group).agg(F.count(F.lit(1)).alias("_n"), F.count_if(F.col("leader").isNull()).alias("_far")).where("_far > 0")
     known = join_groups(rows.join(checked, [group, "node"]), materialize(counts, "far"), [group], "_n")
-    known = known.withColumn("_slots", F.ceil(F.col("_far") / F.lit(block_rows)).cast("int")).drop("_n", "_far")
+    fewer = F.greatest(F.ceil(F.col("_n") / F.lit(block_rows)), F.ceil(F.col(parts) / 6)).cast("int")
+    known = known.withColumn("_slots", F.ceil(F.col("_far") / F.lit(block_rows)).cast("int")).withColumn(parts, F.when(F.col("_far") * 8 < F.col("_n"), F.col(parts)).otherwise(F.least(F.col(parts), fewer))).drop("_n", "_far")
     own, every = F.pmod(F.xxhash64("node"), F.col(parts)).cast("int"), lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     far = known.where("leader IS NULL").withColumn("slot", F.pmod(F.xxhash64("node", F.lit(1)), F.col("_slots")).cast("int")).withColumn("part", every(parts)).withColumn("kind", F.lit(0))
     member = known.withColumn("slot", every("_slots")).withColumn("part", own).withColumn("kind", F.lit(1))
@@ -342,17 +346,18 @@ def _far_and_all(rows: DataFrame, checked: DataFrame, group: str, parts: str, bl
 
 def _candidates(classes: DataFrame, num: int, den: int, block_rows: int) -> DataFrame:
     """a, b: links that connect all nodes that share a prefix member of the first order and pass the bounds."""
+    each = min(block_rows, LEADER_ROWS)
     grams = classes.select("node", F.explode("prefix").alias("gram"))
     shared = materialize(grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
     members = materialize(join_groups(possibly_in(grams, "gram", shared.select("gram")), shared, ["gram"], "n"), "members")
     lists = members.groupBy("gram", "n").agg(F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
     lists = materialize(lists.groupBy("n", "x", "y").agg(F.min("gram").alias("gram")).select("gram", "n"), "lists")
     listed = join_groups(members.drop("n"), lists, ["gram"], "n").join(classes.select("node", "n_shingles", "bits"), "node").select("gram", "n", "node", "n_shingles", "bits")
-    short = listed.where(F.col("n") <= block_rows).drop("n").repartition("gram").sortWithinPartitions("gram")
+    short = listed.where(F.col("n") <= each).drop("n").repartition("gram").sortWithinPartitions("gram")
     links = short.mapInArrow(lambda it: _allowed(it, num, den), "a long, b long")
-    if lists.where(F.col("n") > block_rows).isEmpty():
+    if lists.where(F.col("n") > each).isEmpty():
         return links
-    long = materialize(listed.where(F.col("n") > block_rows).withColumn("parts", F.ceil(F.col("n") / F.lit(block_rows)).cast("int")).drop("n"), "long-lists")
+    long = materialize(listed.where(F.col("n") > each).withColumn("parts", F.ceil(F.col("n") / F.lit(each)).cast("int")).drop("n"), "long-lists")
     leader, member = _parted(long, "gram", "parts")
     ordered = leader.unionByName(member).repartition("gram", "part").sortWithinPartitions("gram", "part", "kind")
     checked = materialize(ordered.mapInArrow(lambda it: _led(it, num, den), "gram long, node long, leader long"), "led")
@@ -459,7 +464,7 @@ def _in_components(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10, blo
     classes = materialize(numbered(first.withColumn("carrier", F.coalesce("own", "any")).drop("own", "any"), "node", ["set_key"]), "classes")
     groups = components(materialize(_candidates(classes, num, den, block_rows), "candidates")).withColumnRenamed("component", "candidate_of")
     groups = groups.join(classes.select("node", "n_shingles", F.col("carrier.doc_id").alias("c_doc"), F.col("carrier.text_key").alias("c_key")), "node")
-    sizes = groups.groupBy("candidate_of").agg(F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)), F.ceil(F.sum("n_shingles") / F.lit(BLOCK_SHINGLES))).alias("blocks"))
+    sizes = groups.groupBy("candidate_of").agg(F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(min(block_rows, LEADER_ROWS))), F.ceil(F.sum("n_shingles") / F.lit(BLOCK_SHINGLES))).alias("blocks"))
     carried = materialize(groups.join(sizes, "candidate_of").select("node", "candidate_of", "blocks", "c_doc", "c_key"), "carriers")
     # only texts of candidates move; a text of a large component goes to each pair of blocks that has its own
     texts = possibly_in(docs, "text_key", carried.select("c_key")).join(carried, docs["doc_id"].eqNullSafe(F.col("c_doc")) & (docs["text_key"] == F.col("c_key")))
