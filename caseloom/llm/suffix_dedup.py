@@ -1,13 +1,14 @@
 """Removal of repeated 100-byte strings by suffix arrays over shards.
 
-Whole texts are gathered in shards of about `shard_bytes` (a longer text is cut into pieces that share no window). A shard
-sorts its suffixes by Larsson-Sadakane refinement (the groups that are still unsorted are sorted by the rank of the
+Whole texts are gathered in shards of about `shard_bytes` (a longer text is cut into pieces that share no window). Every
+window has a key, the smallest digest among its GRAM-byte substrings; equal windows have equal keys, wherever they are.
+Stretches of a shard whose keys are at one place of it only cannot repeat in it and are left out. Of the others, a shard
+sorts the suffixes by Larsson-Sadakane refinement (the groups that are still unsorted are sorted by the rank of the
 suffix that starts as far behind as is sorted already), takes the common prefixes of neighbours by Kasai's rule (one byte
 less when both start one byte later) and so finds the classes of equal windows, in each of which all but the first are
 repeats. What is first in its shard may still repeat what another shard has.
 
-Equal windows of different shards are brought together by a key, the smallest digest among a window's GRAM-byte
-substrings: equal windows have equal keys, wherever they are. Consecutive first windows with one key form a run, and a
+Equal windows of different shards are brought together by the same keys. Consecutive first windows with one key form a run, and a
 run's bytes are its context. A key that only one shard has needs nothing more. Of contexts with one key and one
 cryptographic digest (128 bits of BLAKE2b) all but the first are repeats from end to end; the bytes of all other contexts
 go to buckets by key. There, contexts are sorted by suffix arrays of their own, block by block, and each block's distinct
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 from .common import join_groups, materialize, read, small_batches
 
 WINDOW, GRAM = 100, 24
-SHARD_BYTES, BLOCK_BYTES, HOT_CONTEXTS = 4_000_000, 500_000, 8192
+SHARD_BYTES, BLOCK_BYTES, HOT_CONTEXTS = 4_000_000, 500_000, 2048
 #: Common prefixes are followed from places so far apart at most, and no further than so many bytes.
 STRIDE = 1024
 
@@ -52,17 +53,28 @@ def _eights(data: np.ndarray, kind: str) -> np.ndarray:
     return np.lib.stride_tricks.as_strided(data[:8].view(kind), (len(data) - 7,), (1,)).astype("u8")
 
 
-def runs(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Key, first and last window of each run of the windows that lie within one of several pieces of data."""
+def _sliding(x: np.ndarray, w: int, of) -> np.ndarray:
+    """of (np.minimum or np.maximum) over each w consecutive places."""
+    s, out = 1, x
+    while 2 * s <= w:
+        out = of(out[:-s], out[s:])
+        s *= 2
+    n = len(x) - w + 1
+    return of(out[:n], out[w - s : w - s + n])
+
+
+def runs(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Key, first and last window of each run of the windows that lie within one of several pieces of data; and whether the
+    key's gram is at several places of the data. Each place serves one run, so only windows of such runs may repeat."""
     if len(data) < WINDOW:
-        return (np.empty(0, "i8"),) * 3
+        return *(np.empty(0, "i8"),) * 3, np.empty(0, bool)
     e = _eights(data, "<u8")
     h = _mixed(e[:-16] * np.uint64(0x9E3779B97F4A7C15) + _mixed(e[8:-8]) * np.uint64(0xD6E8FEB86659FD93) + _mixed(e[16:]))
-    w, s, low = WINDOW - GRAM + 1, 1, h
-    while 2 * s <= w:
-        low = np.minimum(low[:-s], low[s:])
-        s *= 2
-    low = np.minimum(low[: len(h) - w + 1], low[w - s : w - s + len(h) - w + 1])
+    w = WINDOW - GRAM + 1
+    low = _sliding(h, w, np.minimum)
+    padded = np.concatenate([np.zeros(w - 1, "u8"), low, np.zeros(w - 1, "u8")])
+    at_places = np.sort(h[_sliding(padded, w, np.maximum) == h])  # the keys of all places that are some window's smallest
+    several = np.unique(at_places[1:][at_places[1:] == at_places[:-1]])
     cut = np.zeros(len(low), bool)
     cut[0], cut[1:] = True, low[1:] != low[:-1]
     cut[starts[starts < len(low)]] = True
@@ -70,9 +82,9 @@ def runs(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.nd
     cut[ends[ends < len(low)]] = True
     first = np.flatnonzero(cut)
     last = np.r_[first[1:] - 1, len(low) - 1]
-    piece = np.searchsorted(starts, first, side="right") - 1
-    ok = first < ends[piece]
-    return low[first[ok]].view("i8"), first[ok], last[ok]
+    ok = first < ends[np.searchsorted(starts, first, side="right") - 1]
+    key, first, last = low[first[ok]], first[ok], last[ok]
+    return key.view("i8"), first, last, np.isin(key, several)
 
 
 class Shard:
@@ -119,28 +131,49 @@ class Shard:
         return out.view(f"S{WINDOW + 1}").ravel()
 
 
+def _covered(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """All numbers of several ranges."""
+    n = last - first + 1
+    return np.arange(n.sum()) + np.repeat(first - (np.cumsum(n) - n), n)
+
+
 _NAMES = ["gram", "context", "more", "doc", "text_key", "first", "last", "kind"]
 
 
 def _shard_rows(pieces: list[tuple[int, int, int, bytes]]) -> pa.Table:
-    """The runs of first windows (kind 0) and the spans of repeated ones (kind 1) of one shard."""
-    shard = Shard(pieces)
-    key, first, last = runs(shard.data, shard.starts, shard.sizes)
-    count = np.r_[0, np.cumsum(shard.is_lead)]
+    """The runs of first windows (kind 0) and the spans of repeated ones (kind 1) of one shard. Its suffix array leaves out
+    the stretches between runs whose keys the shard has at one place only: no window there can repeat in the shard."""
+    pieces = sorted({p[:3]: p for p in pieces}.values())
+    doc, text_key, offset = (np.array([p[i] for p in pieces], "i8") for i in range(3))
+    sizes = np.array([len(p[3]) for p in pieces], "i8")
+    starts, whole = np.cumsum(sizes) - sizes, b"".join(p[3] for p in pieces)
+    key, first, last, several = runs(np.frombuffer(whole, "u1"), starts, sizes)
+    piece = np.searchsorted(starts, first, side="right") - 1
+    # stretches of neighbouring runs that may repeat
+    new = several & ~np.r_[False, several[:-1] & (first[1:] == last[:-1] + 1) & (piece[1:] == piece[:-1])] if len(first) else several
+    begin, until = first[new], last[several & ~np.r_[(several & ~new)[1:], False]] if len(first) else last
+    own = piece[new]
+    where = offset[own] + begin - starts[own]
+    shard = Shard([(d, t, o, whole[a : z + WINDOW]) for d, t, o, a, z in zip(doc[own].tolist(), text_key[own].tolist(), where.tolist(), begin.tolist(), until.tolist(), strict=True)])
+    again = np.flatnonzero(shard.repeats)
+    stretch = np.searchsorted(shard.starts, again, side="right") - 1
+    leads = np.zeros(len(whole) + 1, "i8")  # 1 at each window that is the first of its class
+    leads[_covered(first, last)] = 1
+    leads[begin[stretch] + again - shard.starts[stretch]] = 0
+    at = np.flatnonzero(leads)
+    count = np.r_[0, np.cumsum(leads)]
     some = count[last + 1] > count[first]
     key, first, last = key[some], first[some], last[some]
     # a run shrinks to what lies between its first and its last first window
-    leads = np.flatnonzero(shard.is_lead)
-    first, last = leads[count[first]], leads[count[last + 1] - 1]
-    view = memoryview(shard.data)
-    digest = hashlib.blake2b
-    made = b"".join([digest(view[a:z], digest_size=16).digest() for a, z in zip(first.tolist(), (last + WINDOW).tolist(), strict=True)])
+    first, last = at[count[first]], at[count[last + 1] - 1]
+    made = b"".join([hashlib.blake2b(whole[a:z], digest_size=16).digest() for a, z in zip(first.tolist(), (last + WINDOW).tolist(), strict=True)])
     context = np.frombuffer(made, "<i8").reshape(-1, 2)
-    doc, text_key, place = shard.places(first)
+    piece = np.searchsorted(starts, first, side="right") - 1
+    place = offset[piece] + first - starts[piece]
     r = shard.spans(shard.repeats)
     scattered = _mixed(r[0].astype("u8") ^ (r[2].astype("u8") << np.uint64(40))).view("i8")  # spreads rows that need no key
     none = np.zeros(len(r[0]), "i8")
-    columns = (key, scattered), (context[:, 0], none), (context[:, 1], none), (doc, r[0]), (text_key, r[1]), (place, r[2]), (place + last - first, r[3]), (np.zeros(len(key)), np.ones(len(none)))
+    columns = (key, scattered), (context[:, 0], none), (context[:, 1], none), (doc[piece], r[0]), (text_key[piece], r[1]), (place, r[2]), (place + last - first, r[3]), (np.zeros(len(key)), np.ones(len(none)))
     types = ("i8", "i8", "i8", "i8", "i4", "i8", "i8", "i1")
     return pa.table({n: np.concatenate(c).astype(t) for n, c, t in zip(_NAMES, columns, types, strict=True)})
 
@@ -213,6 +246,8 @@ def suffix_order(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     shares its first 64 bytes with the one before; what is behind the end counts as bytes of 255, which no text in UTF-8
     has."""
     n = len(data)
+    if not n:
+        return np.empty(0, "i8"), np.empty(0, bool)
     first = _eights(np.r_[data, np.full(8, 255, "u1")], ">u8")[:n]
     order = np.argsort(first)
     key = first[order]

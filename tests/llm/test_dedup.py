@@ -101,6 +101,27 @@ def test_shards_by_brute_force(alphabet):
         assert sorted(seen) == [w[:100] for w in windows] and shard.is_lead.sum() + shard.repeats.sum() == sum(max(0, len(p[3]) - 99) for p in pieces)
 
 
+@pytest.mark.parametrize("alphabet", [b"ab", b"abc\x00", bytes(range(97, 123))])
+def test_rows_of_shards_by_brute_force(alphabet):
+    """Also of texts in pieces: all repeats of the shard, and runs over all first windows."""
+    r = random.Random(3)
+    for _ in range(20):
+        base, pieces = [bytes(r.choice(alphabet) for _ in range(r.randrange(500))) for _ in range(4)], []
+        for d in range(r.randrange(1, 9)):
+            t = b"".join(r.choice(base) for _ in range(r.randrange(4))) + bytes(r.choice(alphabet) for _ in range(r.randrange(200))) + bytes(r.choice([0, 240]))
+            pieces += [(d, 0, at, t[at : at + 399]) for at in range(0, max(len(t) - 99, 0), 300)]
+        if not pieces:
+            continue
+        seen, again, first = set(), set(), set()
+        for d, _, at, t in pieces:
+            for i in range(len(t) - 99):
+                (again if t[i : i + 100] in seen else first).add((d, at + i))
+                seen.add(t[i : i + 100])
+        rows = suffix_dedup._shard_rows(pieces).to_pandas()
+        covered = [{(x.doc, i) for x in rows[rows["kind"] == kind].itertuples() for i in range(x.first, x.last + 1)} for kind in (0, 1)]
+        assert covered[1] == again and first <= covered[0]
+
+
 def test_suffix_order_and_common_prefixes():
     r = random.Random(2)
     for size in (1, 7, 300, 2000):
