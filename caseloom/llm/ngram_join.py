@@ -303,24 +303,42 @@ def _led(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.R
         yield pa.RecordBatch.from_arrays([pa.array(table["gram"].to_numpy()[rows]), pa.array(sets.node[rows]), pa.array(sets.node[at][rows], mask=~ok[rows])], names=["gram", "node", "leader"])
 
 
+def _stars(node: np.ndarray, root: np.ndarray, center: np.ndarray | None) -> list[tuple[int, int]]:
+    """Links that connect what has one root: each node with the smallest one, so that groups that share nodes mostly give
+    the same links. center: for nodes that a leader connects already, that leader; else -1."""
+    order = np.lexsort((node, root))
+    first = np.r_[True, root[order][1:] != root[order][:-1]]
+    middle = node[order][np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))]
+    if center is not None:
+        best = np.full(len(root), -1, "i8")
+        np.maximum.at(best, root, center)
+        middle = np.where(best[root[order]] >= 0, best[root[order]], middle)
+        order, middle = order[center[order] < 0], middle[center[order] < 0]
+    return [(m, x) for m, x in zip(middle.tolist(), node[order].tolist(), strict=True) if m != x]
+
+
 def _far_links(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by gram, slot, part and kind. Out: links that connect the far nodes of a slot (kind 0) with what the
-    part has (kind 1, leader null where that is far too); all with a leader count as connected."""
+    part has (kind 1, leader null where that is far too); all with a leader count as connected to it."""
     for table, cuts in _groups(batches, ("gram", "slot", "part")):
-        sets, kind, led = _Sets(table, num, den), table["kind"].to_numpy(), np.array(table["leader"].is_valid().to_pylist())
-        out = []
+        sets, kind = _Sets(table, num, den), table["kind"].to_numpy()
+        leader = table["leader"].fill_null(-1).to_numpy()
+        out: set[tuple[int, int]] = set()
         for a, z in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            here = Forest(z - a)
-            near = np.flatnonzero((kind[a:z] == 1) & led[a:z])
+            node, here, members = sets.node[a:z], Forest(z - a), np.flatnonzero(kind[a:z] == 1)
+            near = members[leader[a + members] >= 0]
             here.root[near] = near[0] if len(near) else 0
-            members = np.flatnonzero(kind[a:z] == 1)
+            at = dict(zip(node[members].tolist(), members.tolist(), strict=True))
             for i in np.flatnonzero(kind[a:z] == 0).tolist():
-                j = members[(here.root[members] != here.root[i]) & (sets.node[a + members] != sets.node[a + i])]
+                if node[i] in at:  # the same node, also as a member
+                    here.join(i, at[node[i]])
+                j = members[here.root[members] != here.root[i]]
                 for x in j[sets.could(a + i, a + j)].tolist():
                     if here.root[i] != here.root[x] and sets.in_full(a + i, a + x):
                         here.join(i, x)
-                        out.append((a + i, a + x))
-        yield _links(sets, out)
+            out.update(_stars(node, here.root, leader[a:z]))
+        at = np.array(sorted(out), "i8").reshape(-1, 2)
+        yield pa.RecordBatch.from_arrays([pa.array(at[:, 0]), pa.array(at[:, 1])], names=["a", "b"])
 
 
 def _parted(rows: DataFrame, group: str, parts: str) -> tuple[DataFrame, DataFrame]:
@@ -405,19 +423,21 @@ def _verified(rows: pd.DataFrame, n: int, num: int, den: int, counts) -> pd.Data
     one. Each node meets those that share prefix members under every order and pass the bounds; what verified links, or
     the leader of a large component, connect already needs no further check."""
     node, texts = rows["node"].to_numpy(), _Texts(rows["text"], n, num, den, counts.value)
-    forest, out, place = Forest(len(node)), [], np.arange(len(node))
+    forest, place = Forest(len(node)), np.arange(len(node))
     kind = rows["kind"].to_numpy() if "kind" in rows else np.zeros(len(node), "i8")
-    if kind.any():
-        led = np.flatnonzero((kind == 1) & rows["leader"].notna().to_numpy())
-        forest.root[led] = led[0] if len(led) else 0
+    leader = rows["leader"].fillna(-1).to_numpy("i8") if "leader" in rows else np.full(len(node), -1, "i8")
+    led = np.flatnonzero((kind == 1) & (leader >= 0))
+    forest.root[led] = led[0] if len(led) else 0
+    at = dict(zip(node[kind == 1].tolist(), np.flatnonzero(kind == 1).tolist(), strict=True))
     for i in np.flatnonzero(kind == 0).tolist():
-        other = (place > i) if not kind.any() else (kind == 1) & (node != node[i])
+        if node[i] in at:  # the same node, also as a member
+            forest.join(i, at[node[i]])
+        other = (place > i) if not kind.any() else kind == 1
         j = np.flatnonzero(texts.met(i) & other & (forest.root != forest.root[i]))
         for x in j[texts.could(i, j)].tolist():
             if forest.root[i] != forest.root[x] and texts.similar(i, x):
                 forest.join(i, x)
-                out.append((node[i], node[x]))
-    return pd.DataFrame(out, columns=["a", "b"]).astype("i8")
+    return pd.DataFrame(_stars(node, forest.root, leader), columns=["a", "b"]).astype("i8")
 
 
 def _led_texts(rows: pd.DataFrame, n: int, num: int, den: int, counts) -> pd.DataFrame:
