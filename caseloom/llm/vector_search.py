@@ -196,12 +196,12 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, cell: int = 2, bl
     return ordered.mapInPandas(lambda it: _ranked(it, k), "query_id long, rank int, vec_id long, score long")
 
 
-def whole_vectors(table: DataFrame, scale: int = 64) -> DataFrame:
+def whole_vectors(table: DataFrame, scale: int = 64, with_null_ids: bool = False) -> DataFrame:
     """id, vector (array<long>, floor(scale * component)), rows without any null or non-finite component only."""
     most = float(LARGEST)
     numbers = F.transform("embedding", lambda x: F.floor(F.greatest(F.least(x.cast("double") * scale, F.lit(most)), F.lit(-most))).cast("long"))
     fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
-    return table.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & F.coalesce(fine, F.lit(False)) & (F.size("embedding") > 0)).select(F.col("vec_id").cast("long").alias("id"), numbers.alias("vector"))
+    return table.where((F.col("vec_id").isNotNull() | F.lit(with_null_ids)) & F.col("embedding").isNotNull() & F.coalesce(fine, F.lit(False)) & (F.size("embedding") > 0)).select(F.col("vec_id").cast("long").alias("id"), numbers.alias("vector"))
 
 
 def op9_vector_search(spark, sf_dir):
