@@ -17,9 +17,9 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-def first_per_key(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
-    """One row per key, the first in order. Give a tie-break, or the row among equals is any."""
-    return df.withColumn("_nth", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).where("_nth = 1").drop("_nth")
+def first_per_key(df: DataFrame, keys: list[str], *order: Column, n: int = 1) -> DataFrame:
+    """One row per key, the first in order (or the first n). Give a tie-break, or the row among equals is any."""
+    return df.withColumn("_nth", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).where(F.col("_nth") <= n).drop("_nth")
 
 
 def trusted_or_own(rows: DataFrame, person: str, canonical: str, confidence: str, least: float) -> DataFrame:
@@ -53,14 +53,57 @@ def split_by_reference(rows: DataFrame, key: str, parents: DataFrame, parent_key
     return rows.join(known, key, "left_semi"), rows.join(known, key, "left_anti")
 
 
+def met(left: DataFrame, right: DataFrame, keys: list[str], piece: int = 2000) -> DataFrame:
+    """The equi-join of two tables (no other columns in common) on keys. A key of more than `piece` rows on either side is
+    dealt to a grid: both sides' rows go to pieces, and every piece of the one meets every piece of the other in a task of
+    its own, so that no task gets all pairs of a common key."""
+    count = lambda df, name: df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / F.lit(piece)).cast("int").alias(name))
+    hot = checkpointed(count(left, "_lefts").join(count(right, "_rights"), keys).where("_lefts > 1 OR _rights > 1"))
+
+    def dealt(df: DataFrame, own: str, other: str) -> DataFrame:
+        n = lambda c: F.coalesce(c, F.lit(1))
+        held = df.join(small(hot), keys, "left").withColumn(own[:-1], F.pmod(F.xxhash64(*df.columns), n(own)).cast("int"))
+        return held.withColumn(other[:-1], F.explode(F.sequence(F.lit(0), n(other) - 1))).drop("_lefts", "_rights")
+
+    return dealt(left, "_lefts", "_rights").join(dealt(right, "_rights", "_lefts"), [*keys, "_left", "_right"]).drop("_left", "_right")
+
+
 def blocked_pairs(rows: DataFrame, id_: str, keys: Column, most: int | None = None) -> DataFrame:
-    """a, b (a < b): rows that share any of their block keys, each pair once. `most` leaves out keys of more rows than
-    that: common keys say little, and a key of n rows makes n * n pairs; `common_keys` lists what was left out."""
+    """a, b (a < b): rows that share any of their block keys, each pair once; common keys are dealt to many tasks. `most`
+    leaves out keys of more rows than that: common keys say little; `common_keys` lists what was left out."""
     exploded = rows.select(F.col(id_).alias("a"), F.explode(F.array_distinct(keys)).alias("key")).where("key <> ''")
     if most is not None:
         exploded = exploded.join(exploded.groupBy("key").count().where(F.col("count") <= most).select("key"), "key", "left_semi")
-    other = exploded.withColumnRenamed("a", "b")
-    return exploded.join(other, "key").where("a < b").select("a", "b").distinct()
+    return met(exploded, exploded.withColumnRenamed("a", "b"), ["key"]).where("a < b").select("a", "b").distinct()
+
+
+def phonetic_candidates(asked: DataFrame, known: DataFrame, id_: str, name: str, case: str, day: str, years: int = 2, most: int | None = None) -> DataFrame:
+    """id_, candidate, rank: known records of another case, of the same day as the asked one or up to so many years before
+    it, whose names share the sound key (rank 0), else the first Double Metaphone code (rank 1). Names are coded once each;
+    records meet within a bin of days and the bin before. most: only the first of each record by rank, later days, id.
+
+    Records without a name, a case or a day have no candidates and are none."""
+    from ..functions.phonetics import metaphones
+
+    days = 366 * years
+    part = lambda df, *c: df.select(F.col(id_).alias(c[0]), F.col(name).alias("_name"), F.col(case).alias(c[1]), F.col(day).cast("date").alias(c[2])).dropna()
+    a, b = part(asked, "_a", "_case_a", "_day_a"), part(known, "_b", "_case_b", "_day_b")
+    names = a.select("_name").union(b.select("_name")).distinct()
+    coded = checkpointed(names.select("_name", F.soundex("_name").alias("sound"), metaphones(F.col("_name"))["first"].alias("code")))
+    bin_ = lambda c: F.floor(F.datediff(c, F.lit("1970-01-01")) / F.lit(days)).cast("int")
+
+    def keyed(df: DataFrame, side: str, bins: Column) -> DataFrame:
+        keys = F.filter(F.array(F.struct(F.lit(0).alias("rank"), F.col("sound").alias("key")), F.struct(F.lit(1).alias("rank"), F.col("code").alias("key"))), lambda k: k.key != "")
+        out = df.join(coded, "_name").select("*", F.explode(keys).alias("k"), bins.alias("bin"))
+        return out.select(f"_{side}", f"_case_{side}", f"_day_{side}", F.col("sound").alias(f"_sound_{side}"), "k.rank", "k.key", "bin")
+
+    left = keyed(a, "a", F.sequence(bin_("_day_a") - 1, bin_("_day_a"))).withColumn("bin", F.explode("bin"))
+    pairs = met(left, keyed(b, "b", bin_("_day_b")), ["rank", "key", "bin"])
+    near = (F.col("_day_b") <= F.col("_day_a")) & (F.col("_day_b") >= F.add_months("_day_a", -12 * years))
+    found = pairs.where((F.col("_case_a") != F.col("_case_b")) & near & ((F.col("rank") == 0) | (F.col("_sound_a") != F.col("_sound_b"))))
+    if most is not None:
+        found = first_per_key(found, ["_a"], F.col("rank"), F.desc("_day_b"), F.col("_b"), n=most)
+    return found.select(F.col("_a").alias(id_), F.col("_b").alias("candidate"), "rank")
 
 
 def name_keys(name: Column) -> Column:

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..shared import checkpointed
 from .joins import BROADCAST_ROWS
 
 #: What case states are called elsewhere.
@@ -180,20 +179,6 @@ def keyword_base(rows: DataFrame, *columns: str) -> DataFrame:
     return rows.select(F.explode(F.split(F.lower(joined), r"\W+")).alias("keyword")).where(F.length("keyword") > 2).distinct()
 
 
-def attribute(items: DataFrame, people: DataFrame, case: str, sentence: str, code: str, seq: str) -> DataFrame:
-    """Items joined to the people of their case: those whose codes the sentence names, else the first person (by seq);
-    items of a case without people stay with a null code. attribution says which."""
-    coded = items.withColumn("_item", F.monotonically_increasing_id()).withColumn("_codes", T.person_codes(F.col(sentence)))
-    coded = checkpointed(coded)  # the item number is drawn once
-    p = people.select(F.col(case), F.col(code).alias("person_code"), F.col(seq).alias("_seq"))
-    named = coded.select("_item", case, F.explode("_codes").alias("person_code")).join(p, [case, "person_code"], "left_semi")
-    first = p.groupBy(case).agg(F.min_by("person_code", F.struct("_seq", "person_code")).alias("_first"))
-    rest = coded.join(named.select("_item").distinct(), "_item", "left_anti").join(first, case, "left")
-    by_name = coded.join(named.select("_item", "person_code"), "_item").withColumn("attribution", F.lit("named"))
-    fallback = rest.withColumn("person_code", F.col("_first")).withColumn("attribution", F.when(F.col("_first").isNull(), "orphan").otherwise("first_person")).drop("_first")
-    return by_name.unionByName(fallback).drop("_item", "_codes")
-
-
 #: Patterns of identifiers in texts, tested in this order.
 IDENTIFIERS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}",

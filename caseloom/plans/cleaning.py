@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from ..functions import dates, nested, similarity, units
 from ..functions import text as T
 from ..operators import aggregates, rules
+from ..operators import attribution as attributions
 from .base import Registry
 
 R = Registry()
@@ -342,10 +345,47 @@ def latin_names(t):
     return t.customer.select("c_custkey", T.latin(F.concat_ws(" ", indic, "c_name")).alias("latin"))
 
 
-@R.query("SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_linenumber % 2 = 1 THEN 'named' ELSE 'first_person' END AS attribution FROM lineitem")
+#: What is told about an item: {n} its line, {m} the next one, {q} an amount, {name} the name of its part. Templates by supplier.
+ITEM_TEXTS = (
+    "seized {q} kg ganja from A-{n}", "ganja {q} g was recovered from {name}", "A-{n} and a{m} were caught with {q} kg", "seized from the possession of A1 to A{n}", "seized {q} kg, of which he sold half to A.{n}",
+    "all of them were smoking ganja", "ganja was found behind a {name}s shop", "bought from {name}, and seized with A - {m}", "nothing to see at A-{n}", "they tested positive for ganja", "AA-{n} and A-{n}x are no codes; {name} is", "A-{n} who sold one packet to A-{m}",
+)
+
+
+def item_text_sql():
+    by = " ".join(f"WHEN {i} THEN " + "concat('" + x.replace("{n}", "', l_linenumber, '").replace("{m}", "', l_linenumber + 1, '").replace("{q}", "', CAST(l_quantity AS INTEGER), '").replace("{name}", "', p_name, '") + "')" for i, x in enumerate(ITEM_TEXTS))
+    return f"CASE l_suppkey % {len(ITEM_TEXTS)} {by} END"
+
+
+def item_text():
+    values = {"{n}": F.col("l_linenumber"), "{m}": F.col("l_linenumber") + 1, "{q}": F.col("l_quantity").cast("int"), "{name}": F.col("p_name")}
+    part = lambda x: values[x].cast("string") if x in values else F.lit(x)
+    texts = [F.concat(*map(part, re.split(r"(\{\w+\})", x))) for x in ITEM_TEXTS]
+    return F.element_at(F.array(*texts), (F.col("l_suppkey") % len(texts) + 1).cast("int"))
+
+
+DEALT_SQL = f"\\b({'|'.join(attributions.DEALT)})\\s"
+ATTRIBUTION_SQL = f"""WITH i AS MATERIALIZED (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, {item_text_sql()} AS s, CASE WHEN l_suppkey % {len(ITEM_TEXTS)} = 8 THEN 'no_drugs_detected' ELSE 'Ganja' END AS item, row_number() OVER () AS id FROM lineitem JOIN part ON p_partkey = l_partkey),
+p AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) AS nth, count(*) OVER (PARTITION BY l_orderkey) AS people FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, p_name FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_returnflag <> 'R')),
+spot AS (SELECT id, l_orderkey, s, unnest(list_filter(range(1, length(s) + 1), lambda x: regexp_matches(substr(s, x), '^[Aa]\\s*[-.]?\\s*[0-9]+\\b') AND NOT (x > 1 AND regexp_matches(substr(s, x - 1, 1), '\\w')))) AS x FROM i WHERE NOT regexp_matches(lower(s), '\\ba\\s*[-.]?\\s*[0-9]+\\s+to\\s+a\\s*[-.]?\\s*[0-9]+\\b')),
+code AS (SELECT DISTINCT id, l_orderkey, CAST(regexp_extract(substr(s, x), '[0-9]+') AS BIGINT) AS n FROM spot WHERE NOT regexp_matches(lower(substr(s, greatest(1, x - 100), x - greatest(1, x - 100))), '{DEALT_SQL}')),
+by_code AS (SELECT code.id, min(p.nth) AS nth FROM code JOIN p ON p.l_orderkey = code.l_orderkey AND p.l_linenumber = code.n GROUP BY code.id, code.n),
+word AS (SELECT i.id, i.s, p.nth, w, list_filter(w, lambda x: contains(lower(i.s), x)) AS held FROM i JOIN (SELECT *, list_filter(string_split(lower(p_name), ' '), lambda x: length(x) > 2) AS w FROM p) p ON p.l_orderkey = i.l_orderkey WHERE i.id NOT IN (SELECT id FROM by_code)),
+place AS (SELECT id, nth, s, instr(lower(s), held[1]) AS x FROM word WHERE len(held) >= least(2, len(w))),
+found AS (SELECT id, nth FROM by_code UNION ALL SELECT id, nth FROM place WHERE NOT regexp_matches(lower(substr(s, greatest(1, x - 100), x - greatest(1, x - 100))), '{DEALT_SQL}')),
+per AS (SELECT id, count(*) AS n, min(nth) AS nth FROM found GROUP BY id),
+sized AS (SELECT l_orderkey, max(people) AS people FROM p GROUP BY l_orderkey),
+rule AS (SELECT i.*, sized.people, per.nth, CASE WHEN sized.people IS NULL THEN 'orphan' WHEN upper(item) = 'NO_DRUGS_DETECTED' THEN 'nothing_found' WHEN per.n = 1 THEN 'individual' WHEN per.n > 1 THEN 'collective'
+  WHEN sized.people > 1 AND regexp_matches(lower(s), '{'|'.join(attributions.USE)}') AND regexp_matches(lower(s), '{'|'.join(attributions.ALL)}') THEN 'collective_use' ELSE 'first_person' END AS attribution
+  FROM i LEFT JOIN per ON per.id = i.id LEFT JOIN sized ON sized.l_orderkey = i.l_orderkey)
+SELECT r.l_orderkey, r.l_linenumber, r.l_partkey, CASE WHEN p.nth IS NOT NULL THEN concat(p.l_linenumber, '/', p.l_partkey) END AS person, attribution FROM rule r LEFT JOIN p ON p.l_orderkey = r.l_orderkey AND (attribution IN ('nothing_found', 'collective_use') OR p.nth = CASE attribution WHEN 'individual' THEN r.nth ELSE 1 END)"""
+
+
+@R.query(ATTRIBUTION_SQL)
 def attribution(t):
-    """Items go to the person their sentence names, else to the first of the case."""
-    sentence = F.when(F.col("l_linenumber") % 2 == 1, F.lit("seized from A-2 here")).otherwise(F.lit("seized at the spot"))
-    people = t.lineitem.select("l_orderkey").distinct().select("l_orderkey", F.explode(F.array(F.struct(F.lit("A-1").alias("code"), F.lit(1).alias("seq")), F.struct(F.lit("A-2").alias("code"), F.lit(2).alias("seq")))).alias("p")).select("l_orderkey", "p.code", "p.seq")
-    items = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", sentence.alias("sentence"))
-    return rules.attribute(items, people, "l_orderkey", "sentence", "code", "seq").select("l_orderkey", "l_linenumber", "l_partkey", "attribution")
+    """Items go to those whom their sentence names by code or name, or to the first of the case, to all, to nobody."""
+    lines = t.lineitem.join(t.part.select(F.col("p_partkey").alias("l_partkey"), "p_name"), "l_partkey").withColumn("person", F.concat_ws("/", "l_linenumber", "l_partkey"))
+    people = lines.where("l_returnflag <> 'R'").select("l_orderkey", "l_linenumber", "l_partkey", "person", F.concat(F.lit("A"), "l_linenumber").alias("code"), "p_name").distinct()
+    items = lines.select("l_orderkey", "l_linenumber", "l_partkey", item_text().alias("sentence"), F.when(F.col("l_suppkey") % len(ITEM_TEXTS) == 8, "no_drugs_detected").otherwise("Ganja").alias("item"))
+    out = attributions.attribute(items, people, "l_orderkey", "sentence", "person", "code", "p_name", ["l_linenumber", "l_partkey"], "item")
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", "person", "attribution")

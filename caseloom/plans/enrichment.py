@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
-from ..functions import similarity
+from ..functions import nested, similarity
 from ..functions import text as T
-from ..operators import enrich, rules, vectors
+from ..operators import branches, enrich, rules, vectors
 from .base import Registry
 
 R = Registry()
@@ -68,6 +70,51 @@ def provenance(t):
     return out.select("c_custkey", "relation", "place", F.array_join(F.transform(F.array_sort(F.map_entries("provenance")), lambda e: F.concat_ws("=", e["key"], e["value"])), ",").alias("came"))
 
 
+#: What a case's text says line by line: {n} the line, {m} the next one, {name} the name of its part, {first} its first word. Templates by supplier.
+FACTS = ("{name} (A-{n}) was seen", "then {name}, who is said to have come from far away with a bag, met A{m}", "a.{n} fled", "{first} went with A {n}", "nobody knows {name}")
+
+
+def _facts_sql():
+    values = {"{n}": "l_linenumber", "{m}": "l_linenumber + 1", "{name}": "p_name", "{first}": "split_part(p_name, ' ', 1)"}
+    part = lambda x: "concat(" + ", ".join(values.get(y, f"'{y}'") for y in re.split(r"(\{\w+\})", x) if y) + ")"
+    return f"CASE l_suppkey % {len(FACTS)} {' '.join(f'WHEN {i} THEN {part(x)}' for i, x in enumerate(FACTS))} END"
+
+
+def _facts():
+    values = {"{n}": F.col("l_linenumber"), "{m}": F.col("l_linenumber") + 1, "{name}": F.col("p_name"), "{first}": F.split_part("p_name", F.lit(" "), F.lit(1))}
+    texts = [F.concat(*(values[y].cast("string") if y in values else F.lit(y) for y in re.split(r"(\{\w+\})", x) if y)) for x in FACTS]
+    return F.element_at(F.array(*texts), (F.col("l_suppkey") % len(FACTS) + 1).cast("int"))
+
+
+UUID5 = "concat(substr({h}, 1, 8), '-', substr({h}, 9, 4), '-5', substr({h}, 14, 3), '-', substr('89ab', 1 + CAST(concat('0x', substr({h}, 17, 1)) AS INTEGER) % 4, 1), substr({h}, 18, 3), '-', substr({h}, 21, 12))"
+
+
+@R.query(f"""WITH l AS (SELECT lineitem.*, p_name, {_facts_sql()} AS s FROM lineitem JOIN part ON p_partkey = l_partkey),
+c AS (SELECT o_orderkey AS k, o_orderkey % 11 = 3 AS failed, coalesce(string_agg(s, '; ' ORDER BY l_linenumber, l_partkey, s), '') AS facts FROM orders LEFT JOIN l ON l_orderkey = o_orderkey GROUP BY o_orderkey),
+x AS (SELECT DISTINCT l_orderkey AS k, p_name AS name, l_linenumber AS seq FROM l WHERE l_quantity > 20 AND l_orderkey % 11 <> 5),
+t AS (SELECT DISTINCT l_orderkey AS k, concat(l_linenumber, ':', l_partkey) AS id, concat('A-', l_linenumber) AS code, concat('A', l_linenumber) AS plain, CASE WHEN l_linenumber % 2 = 0 THEN p_name END AS name, CASE WHEN l_suppkey % 7 = 0 THEN l_suppkey END AS person FROM l WHERE l_returnflag <> 'R' AND l_orderkey % 4 <> 0),
+b AS (SELECT c.*, CASE WHEN t.k IS NULL THEN 'C' WHEN t.known THEN 'A' ELSE 'B' END AS branch FROM c LEFT JOIN (SELECT k, bool_or(person IS NOT NULL) AS known FROM t GROUP BY k) t ON t.k = c.k),
+o AS (SELECT * FROM b WHERE branch <> 'A'),
+m AS (SELECT o.k, branch, facts, name, seq, CASE WHEN contains(lower(facts), lower(name)) THEN lower(name) WHEN contains(lower(facts), split_part(lower(name), ' ', 1)) THEN split_part(lower(name), ' ', 1) END AS held FROM o JOIN x ON x.k = o.k WHERE NOT failed),
+w AS (SELECT *, instr(lower(facts), held) AS i FROM m),
+g AS (SELECT *, regexp_extract_all(substr(facts, greatest(i - 30, 1), i + length(held) + 30 - greatest(i - 30, 1)), '(?i)A[-. ]?[0-9]+') AS codes FROM w),
+h AS (SELECT g.*, CASE WHEN held IS NOT NULL THEN list_filter(list_transform(codes, lambda z: upper(regexp_replace(z, '[-. ]', '', 'g'))), lambda z: list_contains(plains, z)) END AS own FROM g LEFT JOIN (SELECT k, list(plain) AS plains FROM t GROUP BY k) y ON y.k = g.k),
+p AS (SELECT h.k, branch, name, seq, q.id, q.code, sha1(unhex('6ba7b8109dad11d180b400c04fd430c8') || encode(concat(h.k, '|', name, '|', seq))) AS sha FROM h LEFT JOIN (SELECT k, plain, min(id) AS id, arg_min(code, id) AS code FROM t GROUP BY k, plain) q ON q.k = h.k AND q.plain = h.own[1])
+SELECT k AS case_id, branch, coalesce(id, {UUID5.format(h='sha')}) AS accused_id, code AS person_code, name AS full_name, CAST(NULL AS VARCHAR) AS role, CASE WHEN id IS NOT NULL THEN 'paired' WHEN branch = 'B' THEN 'unmatched' ELSE 'text' END AS source FROM p
+UNION ALL SELECT t.k, 'B', t.id, t.code, coalesce(t.name, t.code), NULL, 'stub' FROM t JOIN o ON o.k = t.k AND branch = 'B' AND NOT failed WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.k = t.k AND p.id = t.id)
+UNION ALL SELECT k, branch, NULL, NULL, NULL, CASE WHEN failed THEN '{branches.FAILED}' ELSE '{branches.NOBODY}' END, NULL FROM o WHERE (failed OR branch = 'C') AND k NOT IN (SELECT k FROM p)""")
+def assembled_people(t):
+    """D22, branches B and C: people of a text beside stubs of the table (paired by a code near the name), or without any."""
+    l = t.lineitem.join(t.part.select(F.col("p_partkey").alias("l_partkey"), "p_name"), "l_partkey")
+    told = l.withColumn("s", _facts()).groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(nested.ordered_list(F.col("s"), F.col("l_linenumber"), F.col("l_partkey")).alias("s"))
+    cases = t.orders.join(told, "o_orderkey", "left").select(F.col("o_orderkey").alias("case_id"), F.when(F.col("o_orderkey") % 11 == 3, "failed").alias("state"), F.coalesce(F.array_join("s", "; "), F.lit("")).alias("facts"))
+    extracted = l.where("l_quantity > 20 AND l_orderkey % 11 <> 5").select(F.col("l_orderkey").alias("case_id"), F.col("p_name").alias("name"), F.col("l_linenumber").alias("seq")).distinct()
+    stubs = l.where("l_returnflag <> 'R' AND l_orderkey % 4 <> 0").select(
+        F.col("l_orderkey").alias("case_id"), F.concat_ws(":", "l_linenumber", "l_partkey").alias("id"), F.concat(F.lit("A-"), "l_linenumber").alias("code"), F.when(F.col("l_linenumber") % 2 == 0, F.col("p_name")).alias("stub_name"), F.when(F.col("l_suppkey") % 7 == 0, F.col("l_suppkey")).alias("person")
+    ).distinct()
+    return branches.assembled(cases, extracted, stubs, "case_id", "name", "seq", "facts", "state", "id", "code", "stub_name", "person")
+
+
 @R.query("SELECT l_orderkey, l_linenumber, l_partkey, l_quantity <= 25 AND l_linenumber % 2 = 0 AS sample FROM lineitem")
 def sample_rows(t):
     """F33"""

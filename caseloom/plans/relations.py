@@ -276,6 +276,37 @@ def soundex_block(t):
     return joins.blocked_pairs(v, "name", F.array(F.array_join(key, "-")))
 
 
+#: Known codes: Double Metaphone of the words that part names begin and end with (where a code starts, a vowel or W counts).
+_FIRST_WORDS = {"blue": "PL", "cold": "KLT", "hot": "HT", "large": "LRJ", "new": "N", "old": "ALT", "red": "RT", "small": "SML"}
+_LAST_WORDS = {"anvil": "NFL", "bolt": "PLT", "gear": "JR", "gizmo": "JSM", "plate": "PLT", "ring": "RNK", "rod": "RT", "widget": "JT"}
+_METAPHONE_SQL = "left(concat({}, {}), 4)".format(*(f"map_extract_value(MAP {{{', '.join(f'{chr(39)}{w}{chr(39)}: {chr(39)}{c}{chr(39)}' for w, c in words.items())}}}, string_split(name, ' ')[{i}])" for i, words in ((1, _FIRST_WORDS), (2, _LAST_WORDS))))
+PHONETIC_SQL = f"""WITH f AS (SELECT l_partkey AS id, min(l_orderkey) AS kase FROM lineitem GROUP BY 1),
+n AS (SELECT p_partkey AS id, p_name AS name, kase, CAST(o_orderdate AS DATE) AS day, {_METAPHONE_SQL} AS code, {_soundex_sql("replace(p_name, ' ', 'e')")} AS sound FROM part JOIN f ON f.id = p_partkey JOIN orders ON o_orderkey = kase),
+p AS (SELECT a.id, b.id AS candidate, CASE WHEN a.sound = b.sound THEN 0 ELSE 1 END AS rank, b.day FROM n a JOIN n b ON (a.sound = b.sound OR a.code = b.code) AND a.kase <> b.kase AND b.day <= a.day AND b.day >= a.day - INTERVAL 2 YEAR)
+"""
+
+
+def _records(t):
+    """A record per part: its name, its first case and that case's day."""
+    first = t.lineitem.groupBy(F.col("l_partkey").alias("id")).agg(F.min("l_orderkey").alias("case"))
+    named = t.part.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name")).join(first, "id")
+    return named.join(t.orders.select(F.col("o_orderkey").alias("case"), F.col("o_orderdate").alias("day")), "case")
+
+
+@R.query(PHONETIC_SQL + "SELECT id, candidate, rank FROM p")
+def phonetic_candidates(t):
+    """Records of other cases within two years whose names sound alike, by sound key or Double Metaphone; all pairs."""
+    r = _records(t)
+    return joins.phonetic_candidates(r, r, "id", "name", "case", "day")
+
+
+@R.query(PHONETIC_SQL + "SELECT id, candidate, rank FROM p QUALIFY row_number() OVER (PARTITION BY id ORDER BY rank, day DESC, candidate) <= 20")
+def ranked_phonetic_candidates(t):
+    """The first of each record: same sound key, then same code, the latest first."""
+    r = _records(t)
+    return joins.phonetic_candidates(r, r, "id", "name", "case", "day", most=20)
+
+
 @R.query("SELECT DISTINCT lower(trim(r_name)) AS r_name, lower(trim(n_name)) AS n_name FROM nation JOIN region ON n_regionkey = r_regionkey")
 def hierarchy_names(t):
     """Distinct trimmed names of nested levels."""
