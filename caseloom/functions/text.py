@@ -148,9 +148,13 @@ def person_code(c: Column) -> Column:
     return F.when(number != "", F.concat(F.lit("A-"), number.cast("long").cast("string")))
 
 
+#: A person's code in a text.
+CODE = r"(?i:\bA\s*[-.]?\s*(\d+)\b)"
+
+
 def person_codes(c: Column) -> Column:
     """All codes in a text, each once, in order."""
-    return F.array_distinct(F.transform(F.regexp_extract_all(c, F.lit(r"(?i)\bA\s*[-.]?\s*(\d+)\b"), 1), lambda n: F.concat(F.lit("A-"), n.cast("long").cast("string"))))
+    return F.array_distinct(F.transform(F.regexp_extract_all(c, F.lit(CODE), 1), lambda n: F.concat(F.lit("A-"), n.cast("long").cast("string"))))
 
 
 def phone_digits(c: Column) -> Column:
@@ -211,6 +215,16 @@ def valid_person_name(c: Column, placeholders: tuple[str, ...] = ("unknown", "na
     return F.coalesce((letters >= 2) & (letters >= 0.35 * F.length(F.replace(plain, F.lit(" "), F.lit("")))) & ~plain.isin(*placeholders), F.lit(False))
 
 
+def relevant_sections(text: Column, boundary: str, first: tuple[str, ...], patterns: tuple[str, ...], second: tuple[str, ...], least: int = 50) -> Column:
+    """struct(kept_text, sections, kept): a text's sections (cut before each `boundary`, blank ones left out) whose relevance is
+    `least` or more, joined by a blank line. A text of one section is kept as it is; none may be left of several."""
+    parts = F.filter(F.split(F.coalesce(text, F.lit("")), f"(?={boundary})"), lambda s: s.rlike(r"\S"))
+    kept = F.filter(parts, lambda s: relevance(s, first, patterns, second) >= least)
+    joined = F.array_join(F.transform(kept, lambda s: F.regexp_replace(s, r"^\s+|\s+$", "")), "\n\n")
+    one = F.size(parts) <= 1
+    return F.struct(F.when(one, text).otherwise(joined).alias("kept_text"), F.size(parts).alias("sections"), F.when(one, F.size(parts)).otherwise(F.size(kept)).alias("kept"))
+
+
 def relevance(text: Column, first: tuple[str, ...], patterns: tuple[str, ...], second: tuple[str, ...]) -> Column:
     """100 for any first-tier word, 80 for any pattern, 15 for each second-tier word that occurs."""
     low = F.lower(F.coalesce(text, F.lit("")))

@@ -1,4 +1,8 @@
-"""Seized items out of case texts: a chain of DataFrame steps without a model. Each step is of use alone."""
+"""Seized items out of case texts: a chain of DataFrame steps without a model. Each step is of use alone.
+
+Whose an amount is, is a question of order: a text is cut where a person's code stands, and what follows belongs to that
+person until the next code. Amounts cut it further, and each amount's item is the longest known name up to the next amount.
+"""
 
 from __future__ import annotations
 
@@ -9,59 +13,58 @@ from ..functions import text as T
 from ..functions import units
 from . import enrich, rules
 
-#: How far a person's segment reaches, in characters.
-SEGMENT = 600
-PERSON = r"(?i)\bA\s*[-.]?\s*\d+\b"
-QUANTITY = r"(?i)\b(\d+(?:\.\d+)?)\s*(kilograms?|kgs?|grams?|grms?|gms?|g|mg|ml|litres?|ltr|l)\b"
-PACKED = r"(?i)\b(?:packets?|covers?|bundles?|transparent|polythene|plastic|sachets?|M\d+)\b"
-TAKEN = r"(?i)\b(?:apprehended|arrested|seized|confession|recovered|possession)\b"
+#: A number with any unit of weight or volume that `units` knows (longer spellings first).
+AMOUNT = rf"(?i)(?<![\w.])(\d+(?:\.\d+)?)\s*({'|'.join(sorted({u for (kind, _), names in units.UNITS.items() if kind != 'count' for u in names}, key=lambda u: (-len(u), u)))})\b"
 
 
-def segments(rows: DataFrame, id_: str, text: str, most: int = SEGMENT) -> DataFrame:
-    """id_, ord, person_code, segment: from each mention of a person's code to the next one, `most` characters at most. What
-    follows "A-2 to A-4" is the group's, not the last one's, and has joint = true."""
-    parts = F.split(F.col(text), rf"(?={PERSON})")
-    cut = rows.select(id_, F.posexplode(parts).alias("ord", "part"), parts.alias("_parts")).where(F.col("part").rlike(f"^{PERSON}"))
-    before = F.when(F.col("ord") > 0, F.element_at("_parts", F.greatest(F.col("ord"), F.lit(1))))
-    return cut.select(id_, "ord", T.person_code(F.col("part")).alias("person_code"), F.trim(F.left("part", F.lit(most))).alias("segment"), F.coalesce(before.rlike(rf"{PERSON}\s+to\s*$"), F.lit(False)).alias("joint"))
+def segments(rows: DataFrame, id_: str, text: str) -> DataFrame:
+    """id_, ord, person_code, segment, joint: the stretch from each person's code to the next code or the end of the text.
+    joint marks the last code of a range ("A-2 to A-4"): what follows is of all of them together, not that person's."""
+    stretches = F.split(F.col(text), f"(?={T.CODE})")
+    marked = rows.select(id_, F.posexplode(F.transform(stretches, lambda s, i: F.struct(s.alias("now"), F.when(i > 0, F.element_at(stretches, F.greatest(i, F.lit(1)))).alias("before")))).alias("ord", "s"))
+    ranged = F.coalesce(F.col("s.before").rlike(rf"^{T.CODE}\s+(?i)to\s*$"), F.lit(False))
+    return marked.where(F.col("s.now").rlike(f"^{T.CODE}")).select(id_, "ord", T.person_code(F.col("s.now")).alias("person_code"), F.trim("s.now").alias("segment"), ranged.alias("joint"))
 
 
-def first_quantity(c: Column) -> Column:
-    """struct(quantity, unit) of the first amount with a unit; null without one."""
-    number = F.regexp_extract(c, QUANTITY, 1)
-    return F.when(number != "", F.struct(number.cast("double").alias("quantity"), F.lower(F.regexp_extract(c, QUANTITY, 2)).alias("unit")))
+def amounts(c: Column) -> Column:
+    """array<struct(quantity, unit, told)>: every amount with a unit; told is the text from it to the next one."""
+    parts = F.filter(F.split(c, f"(?={AMOUNT})"), lambda p: p.rlike(f"^{AMOUNT}"))
+    return F.transform(parts, lambda p: F.struct(F.regexp_extract(p, AMOUNT, 1).cast("double").alias("quantity"), F.lower(F.regexp_extract(p, AMOUNT, 2)).alias("unit"), p.alias("told")))
 
 
-def _named(rows: DataFrame, sentence: str, names: DataFrame, raw: str, standard: str) -> DataFrame:
-    """rows whose sentence holds a known name, with its standard name as `item`."""
-    known = names.groupBy(F.lower(raw).alias("keyword")).agg(F.min(standard).alias("item"))
-    return rules.longest_keyword(rows, sentence, names, raw).join(known, "keyword").drop("keyword")
+def _items(rows: DataFrame, text: str, names: DataFrame, raw: str, standard: str, out: str) -> DataFrame:
+    """rows with the standard name of the longest known name in a text, as column `out`; null without one."""
+    known = names.groupBy(F.lower(raw).alias("keyword")).agg(F.min(standard).alias(out))
+    return rules.longest_keyword(rows, text, names, raw).join(known, "keyword", "left").drop("keyword")
 
 
 def items_of_people(rows: DataFrame, id_: str, text: str, names: DataFrame, raw: str, standard: str) -> DataFrame:
-    """id_, person_code, item, quantity, unit, sentence: the first amount of each person's segment that tells of a seizure."""
-    s = segments(rows, id_, text).where(F.col("segment").rlike(TAKEN) & ~F.col("joint")).withColumn("q", first_quantity(F.col("segment"))).where("q IS NOT NULL")
-    return _named(s, "segment", names, raw, standard).select(id_, "person_code", "item", "q.quantity", "q.unit", F.left("segment", F.lit(300)).alias("sentence"))
+    """id_, person_code, item, quantity, unit, sentence: the amounts of each person's stretch that tells of a seizure. An
+    amount without a name of its own takes that of the stretch."""
+    own = segments(rows, id_, text).where(rules.holds(F.col("segment"), rules.SEIZED) & ~F.col("joint"))
+    each = own.select(id_, "person_code", "segment", F.explode(amounts(F.col("segment"))).alias("a")).select("*", F.col("a.told").alias("told"))
+    named = _items(_items(each, "told", names, raw, standard, "near"), "segment", names, raw, standard, "any")
+    return named.withColumn("item", F.coalesce("near", "any")).where("item IS NOT NULL").select(id_, "person_code", "item", "a.quantity", "a.unit", F.col("segment").alias("sentence"))
 
 
 def items_in_packets(rows: DataFrame, id_: str, text: str, names: DataFrame, raw: str, standard: str) -> DataFrame:
     """The same for packets ("3 packets of 2 kg each"), by sentence, without a person: the weight of all packets."""
-    s = rows.select(id_, F.explode(F.split(text, r"[\r\n]+|(?<=[a-z])\.\s+")).alias("sentence")).where(F.col("sentence").rlike(PACKED))
-    p = s.select(id_, "sentence", F.explode(rules.packets(F.col("sentence"))).alias("p"))
-    return _named(p, "sentence", names, raw, standard).select(id_, F.lit(None).cast("string").alias("person_code"), "item", (F.col("p.packets") * F.col("p.each")).alias("quantity"), "p.unit", "sentence")
+    sentences = rows.select(id_, F.explode(rules.sentences(F.col(text))).alias("sentence")).where(rules.holds(F.col("sentence"), rules.PACKETS))
+    each = sentences.select(id_, "sentence", F.explode(rules.packets(F.col("sentence"))).alias("p"))
+    return _items(each, "sentence", names, raw, standard, "item").where("item IS NOT NULL").select(id_, F.lit(None).cast("string").alias("person_code"), "item", (F.col("p.packets") * F.col("p.each")).alias("quantity"), "p.unit", "sentence")
 
 
 def seized_items(rows: DataFrame, id_: str, text: str, names: DataFrame, raw: str, standard: str, ignored: DataFrame | None = None, large_g: float = 20_000.0) -> DataFrame:
     """A row per case, person, item and amount: id_, person_code, item, weight_g, volume_ml, count_total, label, is_sample,
-    is_large (for all rows of a case's item, if one or their sum is large). Steps: segments and packets; seizures only;
-    nothing that is on the list of ignored items; standard units; no gross weight beside a net one; samples marked; each
-    amount once."""
+    is_large (for all rows of a case's item, if one or their sum is large). Steps: people's stretches and packets; seizures
+    only; nothing that is on the list of ignored items; standard units; no gross weight beside its net one; samples marked;
+    each amount once."""
     found = items_of_people(rows, id_, text, names, raw, standard).unionByName(items_in_packets(rows, id_, text, names, raw, standard))
     whole = found.join(rows.select(id_, F.col(text).alias("_whole")), id_)
-    kept = whole.where(rules.seizure_filter(F.col("sentence"), F.col("_whole"), F.col("item"))["keep"]).drop("_whole")
+    kept = whole.where(rules.seizure_filter(F.col("sentence"), F.col("_whole"), F.col("item"))["keep"])
     kept = kept if ignored is None else rules.without_ignored(kept, "item", ignored, ignored.columns[0])
     q = units.standard_quantity(F.col("quantity"), F.col("unit"), F.lit("unknown"), F.lit(0.0), F.col("sentence"))
-    measured = enrich.net_or_gross(kept.withColumn("q", q), [id_, "item"], "sentence")
+    measured = kept.withColumn("q", q).where(~enrich.is_gross_beside_net(F.col("_whole"), F.col("sentence"), F.col("q.weight_g")))
     amount = measured.select(id_, "person_code", "item", "q.weight_g", "q.volume_ml", "q.count_total", enrich.is_sample(F.col("q.weight_g"), F.col("sentence")).alias("is_sample"))
     once = amount.groupBy(id_, "person_code", "item", "weight_g", "volume_ml", "count_total").agg(F.max("is_sample").alias("is_sample"))
     totals = once.groupBy(id_, "item").agg((F.sum(F.coalesce("weight_g", F.lit(0.0))) >= large_g).alias("is_large"))

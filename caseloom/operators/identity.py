@@ -276,9 +276,9 @@ def pair_roles(people: DataFrame, roles: DataFrame, case: str) -> DataFrame:
     return out.withColumn("role", found).withColumn("paired_by", F.coalesce(*(F.when(F.col(f"_{how}").isNotNull(), how) for how, _ in steps))).drop(*(f"_{how}" for how, _ in steps))
 
 
-def history(groups: DataFrame, ids: str, value) -> DataFrame:
-    """The groups that hold an id."""
-    return groups.where(F.array_contains(F.col(ids), F.lit(value)))
+def history(rows: DataFrame, group: str, id_: str, value):
+    """The rows, grouped, of the groups that hold an id: the id is looked up first, so only its groups are read further."""
+    return rows.join(rows.where(F.col(id_) == value).select(group).distinct(), group, "left_semi").groupBy(group)
 
 
 def search_by_name(groups: DataFrame, name: str, part: str, order: str) -> DataFrame:

@@ -58,19 +58,19 @@ def changed_only(old: DataFrame, new: DataFrame, key: str, value: str) -> DataFr
     return joined.where(~F.col("old_value").eqNullSafe(F.col("new_value")))
 
 
-def date_chunks(spark, start: str, end: str, days: int = 5, overlap: int = 1) -> DataFrame:
-    """chunk, chunk_start, chunk_end: each starts `overlap` days into the end of the one before."""
-    step = days - overlap
-    base = spark.sql("SELECT CAST(:a AS DATE) AS a, CAST(:b AS DATE) AS b", args={"a": start, "b": end})
-    starts = base.select(F.posexplode(F.sequence("a", "b", F.expr(f"INTERVAL {step} DAYS"))).alias("chunk", "chunk_start"), "b")
-    return starts.select("chunk", "chunk_start", F.least(F.date_add("chunk_start", days - 1), "b").alias("chunk_end")).where((F.col("chunk") == 0) | (F.datediff("chunk_end", "chunk_start") >= overlap))
+def date_chunks(ranges: DataFrame, start: str, end: str, days: int = 5, overlap: int = 1) -> DataFrame:
+    """ranges (any columns, with a first and a last day) with chunk, chunk_start, chunk_end: each chunk starts `overlap` days
+    into the end of the one before. A range that ends before it starts has no chunk."""
+    first, last = F.col(start).cast("date"), F.col(end).cast("date")
+    starts = ranges.where(first <= last).select("*", F.posexplode(F.sequence(first, last, F.expr(f"INTERVAL {days - overlap} DAYS"))).alias("chunk", "chunk_start"))
+    return starts.withColumn("chunk_end", F.least(F.date_add("chunk_start", days - 1), last)).where((F.col("chunk") == 0) | (F.datediff("chunk_end", "chunk_start") >= overlap))
 
 
-def date_chunks_backwards(spark, start: str, end: str, days: int = 5, overlap: int = 1) -> DataFrame:
-    """Newest first; the next chunk ends `overlap` days before this one starts (there is no common day)."""
-    base = spark.sql("SELECT CAST(:a AS DATE) AS a, CAST(:b AS DATE) AS b", args={"a": start, "b": end})
-    ends = base.select(F.posexplode(F.sequence("b", "a", F.expr(f"INTERVAL -{days - 1 + overlap} DAYS"))).alias("chunk", "chunk_end"), "a")
-    return ends.select("chunk", F.greatest(F.date_sub("chunk_end", days - 1), "a").alias("chunk_start"), "chunk_end")
+def date_chunks_backwards(ranges: DataFrame, start: str, end: str, days: int = 5, overlap: int = 1) -> DataFrame:
+    """The same, newest first; the next chunk ends `overlap` days before this one starts (there is no common day)."""
+    first, last = F.col(start).cast("date"), F.col(end).cast("date")
+    ends = ranges.where(first <= last).select("*", F.posexplode(F.sequence(last, first, F.expr(f"INTERVAL -{days - 1 + overlap} DAYS"))).alias("chunk", "chunk_end"))
+    return ends.withColumn("chunk_start", F.greatest(F.date_sub("chunk_end", days - 1), first))
 
 
 def high_water_mark(df: DataFrame, created: str, modified: str, floor: str) -> DataFrame:
@@ -78,10 +78,9 @@ def high_water_mark(df: DataFrame, created: str, modified: str, floor: str) -> D
     return df.agg(F.greatest(F.max(created), F.max(modified), F.lit(floor).cast("timestamp")).alias("high_water_mark"))
 
 
-def checkpoint(state: DataFrame, module: str, until: str) -> DataFrame:
-    """State table (module, until) with the later of the old and the new end for module."""
-    new = state.sparkSession.createDataFrame([(module, until)], "module string, until string")
-    return state.unionByName(new).groupBy("module").agg(F.max("until").alias("until"))
+def checkpoints(state: DataFrame, runs: DataFrame) -> DataFrame:
+    """State table (module, until) after some runs (module, until): the later end of each module; new modules are added."""
+    return state.select("module", "until").unionByName(runs.select("module", "until")).groupBy("module").agg(F.max("until").alias("until"))
 
 
 def park_and_retry(queue: DataFrame, known: DataFrame, key: str, most_attempts: int = 5) -> DataFrame:

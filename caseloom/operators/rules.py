@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from .joins import BROADCAST_ROWS
+from .joins import small
 
 #: What case states are called elsewhere.
 CASE_STATES = {
@@ -119,6 +119,16 @@ EQUIPMENT = ("urine sample", "drug testing kit", "test kit", "testing kit", "pos
 SEIZURE_OF = ("seized", "confiscated", "recovered", "found with", "apprehended with", "caught with", "arrested with", "in possession of", "possession of", "possessed")
 
 
+def _near_in_clause(text: Column, name: Column, terms: tuple[str, ...], reach: int) -> Column:
+    """Whether some clause has the name as a word with a term at most so many characters before or behind it: a clause is
+    cut at the name, and the ends of the pieces that meet it are searched."""
+    pieces = F.transform(F.split(text, r"[.\n]"), lambda clause: F.split(clause, F.concat(F.lit(r"\b\Q"), name, F.lit(r"\E\b"))))
+    before = lambda p: reduce(lambda x, t: x | F.right(p, F.lit(reach + len(t))).contains(t), terms, F.lit(False))
+    behind = lambda p: reduce(lambda x, t: x | F.left(p, F.lit(reach + len(t))).contains(t), terms, F.lit(False))
+    near = lambda p: F.exists(F.slice(p, 1, F.size(p) - 1), before) | F.exists(F.slice(p, 2, F.greatest(F.size(p) - 1, F.lit(0))), behind)
+    return F.coalesce(F.when(name != "", F.exists(pieces, near)), F.lit(False))
+
+
 def seizure_filter(sentence: Column, text: Column | None = None, drug: Column | None = None) -> Column:
     """struct(keep, reason) of a sentence about a drug, in its text: use or sale alone is no seizure; a sentence without any
     sign counts if its text has one; equipment counts only where the sentence joins the drug's name to a seizure (within
@@ -127,10 +137,7 @@ def seizure_filter(sentence: Column, text: Column | None = None, drug: Column |
     whole = seized if text is None else seized | holds(text, SEIZED)
     reason = [(holds(sentence, USED) & ~seized, "CONSUMPTION_ONLY"), (holds(sentence, SOLD) & ~seized, "SALE_ONLY"), (~whole & F.coalesce(F.trim(sentence) != "", F.lit(False)), "NO_SEIZURE")]
     if drug is not None:
-        name = F.concat(F.lit(r"\b\Q"), F.lower(F.trim(drug)), F.lit(r"\E\b"))
-        terms, gap = f"(?:{'|'.join(SEIZURE_OF)})", r"[^.\n]{0,80}"
-        joined = F.regexp_like(F.lower(sentence), F.concat(F.lit(terms + gap), name, F.lit("|"), name, F.lit(gap + terms)))
-        reason.append((holds(sentence, EQUIPMENT) & ~F.coalesce(joined & (F.trim(drug) != ""), F.lit(False)), "EQUIPMENT"))
+        reason.append((holds(sentence, EQUIPMENT) & ~_near_in_clause(F.lower(sentence), F.lower(F.trim(drug)), SEIZURE_OF, 80), "EQUIPMENT"))
     found = ladder(reason)
     return F.struct(found.isNull().alias("keep"), found.alias("reason"))
 
@@ -153,21 +160,27 @@ def without_ignored(rows: DataFrame, name: str, ignored: DataFrame, ignored_name
 
 
 def longest_keyword(rows: DataFrame, text: str, words: DataFrame, word: str) -> DataFrame:
-    """rows with the longest known word of one token that their text holds. A counted small list is one broadcast array,
-    so texts do not move; a long list is joined by token."""
+    """rows with the longest known word of one token that their text holds, as keyword: distinct tokens of a text meet the
+    known words, and only the tokens that are known are grouped, by a digest of the text."""
     known = words.select(F.lower(F.col(word)).alias("_w")).where("_w <> ''").distinct()
-    tokens = F.array_distinct(F.split(F.lower(text), r"\W+"))
-    if known.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        held = rows.join(F.broadcast(known.agg(F.collect_set("_w").alias("_known"))))
-        best = F.array_max(F.transform(F.array_intersect(tokens, F.col("_known")), lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))
-        return held.withColumn("keyword", best["w"]).drop("_known")
-    found = rows.select(text).distinct().select(text, F.explode(tokens).alias("_w")).join(known, "_w").groupBy(text).agg(F.max_by("_w", F.struct(F.length("_w"), "_w")).alias("keyword"))
-    return rows.join(found, text, "left")
+    digest = F.md5(F.col(text).cast("binary"))
+    tokens = rows.select(digest.alias("_text"), F.explode(F.array_distinct(F.split(F.lower(text), r"\W+"))).alias("_w"))
+    best = tokens.join(small(known), "_w").groupBy("_text").agg(F.max(F.struct(F.length("_w").alias("n"), F.col("_w").alias("w")))["w"].alias("keyword"))
+    return rows.withColumn("_text", digest).join(best, "_text", "left").drop("_text")
+
+
+def sentences(c: Column) -> Column:
+    """A text's sentences: cut at line ends, and at a full stop behind a letter or a closing bracket, with a blank after it."""
+    return F.filter(F.transform(F.split(c, r"\n|(?<=[a-z)][.])\s"), lambda s: F.trim(s)), lambda s: s != "")
+
+
+#: What things are packed in.
+PACKETS = ("packet", "cover", "bag", "bundle")
 
 
 def packets(c: Column) -> Column:
     """array<struct(packets, each, unit)>: "3 packets of 2 kg each" and the like."""
-    pattern = r"(?i)(\d+)\s+(?:packets?|covers?|bags?|bundles?)[^.\d]{0,40}?(\d+(?:\.\d+)?)\s*(kgs?|gms?|grams?|g|ml|l)\b"
+    pattern = rf"(?i)(\d+)\s+(?:{'|'.join(PACKETS)})s?[^.\d]{{0,40}}?(\d+(?:\.\d+)?)\s*(kgs?|gms?|grams?|g|ml|l)\b"
     whole = F.regexp_extract_all(c, F.lit(f"({pattern[4:]})".replace("(", "(?i)(", 1)), 1)
     part = lambda x, i: F.regexp_extract(x, pattern, i)
     return F.transform(whole, lambda x: F.struct(part(x, 1).cast("int").alias("packets"), part(x, 2).cast("double").alias("each"), F.lower(part(x, 3)).alias("unit")))

@@ -260,11 +260,22 @@ def packet_rows(t):
     return e.select("l_orderkey", "l_linenumber", "l_partkey", "p.packets", "p.each", "p.unit")
 
 
-@R.query("""WITH w AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS w FROM documents WHERE lang = 'en') SELECT 1 AS one, count(DISTINCT w) AS words FROM w WHERE length(w) > 2""")
+@R.query("""WITH w AS (SELECT unnest(string_split_regex(lower(text), '[^a-zA-Z0-9_]+')) AS keyword FROM documents) SELECT DISTINCT keyword FROM w WHERE length(keyword) > 2""")
 def keyword_base(t):
-    """D19"""
-    words = t.documents.where("lang = 'en'").select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]+)"), 1))).alias("w")).where(F.length("w") > 2)
-    return words.agg(F.lit(1).alias("one"), F.countDistinct("w").alias("words"))
+    """The words of all documents."""
+    return rules.keyword_base(t.documents, "text")
+
+
+WORD_SQL = r"regexp_matches(lower(s), '(?:^|[^\p{L}\p{N}_])(?:%s)(?:$|[^\p{L}\p{N}_])')"
+
+
+@R.query(f"""WITH p AS (SELECT doc_id, text, list_filter(string_split(coalesce(text, ''), chr(10)), lambda s: regexp_matches(s, '\\S')) AS parts FROM documents),
+k AS (SELECT doc_id, text, parts, list_filter(parts, lambda s: CASE WHEN {WORD_SQL % 'the|la'} THEN 100 ELSE 0 END + CASE WHEN regexp_matches(lower(s), 'license') THEN 80 ELSE 0 END + {' + '.join(f"CASE WHEN {WORD_SQL % w} THEN 15 ELSE 0 END" for w in ('of', 'de', 'and', 'und'))} >= 50) AS kept FROM p)
+SELECT doc_id, CAST(len(parts) AS INTEGER) AS sections, CAST(CASE WHEN len(parts) <= 1 THEN len(parts) ELSE len(kept) END AS INTEGER) AS kept, md5(CASE WHEN len(parts) <= 1 THEN text ELSE array_to_string(list_transform(kept, lambda s: regexp_replace(s, '^\\s+|\\s+$', '', 'g')), chr(10) || chr(10)) END) AS kept_md5 FROM k""")
+def relevant_sections(t):
+    """Of a text's sections (here lines) those of a relevance of 50 or more stay; a text of one section stays as it is."""
+    r = T.relevant_sections(F.col("text"), r"\n", ("the", "la"), ("license",), ("of", "de", "and", "und"))
+    return t.documents.select("doc_id", r.alias("r")).select("doc_id", "r.sections", "r.kept", F.md5("r.kept_text").alias("kept_md5"))
 
 
 @R.query(r"""WITH k AS (SELECT DISTINCT unnest(string_split(lower(p_type), ' ')) AS w FROM part UNION SELECT 'the' UNION SELECT 'tion'), d AS (SELECT DISTINCT doc_id, unnest(string_split_regex(lower(text), '\W+')) AS w FROM documents)

@@ -10,6 +10,7 @@ from ..functions import nested, similarity
 from ..functions import text as T
 from ..operators import branches, enrich, rules, vectors
 from .base import Registry
+from .relations import UUID5
 
 R = Registry()
 
@@ -26,11 +27,11 @@ def address_cascade(t):
     return enrich.resolve_level(first, "raw_station", known, "n_name", "station", parent="region", least=0.95).select("c_custkey", "region", "region_confidence", "station")
 
 
-@R.query("SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'b' ELSE c_mktsegment END AS perm, CASE WHEN c_custkey % 3 = 1 THEN c_mktsegment ELSE 'b' END AS pres FROM customer WHERE c_custkey % 3 <> 2")
+@R.query("SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'b' ELSE c_mktsegment END AS perm, CASE WHEN c_custkey % 3 = 1 THEN c_mktsegment ELSE 'b' END AS pres FROM customer")
 def mirrored_slots(t):
     """D7"""
     k = F.col("c_custkey")
-    rows = t.customer.where(k % 3 != 2).select("c_custkey", F.when(k % 3 != 0, F.col("c_mktsegment")).alias("perm"), F.when(k % 3 == 1, F.lit(" ")).otherwise("b").alias("pres"))
+    rows = t.customer.select("c_custkey", F.when(k % 3 != 0, F.col("c_mktsegment")).alias("perm"), F.when(k % 3 == 1, F.lit(" ")).otherwise("b").alias("pres"))
     return rows.withColumns(enrich.mirror(["perm"], ["pres"]))
 
 
@@ -86,9 +87,6 @@ def _facts():
     return F.element_at(F.array(*texts), (F.col("l_suppkey") % len(FACTS) + 1).cast("int"))
 
 
-UUID5 = "concat(substr({h}, 1, 8), '-', substr({h}, 9, 4), '-5', substr({h}, 14, 3), '-', substr('89ab', 1 + CAST(concat('0x', substr({h}, 17, 1)) AS INTEGER) % 4, 1), substr({h}, 18, 3), '-', substr({h}, 21, 12))"
-
-
 @R.query(f"""WITH l AS (SELECT lineitem.*, p_name, {_facts_sql()} AS s FROM lineitem JOIN part ON p_partkey = l_partkey),
 c AS (SELECT o_orderkey AS k, o_orderkey % 11 = 3 AS failed, coalesce(string_agg(s, '; ' ORDER BY l_linenumber, l_partkey, s), '') AS facts FROM orders LEFT JOIN l ON l_orderkey = o_orderkey GROUP BY o_orderkey),
 x AS (SELECT DISTINCT l_orderkey AS k, p_name AS name, l_linenumber AS seq FROM l WHERE l_quantity > 20 AND l_orderkey % 11 <> 5),
@@ -130,6 +128,27 @@ def net_weights(t):
     return enrich.net_or_gross(rows, ["l_orderkey"], "s").drop("s")
 
 
+WEIGHT_TEXTS = ("The total gross weight of the material was {q}.5 kg and the net weight was {q} kg. It was sealed", "gross weight was {q} kg", "a gross weight of {q} kg was noted. the net weight is not known", "Gross wt {q} g, actual weight {m} g\nseized {q} g")
+
+
+def _weight_text():
+    part = lambda x: {"{q}": F.col("l_quantity").cast("int").cast("string"), "{m}": (F.col("l_quantity").cast("int") - 1).cast("string")}.get(x, F.lit(x))
+    return F.element_at(F.array(*(F.concat(*(part(y) for y in re.split(r"(\{\w\})", x) if y)) for x in WEIGHT_TEXTS)), (F.col("l_suppkey") % 4 + 1).cast("int"))
+
+
+@R.query("""WITH w AS (SELECT l_orderkey, l_linenumber, l_partkey, CAST(l_quantity AS INTEGER) AS q, CAST(l_suppkey % 4 AS INTEGER) AS k FROM lineitem),
+r AS (SELECT w.*, f.gross, CASE k WHEN 0 THEN CASE WHEN f.gross THEN (q + 0.5) * 1000 ELSE q * 1000 END WHEN 3 THEN CASE WHEN f.gross THEN q ELSE q - 1 END ELSE q * 1000 END AS g FROM w, (VALUES (true), (false)) f(gross))
+SELECT l_orderkey, l_linenumber, l_partkey, CAST(g AS DOUBLE) AS weight_g FROM r WHERE NOT (gross AND k IN (0, 3))""")
+def gross_beside_net(t):
+    """F32: of two weights in one sentence the gross one goes; a gross weight without its net one stays."""
+    lines = t.lineitem.withColumn("facts", _weight_text()).withColumn("q", F.col("l_quantity").cast("int").cast("double"))
+    gross = F.when(F.col("k") == 0, (F.col("q") + 0.5) * 1000).when(F.col("k") == 3, F.col("q")).otherwise(F.col("q") * 1000)
+    net = F.when(F.col("k") == 3, F.col("q") - 1).otherwise(F.col("q") * 1000)
+    weights = lines.withColumn("k", F.col("l_suppkey") % 4).withColumn("weight_g", F.explode(F.array(gross, net)))
+    sentence = F.element_at(rules.sentences(F.col("facts")), 1)
+    return weights.where(~enrich.is_gross_beside_net(F.col("facts"), sentence, F.col("weight_g"))).select("l_orderkey", "l_linenumber", "l_partkey", "weight_g")
+
+
 @R.query("SELECT c_custkey, 'Father' AS relation, 'old man' AS relative, CASE WHEN c_custkey % 2 = 0 THEN 'some place' END AS place FROM customer")
 def identity_from_text(t):
     """D26 F17"""

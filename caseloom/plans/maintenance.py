@@ -70,18 +70,30 @@ def changed_values(t):
     return merge.changed_only(*snapshots(t), "k", "status")
 
 
-@R.query("""WITH c AS (SELECT CAST(i AS INTEGER) AS chunk, CAST(DATE '1995-01-01' + 4 * CAST(i AS INTEGER) AS DATE) AS chunk_start FROM range(0, 100) r(i))
-SELECT chunk, chunk_start, least(CAST(chunk_start + 4 AS DATE), DATE '1995-03-01') AS chunk_end FROM c WHERE chunk_start <= DATE '1995-03-01' AND (chunk = 0 OR date_diff('day', chunk_start, least(CAST(chunk_start + 4 AS DATE), DATE '1995-03-01')) >= 1)""")
+#: What each priority has still to fetch: from its high-water mark (its latest finished order) to the latest order of all.
+TO_FETCH = "r AS (SELECT o_orderpriority, CAST(max(o_orderdate) FILTER (WHERE o_orderstatus = 'F' AND o_custkey % 7 = 0) AS DATE) - INTERVAL 40 DAY AS a, CAST((SELECT max(o_orderdate) FROM orders) AS DATE) AS b FROM orders GROUP BY 1), s AS (SELECT o_orderpriority, CAST(a AS DATE) AS a, b FROM r)"
+
+
+def _to_fetch(t):
+    day = F.col("o_orderdate").cast("date")
+    mark = t.orders.groupBy("o_orderpriority").agg(F.date_sub(F.max(F.when((F.col("o_orderstatus") == "F") & (F.col("o_custkey") % 7 == 0), day)), 40).alias("a"))
+    return mark.join(F.broadcast(t.orders.agg(F.max(day).alias("b"))))  # one row
+
+
+@R.query(f"""WITH {TO_FETCH}, c AS (SELECT o_orderpriority, b, unnest(range(0, date_diff('day', a, b) // 4 + 1)) AS i, a FROM s),
+d AS (SELECT o_orderpriority, CAST(i AS INTEGER) AS chunk, CAST(a + 4 * CAST(i AS INTEGER) AS DATE) AS chunk_start, b FROM c)
+SELECT o_orderpriority, chunk, chunk_start, least(CAST(chunk_start + 4 AS DATE), b) AS chunk_end FROM d WHERE chunk = 0 OR date_diff('day', chunk_start, least(CAST(chunk_start + 4 AS DATE), b)) >= 1""")
 def date_chunks(t):
-    """T1"""
-    return merge.date_chunks(t.spark, "1995-01-01", "1995-03-01")
+    """From the high-water mark of each priority on."""
+    return merge.date_chunks(_to_fetch(t), "a", "b").drop("a", "b")
 
 
-@R.query("""WITH c AS (SELECT CAST(i AS INTEGER) AS chunk, CAST(DATE '1995-03-01' - 5 * CAST(i AS INTEGER) AS DATE) AS chunk_end FROM range(0, 100) r(i))
-SELECT chunk, greatest(CAST(chunk_end - 4 AS DATE), DATE '1995-01-01') AS chunk_start, chunk_end FROM c WHERE chunk_end >= DATE '1995-01-01'""")
+@R.query(f"""WITH {TO_FETCH}, c AS (SELECT o_orderpriority, b, unnest(range(0, date_diff('day', a, b) // 5 + 1)) AS i, a FROM s),
+d AS (SELECT o_orderpriority, CAST(i AS INTEGER) AS chunk, CAST(b - 5 * CAST(i AS INTEGER) AS DATE) AS chunk_end, a FROM c)
+SELECT o_orderpriority, chunk, greatest(CAST(chunk_end - 4 AS DATE), a) AS chunk_start, chunk_end FROM d""")
 def date_chunks_backwards(t):
     """T2"""
-    return merge.date_chunks_backwards(t.spark, "1995-01-01", "1995-03-01")
+    return merge.date_chunks_backwards(_to_fetch(t), "a", "b").drop("a", "b")
 
 
 @R.query("SELECT greatest(max(o_orderdate), max(o_orderdate + INTERVAL 2 DAY), TIMESTAMP '1992-01-01') AS high_water_mark FROM orders")
@@ -91,11 +103,12 @@ def high_water_mark(t):
     return merge.high_water_mark(rows, "created", "modified", "1992-01-01")
 
 
-@R.query("SELECT * FROM (VALUES ('cases', '2024-01-01'), ('persons', '2024-02-03')) v(module, until)")
+@R.query("""SELECT module, greatest(coalesce(old, new), coalesce(new, old)) AS until FROM (SELECT o_orderpriority AS module, max(o_orderdate) FILTER (WHERE o_orderstatus <> 'P' AND o_orderpriority < '4') AS old,
+  max(o_orderdate) FILTER (WHERE o_orderstatus = 'P' AND o_orderpriority > '1') AS new FROM orders GROUP BY 1) WHERE coalesce(old, new) IS NOT NULL""")
 def run_checkpoints(t):
-    """T4"""
-    state = t.spark.createDataFrame([("cases", "2024-01-01"), ("persons", "2023-12-31")], "module string, until string")
-    return merge.checkpoint(merge.checkpoint(state, "persons", "2024-02-03"), "cases", "2023-01-01")
+    """T4: what was fetched of each priority before, moved on by the runs since."""
+    ends = lambda rows: rows.groupBy(F.col("o_orderpriority").alias("module")).agg(F.max("o_orderdate").alias("until"))
+    return merge.checkpoints(ends(t.orders.where("o_orderstatus <> 'P' AND o_orderpriority < '4'")), ends(t.orders.where("o_orderstatus = 'P' AND o_orderpriority > '1'")))
 
 
 @R.query("""WITH q AS (SELECT event_id, user_id AS key, CAST(event_id % 6 AS INTEGER) AS attempts, event_id % 11 = 0 AS resolved FROM events), k AS (SELECT DISTINCT c_custkey FROM customer WHERE c_custkey % 3 = 0),

@@ -47,13 +47,16 @@ def last_run_per_case(t):
     return t.orders.join(r, F.col("l_orderkey") == F.col("o_orderkey"), "left").select("o_orderkey", "last_ship", "n")
 
 
-@R.query("""WITH x AS (SELECT l_orderkey, l_linenumber, l_partkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) AS ord FROM lineitem)
-SELECT l_orderkey, CAST(ord AS INTEGER) AS ord, l_partkey, md5(concat(l_orderkey, ':', ord)) AS surrogate FROM x""")
+UUID5 = "concat(substr({h}, 1, 8), '-', substr({h}, 9, 4), '-5', substr({h}, 14, 3), '-', substr('89ab', 1 + CAST(concat('0x', substr({h}, 17, 1)) AS INTEGER) % 4, 1), substr({h}, 18, 3), '-', substr({h}, 21, 12))"
+
+
+@R.query(f"""WITH x AS (SELECT l_orderkey, l_linenumber, l_partkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) AS ord FROM lineitem)
+SELECT l_orderkey, CAST(ord AS INTEGER) AS ord, l_partkey, {UUID5.format(h='sha')} AS surrogate FROM (SELECT *, sha1(unhex(repeat('00', 16)) || encode(concat(l_orderkey, ':', ord))) AS sha FROM x)""")
 def explode_items_ordinal(t):
     """Items of a case as an array, then out again with their place."""
     packed = t.lineitem.groupBy("l_orderkey").agg(nested.ordered_list(F.col("l_partkey"), F.col("l_linenumber"), F.col("l_partkey")).alias("items"))
     out = packed.select("l_orderkey", F.posexplode("items").alias("pos", "l_partkey")).withColumn("ord", F.col("pos") + 1)
-    return out.select("l_orderkey", "ord", "l_partkey", F.md5(F.concat_ws(":", "l_orderkey", "ord")).alias("surrogate"))
+    return out.select("l_orderkey", "ord", "l_partkey", nested.uuid5("00" * 16, F.concat_ws(":", "l_orderkey", "ord")).alias("surrogate"))
 
 
 @R.query("SELECT l_orderkey, l_linenumber, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate, l_linenumber) - 1 AS INTEGER) AS idx FROM lineitem")
@@ -209,7 +212,7 @@ def vector_topk_l2(t):
 @R.query("""SELECT l_orderkey, len(list_filter(list(l_returnflag), lambda x: x = 'R')) > 0 AS has_returned FROM lineitem GROUP BY l_orderkey""")
 def array_membership(t):
     """P10"""
-    return t.lineitem.groupBy("l_orderkey").agg(F.array_contains(F.collect_set("l_returnflag"), "R").alias("has_returned"))
+    return t.lineitem.groupBy("l_orderkey").agg(F.max(F.col("l_returnflag") == "R").alias("has_returned"))
 
 
 @R.query("SELECT o_orderkey FROM orders JOIN customer ON c_custkey = o_custkey WHERE (CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderpriority END) IS DISTINCT FROM (CASE WHEN o_orderkey % 2 = 0 THEN NULL ELSE '1-URGENT' END)")
