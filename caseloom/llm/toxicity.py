@@ -1,22 +1,24 @@
 """Toxicity: nearest labelled examples by exact TF-IDF cosine over a block-max inverted index.
 
 Terms are lower-cased words and, so that inflected forms share one, the first `STEM` letters of longer words; both are
-known by 64-bit digests. The examples are a bounded sample of labelled documents (`per_class` of each class); every term
-of every example is indexed, none is left out. A term weighs its inverse document frequency, counted over all documents,
-times what the sample's labels say about it (`LEAST` plus the part of its label correlation that chance does not
-explain); a vector is the square roots of a text's counts times these weights, normalised.
+known by 64-bit digests. The examples are a bounded sample of labelled documents (`per_class` of each class). The vector space is
+chosen with the labels: it has the terms whose presence depends on them beyond chance (a log-likelihood ratio of CHANCE or more,
+tested for all terms of all examples), and as a background the terms that a fifth of the examples have. Within it, similarity is the plain cosine of TF-IDF vectors: the square root of a term's count times its inverse document
+frequency, counted over all documents, normalised.
 
 The inverted index lists, per term, the examples in blocks of similar ones with the largest weight of each block; the
 lists of terms that `DENSE` or more of the examples hold are rows of a matrix instead. For a text, the matrix gives exact
 parts of all cosines, and with the maxima these bound every block; blocks are read from the highest bound on until no
 other block can change the k nearest, so the k similarities are exact. Votes are weighted by the inverse of distance; a
-logistic curve, fitted to the leave-one-out votes of the examples at the classes' true rates, makes them probabilities.
-The neighbours are the evidence.
+logistic curve makes them probabilities. It is fitted, at the classes' true rates, to votes that saw nothing of the example's label: by
+the examples of other folds, over terms chosen without its fold. The neighbours are the evidence.
 
-Sample and index are bounded by `per_class` texts and broadcast; every whole text is counted and then scored where it
-lies, without a shuffle. The leave-one-out votes are computed in tasks; the driver sees a number per example.
+Texts of examples are never collected: their terms are counted in Spark, and of at most `most_terms` chosen terms the counts per
+example reach the driver (2 * per_class * most_terms numbers at most, mostly a few per example). This index is
+broadcast; every whole text is counted and then scored where it lies, without a shuffle.
 
-Defined results: null and empty texts, and texts without any term of the index, get the classes' rate as score; repeated
+Defined results: null and empty texts, and texts without any chosen term, get the classes' rate as score, and so do all texts
+where no term is chosen; repeated
 rows are scored each; label rows with null or other labels are ignored, of several labels of a document the larger
 counts; with no labels, with one class only, or where the labelled documents of a class are missing, every score is that
 rate (0.5 without labels); a null doc_id is not held out; an empty table gives an empty result; other columns are ignored
@@ -32,15 +34,15 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import fold, materialize, read, small_batches
 from .labelled import logistic, sample
 
-STEM, BLOCK, DENSE = 4, 64, 1 / 16
-#: The least factor of a term, and the chi-square that chance may give a term (p about 0.0005).
-LEAST, CHANCE = 0.05, 12.0
+STEM, BLOCK, DENSE, COMMON = 4, 64, 1 / 16, 1 / 5
+#: The log-likelihood ratio that one term in 2000 reaches by chance.
+CHANCE = 12.0
 #: How near a vote may come.
 NEAR = 0.02
 #: Whether a character belongs to a word; from the end of the table on all do.
@@ -273,23 +275,42 @@ def document_counts(docs: DataFrame, vocabulary: np.ndarray, width: int = 8192)
     return np.concatenate([np.empty(0, "i8"), *out]), int(summed.get(-1, np.zeros(1, "i8"))[0])
 
 
-def label_factors(labels: np.ndarray, own: np.ndarray, terms: np.ndarray, size: int) -> np.ndarray:
-    """LEAST plus the correlation of a term's presence with the label, without what chance explains."""
-    n0, n1 = (labels == 0).sum(), (labels == 1).sum()
-    toxic = np.bincount(terms, labels[own], size)
-    both = np.bincount(terms, minlength=size)
-    cross = toxic * n0 - (both - toxic) * n1
-    chi2 = len(labels) * cross * cross / np.maximum(n0 * n1 * both * (len(labels) - both), 1.0)
-    return LEAST + np.sqrt(np.maximum(chi2 - CHANCE, 0) / len(labels))
-
-
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", learn=None, per_class: int = 2000, k: int = 15) -> Model:
+def _strength(toxic: Column, clean: Column, n1: Column, n0: Column) -> Column:
+    """How much a term's presence depends on the label: the log-likelihood ratio of its two-by-two table."""
+    n, held = n1 + n0, toxic + clean
+    part = lambda seen, expected: F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
+    return 2 * (part(toxic, held * n1 / n) + part(clean, held * n0 / n) + part(n1 - toxic, (n - held) * n1 / n) + part(n0 - clean, (n - held) * n0 / n))
+
+
+def vocabulary_of(examples: DataFrame, folds: int, most_terms: int) -> tuple[np.ndarray, np.ndarray]:
+    """The terms whose presence depends on the label beyond chance and those that COMMON of the examples have, sorted; and a
+    column for the whole sample and one for the sample without each fold, which tell in which of them a term was chosen.
+    At most the strongest `most_terms` of each are kept."""
+    each = examples.select("y", "fold", F.explode("terms").alias("term"))
+    seen = lambda y, f: F.count_if((F.col("y") == y) & (F.lit(True) if f is None else F.col("fold") != f))
+    sets: list[int | None] = [None, *range(folds)]
+    counts = each.groupBy("term").agg(*(seen(y, f).alias(f"n{y}_{i}") for i, f in enumerate(sets) for y in (0, 1))).where("n0_0 + n1_0 > 1")
+    counts = materialize(counts, "term-counts")
+    total = examples.agg(*(seen(y, f).alias(f"n{y}_{i}") for i, f in enumerate(sets) for y in (0, 1))).first()
+    chosen = {}
+    for i in range(len(sets)):
+        strength = _strength(F.col(f"n1_{i}"), F.col(f"n0_{i}"), F.lit(float(total[f"n1_{i}"])), F.lit(float(total[f"n0_{i}"])))
+        common = F.col(f"n1_{i}") + F.col(f"n0_{i}") >= COMMON * (total[f"n1_{i}"] + total[f"n0_{i}"])
+        for r in counts.where(common | (strength > CHANCE)).select("term", strength.alias("s")).orderBy(F.desc("s"), "term").limit(most_terms).collect():  # at most most_terms
+            chosen.setdefault(r["term"], set()).add(i)
+    terms = np.array(sorted(chosen), "i8").view("u8")
+    terms.sort()
+    member = np.array([[i in chosen[t] for i in range(len(sets))] for t in terms.view("i8").tolist()], bool).reshape(len(terms), len(sets))
+    return terms, member
+
+
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", learn=None, per_class: int = 2000, k: int = 15, folds: int = 5, most_terms: int = 20_000) -> Model:
     """Learn from the rows of labels for which `learn` (a condition on doc_id) holds."""
     with small_batches(docs.sparkSession):
-        return _fit(docs, labels, label, F.lit(True) if learn is None else learn, per_class, k)
+        return _fit(docs, labels, label, F.lit(True) if learn is None else learn, per_class, k, folds, most_terms)
 
 
-def _fit(docs: DataFrame, labels: DataFrame, label: str, learn, per_class: int, k: int) -> Model:
+def _fit(docs: DataFrame, labels: DataFrame, label: str, learn, per_class: int, k: int, folds: int, most_terms: int) -> Model:
     rows, sizes = sample(docs, labels, label, learn, per_class)
     total = sum(sizes.values())
     prior = float(np.clip(sizes.get(1, 0) / total, 1e-6, 1 - 1e-6)) if total else 0.5
@@ -297,43 +318,67 @@ def _fit(docs: DataFrame, labels: DataFrame, label: str, learn, per_class: int,
     if len(sizes) < 2:
         return rate
     counted = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "y", "text").mapInArrow(_examples, "doc_id long, y int, terms array<long>, counts array<long>")
-    found = materialize(counted, "examples").toArrow().sort_by([("doc_id", "ascending"), ("y", "ascending")])  # at most 2 * per_class rows
-    docs_of, y = found["doc_id"].to_numpy(), found["y"].to_numpy().astype("i8")
+    # repeated rows of an example follow each other, and share a fold
+    counted = materialize(counted.withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(folds)).cast("int")), "examples")
+    vocabulary, member = vocabulary_of(counted, folds, most_terms)
+    if not len(vocabulary):
+        return rate
+    held = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    # at most 2 * per_class rows of at most most_terms * (folds + 1) numbers
+    found = counted.mapInArrow(lambda it: _chosen(it, held.value), "doc_id long, y int, fold int, terms array<int>, counts array<long>").toArrow()
+    found = found.sort_by([("doc_id", "ascending"), ("y", "ascending")])
+    docs_of, y, fold_of = found["doc_id"].to_numpy(), found["y"].to_numpy().astype("i8"), found["fold"].to_numpy()
     if len(np.unique(y)) < 2:
         return rate
     lists, counts = found["terms"].combine_chunks(), found["counts"].combine_chunks()
-    own = np.repeat(np.arange(len(y)), lists.value_lengths().to_numpy())
-    vocabulary, terms = np.unique(lists.flatten().to_numpy().view("u8"), return_inverse=True)
-    tf = counts.flatten().to_numpy().astype("f8")
-    del found, lists, counts
-    if not len(vocabulary):
-        return rate
+    own, terms, tf = np.repeat(np.arange(len(y)), lists.value_lengths().to_numpy()), lists.flatten().to_numpy(), counts.flatten().to_numpy().astype("f8")
     df, n_docs = document_counts(docs, vocabulary)
-    weight = (np.log((1 + n_docs) / (1 + df)) + 1) * label_factors(y, own, terms, len(vocabulary))
-    index = Index.build(vocabulary, weight, docs_of, y, own, terms, tf, k, prior)
-    held = docs.sparkSession.sparkContext.broadcast(index)
-    n = len(index.doc_ids)
-    votes = np.array([v for _, v in sorted(docs.sparkSession.range(n).repartition(max(1, n // 200)).mapInArrow(lambda it: _left_out(it, held), "at long, vote double").collect())])  # a number per example
-    of_class = np.array([sizes[c] / max((index.labels == c).sum(), 1) for c in (0, 1)])[index.labels]
-    return Model(held, logistic(votes, index.labels, of_class / of_class.mean()), prior)
-
-
-def _left_out(batches: Iterator[pa.RecordBatch], held: Broadcast) -> Iterator[pa.RecordBatch]:
-    """Votes about examples by all others."""
-    index = held.value
-    term_of_row = np.flatnonzero(index.dense >= 0)
-    term_of_list = np.repeat(np.arange(len(index.lists) - 1), np.diff(index.lists))
-    term_of_posting = np.repeat(term_of_list, np.diff(index.postings))
-    by_example = np.argsort(index.examples, kind="stable")
-    ends = np.searchsorted(index.examples[by_example], np.arange(len(index.doc_ids) + 1))
+    weight = np.log((1 + n_docs) / (1 + df)) + 1
+
+    def index_of(chosen: np.ndarray, example: np.ndarray) -> Index:
+        number = np.cumsum(chosen) - 1
+        kept, place = chosen[terms] & example[own], np.cumsum(example) - 1
+        return Index.build(vocabulary[chosen], weight[chosen], docs_of[example], y[example], place[own[kept]], number[terms[kept]], tf[kept], k, prior)
+
+    index = docs.sparkSession.sparkContext.broadcast(index_of(member[:, 0], np.ones(len(y), bool)))
+    without = docs.sparkSession.sparkContext.broadcast([index_of(member[:, 1 + f], fold_of != f) for f in range(folds)])
+    examples = docs.sparkSession.sparkContext.broadcast((fold_of, np.searchsorted(own, np.arange(len(y) + 1)), vocabulary[terms], tf))
+    votes = np.array([v for _, v in sorted(docs.sparkSession.range(len(y)).repartition(max(1, len(y) // 200)).mapInArrow(lambda it: _votes_of_folds(it, without, examples), "at long, vote double").collect())])  # a number per example
+    of_class = np.array([sizes[c] / max((y == c).sum(), 1) for c in (0, 1)])[y]
+    told = ~np.isnan(votes)
+    if len(np.unique(y[told])) < 2:
+        curve = (float(np.log(prior / (1 - prior))), 1.0)
+    else:
+        curve = logistic(votes[told], y[told], (of_class / of_class.mean())[told])
+    return Model(index, curve, prior)
+
+
+def _chosen(batches: Iterator[pa.RecordBatch], vocabulary: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Examples with their terms of the vocabulary, by number."""
+    for batch in batches:
+        terms, counts = batch["terms"], batch["counts"]
+        own, term = np.repeat(np.arange(batch.num_rows), terms.value_lengths().to_numpy()), terms.flatten().to_numpy().view("u8")
+        at = np.minimum(np.searchsorted(vocabulary, term), len(vocabulary) - 1)
+        ok = vocabulary[at] == term
+        cuts = pa.array(np.searchsorted(own[ok], np.arange(batch.num_rows + 1)), pa.int32())
+        lists = pa.ListArray.from_arrays(cuts, pa.array(at[ok], pa.int32())), pa.ListArray.from_arrays(cuts, pa.array(counts.flatten().to_numpy()[ok], pa.int64()))
+        yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["y"], batch["fold"], *lists], names=["doc_id", "y", "fold", "terms", "counts"])
+
+
+def _votes_of_folds(batches: Iterator[pa.RecordBatch], without: Broadcast, examples: Broadcast) -> Iterator[pa.RecordBatch]:
+    """Votes about examples by those of other folds, over terms chosen there; not a number without neighbours."""
+    fold_of, cuts, terms, tf = examples.value
     for batch in batches:
         votes = []
         for i in batch["id"].to_pylist():
-            own, rows = by_example[ends[i] : ends[i + 1]], np.flatnonzero(index.matrix[:, i])
-            query = np.r_[term_of_row[rows], term_of_posting[own]], np.r_[index.matrix[rows, i], index.weights[own]]
-            at, s = index.nearest(*query, index.dense_parts([query])[0], index.k + 1)
-            keep = at != i
-            votes.append(index.vote(at[keep][: index.k], s[keep][: index.k]) or 0.0)
+            index, own = without.value[fold_of[i]], slice(cuts[i], cuts[i + 1])
+            vote = None
+            if len(index.vocabulary):
+                _, at, n = index.known(np.zeros(own.stop - own.start, "i8"), terms[own], tf[own])
+                if len(at):
+                    q = index.query(at, n)
+                    vote = index.vote(*index.nearest(at, q, index.dense_parts([(at, q)])[0], index.k))
+            votes.append(float("nan") if vote is None else vote)
         yield pa.RecordBatch.from_arrays([batch["id"], pa.array(votes, pa.float64())], names=["at", "vote"])
 
 

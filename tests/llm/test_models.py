@@ -42,6 +42,41 @@ def test_toxicity_on_held_out_documents(spark):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in out.collect())
 
 
+def test_toxic_recall_and_precision_on_held_out_documents(spark):
+    """On the larger tables, whose labels are enough to tell words of all languages."""
+    folder = "/root/testdata/sf0.1"
+    out = toxicity.op1_toxicity(spark, folder).where("held_out").join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").select("toxic", "predicted").collect()
+    found, toxic, called = sum(r.toxic and r.predicted for r in out), sum(r.toxic for r in out), sum(r.predicted for r in out)
+    assert toxic > 80 and found >= 0.9 * toxic and found >= 0.9 * called
+
+
+def test_toxic_scores_against_brute_force(spark):
+    """Cosines of all pairs of whole texts and examples, votes and curve, without the index's lists and bounds."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = toxicity.fit(docs, spark.read.parquet(f"{SF}/labels.parquet"), "toxic", fold(F.col("doc_id"), 5) != 0)
+    index, texts = model.index.value, {r.doc_id: r.text for r in docs.collect()}
+    number = {int(t): i for i, t in enumerate(index.vocabulary)}
+    some = sorted(texts)[::7]
+
+    def vectors(ids):
+        owner, term, n = toxicity.Terms().of([texts[i] for i in ids])
+        m = np.zeros((len(ids), len(number)))
+        for o, t, c in zip(owner.tolist(), term.tolist(), n.tolist(), strict=True):
+            if t in number:
+                m[o, number[t]] = np.sqrt(c) * index.weight[number[t]]
+        size = np.sqrt((m * m).sum(1, keepdims=True))
+        return m / np.where(size > 0, size, 1)
+
+    cosines = vectors(some) @ vectors(index.doc_ids.tolist()).T
+    got = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    for doc, row in zip(some, cosines, strict=True):
+        best = np.lexsort((np.arange(len(row)), -np.round(row, 12)))[: index.k]
+        best = best[row[best] > 0]
+        near = 1 / (toxicity.NEAR + np.maximum(0, 1 - row[best]))
+        expected = 1 / (1 + np.exp(-(model.curve[0] + model.curve[1] * (near @ (2.0 * index.labels[best] - 1)) / near.sum()))) if len(best) else model.prior
+        assert got[doc] == pytest.approx(expected, abs=1e-6)
+
+
 def test_quality_on_held_out_documents(spark):
     out = quality.op3_quality(spark, SF)
     rows, accuracy = held_out_accuracy(spark, out, "quality")
