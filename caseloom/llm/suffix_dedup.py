@@ -20,7 +20,7 @@ Rows shuffled for the search are digests, one per run; texts move twice, to meet
 
 Defined results: a null text counts as empty; texts shorter than WINDOW have no window and stay; rows that repeat both
 doc_id and text count as one document and get one result each; of documents with one doc_id the order is by a digest of
-the text; a null doc_id comes first; an empty table gives an empty result; other columns are ignored.
+the text (drawn anew where two of them share it); a null doc_id comes first, before any other document; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -174,7 +174,7 @@ def _shard_rows(pieces: list[tuple[int, int, int, bytes]]) -> pa.Table:
     scattered = _mixed(r[0].astype("u8") ^ (r[2].astype("u8") << np.uint64(40))).view("i8")  # spreads rows that need no key
     none = np.zeros(len(r[0]), "i8")
     columns = (key, scattered), (context[:, 0], none), (context[:, 1], none), (doc[piece], r[0]), (text_key[piece], r[1]), (place, r[2]), (place + last - first, r[3]), (np.zeros(len(key)), np.ones(len(none)))
-    types = ("i8", "i8", "i8", "i8", "i4", "i8", "i8", "i1")
+    types = ("i8", "i8", "i8", "i8", "i8", "i8", "i8", "i1")
     return pa.table({n: np.concatenate(c).astype(t) for n, c, t in zip(_NAMES, columns, types, strict=True)})
 
 
@@ -366,18 +366,18 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             data = (r["text"] or "").encode("utf-8", "surrogatepass")
             rows += [(c["gram"], r["doc"], r["text_key"], c["first"], data[c["first"] : c["last"] + WINDOW]) for c in r["wanted"]]
         columns = [list(c) for c in zip(*rows, strict=True)] or [[] for _ in range(5)]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()), strict=True)], names=["gram", "doc", "text_key", "first", "bytes"])
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["gram", "doc", "text_key", "first", "bytes"])
 
 
 def repeated_spans(docs: DataFrame, shard_bytes: int = SHARD_BYTES, block_bytes: int = BLOCK_BYTES, hot_contexts: int = HOT_CONTEXTS) -> DataFrame:
     """doc, text_key, spans (array of struct lo, hi; bytes, may overlap): docs has doc (no nulls), text_key, text."""
-    rows = docs.mapInArrow(lambda it: _keyed(it, shard_bytes), "gram long, context long, more long, doc long, text_key int, first long, last long, kind tinyint")
+    rows = docs.mapInArrow(lambda it: _keyed(it, shard_bytes), "gram long, context long, more long, doc long, text_key long, first long, last long, kind tinyint")
     dealt = rows.repartition("gram").sortWithinPartitions("gram", "context", "more", "doc", "text_key", "first")
     known = materialize(dealt.mapInArrow(_compared, rows.schema), "runs")
     whole = known.where("kind = 1").select("doc", "text_key", F.col("first").alias("lo"), (F.col("last") + WINDOW).alias("hi"))
     first = known.where("kind = 0")
     wanted = first.groupBy("doc", "text_key").agg(F.collect_list(F.struct("gram", "first", "last")).alias("wanted"))
-    contexts = materialize(docs.join(wanted, ["doc", "text_key"]).select("doc", "text_key", "text", "wanted").mapInArrow(_contexts, "gram long, doc long, text_key int, first long, bytes binary"), "contexts")
+    contexts = materialize(docs.join(wanted, ["doc", "text_key"]).select("doc", "text_key", "text", "wanted").mapInArrow(_contexts, "gram long, doc long, text_key long, first long, bytes binary"), "contexts")
     total = contexts.agg(F.sum(F.length("bytes"))).first()[0] or 0
     hot = materialize(contexts.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_contexts), "hot-keys")
     n_buckets = max(1, -(-total // (4 * block_bytes)))
@@ -391,7 +391,7 @@ def repeated_spans(docs: DataFrame, shard_bytes: int = SHARD_BYTES, block_bytes:
         firsts = found.where("window IS NOT NULL").groupBy("window").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
         later = join_groups(found.where("window IS NOT NULL"), materialize(firsts, "hot-firsts"), ["window"], "n").where(place != F.col("first"))
         spans = spans.unionByName(found.where("window IS NULL").drop("window")).unionByName(later.select("doc", "text_key", "lo", "hi"))
-    spans = spans.withColumn("text_key", F.col("text_key").cast("int")).unionByName(whole)
+    spans = spans.unionByName(whole)
     return spans.groupBy("doc", "text_key").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
 
 
@@ -425,16 +425,30 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(digests, pa.string()), pa.array(found, kind)], names=["doc_id", "n_bytes", "n_removed", "kept_sha256", "spans"])
 
 
-def deduplicate_substrings(docs: DataFrame, **sizes: int) -> DataFrame:
+def keyed_texts(docs: DataFrame, bits: int = 63) -> DataFrame:
+    """docs with doc (the smallest long for a null doc_id) and text_key, which tell different texts and ids apart: where texts
+    of one doc_id share a key (their SHA-256 differs), all keys are drawn anew with another salt. The keys of a null doc_id
+    are negative, all others not. bits is for tests: few bits make keys meet often."""
+    with_key = lambda salt: F.shiftrightunsigned(F.xxhash64(F.lit(salt), "text"), 64 - bits)
+    salt = 0
+    if not docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        own = F.sha2(F.coalesce("text", F.lit("")), 256)
+        while not docs.groupBy("doc_id", with_key(salt)).agg(F.min(own).alias("low"), F.max(own).alias("high")).where("low <> high").isEmpty():
+            salt += 1
+    key = with_key(salt)
+    return docs.withColumn("doc", F.coalesce("doc_id", F.lit(-(2**63)))).withColumn("text_key", F.when(F.col("doc_id").isNull(), -1 - key).otherwise(key))
+
+
+def deduplicate_substrings(docs: DataFrame, key_bits: int = 63, **sizes: int) -> DataFrame:
     """doc_id, n_bytes, n_removed, kept_sha256, spans (maximal removed byte ranges): a row per row of docs. sizes: those of
     `repeated_spans`."""
     with small_batches(docs.sparkSession):
-        return _deduplicated(docs, sizes)
+        return _deduplicated(docs, key_bits, sizes)
 
 
-def _deduplicated(docs: DataFrame, sizes: dict[str, int]) -> DataFrame:
+def _deduplicated(docs: DataFrame, key_bits: int, sizes: dict[str, int]) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    keyed = docs.withColumn("doc", F.coalesce("doc_id", F.lit(-(2**63)))).withColumn("text_key", F.hash("text"))
+    keyed = keyed_texts(docs, key_bits)
     spans = repeated_spans(keyed.select("doc", "text_key", "text"), **sizes)
     kept = keyed.join(spans, ["doc", "text_key"], "left").select("doc_id", "text", "spans").mapInArrow(_kept, "doc_id long, n_bytes long, n_removed long, kept_sha256 string, spans array<struct<lo:long,hi:long>>")
     return materialize(kept, "kept")

@@ -86,6 +86,18 @@ def test_suffix_dedup_of_shards_blocks_and_hot_keys(spark, sizes):
     assert {(r.doc_id, r.n_bytes, r.n_removed, len(r.spans), r.kept_sha256) for r in out} == {(d, *x) for (d, _), x in expected.items()}
 
 
+@pytest.mark.parametrize("bits", [63, 3, 1])
+def test_suffix_dedup_of_different_texts_of_one_doc_id(spark, bits):
+    """Whichever keys they get: with one bit, keys are drawn until the two differ."""
+    a, b = (" ".join(words(60, seed))[:133] for seed in (21, 22))
+    low = -(2**63)
+    rows = [(1, a, "a"), (1, b, "a"), (2, a + b, "a"), (low, b + "!", "a"), (None, b + "!", "a")]
+    out = suffix_dedup.deduplicate_substrings(frame(spark, rows), key_bits=bits).collect()
+    removed = {(r.doc_id, r.n_bytes): r.n_removed for r in out if r.doc_id != 1}
+    assert removed == {(2, 266): 266, (low, 134): 134, (None, 134): 0}
+    assert sorted((r.doc_id, r.n_removed) for r in out if r.doc_id == 1) == [(1, 0), (1, 133)]
+
+
 @pytest.mark.parametrize("alphabet", [b"ab", b"abc\x00"])
 def test_shards_by_brute_force(alphabet):
     r = random.Random(2)
