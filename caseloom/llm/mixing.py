@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import WORD, materialize, read
+from .common import WORD, join_groups, materialize, read
 
 WEIGHTS = (3.0, 1.0, 2.0)
 BUDGET_SHARE = 1.5
@@ -90,13 +90,14 @@ def mix(docs: DataFrame, labels: DataFrame | None = None, bucket_rows: int = 409
     above = F.col("n_good") * F.exp(-GOOD * F.col("key")) + F.col("n_bad") * F.exp(-BAD * F.col("key")) + plain * F.exp(-F.col("key"))
     bucket = F.least(n_buckets - 1, F.floor((1 - above / F.col("n_docs")) * n_buckets))
     rest = F.col("target") - F.col("epochs") * F.col("source_size")
-    same = sized["source"].eqNullSafe(plan["source"])
-    rows = sized.join(plan.withColumn("epochs", epochs), same).drop(plan["source"]).withColumn("rest", rest).withColumn("bucket", bucket)
-    totals = rows.groupBy("source", "bucket").agg(F.sum("size").alias("in_bucket"))
-    before = totals.withColumn("before", F.coalesce(F.sum("in_bucket").over(W.partitionBy("source").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
-    b = before.select(F.col("source").alias("b_source"), F.col("bucket").alias("b_bucket"), "before")
-    within = W.partitionBy("source", "bucket").orderBy("key", "doc_id", "size", "text_key").rowsBetween(W.unboundedPreceding, W.currentRow)
-    run = rows.withColumn("run", F.sum("size").over(within)).join(b, F.col("source").eqNullSafe(F.col("b_source")) & (F.col("bucket") == F.col("b_bucket")))
+    of = F.coalesce(F.concat(F.lit("s"), "source"), F.lit("")).alias("of")  # a key without nulls
+    known = plan.withColumn("epochs", epochs).select(of, *(c for c in plan.columns if c != "source"), "epochs")
+    # however many sources there are, one that has a large share of all rows is dealt to many tasks
+    rows = join_groups(sized.select("*", of), known, ["of"], "n_docs").withColumn("rest", rest).withColumn("bucket", bucket)
+    totals = rows.groupBy("of", "bucket").agg(F.sum("size").alias("in_bucket"))
+    before = totals.withColumn("before", F.coalesce(F.sum("in_bucket").over(W.partitionBy("of").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+    within = W.partitionBy("of", "bucket").orderBy("key", "doc_id", "size", "text_key").rowsBetween(W.unboundedPreceding, W.currentRow)
+    run = rows.withColumn("run", F.sum("size").over(within)).join(before.select("of", "bucket", "before"), ["of", "bucket"])
     middle = F.col("before") + F.col("run") - F.col("size") / 2
     times = F.col("epochs") + F.when((F.col("size") > 0) & (middle <= F.col("rest")), F.lit(1)).otherwise(F.lit(0))
     return run.select("doc_id", "text_key", "size", "source_size", "target", times.alias("times"), (times * F.col("size")).alias("taken"))

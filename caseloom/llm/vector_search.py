@@ -6,9 +6,9 @@ centres give a middle value and, as all cells have one width, the query's absolu
 every vector. Only vectors whose upper bound reaches the k-th highest lower bound remain, and only for these are exact
 vectors read, in the order of their bounds, until the k-th exact score is above every bound that is left.
 
-Queries are dealt to slots and the file's blocks to runs; a task takes the queries of a slot through the blocks of a run,
-carries their k highest lower bounds from block to block and writes what remains once, at the end. Nothing is sent to the
-driver but row counts per vector length. Every row has a number of its own, by which cells, bounds and exact vectors belong together.
+Queries go to the tasks in slots of about SLOT_BYTES; a task streams the blocks that it reads past a slot's queries,
+carries their k highest lower bounds from block to block and writes what remains once, at the end. So the file is read once per
+slot and never shuffled; only what remains is. Every row has a number of its own, by which cells, bounds and exact vectors belong together.
 Of equal vectors of a block only those stay that are among the k smallest ids without some query's own id (ties go to
 smaller ids), so long runs of copies do not grow.
 
@@ -22,15 +22,18 @@ other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize, read, small_batches
 
-BLOCK, QUERY_BLOCK, RUN = 8192, 512, 64
+#: Rows of a block, queries that meet a block at once, and bytes of query components in a slot.
+BLOCK, QUERY_BLOCK, SLOT_BYTES = 8192, 512, 1 << 22
 LARGEST = 1 << 62
 
 
@@ -78,7 +81,7 @@ def _approximate(rows: Iterator[pd.DataFrame], size: int, k: int, cell: int) ->
 
 
 class _Slot:
-    """The queries of a slot on their way through a run of blocks."""
+    """Some queries on their way past the blocks of a task."""
 
     def __init__(self, queries: list[tuple[int, np.ndarray]], k: int, cell: int):
         self.ids, self.queries = np.array([i for i, _ in queries], "i8"), np.array([v for _, v in queries], "f8")
@@ -107,21 +110,16 @@ class _Slot:
         return pd.DataFrame({"query_id": self.ids[self.found[0]], "row": self.found[1], "lower": self.found[2], "upper": self.found[3]})
 
 
-def _bounded(rows: Iterator[pd.DataFrame], k: int, cell: int) -> Iterator[pd.DataFrame]:
-    """query_id, row, lower, upper. Rows come sorted by dim, slot, run and kind: queries (kind 0) before blocks (kind 1)."""
-    key, queries, slot = None, [], None
-    for pdf in rows:
+def _bounded(blocks: Iterator[pd.DataFrame], queries: Broadcast, k: int, cell: int, query_block: int) -> Iterator[pd.DataFrame]:
+    """query_id, row, lower, upper: what a task's blocks leave, for all queries of a slot."""
+    held = queries.value
+    slots = [_Slot(held[a : a + query_block], k, cell) for a in range(0, len(held), query_block)]
+    for pdf in blocks:
         for r in pdf.itertuples():
-            if (r.dim, r.slot, r.run) != key:
-                if slot:
-                    yield slot.left()
-                key, queries, slot = (r.dim, r.slot, r.run), [], None
-            if not r.kind:
-                queries.append((r.id, r.vector))
-            elif queries:
-                slot = slot or _Slot(queries, k, cell)
-                slot.pass_block(np.frombuffer(r.ids, "<i8"), np.frombuffer(r.rows, "<i8"), np.frombuffer(r.cells, f"<u{r.width}").reshape(-1, r.dim), r.low)
-    if slot:
+            block = np.frombuffer(r.ids, "<i8"), np.frombuffer(r.rows, "<i8"), np.frombuffer(r.cells, f"<u{r.width}").reshape(-1, r.dim), r.low
+            for slot in slots:
+                slot.pass_block(*block)
+    for slot in slots:
         yield slot.left()
 
 
@@ -169,24 +167,31 @@ def _ranked(rows: Iterator[pd.DataFrame], k: int) -> Iterator[pd.DataFrame]:
         yield best.ranked()
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, cell: int = 2, block: int = BLOCK, query_block: int = QUERY_BLOCK, run: int = RUN) -> DataFrame:
+def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, cell: int = 2, block: int = BLOCK, query_block: int = QUERY_BLOCK) -> DataFrame:
     """query_id, rank, vec_id, score: both inputs have id (long) and vector (array<long>)."""
     vectors = materialize(vectors.select("id", F.monotonically_increasing_id().alias("row"), "vector"), "vectors")  # numbers hold once written
     asked = materialize(queries.groupBy("id").agg(F.min("vector").alias("vector")).withColumn("dim", F.size("vector")), "asked")
     file = vectors.mapInPandas(lambda it: _approximate(it, block, k, cell), "dim int, ids binary, rows binary, cells binary, low long, width int")
     with small_batches(vectors.sparkSession, 2048):
-        file = materialize(file.withColumn("block", F.monotonically_increasing_id()), "cells")
-    # per vector length: how many runs and slots there are
-    runs = file.groupBy(F.col("dim").alias("d")).agg(F.ceil(F.count(F.lit(1)) / F.lit(run)).cast("int").alias("runs"))
-    slots = asked.groupBy(F.col("dim").alias("s")).agg(F.ceil(F.count(F.lit(1)) / F.lit(query_block)).cast("int").alias("slots"))
-    sizes = materialize(runs.join(slots, F.col("d") == F.col("s")).drop("s"), "lengths")
-    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    q = asked.join(sizes, F.col("dim") == F.col("d")).select("dim", F.pmod(F.xxhash64("id"), F.col("slots")).cast("int").alias("slot"), upto("runs").alias("run"), F.lit(0).alias("kind"), "id", "vector", F.lit(0).cast("long").alias("low"), F.lit(0).alias("width"))
-    b = file.join(sizes, F.col("dim") == F.col("d")).select("dim", upto("slots").alias("slot"), F.pmod(F.xxhash64("block"), F.col("runs")).cast("int").alias("run"), F.lit(1).alias("kind"), F.lit(0).cast("long").alias("id"), "ids", "rows", "cells", "low", "width")
-    # every block of cells meets every slot of queries: a stated set against all rows
-    meeting = q.unionByName(b, allowMissingColumns=True).repartition("dim", "slot", "run").sortWithinPartitions("dim", "slot", "run", "kind")
+        file = materialize(file, "cells")
+    # a slot of queries at a time goes to all tasks, which stream the blocks that they read: no block moves
+    sizes = asked.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).where("dim > 0").orderBy("dim").collect()  # a row per vector length
+    bounds, waiting = [], []
     with small_batches(vectors.sparkSession, 32):
-        bounds = materialize(meeting.mapInPandas(lambda it: _bounded(it, k, cell), "query_id long, row long, lower double, upper double"), "bounds")
+        for r in sizes:
+            slots = max(1, -(-r["n"] * 8 * r["dim"] // SLOT_BYTES))
+            for slot in range(slots):
+                own = asked.where((F.col("dim") == r["dim"]) & (F.pmod(F.xxhash64("id"), F.lit(slots)) == slot)).select("id", "vector").toArrow()
+                held = vectors.sparkSession.sparkContext.broadcast(list(zip(own["id"].to_pylist(), own["vector"].to_numpy(), strict=True)))  # about SLOT_BYTES
+                blocks = file.where(F.col("dim") == r["dim"])
+                waiting.append(blocks.mapInPandas(lambda it, held=held: _bounded(it, held, k, cell, query_block), "query_id long, row long, lower double, upper double"))
+                if len(waiting) == 16:
+                    bounds, waiting = [*bounds, materialize(reduce(DataFrame.unionByName, waiting), "bounds")], []
+        if waiting:
+            bounds.append(materialize(reduce(DataFrame.unionByName, waiting), "bounds"))
+    if not bounds:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    bounds = reduce(DataFrame.unionByName, bounds)
     nth = bounds.selectExpr("query_id", "lower", "row_number() OVER (PARTITION BY query_id ORDER BY lower DESC) AS nth").where(F.col("nth") <= k)
     kth = nth.groupBy("query_id").agg(F.min("lower").alias("kth"), F.count(F.lit(1)).alias("n"))
     left = bounds.join(kth, "query_id").where((F.col("n") < k) | (F.col("upper") >= F.col("kth"))).select("query_id", "row", "upper")

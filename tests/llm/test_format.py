@@ -207,6 +207,18 @@ def test_mix_meets_its_targets(spark, n_sources):
         assert abs(n - sources * target[key]) <= sources * largest
 
 
+def test_mix_of_one_source_of_most_rows_among_very_many(spark):
+    rows = [(i, "w " * (1 + i % 5), "big" if i % 10 else f"s{i}", 1) for i in range(20_000)] + [(20_000, "x", "", 1), (20_001, "x", None, 1), (20_002, "x", "big", 1)]
+    out = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string, of long")).collect()
+    assert sorted(x.doc_id for x in out) == list(range(20_003))
+    totals = Counter()
+    for _, t, s, _ in rows:
+        totals[s] += len(t.split())
+    expected, source = shared_again(totals), {d: s for d, _, s, _ in rows}
+    assert all(x.source_size == totals[source[x.doc_id]] and x.target == pytest.approx(expected[source[x.doc_id]]) for x in out)
+    assert sum(x.taken for x in out if source[x.doc_id] == "big") == pytest.approx(expected["big"], abs=5)
+
+
 @pytest.mark.parametrize("sf", ["0.001", "0.01"])
 def test_mixing_query_against_its_sql(spark, sf):
     folder = f"/root/testdata/sf{sf}"
@@ -229,7 +241,7 @@ def test_top_k(spark, cell, block, query_block):
     table = vector_search.whole_vectors(spark.createDataFrame([(*x, 1) for x in rows], "vec_id long, embedding array<double>, id long"))
     assert table.count() == 150
     got = defaultdict(list)
-    for x in vector_search.top_k(table, table.where("id % 10 = 0"), 20, cell, block, query_block, 3).orderBy("query_id", "rank").collect():
+    for x in vector_search.top_k(table, table.where("id % 10 = 0"), 20, cell, block, query_block).orderBy("query_id", "rank").collect():
         got[x.query_id].append((x["rank"], x.vec_id, x.score))
     for q in range(0, 150, 10):
         scores = sorted((-int(vectors[q] @ vectors[i]), i) for i in range(150) if i != q)[:20]
@@ -263,7 +275,7 @@ def test_top_k_of_large_components(spark, most):
     table = vector_search.whole_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
     whole = {i: [max(-(2**62), min(2**62, math.floor(min(max(x * 64, -(2.0**62)), 2.0**62)))) for x in v] for i, v in rows}
     got = defaultdict(list)
-    for x in vector_search.top_k(table, table.where("id % 10 = 0"), 20, 2, 16, 4, 2).orderBy("query_id", "rank").collect():
+    for x in vector_search.top_k(table, table.where("id % 10 = 0"), 20, 2, 16, 4).orderBy("query_id", "rank").collect():
         got[x.query_id].append((x.vec_id, x.score))
     assert set(got) == {i for i in whole if i % 10 == 0}
     for q in got:
