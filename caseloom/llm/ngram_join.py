@@ -7,6 +7,7 @@ must then share prefix members under further orders too, and only the intersecti
 
 What keeps this in proportion to the input:
 - documents of one set are one class from the start, so exact copies cost a row each;
+- an n-gram has a list for every class of set sizes: sets that differ too much in size never meet;
 - n-grams with the same list of classes are one list (count and two XOR digests tell lists apart, nothing is collected);
 - a list of more than `LEADER_ROWS` is dealt to parts, and each part compares its rows with one leader of the list; only rows
   that are far from the leader meet all parts, so that a large group of near copies costs a comparison a row;
@@ -36,10 +37,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_groups, materialize, numbered, possibly_in, read, small_batches
+from .common import join_groups, materialize, numbered, possibly_in, read
 from .components import components
 
-BITS, COUNTERS, BLOCK, BLOCK_SHINGLES = 1024, 1 << 20, 1500, 2_000_000
+BITS, COUNTERS, BLOCK, BLOCK_SHINGLES = 1024, 1 << 22, 1500, 2_000_000
 #: How many rows meet a leader in one task.
 LEADER_ROWS = 256
 ORDERS = 3
@@ -116,12 +117,16 @@ def ngrams(text: str | None, n: int) -> np.ndarray:
     return ngram_sets([text], n)[0]
 
 
+def _cells(grams: np.ndarray) -> np.ndarray:
+    return (grams >> np.uint64(65 - COUNTERS.bit_length())).astype("i8")
+
+
 def _prefix(grams: np.ndarray, order: int, counts: np.ndarray, num: int, den: int) -> np.ndarray:
     """The prefix of a set: frequent classes last, within a class by a digest that differs between orders."""
     size = len(grams) - -(-num * len(grams) // den) + 1
-    c = counts[(grams >> np.uint64(44)).astype("i8")]
+    c = counts[_cells(grams)]
     if order:  # other orders see classes of counts only, and scatter differently
-        c = np.log2(np.maximum(c, 1)).astype("i8") // 2
+        c = c // 16
     key = _mixed(grams, 100 + order)
     return grams[np.lexsort((key, c))[:size]]
 
@@ -144,34 +149,50 @@ def _folded(bitmap: bytes, size: int) -> np.ndarray:
 
 
 def gram_counts(docs: DataFrame, n: int) -> np.ndarray:
-    """Counts of n-grams of all documents in COUNTERS cells, summed in slices; the result has a fixed size."""
+    """How often the n-grams of each of COUNTERS cells occur in all documents, as eighths of a binary logarithm (a byte
+    each). Tasks send a byte per cell, and what goes beyond apart; cells are summed in slices, so the driver only gets the result, of a fixed size."""
     slices = 64
     width = COUNTERS // slices
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(COUNTERS, "i8")
+        total = np.zeros(COUNTERS, "i4")
         for batch in batches:
             found = ngram_sets(batch["text"].to_pylist(), n)
             for a in range(0, len(found), 2000):
-                total += np.bincount((np.concatenate(found[a : a + 2000]) >> np.uint64(44)).astype("i8"), minlength=COUNTERS)
+                total += np.bincount(_cells(np.concatenate(found[a : a + 2000])), minlength=COUNTERS).astype("i4")
         if total.any():
-            yield pa.RecordBatch.from_arrays([pa.array(range(slices), pa.int32()), pa.array([x.astype("<i4").tobytes() for x in total.reshape(slices, width)], pa.binary())], names=["slice", "counts"])
+            own = total.reshape(slices, width)
+            low, more = np.minimum(own, 255).astype("u1"), [(at := np.flatnonzero(x > 255), x[at] - 255) for x in own]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(range(slices), pa.int32()), pa.array([x.tobytes() for x in low], pa.binary()), pa.array([np.stack([a, x]).astype("<i4").tobytes() for a, x in more], pa.binary())], names=["slice", "counts", "more"]
+            )
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(width, "i8")
-        for x in pdf["counts"]:
-            total += np.frombuffer(x, "<i4")
-        return pd.DataFrame({"slice": [pdf["slice"].iloc[0]], "counts": [np.minimum(total, 2**31 - 1).astype("<i4").tobytes()]})
+        for x, more in zip(pdf["counts"], pdf["more"], strict=True):
+            total += np.frombuffer(x, "u1")
+            at, rest = np.frombuffer(more, "<i4").reshape(2, -1)
+            total[at] += rest
+        return pd.DataFrame({"slice": [pdf["slice"].iloc[0]], "counts": [np.minimum(np.round(8 * np.log2(np.maximum(total, 1))), 255).astype("u1").tobytes()]})
 
-    parts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "slice int, counts binary")
+    parts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "slice int, counts binary, more binary")
     summed = parts.groupBy("slice").applyInPandas(add, "slice int, counts binary").collect()  # 64 rows of 64 KB
-    out = np.zeros(COUNTERS, "i4")
+    out = np.zeros(COUNTERS, "u1")
     for r in summed:
-        out[r["slice"] * width : (r["slice"] + 1) * width] = np.frombuffer(r["counts"], "<i4")
+        out[r["slice"] * width : (r["slice"] + 1) * width] = np.frombuffer(r["counts"], "u1")
     return out
 
 
+def _size_classes(num: int, den: int, largest: int = 1 << 40) -> np.ndarray:
+    """Where classes of set sizes begin, such that similar sets are of one class or of neighbouring ones."""
+    begins = [1]
+    while begins[-1] < largest:
+        begins.append(-(-begins[-1] * den // num))
+    return np.array(begins, "i8")
+
+
 def _described(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int, counts) -> Iterator[pa.RecordBatch]:
+    begins = _size_classes(num, den)
     for batch in batches:
         size, key, bits, prefix = [], [], [], []
         for g in ngram_sets(batch["text"].to_pylist(), n):
@@ -179,7 +200,8 @@ def _described(batches: Iterator[pa.RecordBatch], n: int, num: int, den: int, co
             key.append(hashlib.blake2b(g.tobytes(), digest_size=16).digest() if len(g) else None)
             bits.append(_bitmap(g))
             prefix.append(_prefix(g, 0, counts.value, num, den).view("i8") if len(g) else np.empty(0, "i8"))
-        yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["text_key"], pa.array(size, pa.int64()), pa.array(key, pa.binary()), pa.array(bits, pa.binary()), pa.array(prefix, pa.list_(pa.int64()))], names=["doc_id", "text_key", "n_shingles", "set_key", "bits", "prefix"])
+        of_size = np.searchsorted(begins, size, side="right")
+        yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["text_key"], pa.array(size, pa.int64()), pa.array(of_size, pa.int32()), pa.array(key, pa.binary()), pa.array(bits, pa.binary()), pa.array(prefix, pa.list_(pa.int64()))], names=["doc_id", "text_key", "n_shingles", "size_class", "set_key", "bits", "prefix"])
 
 
 class Forest:
@@ -365,7 +387,9 @@ def _far_and_all(rows: DataFrame, checked: DataFrame, group: str, parts: str, bl
 def _candidates(classes: DataFrame, num: int, den: int, block_rows: int) -> DataFrame:
     """a, b: links that connect all nodes that share a prefix member of the first order and pass the bounds."""
     each = min(block_rows, LEADER_ROWS)
-    grams = classes.select("node", F.explode("prefix").alias("gram"))
+    # an n-gram is a list of its own for each size class; sets of a class meet those of the next one there too
+    both = F.array(F.col("size_class"), F.col("size_class") + 1)
+    grams = classes.select("node", F.explode("prefix").alias("gram"), both.alias("both")).select("node", "gram", F.explode("both").alias("of_size")).select("node", F.xxhash64("gram", "of_size").alias("gram"))
     shared = materialize(grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
     members = materialize(possibly_in(grams, "gram", shared.select("gram")).join(shared, "gram"), "members")
     lists = members.groupBy("gram", "n").agg(F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
@@ -477,10 +501,10 @@ def _in_components(docs: DataFrame, n: int = 5, num: int = 8, den: int = 10, blo
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("text_key", F.xxhash64("text"))
     counts = spark.sparkContext.broadcast(gram_counts(docs, n))  # 4 MB at any size of the input
-    described = docs.mapInArrow(lambda it: _described(it, n, num, den, counts), "doc_id long, text_key long, n_shingles long, set_key binary, bits binary, prefix array<long>")
+    described = docs.mapInArrow(lambda it: _described(it, n, num, den, counts), "doc_id long, text_key long, n_shingles long, size_class int, set_key binary, bits binary, prefix array<long>")
     described = materialize(described, "sets")
     carrier = F.struct("doc_id", "text_key")
-    first = described.where("set_key IS NOT NULL").groupBy("set_key").agg(F.min(F.when(F.col("doc_id").isNotNull(), carrier)).alias("own"), F.min(carrier).alias("any"), F.first("n_shingles").alias("n_shingles"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix"))
+    first = described.where("set_key IS NOT NULL").groupBy("set_key").agg(F.min(F.when(F.col("doc_id").isNotNull(), carrier)).alias("own"), F.min(carrier).alias("any"), F.first("n_shingles").alias("n_shingles"), F.first("size_class").alias("size_class"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix"))
     classes = materialize(numbered(first.withColumn("carrier", F.coalesce("own", "any")).drop("own", "any"), "node", ["set_key"]), "classes")
     groups = components(materialize(_candidates(classes, num, den, block_rows), "candidates")).withColumnRenamed("component", "candidate_of")
     groups = groups.join(classes.select("node", "n_shingles", F.col("carrier.doc_id").alias("c_doc"), F.col("carrier.text_key").alias("c_key")), "node")
