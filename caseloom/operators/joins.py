@@ -106,6 +106,35 @@ def phonetic_candidates(asked: DataFrame, known: DataFrame, id_: str, name: str,
     return found.select(F.col("_a").alias(id_), F.col("_b").alias("candidate"), "rank")
 
 
+def _edits(length: Column, least: float) -> Column:
+    """How many edits leave a text of this length (the longer one) a Levenshtein similarity of `least`."""
+    return F.floor(length * F.lit(1 - least) + F.lit(1e-9)).cast("int")
+
+
+def similar_pairs(names: DataFrame, name: str, least: float) -> DataFrame:
+    """a, b (a < b), distance: all pairs of distinct names of a Levenshtein similarity of `least` (over 0.5) or more; none is
+    lost. Of two names with at most d edits between them, the shorter one, cut in d + 1 segments, has some segment that the longer one
+    holds unchanged, shifted by at most d places: names meet by (d, length, segment, its text), nothing else is compared."""
+    distinct = names.select(F.col(name).alias("_n")).where(F.col(name).isNotNull()).distinct().withColumn("_len", F.length("_n"))
+    one = F.lit(1)
+    # the shorter name: for every d that a partner of its length or more may bring
+    longest = F.floor(F.col("_len") / F.lit(least) + F.lit(1e-9)).cast("int")
+    index = distinct.select(F.col("_n").alias("s"), F.col("_len").alias("len"), F.explode(F.array_distinct(F.transform(F.sequence("_len", longest), lambda n: _edits(n, least)))).alias("d")).where("d > 0")
+    starts = lambda i, size, parts: F.floor(size * i / parts).cast("int")
+    index = index.select("s", "len", "d", F.explode(F.sequence(F.lit(0), F.col("d"))).alias("part"))
+    begin, end = starts(F.col("part"), F.col("len"), F.col("d") + 1), starts(F.col("part") + 1, F.col("len"), F.col("d") + 1)
+    index = index.select("s", "len", "d", "part", F.expr("s").substr(begin + one, end - begin).alias("text"))
+    # the longer name: where segments of every shorter length may stand in it
+    probe = distinct.withColumn("d", _edits(F.col("_len"), least)).where("d > 0").select(F.col("_n").alias("r"), F.col("_len").alias("size"), "d", F.explode(F.sequence(F.greatest(F.col("_len") - F.col("d"), one), F.col("_len"))).alias("len"))
+    probe = probe.select("r", "size", "d", "len", F.explode(F.sequence(F.lit(0), F.col("d"))).alias("part"))
+    at, until = starts(F.col("part"), F.col("len"), F.col("d") + 1), starts(F.col("part") + 1, F.col("len"), F.col("d") + 1)
+    probe = probe.withColumn("n", until - at).withColumn("at", F.explode(F.sequence(F.greatest(at - F.col("d"), F.lit(0)), F.greatest(F.least(at + F.col("d"), F.col("size") - (until - at)), F.lit(0)))))
+    probe = probe.select("r", "d", "len", "part", F.col("r").substr(F.col("at") + one, F.col("n")).alias("text")).distinct()
+    pairs = met(probe, index, ["d", "len", "part", "text"]).where("r <> s").select("r", "s", "d").distinct()
+    found = pairs.withColumn("distance", F.levenshtein("r", "s")).where(F.col("distance") <= F.col("d"))
+    return found.select(F.least("r", "s").alias("a"), F.greatest("r", "s").alias("b"), "distance").distinct()
+
+
 def name_keys(name: Column) -> Column:
     """Block keys of a lower-case name: the whole of it, its first three letters, its words of more than three letters."""
     words = F.transform(F.filter(F.split(name, " "), lambda w: F.length(w) > 3), lambda w: F.concat(F.lit("w:"), w))

@@ -142,18 +142,22 @@ def merged_extracted(t):
     return out.select("c_nationkey", "name", "balance", F.col("merged").cast("long").alias("merged"))
 
 
-ENSEMBLE = """0.25 * (1 - levenshtein(a, b) / greatest(length(a), length(b), 1)::DOUBLE) + 0.25 * jaro_winkler_similarity(a, b) + 0.20 * shared / greatest(least(len(x), len(y)), 1)
+ENSEMBLE = """0.25 * (1 - levenshtein(a, b) / greatest(length(a), length(b), 1)::DOUBLE) + 0.25 * tokens + 0.20 * shared / greatest(least(len(x), len(y)), 1)
  + 0.15 * shared / greatest(len(x) + len(y) - shared, 1) + 0.15 * 2.0 * shared / greatest(len(x) + len(y), 1)"""
 
 
-@R.query(f"""WITH n AS (SELECT DISTINCT p_brand, lower(p_name) AS p_name FROM part), p AS (SELECT DISTINCT a.p_name AS a, b.p_name AS b FROM n a JOIN n b ON a.p_brand = b.p_brand AND a.p_name < b.p_name),
-w AS (SELECT a, b, list_distinct(string_split(a, ' ')) AS x, list_distinct(string_split(b, ' ')) AS y FROM p), s AS (SELECT *, len(list_intersect(x, y))::DOUBLE AS shared FROM w)
-SELECT a, b, round({ENSEMBLE}, 4) AS score FROM s""")
+@R.query(f"""WITH RECURSIVE n AS (SELECT DISTINCT p_brand, lower(p_name) AS p_name FROM part), p AS (SELECT DISTINCT a.p_name AS a, b.p_name AS b FROM n a JOIN n b ON a.p_brand = b.p_brand AND a.p_name < b.p_name),
+w AS (SELECT a, b, list_distinct(string_split(a, ' ')) AS x, list_distinct(string_split(b, ' ')) AS y FROM p), o AS (SELECT *, array_to_string(list_sort(string_split(a, ' ')), ' ') AS p, array_to_string(list_sort(string_split(b, ' ')), ' ') AS q FROM w),
+l AS (SELECT p, q, 0 AS j, list_transform(range(0, length(p) + 1), lambda i: 0) AS row FROM (SELECT DISTINCT p, q FROM o)
+  UNION ALL SELECT p, q, j + 1, list_reduce(range(1, length(p) + 1), lambda done, i: list_append(done, CASE WHEN substr(p, i, 1) = substr(q, j + 1, 1) THEN row[i] + 1 ELSE greatest(row[i + 1], done[i]) END), [0]) FROM l WHERE j < length(q)),
+k AS (SELECT p, q, 2.0 * row[length(p) + 1] / (length(p) + length(q)) AS tokens FROM l WHERE j = length(q)),
+s AS (SELECT o.*, tokens, len(list_intersect(x, y))::DOUBLE AS shared FROM o JOIN k ON k.p = o.p AND k.q = o.q)
+SELECT a, b, round({ENSEMBLE}, 6) AS score FROM s""")
 def ensemble_similarity(t):
     """X15, its string score: distinct names of one brand, each pair scored once."""
     n = t.part.select("p_brand", F.lower("p_name").alias("n")).distinct()
     pairs = n.select("p_brand", F.col("n").alias("a")).join(n.select("p_brand", F.col("n").alias("b")), "p_brand").where("a < b").select("a", "b").distinct()
-    return pairs.select("a", "b", F.round(similarity.ensemble(F.col("a"), F.col("b")), 4).alias("score"))
+    return pairs.select("a", "b", F.round(similarity.ensemble(F.col("a"), F.col("b")), 6).alias("score"))
 
 
 def _relatives(t):

@@ -167,6 +167,15 @@ def levenshtein_match(t):
     return a.join(b, "n_regionkey").where("x < y").withColumn("d", F.levenshtein("x", "y").cast("long")).where("d <= 8").select("x", "y", "d")
 
 
+@R.query("""WITH n AS (SELECT c_name AS n FROM customer UNION SELECT s_name FROM supplier UNION SELECT p_name FROM part UNION SELECT left(p_name, length(p_name) - 1) FROM part UNION SELECT replace(p_name, ' ', '') FROM part)
+SELECT a.n AS a, b.n AS b, levenshtein(a.n, b.n) AS distance FROM n a JOIN n b ON a.n < b.n AND abs(length(a.n) - length(b.n)) <= 2 WHERE levenshtein(a.n, b.n) <= 0.1 * greatest(length(a.n), length(b.n)) + 1e-9""")
+def similar_names(t):
+    """All pairs of names with one edit in ten letters or fewer, without comparing all."""
+    p = F.col("p_name")
+    names = t.customer.select("c_name").union(t.supplier.select("s_name")).union(t.part.select(F.explode(F.array(p, p.substr(F.lit(1), F.length(p) - 1), F.replace(p, F.lit(" "), F.lit(""))))))
+    return joins.similar_pairs(names.toDF("n"), "n", 0.9).select("a", "b", F.col("distance").cast("long").alias("distance"))
+
+
 @R.query("""WITH n AS (SELECT DISTINCT lower(p_name) AS name FROM part UNION SELECT DISTINCT lower(p_type) FROM part UNION SELECT DISTINCT lower(c_mktsegment) FROM customer),
 k AS (SELECT DISTINCT name, unnest(list_concat([concat('n:', name), concat('p:', left(name, 3))], list_transform(list_filter(string_split(name, ' '), lambda w: length(w) > 3), lambda w: concat('w:', w)))) AS key FROM n)
 SELECT DISTINCT a.name AS a, b.name AS b FROM k a JOIN k b ON a.key = b.key AND a.name < b.name""")
