@@ -203,9 +203,22 @@ def graph_degree(t):
 @R.query(f"WITH {EDGES} SELECT concat(a.src, '>', a.dst, '>', b.dst) AS path FROM e a JOIN e b ON a.dst = b.src WHERE a.src = 'person:7'")
 def graph_paths(t):
     """To every place from one person."""
-    place = t.customer.where("c_custkey = 7").select("c_nationkey")  # one row
-    target = f"place:{place.first()[0]}"
-    return graph.simple_paths(_edges(t), "person:7", target).select(F.array_join("path", ">").alias("path"))
+    seven = t.customer.where("c_custkey = 7")
+    return graph.simple_paths(_edges(t), seven.select(F.lit("person:7").alias("node")), seven.select(F.concat(F.lit("place:"), "c_nationkey").alias("node"))).select(F.array_join("path", ">").alias("path"))
+
+
+@R.query(f"""WITH {EDGES}, u AS MATERIALIZED (SELECT src, dst FROM e UNION SELECT dst, src FROM e),
+n AS (SELECT concat('person:', min(b.c_custkey)) AS node FROM customer a JOIN customer b ON a.c_custkey = 7 AND b.c_nationkey = a.c_nationkey AND b.c_custkey > 7 WHERE b.c_custkey IN (SELECT o_custkey FROM orders))
+SELECT concat_ws('>', a.src, a.dst, b.dst, c.dst, d.dst) AS path FROM u a JOIN u b ON b.src = a.dst AND b.dst <> a.src JOIN u c ON c.src = b.dst AND c.dst NOT IN (a.src, a.dst) JOIN u d ON d.src = c.dst AND d.dst NOT IN (a.src, a.dst, b.dst) JOIN n ON d.dst = n.node WHERE a.src = 'person:7'
+UNION ALL SELECT concat_ws('>', a.src, a.dst, b.dst) FROM u a JOIN u b ON b.src = a.dst AND b.dst <> a.src JOIN n ON b.dst = n.node WHERE a.src = 'person:7'""")
+def graph_links_of_two_people(t):
+    """G3 over five nodes: how two people of one place are linked, grown from both sides."""
+    e = _edges(t)
+    both = e.select("src", "dst").union(e.select("dst", "src"))
+    seven = t.customer.where("c_custkey = 7").select(F.col("c_nationkey").alias("n"))
+    other = t.customer.where("c_custkey > 7").join(t.orders, F.col("o_custkey") == F.col("c_custkey"), "left_semi").join(seven, F.col("c_nationkey") == F.col("n")).agg(F.concat(F.lit("person:"), F.min("c_custkey")).alias("node"))
+    start = t.customer.where("c_custkey = 7").select(F.lit("person:7").alias("node"))
+    return graph.simple_paths(both, start, other, 5).select(F.array_join("path", ">").alias("path"))
 
 
 @R.query("WITH i AS (SELECT p_partkey AS i FROM part UNION SELECT p_partkey + 1 FROM part WHERE p_partkey % 5 <> 0), k AS (SELECT concat('part:', i) AS node, CAST(floor((i - 1) / 5) AS BIGINT) AS g FROM i) SELECT node, min(node) OVER (PARTITION BY g) AS component FROM k")
@@ -216,10 +229,12 @@ def graph_components(t):
     return graph.components(graph.edges([(chain, "a", "part", "b", "part", "next", 1.0)]))
 
 
-@R.query(f"WITH {EDGES}, h AS (SELECT src AS node, count(*) AS n FROM e GROUP BY 1 HAVING count(*) > 12), p AS (SELECT dst AS node, count(*) AS n FROM e WHERE starts_with(dst, 'place:') GROUP BY 1 HAVING count(*) > 2) SELECT 'hub' AS pattern, node, n FROM h UNION ALL SELECT 'hotspot', node, n FROM p")
+@R.query(f"""WITH {EDGES}, h AS (SELECT src AS node, count(*) AS n FROM e GROUP BY 1 HAVING count(*) > 3 ORDER BY n DESC, node LIMIT 3), p AS (SELECT dst AS node, count(*) AS n FROM e WHERE starts_with(dst, 'place:') GROUP BY 1 HAVING count(*) > 2 ORDER BY n DESC, node LIMIT 1),
+c AS (SELECT count(DISTINCT c_nationkey) AS n FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)), r AS (SELECT src AS node, count(*) AS n FROM e WHERE relation = 'involved' GROUP BY 1 HAVING count(*) > 1)
+SELECT 'hub' AS pattern, node, n FROM h UNION ALL SELECT 'hotspot', node, n FROM p UNION ALL SELECT 'clusters', NULL, n FROM c WHERE n > 1 UNION ALL SELECT 'repeat', node, n FROM r""")
 def graph_patterns(t):
-    """G5"""
-    return graph.patterns(_edges(t), hub_degree=12)
+    """A person's cases all lie in its place, so there are as many clusters as places with cases."""
+    return graph.patterns(_edges(t), roles=("involved",))
 
 
 @R.query(f"WITH {EDGES} SELECT src, dst, relation, CAST(strength * CASE WHEN relation = 'involved' THEN 1.5 ELSE 1 END AS DOUBLE) AS weight FROM e ORDER BY weight DESC, src, dst LIMIT 25")
