@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..operators import extraction, lookups
+from ..operators import extraction, lookups, search
 from ..shared import shared_dir
 from ..sources import readers
 from .base import Registry
@@ -129,3 +129,11 @@ def refreshed_views(t):
         one = n.select(F.lit(name).alias("name"), F.lit(how.split(":")[0]).alias("state"), "n")
         out = one if out is None else out.unionByName(one)
     return out
+
+
+@R.query("SELECT doc_id, md5(text) AS text_md5 FROM documents WHERE contains(lower(text), 'apache license') OR contains(lower(source), 'site1')")
+def indexed_search(t):
+    """Substrings in either of two columns, found by stored runs of three letters; only texts that may hold them are read."""
+    path = _folder(t, "postings")
+    search.write_postings(t.documents, "doc_id", ["text", "source"], path)
+    return search.search(t.documents, "doc_id", path, {"text": "Apache License", "source": "SITE1"}).select("doc_id", F.md5("text").alias("text_md5"))

@@ -6,11 +6,14 @@ structs, in a defined order; the queries show them as text so that they compare.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates, nested
-from ..operators import joins
+from ..operators import joins, views
+from ..shared import shared_dir
 from .base import Registry
 
 R = Registry()
@@ -57,10 +60,66 @@ SELECT o_orderkey AS case_id, n_name AS station, r_name AS district, concat(c_cu
 FROM orders JOIN i ON i.l_orderkey = o_orderkey JOIN m ON m.l_orderkey = o_orderkey JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey""")
 def view_cases(t):
     """M1 A10 A12 F25"""
-    v = case_view(t)
+    return _shown(case_view(t))
+
+
+def _shown(v: DataFrame) -> DataFrame:
     return v.select("case_id", "station", "district", F.array_join(F.transform("people", lambda p: F.concat(p["id"], p["name"])), ",").alias("people"), F.md5(F.array_join(F.transform("items", lambda x: F.concat(x["n"], F.lit(":"), x["part"], F.lit(":"), x["quantity"].cast("long"), x["flag"])), " ")).alias("items"), F.array_join("kinds", ",").alias("kinds"), F.array_join(F.transform(F.map_entries("counts"), lambda e: F.concat(e.key, e.value)), ",").alias("counts"), F.col("quantity").cast("double").alias("quantity"), "due")
 
 
+class _Part:
+    """Tables of which orders and lines are a part."""
+
+    def __init__(self, t, orders: DataFrame, lineitem: DataFrame) -> None:
+        self._t, self.orders, self.lineitem = t, orders, lineitem
+
+    def __getattr__(self, name: str) -> DataFrame:
+        return getattr(self._t, name)
+
+
+@R.query(R.sql["view_cases"])
+def view_cases_after_changes(t):
+    """The view as it was before some orders and lines came, brought up to date by rewriting the folders of the
+    cases that they belong to; the same as a view built anew."""
+    path = f"{shared_dir(t.spark)}/case-view-{uuid.uuid4().hex}"
+    late_orders, late_lines = F.col("o_orderkey") % 7 == 0, F.col("l_linenumber") == 3
+    views.store(case_view(_Part(t, t.orders.where(~late_orders), t.lineitem.where(~late_lines))), "case_id", path, 16)
+    changed = views.changed_parents([(t.orders.where(late_orders), "o_orderkey"), (t.lineitem.where(late_lines), "l_orderkey")])
+    of = lambda df, c, keys: df.join(keys, F.col(c) == F.col("case_id"), "left_semi")
+    views.refresh_changed(path, "case_id", changed, lambda keys: case_view(_Part(t, of(t.orders, "o_orderkey", keys), of(t.lineitem, "l_orderkey", keys))), 16)
+    return _shown(t.spark.read.parquet(path))
+
+
+KINDS = ("click", "error", "login", "purchase", "view")
+#: Lists of a case as text: (name, what is listed, in which order, where).
+CHILD_SQL = {
+    "items": ("lineitem", "l_orderkey", "concat(l_linenumber, ':', l_partkey, ':', CAST(l_quantity AS BIGINT))", "l_linenumber, l_partkey, l_shipdate", "true"), "seizures": ("lineitem", "l_orderkey", "concat(l_partkey, '@', CAST(l_shipdate AS DATE))", "l_shipdate, l_partkey", "l_returnflag = 'R'"),
+    "chargesheets": ("lineitem", "l_orderkey", "concat(l_suppkey, '/', year(l_shipdate))", "l_shipdate, l_suppkey", "l_linestatus = 'F'"), **{k: ("visits", "o_orderkey", "event_id", "event_id", f"event_type = '{k}'") for k in KINDS},
+}
+
+
+@R.query("WITH visits AS (SELECT o_orderkey, event_id, event_type FROM orders JOIN events ON user_id = o_custkey AND value > 50), "
+    + ", ".join(f"{n}_l AS (SELECT {key} AS k, string_agg({value}, ' ' ORDER BY {order}) AS {n} FROM {table} WHERE {where} GROUP BY 1)" for n, (table, key, value, order, where) in CHILD_SQL.items())
+    + """, d AS (SELECT l_orderkey AS k, string_agg(concat(l_linestatus, '=', n), ',' ORDER BY l_linestatus) AS disposals FROM (SELECT l_orderkey, l_linestatus, count(*) AS n FROM lineitem GROUP BY 1, 2) GROUP BY 1)
+SELECT o_orderkey AS case_id, c_name AS person, coalesce(disposals, '') AS disposals, """
+    + ", ".join(f"coalesce({n}, '') AS {n}" for n in CHILD_SQL)
+    + " FROM orders JOIN customer ON c_custkey = o_custkey LEFT JOIN d ON d.k = o_orderkey " + " ".join(f"LEFT JOIN {n}_l ON {n}_l.k = o_orderkey" for n in CHILD_SQL))
+def view_full_cases(t):
+    """M1 with all its kinds of children: items, seizures, chargesheets, disposals by state, and lists by kind of document."""
+    day, c = F.col("l_shipdate").cast("date"), F.col
+    children = {
+        "items": views.Children(t.lineitem, "l_orderkey", F.concat_ws(":", "l_linenumber", "l_partkey", c("l_quantity").cast("long")), (c("l_linenumber"), c("l_partkey"), c("l_shipdate")), c("l_linestatus")),
+        "seizures": views.Children(t.lineitem.where("l_returnflag = 'R'"), "l_orderkey", F.concat_ws("@", "l_partkey", day), (c("l_shipdate"), c("l_partkey"))),
+        "chargesheets": views.Children(t.lineitem.where("l_linestatus = 'F'"), "l_orderkey", F.concat_ws("/", "l_suppkey", F.year("l_shipdate")), (c("l_shipdate"), c("l_suppkey"))),
+    }
+    visits = t.orders.join(t.events.where("value > 50"), F.col("user_id") == F.col("o_custkey")).select("o_orderkey", "event_id", "event_type")
+    children |= {k: views.Children(visits.where(c("event_type") == k), "o_orderkey", c("event_id").cast("string"), (c("event_id"),)) for k in KINDS}
+    cases = t.orders.join(t.customer, F.col("c_custkey") == F.col("o_custkey")).select(c("o_orderkey").alias("case_id"), c("c_name").alias("person"))
+    v = views.with_children(cases, "case_id", children)
+    counts = F.array_join(F.transform(F.array_sort(F.map_entries("items_counts")), lambda e: F.concat_ws("=", e.key, e.value)), ",")
+    return v.select("case_id", "person", counts.alias("disposals"), *(F.array_join(n, " ").alias(n) for n in CHILD_SQL))
+
+
 @R.query(f"SELECT o_orderkey AS case_id, c_custkey AS person_id, c_name AS name, n_name AS station, o_orderstatus AS state, count(*) OVER (PARTITION BY c_custkey) AS cases_of_person FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey")
 def view_people_in_cases(t):
     """M2: one row per person and case."""
