@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import nested
-from ..shared import checkpointed
+from ..shared import checkpointed, remove
 
 
 @dataclass(frozen=True)
@@ -71,6 +71,5 @@ def refresh_changed(path: str, key: str, changed: DataFrame, build: Callable[[Da
     new.repartition("_bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_bucket").parquet(path)
     left = {r["_bucket"] for r in new.select("_bucket").distinct().collect()}
     for gone in sorted(set(touched) - left):  # a folder of which no row is left is not written, so it is removed
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_bucket={gone}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        remove(spark, f"{path}/_bucket={gone}")
     return len(touched)

@@ -24,3 +24,9 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """df, computed once and kept in the shared folder."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any store that Spark writes to."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
