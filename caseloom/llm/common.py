@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..shared import shared_dir
+from ..shared import remove, shared_dir
 
 #: A word, as all contracts of this subpackage define it (same in Java, RE2 and Python).
 WORD = r"[^\x20\x09-\x0D]+"
@@ -28,14 +28,40 @@ def small_batches(spark: SparkSession, rows: int = 512) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+#: Where tables are written while some caller wants to know, to remove them later.
+_noted: list[list[str]] = []
+
+
+@contextmanager
+def noted_tables() -> Iterator[list[str]]:
+    """The paths of all tables that are materialized inside."""
+    paths: list[str] = []
+    _noted.append(paths)
+    try:
+        yield paths
+    finally:
+        _noted[:] = [x for x in _noted if x is not paths]
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: lineage ends there, and lost executors lose nothing."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/caseloom-{name}-{uuid.uuid4().hex}"
+    for paths in _noted:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def whole_stage(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """What make() gives, as a table of the shared folder; all other tables that were written for it are removed."""
+    with noted_tables() as paths:
+        out = materialize(make(), name)
+    for path in paths[:-1]:
+        remove(spark, path)
+    return out
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
