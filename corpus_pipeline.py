@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from caseloom.llm import line_dedup, mixing, ngram_join, packing, toxicity
-from caseloom.llm.common import fold, materialize, read
+from caseloom.llm.common import fold, read, whole_stage
 
 
 def remove_toxic(spark, docs, sf_dir):
@@ -51,8 +51,6 @@ ORACLE_SQL = None
 
 def run(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-        if stage is not STAGES[-1][1]:
-            docs = materialize(docs, f"stage-{name}")
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = whole_stage(spark, lambda stage=stage, docs=docs: stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
