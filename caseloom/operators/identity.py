@@ -113,8 +113,9 @@ def match_score(rows: DataFrame, a: str = "a", b: str = "b", common: tuple[str,
 
 
 def canonical_id(name: Column, gender: Column, station: Column) -> Column:
-    """The same for all records with this name, gender and station."""
-    return nested.uuid5(NAMESPACE, F.concat_ws("|", T.normal_name(name), F.lower(F.coalesce(gender, F.lit(""))), F.coalesce(station, F.lit(""))))
+    """The same for all records with these words of a name (in any order), gender and station."""
+    words = F.array_join(F.array_sort(F.filter(F.split(F.lower(F.coalesce(name, F.lit(""))), r"\s+"), lambda w: w != "")), " ")
+    return nested.uuid5(NAMESPACE, F.concat_ws("|", words, F.lower(F.coalesce(gender, F.lit(""))), F.coalesce(station, F.lit(""))))
 
 
 def is_placeholder(name: Column) -> Column:
@@ -138,6 +139,39 @@ def resolve(records: DataFrame, scored: DataFrame, known_ids: DataFrame) -> Data
     return r.select("record_id", chosen.alias("canonical_person_id"), F.when(hidden, 0.0).when(~direct, F.coalesce(score, F.lit(0.0))).alias("match_score"), tier.alias("tier"), (tier == 2).alias("review"))
 
 
+def resolve_in_epochs(records: DataFrame, days: int = 365, years: int = 2, common: tuple[str, ...] = (), most: int = 200) -> DataFrame:
+    """record_id, canonical_person_id, match_score, tier, review of records (record_id, case_id, accused_id, day, p: a struct as
+    `evidence` takes it) in the order in which they came: windows of so many days are resolved one after the other, each
+    against the identities that the windows before it gave. Within a window the order does not matter.
+
+    A record's candidates are the first `most` earlier ones of other cases whose names sound alike, by
+    `joins.phonetic_candidates`; the best score decides, as in `resolve`. Records without a day come in the first window;
+    they have no candidates and are none."""
+    from ..shared import checkpointed
+    from .joins import phonetic_candidates
+
+    window = F.coalesce(F.floor(F.datediff(F.col("day").cast("date"), F.lit("1970-01-01")) / F.lit(days)), F.lit(-(2**31))).cast("int")
+    own = records.withColumn("_window", window).withColumn("own_canonical", canonical_id(F.col("p.name"), F.col("p.gender"), F.col("p.station"))).withColumn("placeholder", is_placeholder(F.col("p.name")))
+    own = checkpointed(own)
+    known, out = None, None
+    for w in sorted(r["_window"] for r in own.select("_window").distinct().collect()):  # one per window of time
+        new = own.where(F.col("_window") == w)
+        if known is None:
+            scored = new.limit(0).select("record_id", F.lit("").alias("canonical"), F.lit(0.0).alias("score"))
+            ids = new.limit(0).select("accused_id", F.lit("").alias("canonical"))
+        else:
+            named = lambda df: df.where("NOT placeholder").select("record_id", "case_id", "day", F.col("p.name").alias("name"))
+            pairs = phonetic_candidates(named(new), named(known), "record_id", "name", "case_id", "day", years, most).drop("rank")
+            both = pairs.join(new.select("record_id", F.col("p").alias("a")), "record_id").join(known.select(F.col("record_id").alias("candidate"), F.col("p").alias("b"), "canonical"), "candidate")
+            scored = match_score(evidence(both), common=common).select("record_id", "canonical", "score")
+            ids = known.select("accused_id", "canonical")
+        found = checkpointed(resolve(new.select("record_id", "case_id", "accused_id", "own_canonical", "placeholder"), scored, ids))
+        out = found if out is None else out.unionByName(found)
+        grown = new.join(found.select("record_id", F.col("canonical_person_id").alias("canonical")), "record_id").select("record_id", "case_id", "accused_id", "day", "p", "placeholder", "canonical")
+        known = checkpointed(grown if known is None else known.unionByName(grown))
+    return own.select("record_id").limit(0).withColumns({"canonical_person_id": F.lit(""), "match_score": F.lit(0.0), "tier": F.lit(0), "review": F.lit(False)}) if out is None else out
+
+
 def fingerprint(tiers: list[list[Column]]) -> Column:
     """struct(tier, fingerprint): MD5 of the first tier whose parts are all filled."""
     tier, digest = F.lit(None).cast("int"), F.lit(None).cast("string")

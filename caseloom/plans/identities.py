@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import similarity
@@ -95,6 +96,26 @@ def canonical_identities(t):
     return identity.resolve(records, scored, known).select("record_id", "tier", "review")
 
 
+def _arrivals(t):
+    """The first two cases of each customer: a name that is written anew each time, phones and ids that are not always told."""
+    nth = W.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
+    o = t.orders.select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("day"), F.row_number().over(nth).alias("nth")).where("nth <= 2").join(t.customer, F.col("c_custkey") == F.col("o_custkey"))
+    k, way = F.col("o_custkey"), F.col("o_orderkey") % 4
+    given, family = F.translate(F.lpad(k.cast("string"), 6, "0"), "0123456789", "aeioubdgkm"), F.lower("c_mktsegment")
+    name = F.when(F.col("o_orderkey") % 11 == 0, "Unknown person").when(way == 0, F.concat_ws(" ", family, given)).when(way == 1, F.concat(given, F.lit("h "), family)).otherwise(F.concat_ws(" ", given, family))
+    person = F.struct(
+        name.alias("name"), F.lit("").alias("alias"), (k % 50 + F.year("day") - 1975).alias("age"), F.when(k % 2 == 0, "Male").otherwise("Female").alias("gender"), F.when(F.col("o_orderkey") % 3 == 0, F.array((F.lit(8000000000) + k).cast("string"))).otherwise(F.array().cast("array<string>")).alias("phones"),
+        F.concat(F.lit("street "), "c_nationkey").alias("address"), F.col("c_nationkey").cast("string").alias("station"), F.array("c_mktsegment").alias("offence"), F.array().cast("array<string>").alias("associates"),
+    )
+    return o.select(F.col("o_orderkey").alias("record_id"), F.col("o_orderkey").cast("string").alias("case_id"), F.when(F.col("o_orderkey") % 5 == 0, k.cast("string")).alias("accused_id"), "day", person.alias("p"))
+
+
+@R.query()
+def resolved_in_epochs(t):
+    """Who is who, year by year, each against the identities of the years before."""
+    return identity.resolve_in_epochs(_arrivals(t), common=("building", "automobile", "machinery", "household", "furniture"))
+
+
 @R.query("SELECT o_custkey, CASE WHEN count(*) FILTER (WHERE o_orderkey % 3 = 0) > 0 THEN 'A' ELSE 'B' END AS branch, count(*) AS people FROM orders GROUP BY o_custkey")
 def case_branches(t):
     """X19"""
