@@ -276,13 +276,26 @@ def same_case_duplicates(rows: DataFrame, case: str, id_: str, name: str, phones
 
 
 def extracted_matches(name: Column, known: Column) -> Column:
-    """The rule by which a name in a text is a known one: exact, tokens, subset, sound, likeness, overlap; else null."""
+    """The rule by which a name in a text is a known one: exact; the same words; its only word is one of the known; a word
+    that sounds like one of the known (Double Metaphone); likeness of the whole; two words and half of the shorter in common; else null."""
+    from ..functions.phonetics import word_codes
+
     x, y = T.normal_name(name), T.normal_name(known)
     a, b = similarity.words(x), similarity.words(y)
     both = F.size(F.array_intersect(a, b))
-    sounds = lambda c: F.array_sort(F.array_distinct(F.transform(c, similarity.soundex_or_zero)))
-    filled = (x != "") & (y != "")
-    return F.when(~filled, None).when(x == y, "exact").when(F.array_sort(a) == F.array_sort(b), "tokens").when((F.least(F.size(a), F.size(b)) == 1) & (both == 1), "subset").when(sounds(a) == sounds(b), "sound").when(similarity.name_similarity(x, y) >= 0.85, "likeness").when(both >= 2, "overlap")
+    steps = [
+        (x == y, "exact"), (F.array_sort(a) == F.array_sort(b), "tokens"), ((F.size(a) == 1) & (both == 1), "subset"), (F.arrays_overlap(word_codes(x), word_codes(y)), "sound"),
+        (similarity.name_similarity(x, y) >= 0.85, "likeness"), ((both >= 2) & (both * 2 >= F.least(F.size(a), F.size(b))), "overlap"),
+    ]
+    rule = F.lit(None).cast("string")
+    for condition, how in reversed(steps):
+        rule = F.when(condition, how).otherwise(rule)
+    return F.when((x != "") & (y != ""), rule)
+
+
+def person_fingerprint(name: Column, parent: Column, locality: Column, district: Column, age: Column, phone: Column) -> Column:
+    """struct(tier, fingerprint) by the five tiers of what is known of a person."""
+    return fingerprint([[name, parent, locality, age, phone], [name, parent, locality, phone], [name, parent, district, age], [name, phone, age], [name, district, age]])
 
 
 def merge_extracted(rows: DataFrame, keys: list[str], name: str, quality: Column, fields: list[str]) -> DataFrame:

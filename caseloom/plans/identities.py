@@ -13,18 +13,19 @@ from .base import Registry
 R = Registry()
 
 
-@R.query("""SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 AND c_custkey % 3 = 0 THEN 1 WHEN c_custkey % 2 = 0 THEN 2 WHEN c_custkey % 3 = 0 THEN 3 END AS tier,
- CASE WHEN c_custkey % 2 = 0 AND c_custkey % 3 = 0 THEN md5(concat(lower(c_mktsegment), '|', c_nationkey, '|', c_custkey % 40)) WHEN c_custkey % 2 = 0 THEN md5(concat(lower(c_mktsegment), '|', c_nationkey)) WHEN c_custkey % 3 = 0 THEN md5(concat(lower(c_mktsegment), '|', c_custkey % 40)) END AS fingerprint FROM customer""")
+@R.query("""WITH o AS (SELECT o_custkey, count(*) AS n, min(o_orderpriority) AS parent FROM orders GROUP BY 1),
+p AS (SELECT c_custkey, lower(c_mktsegment) AS name, lower(parent) AS parent, CASE WHEN c_acctbal > 3000 THEN lower(n_name) END AS locality, lower(r_name) AS district, CASE WHEN n > 8 THEN CAST(n AS VARCHAR) END AS age, CASE WHEN c_acctbal < 6000 THEN CAST(c_nationkey AS VARCHAR) END AS phone
+  FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey LEFT JOIN o ON o_custkey = c_custkey),
+k AS (SELECT c_custkey, name || '|' || parent || '|' || locality || '|' || age || '|' || phone AS k1, name || '|' || parent || '|' || locality || '|' || phone AS k2, name || '|' || parent || '|' || district || '|' || age AS k3, name || '|' || phone || '|' || age AS k4, name || '|' || district || '|' || age AS k5 FROM p)
+SELECT c_custkey, CASE WHEN k1 IS NOT NULL THEN 1 WHEN k2 IS NOT NULL THEN 2 WHEN k3 IS NOT NULL THEN 3 WHEN k4 IS NOT NULL THEN 4 WHEN k5 IS NOT NULL THEN 5 END AS tier, md5(coalesce(k1, k2, k3, k4, k5)) AS fingerprint FROM k""")
 def fingerprint_tiers(t):
-    """X11 F22"""
-    return _fingerprints(t).select("c_custkey", "f.tier", "f.fingerprint")
-
-
-def _fingerprints(t):
-    k = F.col("c_custkey")
-    nation, age = F.when(k % 2 == 0, F.col("c_nationkey")), F.when(k % 3 == 0, k % 40)
-    name = F.col("c_mktsegment")
-    return t.customer.withColumn("f", identity.fingerprint([[name, nation, age], [name, nation], [name, age]]))
+    """All five tiers, by what is known of a customer and its orders."""
+    o = t.orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"), F.min("o_orderpriority").alias("parent"))
+    places = F.broadcast(t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")))
+    p = t.customer.join(places, F.col("c_nationkey") == F.col("n_nationkey")).join(o, F.col("c_custkey") == F.col("o_custkey"), "left")
+    known = F.when(F.col("c_acctbal") > 3000, F.col("n_name")), F.when(F.col("n") > 8, F.col("n")), F.when(F.col("c_acctbal") < 6000, F.col("c_nationkey"))
+    f = identity.person_fingerprint(F.col("c_mktsegment"), F.col("parent"), known[0], F.col("r_name"), known[1], known[2])
+    return p.withColumn("f", f).select("c_custkey", "f.tier", "f.fingerprint")
 
 
 @R.query("""WITH f AS (SELECT c_custkey, c_mktsegment || '|' || c_nationkey AS g, 1 AS n FROM customer)
@@ -137,13 +138,23 @@ def crime_history(t):
     return identity.history(t.orders, "o_custkey", "o_orderkey", 7).agg(F.count(F.lit(1)).alias("n"))
 
 
-@R.query("SELECT c_custkey, CASE c_custkey % 6 WHEN 0 THEN 'exact' WHEN 1 THEN 'tokens' WHEN 2 THEN 'subset' WHEN 3 THEN 'overlap' WHEN 4 THEN 'likeness' END AS rule FROM customer")
+#: Known codes of the words of part names.
+_CODES = {"blue": "PL", "cold": "KLT", "hot": "HT", "large": "LRJ", "new": "N", "old": "ALT", "red": "RT", "small": "SML", "anvil": "ANFL", "bolt": "PLT", "gear": "JR", "gizmo": "JSM", "plate": "PLT", "ring": "RNK", "rod": "RT", "widget": "AJT"}
+_CODE_SQL = "list_transform(string_split({}, ' '), lambda w: map_extract_value(MAP {{" + ", ".join(f"'{w}': '{c}'" for w, c in _CODES.items()) + "}}, w))"
+
+
+@R.query(f"""WITH n AS (SELECT DISTINCT l_orderkey, p_partkey, p_name, p_size FROM lineitem JOIN part ON p_partkey = l_partkey),
+p AS (SELECT a.l_orderkey, a.p_partkey AS a_key, b.p_partkey AS b_key, CASE a.p_size % 3 WHEN 0 THEN a.p_name WHEN 1 THEN concat(split_part(a.p_name, ' ', 2), ' ', split_part(a.p_name, ' ', 1)) ELSE split_part(a.p_name, ' ', 2) END AS x, b.p_name AS y FROM n a JOIN n b ON a.l_orderkey = b.l_orderkey AND a.p_partkey <> b.p_partkey)
+SELECT l_orderkey, a_key, b_key, CASE WHEN x = y THEN 'exact' WHEN list_sort(string_split(x, ' ')) = list_sort(string_split(y, ' ')) THEN 'tokens' WHEN NOT contains(x, ' ') AND list_contains(string_split(y, ' '), x) THEN 'subset'
+  WHEN len(list_intersect({_CODE_SQL.format('x')}, {_CODE_SQL.format('y')})) > 0 THEN 'sound' WHEN jaro_winkler_similarity(x, y) >= 0.85 THEN 'likeness' END AS rule FROM p""")
 def extracted_name_rules(t):
-    """X10"""
-    at = (F.col("c_custkey") % 6 + 1).cast("int")
-    a = F.element_at(F.array(*map(F.lit, ("ram kumar", "kumar ram", "ram", "ram kumar bose xylophone", "ramanathan", "zz qq"))), at)
-    b = F.element_at(F.array(*map(F.lit, ("Mr. Ram Kumar", "Ram Kumar", "Ram Kumar", "ram kumar tagore winterbottom", "zamanathan", "Ram Kumar"))), at)
-    return t.customer.select("c_custkey", identity.extracted_matches(a, b).alias("rule"))
+    """Names as a text gives them (whole, turned round, the last word) against the other names of their case."""
+    n = t.lineitem.join(t.part, F.col("p_partkey") == F.col("l_partkey")).select("l_orderkey", "p_partkey", "p_name", "p_size").distinct()
+    first, last, way = F.split_part("p_name", F.lit(" "), F.lit(1)), F.split_part("p_name", F.lit(" "), F.lit(2)), F.col("p_size") % 3
+    a = n.select("l_orderkey", F.col("p_partkey").alias("a_key"), F.when(way == 0, F.col("p_name")).when(way == 1, F.concat_ws(" ", last, first)).otherwise(last).alias("x"))
+    pairs = a.join(n.select("l_orderkey", F.col("p_partkey").alias("b_key"), F.col("p_name").alias("y")), "l_orderkey").where("a_key <> b_key")
+    rules = pairs.select("x", "y").distinct().withColumn("rule", identity.extracted_matches(F.col("x"), F.col("y")))  # each pair of names once
+    return pairs.join(rules, ["x", "y"]).select("l_orderkey", "a_key", "b_key", "rule")
 
 
 @R.query("SELECT c_custkey, 1 AS c FROM customer UNION ALL SELECT c_custkey, 2 FROM customer WHERE c_custkey % 2 = 0")
