@@ -94,6 +94,22 @@ def park_and_retry(queue: DataFrame, known: DataFrame, key: str, most_attempts:
     return out.withColumn("state", F.when(F.col("resolved"), "resolved").when(F.col("attempts") >= most_attempts, "given_up").otherwise("parked"))
 
 
+def retried(children: DataFrame, parents: DataFrame, record: str, key: str, ts: str, every_seconds: int, most: int = 5) -> DataFrame:
+    """record, key, attempts, state of rows that came before their parents did: a row is looked at when it comes and then every so
+    many seconds, `most` times at most; it is resolved by the first look at or after its parent's time, else given up.
+    The same as the stream of `streaming.incremental.retry_stream` gives once all has arrived. Rows without a key or a
+    time are given up without a look."""
+    came = parents.groupBy(F.col(key).alias("_key")).agg(F.min(F.col(ts).cast("timestamp_ntz")).alias("_came"))
+    own = F.col(ts).cast("timestamp_ntz")
+    micros = lambda c: F.unix_micros(c.cast("timestamp"))
+    wait = (micros(F.col("_came")) - micros(own)) / F.lit(1_000_000 * every_seconds)
+    looks = F.greatest(F.ceil(wait), F.lit(0)).cast("int")
+    found = children.join(came, F.col(key) == F.col("_key"), "left")
+    state = F.when(F.col("_came").isNotNull() & own.isNotNull() & (looks <= most), "resolved").otherwise("given_up")
+    attempts = F.when(state == "resolved", looks).when(F.col(key).isNull() | own.isNull(), 0).otherwise(most)
+    return found.select(record, key, attempts.cast("int").alias("attempts"), state.alias("state"))
+
+
 def pending(items: DataFrame, key: str, modified: str, log: DataFrame, since: Column | None = None) -> DataFrame:
     """Items never completed, or modified after their last completed run; from `since` on, if given. log: key, status,
     completed_at."""

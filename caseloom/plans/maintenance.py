@@ -121,6 +121,15 @@ def retry_queue(t):
     return merge.park_and_retry(q, t.customer.where("c_custkey % 3 = 0").select(F.col("c_custkey").alias("key")), "key")
 
 
+@R.query("""WITH p AS (SELECT user_id, min(ts) AS came FROM events WHERE event_type = 'signup' GROUP BY 1),
+w AS (SELECT event_id, e.user_id, greatest(CAST(ceil((epoch_us(came) - epoch_us(ts)) / 7200000000.0) AS INTEGER), 0) AS looks FROM events e LEFT JOIN p ON p.user_id = e.user_id WHERE event_type = 'purchase')
+SELECT event_id, user_id, CASE WHEN looks <= 5 THEN looks ELSE 5 END AS attempts, CASE WHEN looks <= 5 THEN 'resolved' ELSE 'given_up' END AS state FROM w""")
+def retried_rows(t):
+    """Purchases wait for the sign-up of their user, looked for every two hours, five times at most."""
+    of = lambda kind: t.events.where(F.col("event_type") == kind)
+    return merge.retried(of("purchase"), of("signup"), "event_id", "user_id", "ts", 7200)
+
+
 RUNS = "SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'failed' ELSE 'complete' END AS status, o_orderdate + INTERVAL 1 DAY * CASE WHEN o_orderkey % 5 = 0 THEN -1 ELSE 1 END AS completed_at FROM orders WHERE o_orderkey % 2 = 0"
 
 
