@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from caseloom.functions import dates, nested, similarity, text, units
-from caseloom.operators import graph, identity, joins, merge, rules
+from caseloom.operators import attribution, graph, identity, joins, merge, rules
 from caseloom.sources import readers
 from caseloom.streaming import incremental
 
@@ -37,9 +37,9 @@ def test_codes_in_sentences(spark):
 
 def test_attribution_falls_back_to_the_first_person(spark):
     items = spark.createDataFrame([(1, "seized at the spot"), (1, "found with A-3"), (2, "nobody")], "case long, sentence string")
-    people = spark.createDataFrame([(1, "A-3", 3), (1, "A-1", 1), (1, "A-2", 2)], "case long, code string, seq long")
-    got = {(r.sentence, r.person_code, r.attribution) for r in rules.attribute(items, people, "case", "sentence", "code", "seq").collect()}
-    assert got == {("seized at the spot", "A-1", "first_person"), ("found with A-3", "A-3", "named"), ("nobody", None, "orphan")}
+    people = spark.createDataFrame([(1, "A-3", None, 3), (1, "A-1", None, 1), (1, "A-2", None, 2)], "case long, code string, name string, seq long")
+    got = {(r.sentence, r.person, r.attribution) for r in attribution.attribute(items, people, "case", "sentence", "code", "code", "name", ["seq"]).collect()}
+    assert got == {("seized at the spot", "A-1", "first_person"), ("found with A-3", "A-3", "individual"), ("nobody", None, "orphan")}
 
 
 def test_merge_of_every_kind_of_row(spark):
