@@ -98,7 +98,9 @@ def simhash_components(docs: DataFrame, n: int = 3) -> DataFrame:
     with small_batches(docs.sparkSession):
         described = materialize(docs.mapInArrow(lambda it: _fingerprints(it, n), "doc_id long, print long"), "prints")
     classes = materialize(described.groupBy("print").agg(F.min("doc_id").alias("own"), F.count(F.lit(1)).alias("n")), "classes")
-    linked = components(materialize(links(classes.select("print")), "links"))
+    # few files of classes make very many variants, so they are spread over all tasks first
+    spread = classes.select("print").repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "print")
+    linked = components(materialize(links(spread), "links"))
     named = classes.join(linked.select(F.col("node").alias("print"), "component"), "print", "left").withColumn("component", F.coalesce("component", "print"))
     named = materialize(named, "named")
     smallest = named.groupBy("component").agg(F.min("own").alias("component_id"), F.count(F.lit(1)).alias("m"))
