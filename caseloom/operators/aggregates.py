@@ -43,15 +43,16 @@ def allocate(df: DataFrame, keys: list[str], quantity: str, total: str, name: st
 
 
 def consolidate(df: DataFrame, keys: list[str], confidence: str, fill: list[str], source: str, order: Column) -> DataFrame:
-    """One row per key: the fields of the most confident row, gaps filled by the others in order; all sources."""
+    """One row per key: the fields of the most confident row, gaps filled by the others in order (rows that tie in it: the
+    smallest value); all sources."""
     by = F.struct(-F.coalesce(F.col(confidence), F.lit(-1.0)), order)
-    first = lambda c: F.min_by(c, F.struct(F.col(c).isNull(), by)).alias(c)
+    first = lambda c: F.min_by(c, F.struct(F.col(c).isNull(), by, F.col(c))).alias(c)
     return df.groupBy(*keys).agg(F.max(confidence).alias(confidence), *(first(c) for c in fill), F.array_sort(F.collect_set(source)).alias("sources"), F.count(F.lit(1)).alias("merged"))
 
 
 def sum_merge(df: DataFrame, keys: list[str], amount: str, keep: list[str], order: Column) -> DataFrame:
-    """One row per key: amounts added up, of other measures the first that is not null."""
-    first = lambda c: F.min_by(c, F.struct(F.col(c).isNull(), order)).alias(c)
+    """One row per key: amounts added up, of other measures the first that is not null (rows that tie: the smallest)."""
+    first = lambda c: F.min_by(c, F.struct(F.col(c).isNull(), order, F.col(c))).alias(c)
     return df.groupBy(*keys).agg(F.sum(amount).alias(amount), *(first(c) for c in keep))
 
 
