@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -111,28 +113,57 @@ def _edits(length: Column, least: float) -> Column:
     return F.floor(length * F.lit(1 - least) + F.lit(1e-9)).cast("int")
 
 
-def similar_pairs(names: DataFrame, name: str, least: float) -> DataFrame:
+def _without(text: Column, n: int) -> Column:
+    """The distinct texts that are left when any n letters (fewer than all) are taken out."""
+    left = F.array(F.struct(text.alias("t"), F.lit(1).alias("at")))
+    for _ in range(n):
+        left = F.flatten(F.transform(left, lambda x: F.transform(F.filter(F.sequence(F.lit(1), F.length(x.t)), lambda i: i >= x.at), lambda i: F.struct(F.concat(F.substring(x.t, F.lit(1), i - 1), F.substring(x.t, i + 1, F.length(x.t))).alias("t"), i.alias("at")))))
+    return F.array_distinct(F.transform(left, lambda x: x.t))
+
+
+def similar_pairs(names: DataFrame, name: str, least: float, most_texts: int = 500) -> DataFrame:
     """a, b (a < b), distance: all pairs of distinct names of a Levenshtein similarity of `least` (over 0.5) or more; none is
-    lost. Of two names with at most d edits between them, the shorter one, cut in d + 1 segments, has some segment that the longer one
-    holds unchanged, shifted by at most d places: names meet by (d, length, segment, its text), nothing else is compared."""
+    lost. Two names with at most d edits between them are the same once d letters of the longer one, and d less the difference
+    in length of the other, are taken out: they meet by what is left. Where that makes more than `most_texts` texts of a name,
+    the shorter one is cut in d + 1 segments, some of which the longer one holds unchanged: names meet by segments, and a
+    segment that many names share is dealt to many tasks, but all its pairs are compared."""
     distinct = names.select(F.col(name).alias("_n")).where(F.col(name).isNotNull()).distinct().withColumn("_len", F.length("_n"))
+    # a short table makes many texts: it goes to all tasks before it does
+    distinct = checkpointed(distinct.repartition(int(names.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_n"))
+    edits = lambda n: math.floor(n * (1 - least) + 1e-9)
+    longest = lambda d: max(n for n in range(1, math.ceil((d + 1) / (1 - least)) + 1) if edits(n) == d)
+    few = 0
+    while math.comb(longest(few + 1), few + 1) <= most_texts:
+        few += 1
+    pairs = _pairs_by_segments(distinct, least, few)
+    for d in range(1, few + 1):
+        key = lambda n: F.explode(F.transform(_without(F.col("_n"), n), lambda x: F.xxhash64(x))).alias("key")  # noqa: B023, E731
+        longer = distinct.where(_edits(F.col("_len"), least) == d).select(F.col("_n").alias("r"), key(d))
+        for apart in range(d + 1):
+            shorter = distinct.where(_edits(F.col("_len") + apart, least) == d).select(F.col("_n").alias("s"), key(d - apart))
+            met_once = (F.col("r") > F.col("s")) if apart == 0 else F.length("r") == F.length("s") + apart
+            pairs = pairs.unionByName(longer.join(shorter.hint("merge"), "key").where(met_once).select("r", "s", F.lit(d).alias("d")))
+    found = pairs.withColumn("distance", F.levenshtein("r", "s")).where(F.col("distance") <= F.col("d"))
+    return found.select(F.least("r", "s").alias("a"), F.greatest("r", "s").alias("b"), "distance").distinct()
+
+
+def _pairs_by_segments(distinct: DataFrame, least: float, above: int) -> DataFrame:
+    """r, s, d: names that may have d edits between them, for all d over `above`."""
     one = F.lit(1)
     # the shorter name: for every d that a partner of its length or more may bring
     longest = F.floor(F.col("_len") / F.lit(least) + F.lit(1e-9)).cast("int")
-    index = distinct.select(F.col("_n").alias("s"), F.col("_len").alias("len"), F.explode(F.array_distinct(F.transform(F.sequence("_len", longest), lambda n: _edits(n, least)))).alias("d")).where("d > 0")
+    index = distinct.select(F.col("_n").alias("s"), F.col("_len").alias("len"), F.explode(F.array_distinct(F.transform(F.sequence("_len", longest), lambda n: _edits(n, least)))).alias("d")).where(F.col("d") > above)
     starts = lambda i, size, parts: F.floor(size * i / parts).cast("int")
     index = index.select("s", "len", "d", F.explode(F.sequence(F.lit(0), F.col("d"))).alias("part"))
     begin, end = starts(F.col("part"), F.col("len"), F.col("d") + 1), starts(F.col("part") + 1, F.col("len"), F.col("d") + 1)
     index = index.select("s", "len", "d", "part", F.expr("s").substr(begin + one, end - begin).alias("text"))
     # the longer name: where segments of every shorter length may stand in it
-    probe = distinct.withColumn("d", _edits(F.col("_len"), least)).where("d > 0").select(F.col("_n").alias("r"), F.col("_len").alias("size"), "d", F.explode(F.sequence(F.greatest(F.col("_len") - F.col("d"), one), F.col("_len"))).alias("len"))
+    probe = distinct.withColumn("d", _edits(F.col("_len"), least)).where(F.col("d") > above).select(F.col("_n").alias("r"), F.col("_len").alias("size"), "d", F.explode(F.sequence(F.greatest(F.col("_len") - F.col("d"), one), F.col("_len"))).alias("len"))
     probe = probe.select("r", "size", "d", "len", F.explode(F.sequence(F.lit(0), F.col("d"))).alias("part"))
     at, until = starts(F.col("part"), F.col("len"), F.col("d") + 1), starts(F.col("part") + 1, F.col("len"), F.col("d") + 1)
     probe = probe.withColumn("n", until - at).withColumn("at", F.explode(F.sequence(F.greatest(at - F.col("d"), F.lit(0)), F.greatest(F.least(at + F.col("d"), F.col("size") - (until - at)), F.lit(0)))))
     probe = probe.select("r", "d", "len", "part", F.col("r").substr(F.col("at") + one, F.col("n")).alias("text")).distinct()
-    pairs = met(probe, index, ["d", "len", "part", "text"]).where("r <> s").select("r", "s", "d").distinct()
-    found = pairs.withColumn("distance", F.levenshtein("r", "s")).where(F.col("distance") <= F.col("d"))
-    return found.select(F.least("r", "s").alias("a"), F.greatest("r", "s").alias("b"), "distance").distinct()
+    return met(probe, index, ["d", "len", "part", "text"]).where("r <> s").select("r", "s", "d").distinct()
 
 
 def name_keys(name: Column) -> Column:

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from caseloom.operators import aggregates
+from caseloom.operators import aggregates, joins
 
 
 @pytest.mark.parametrize("days", [["2000-04-30", "1999-11-08", None], [None, "1999-11-08", "2000-04-30"]])
@@ -11,3 +11,17 @@ def test_rows_that_tie_in_order_give_the_smallest_value(spark, days):
     df = spark.createDataFrame([(1, 0.09, d, "O", 7, 2.0) for d in days], "k int, c double, d string, s string, n int, q double").coalesce(1)
     assert aggregates.consolidate(df, ["k"], "c", ["d"], "s", F.col("n")).first()["d"] == "1999-11-08"
     assert aggregates.sum_merge(df, ["k"], "q", ["d"], F.col("n")).first()["d"] == "1999-11-08"
+
+
+def test_similar_names_with_a_common_half_are_not_all_compared(spark, monkeypatch):
+    names = spark.range(2000).select(F.concat(F.lit("Customer#"), F.lpad(F.col("id").cast("string"), 9, "0")).alias("n"))
+    compared, met = [], joins.met
+
+    def counted(*a):
+        compared.append(met(*a).count())
+        return met(*a)
+
+    monkeypatch.setattr(joins, "met", counted)
+    got = joins.similar_pairs(names, "n", 0.9)
+    assert got.where("distance = 1").count() == got.count() == (2000 * 27 + 2000) // 2
+    assert sum(compared) < 100_000  # of 4,000,000 that share "Customer#"
