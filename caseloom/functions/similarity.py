@@ -1,5 +1,7 @@
 """Similarities of names and texts, natively where Spark has the parts, else in Arrow batches."""
 
+import functools
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column
@@ -150,8 +152,31 @@ def strip_accents(c: pd.Series) -> pd.Series:
     return c.map(lambda x: None if x is None else "".join(ch for ch in unicodedata.normalize("NFKD", x) if not unicodedata.combining(ch)))
 
 
-def name_similarity(a: Column, b: Column) -> Column:
-    return F.greatest(jaro_winkler(a, b), sequence_ratio(a, b))
+@functools.lru_cache(1 << 16)
+def alike(a: str, b: str, least: float) -> bool:
+    """Whether the Jaro-Winkler similarity or the share of matching blocks reaches `least`; the bounds of the share decide first."""
+    from difflib import SequenceMatcher
+
+    if a == b or _jaro_winkler(a, b) >= least:
+        return True
+    share = SequenceMatcher(None, a, b)
+    return share.real_quick_ratio() >= least and share.quick_ratio() >= least and share.ratio() >= least
+
+
+@functools.lru_cache(1 << 16)
+def _name_similarity(a: str, b: str) -> float:
+    from difflib import SequenceMatcher
+
+    if a == b:
+        return 1.0
+    likeness, share = _jaro_winkler(a, b), SequenceMatcher(None, a, b)
+    return max(likeness, share.ratio()) if share.real_quick_ratio() > likeness and share.quick_ratio() > likeness else likeness
+
+
+@F.pandas_udf(DoubleType())
+def name_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
+    """The greater of Jaro-Winkler similarity and share of matching blocks; the share is found only where its bounds let it be that."""
+    return pd.Series([_name_similarity(x or "", y or "") for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
 def ensemble(a: Column, b: Column) -> Column:

@@ -57,15 +57,13 @@ def token_similarity(a: Column, b: Column) -> Column:
     x, y = similarity.words(T.normal_name(a)), similarity.words(T.normal_name(b))
     plain = similarity.dice(x, y)
     single = (F.size(x) == 1) & (F.size(y) == 1) & (plain == 0)
-    return F.when(single, similarity.name_similarity(T.normal_name(a), T.normal_name(b)) * 0.5).otherwise(plain)
+    one = lambda c: F.when(single, T.normal_name(c)).otherwise("")  # noqa: E731  Python is called for every row
+    return F.when(single, similarity.name_similarity(one(a), one(b)) * 0.5).otherwise(plain)
 
 
 @F.pandas_udf(DoubleType())
 def _fuzzy_dice(a: pd.Series, b: pd.Series, least: pd.Series) -> pd.Series:
-    from difflib import SequenceMatcher
-
-    like = lambda x, y: max(similarity._jaro_winkler(x, y), SequenceMatcher(None, x, y).ratio())
-    return pd.Series([2.0 * sum(any(like(s, t) >= k for t in y) for s in x) / max(len(x) + len(y), 1) for x, y, k in zip(a, b, least, strict=True)], dtype="float64")
+    return pd.Series([2.0 * sum(any(similarity.alike(s, t, k) for t in y) for s in x) / max(len(x) + len(y), 1) for x, y, k in zip(a, b, least, strict=True)], dtype="float64")
 
 
 def fuzzy_token_similarity(a: Column, b: Column, least: float = 0.85) -> Column:
@@ -80,7 +78,12 @@ def evidence(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     both = lambda name: (f(a, name), f(b, name))
     overlap = lambda name: F.coalesce(F.arrays_overlap(*both(name)), F.lit(False))
     same = lambda name: F.coalesce(f(a, name) == f(b, name), F.lit(False))
-    likeness = lambda x, y: F.when((F.coalesce(x, F.lit("")) != "") & (F.coalesce(y, F.lit("")) != ""), similarity.name_similarity(T.normal_name(x), T.normal_name(y))).otherwise(0.0)
+
+    def likeness(x: Column, y: Column) -> Column:
+        filled = (F.coalesce(x, F.lit("")) != "") & (F.coalesce(y, F.lit("")) != "")
+        one = lambda c: F.when(filled, T.normal_name(c)).otherwise("")  # noqa: E731  Python is called for every row
+        return F.when(filled, similarity.name_similarity(one(x), one(y))).otherwise(0.0)
+
     out = pairs.withColumns({
         "tokens": token_similarity(*both("name")), "fuzzy_tokens": fuzzy_token_similarity(*both("name")), "sound": similarity.sound_overlap(T.normal_name(f(a, "name")), T.normal_name(f(b, "name"))),
         "address": address_similarity(*both("address")), "age": age_score(*both("age")), "alias": alias_score(*both("alias")), "phone": phone_score(*both("phones")),
