@@ -228,19 +228,31 @@ def person_score(a: dict[str, Column], b: dict[str, Column]) -> Column:
 def attach(known: DataFrame, rows: DataFrame, id_: str, person: str, fields: dict[str, str]) -> DataFrame:
     """rows (id) with attached_to, the known person of the highest score from LEAST on (ties: the smaller id), and that score.
     Rows resolve against the known people only, so the result does not depend on their order. Candidates have the first
-    three letters of a name's first word in common, or all of a phone number."""
-    from .joins import small
+    three letters of a name's first word in common, or all of a phone number.
 
-    def keyed(df: DataFrame, side: str) -> DataFrame:
-        keys = F.array_distinct(F.array_compact(F.array(F.concat(F.lit("p:"), F.left(T.normal_name(F.col(fields["name"])), F.lit(3))), F.when(F.length(T.phone_digits(F.col(fields["phone"]))) == 10, F.concat(F.lit("t:"), T.phone_digits(F.col(fields["phone"])))))))
-        return df.select(F.col(id_).alias(f"_{side}"), F.col(person).alias(side), F.explode(keys).alias("_key"))
+    Many share three letters, so the likeliest are tried first: those of the same phone, then those of the same age, then
+    all others; a row goes on only while what its filled fields can still reach is not below what it has and LEAST."""
+    from ..shared import checkpointed
+    from .joins import small
 
-    pairs = keyed(rows, "r").join(small(keyed(known, "k")), "_key").drop("_key").dropDuplicates(["_r", "_k"])
+    phone, prefix = T.phone_digits(F.col(fields["phone"])), F.concat(F.lit("p:"), F.left(T.normal_name(F.col(fields["name"])), F.lit(3)))
+    keys = {"phone": F.array(F.when(F.length(phone) == 10, phone)), "age": F.array(prefix, F.col(fields["age"]).cast("int").cast("string")), "name": F.array(prefix)}
     side = lambda s: {f: F.col(f"{s}.{c.removeprefix(f'{person}.')}") for f, c in fields.items()}
     evidence = attach_evidence(side("r"), side("k"))
-    scored = pairs.withColumn("_score", sum((w * evidence[f] for f, w in ATTACH.items()), F.lit(0.0))).where(F.col("_score") >= LEAST)
-    best = scored.groupBy("_r").agg(F.max(F.struct("_score", (-F.col("_k")).alias("n"))).alias("_best"))
-    return rows.join(best, rows[id_] == best["_r"], "left").select(rows[id_], (-F.col("_best.n")).alias("attached_to"), F.col("_best._score").alias("score"))
+    scored = sum((w * evidence[f] for f, w in ATTACH.items()), F.lit(0.0))
+    has = {f: T.blank_to_null(F.col(c).cast("string")).isNotNull() for f, c in fields.items()}
+    reach = sum((F.when(has[f], w).otherwise(0.0) for f, w in ATTACH.items()), F.lit(0.0))
+    no_phone = F.when(F.length(phone) == 10, ATTACH["phone"]).otherwise(0.0)
+    no_age = F.when(has["age"], ATTACH["age"] * 0.2).otherwise(0.0)  # another age is worth 0.8 at most
+    reaches = {"phone": reach, "age": reach - no_phone, "name": reach - no_phone - no_age}
+    state = rows.select(F.col(id_).alias("_r"), F.col(person).alias("r"), *(k.alias(f"_by_{n}") for n, k in keys.items()), *(r.alias(f"_reach_{n}") for n, r in reaches.items()), F.lit(None).cast(f"struct<_score: double, n: {rows.schema[id_].dataType.simpleString()}>").alias("_best"))
+    for n, key in keys.items():
+        open_ = state.where(F.col(f"_reach_{n}") >= F.greatest(F.coalesce("_best._score", F.lit(0.0)), F.lit(LEAST)) - 1e-9).where(~F.exists(f"_by_{n}", lambda x: x.isNull()))
+        people = known.select(F.col(id_).alias("_k"), F.col(person).alias("k"), key.alias("_key")).where(~F.exists("_key", lambda x: x.isNull()))
+        pairs = open_.select("_r", "r", F.col(f"_by_{n}").alias("_key")).join(small(people), "_key")
+        best = pairs.withColumn("_score", scored).where(F.col("_score") >= LEAST).groupBy("_r").agg(F.max(F.struct("_score", (-F.col("_k")).alias("n"))).alias("_new"))
+        state = checkpointed(state.join(best, "_r", "left").withColumn("_best", F.greatest("_best", "_new")).drop("_new"))
+    return state.select(F.col("_r").alias(id_), (-F.col("_best.n")).alias("attached_to"), F.col("_best._score").alias("score"))
 
 
 def completeness(*columns: Column) -> Column:

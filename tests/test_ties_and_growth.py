@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from caseloom.operators import aggregates, joins
+from caseloom.operators import aggregates, identity, joins
 
 
 @pytest.mark.parametrize("days", [["2000-04-30", "1999-11-08", None], [None, "1999-11-08", "2000-04-30"]])
@@ -25,3 +25,22 @@ def test_similar_names_with_a_common_half_are_not_all_compared(spark, monkeypatc
     got = joins.similar_pairs(names, "n", 0.9)
     assert got.where("distance = 1").count() == got.count() == (2000 * 27 + 2000) // 2
     assert sum(compared) < 100_000  # of 4,000,000 that share "Customer#"
+
+
+def test_people_are_attached_without_scoring_all_of_a_prefix(spark, monkeypatch):
+    def person(i, age, phone):
+        return (f"anand {i:04d}", f"father {i:04d}", "Father", "m", age, "village", phone)
+
+    kind = "id long, p struct<name: string, relative: string, relation: string, gender: string, age: int, locality: string, phone: string>"
+    known = spark.createDataFrame([(i, person(i, 30, f"7{i:09d}")) for i in range(300)] + [(900, person(5, 33, "12345")), (901, person(900, 40, None))], kind)
+    rows = spark.createDataFrame([(-i - 1, person(i, 31, f"7{i:09d}")) for i in range(300)] + [(-500, person(5, 33, "12345")), (-501, person(900, 40, "7000000007")), (-502, ("anand", " ", None, "m", 30, "village", None))], kind)
+    made, evidence = spark.sparkContext.accumulator(0), identity.attach_evidence
+
+    def counted(a, b):
+        e = evidence(a, b)
+        return e | {"name": F.udf(lambda x: (made.add(1), x)[1], "double")(e["name"])}
+
+    monkeypatch.setattr(identity, "attach_evidence", counted)
+    got = {r.id: r.attached_to for r in identity.attach(known, rows, "id", "p", {c: f"p.{c}" for c in identity.ATTACH}).collect()}
+    assert got == {-i - 1: i for i in range(300)} | {-500: 900, -501: 901, -502: None}
+    assert made.value < 5_000  # of 91,506 that share "ana"
