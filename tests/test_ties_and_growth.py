@@ -1,5 +1,8 @@
 """Results where rows tie, and how much work a job makes of its input."""
 
+import random
+from datetime import date, timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -44,3 +47,24 @@ def test_people_are_attached_without_scoring_all_of_a_prefix(spark, monkeypatch)
     got = {r.id: r.attached_to for r in identity.attach(known, rows, "id", "p", {c: f"p.{c}" for c in identity.ATTACH}).collect()}
     assert got == {-i - 1: i for i in range(300)} | {-500: 900, -501: 901, -502: None}
     assert made.value < 5_000  # of 91,506 that share "ana"
+
+
+@pytest.mark.parametrize("people", [1, 7])
+def test_first_phonetic_candidates_of_long_lists(spark, monkeypatch, people):
+    """Against all pairs; with 7 people a case, some cases have more known records than candidates are asked for."""
+    r = random.Random(people)
+    names = ["Smith", "Smyth", "Schmidt", "Katherine", "Catherine", "Thompson", "12", ""]
+    rows = [(i, r.choice(names), f"c{i // r.randrange(1, people + 1) // people}", date(2020, 1, 1) + timedelta(r.randrange(0, 1500, 50))) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, name string, case string, day date")
+    day = {i: d for i, _, _, d in rows}
+    pairs, met, made = joins.phonetic_candidates(df, df, "id", "name", "case", "day").collect(), joins.met, []
+    expected = {}
+    for p in sorted(pairs, key=lambda p: (p.id, p.rank, -day[p.candidate].toordinal(), p.candidate)):
+        if len(expected.setdefault(p.id, [])) < 5:
+            expected[p.id].append((p.candidate, p.rank))
+    monkeypatch.setattr(joins, "met", lambda *a: made.append(met(*a).count()) or met(*a))
+    got = {}
+    for p in joins.phonetic_candidates(df, df, "id", "name", "case", "day", most=5).collect():
+        got.setdefault(p.id, []).append((p.candidate, p.rank))
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in expected.items()}
+    assert people > 1 or not made  # no pairs of a common sound were made
