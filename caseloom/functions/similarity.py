@@ -42,10 +42,10 @@ def soundex_or_zero(c: Column) -> Column:
     return F.when(c == "", "0000").otherwise(F.soundex(c))
 
 
-def sound_overlap(a: Column, b: Column) -> Column:
-    """Dice of the Soundex codes of two names' words; 0.2 where short names differ in one consonant only."""
+def sound_overlap(a: Column, b: Column, codes_a: Column | None = None, codes_b: Column | None = None) -> Column:
+    """Dice of the Soundex codes of two names' words (given, or found here); 0.2 where short names differ in one consonant only."""
     codes = lambda c: F.array_distinct(F.transform(words(c), soundex_or_zero))
-    plain = dice(codes(a), codes(b))
+    plain = dice(codes(a) if codes_a is None else codes_a, codes(b) if codes_b is None else codes_b)
     # one differing letter of equally long names: the letters where they differ
     differing = F.filter(F.sequence(F.lit(1), F.greatest(F.length(a), F.lit(1))), lambda i: F.substring(a, i, F.lit(1)) != F.substring(b, i, F.lit(1)))
     letter = lambda c: F.substring(c, F.try_element_at(differing, F.lit(1)), F.lit(1))

@@ -71,27 +71,41 @@ def fuzzy_token_similarity(a: Column, b: Column, least: float = 0.85) -> Column:
     return _fuzzy_dice(similarity.words(T.normal_name(a)), similarity.words(T.normal_name(b)), F.lit(least))
 
 
+def prepared(p: Column) -> Column:
+    """A person with what `evidence` needs of one side alone: done before pairs are made, it is done once a record."""
+    n = T.normal_name(p["name"])
+    words = similarity.words(n)
+    codes = F.array_distinct(F.transform(words, lambda w: similarity.soundex_or_zero(w)))
+    return p.withField("_n", n).withField("_words", words).withField("_codes", codes).withField("_tokens", T.address_tokens(p["address"])).withField("_phones", real_phones(p["phones"])).withField("_alias", T.normal_name(p["alias"]))
+
+
 def evidence(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """pairs (two structs: name, alias, age, gender, phones, address, station, offence, associates; the last two arrays)
-    with one column of evidence per rule."""
+    with one column of evidence per rule. Structs that are not `prepared` are, pair by pair."""
+    for s in (a, b):
+        if "_n" not in pairs.schema[s].dataType.names:
+            pairs = pairs.withColumn(s, prepared(F.col(s)))
     f = lambda s, name: F.col(f"{s}.{name}")
     both = lambda name: (f(a, name), f(b, name))
     overlap = lambda name: F.coalesce(F.arrays_overlap(*both(name)), F.lit(False))
     same = lambda name: F.coalesce(f(a, name) == f(b, name), F.lit(False))
 
-    def likeness(x: Column, y: Column) -> Column:
-        filled = (F.coalesce(x, F.lit("")) != "") & (F.coalesce(y, F.lit("")) != "")
-        one = lambda c: F.when(filled, T.normal_name(c)).otherwise("")  # noqa: E731  Python is called for every row
-        return F.when(filled, similarity.name_similarity(one(x), one(y))).otherwise(0.0)
+    def likeness(x: str, y: str, name: str, alias: str) -> Column:
+        filled = (F.coalesce(f(x, "name"), F.lit("")) != "") & (F.coalesce(f(y, "alias"), F.lit("")) != "")
+        one = lambda c: F.when(filled, c).otherwise("")  # noqa: E731  Python is called for every row
+        return F.when(filled, similarity.name_similarity(one(f(x, name)), one(f(y, alias)))).otherwise(0.0)
 
+    plain = similarity.dice(*both("_words"))
+    single = (F.size(f(a, "_words")) == 1) & (F.size(f(b, "_words")) == 1) & (plain == 0)
+    likely = similarity.name_similarity(*both("_n"))
     out = pairs.withColumns({
-        "tokens": token_similarity(*both("name")), "fuzzy_tokens": fuzzy_token_similarity(*both("name")), "sound": similarity.sound_overlap(T.normal_name(f(a, "name")), T.normal_name(f(b, "name"))),
-        "address": address_similarity(*both("address")), "age": age_score(*both("age")), "alias": alias_score(*both("alias")), "phone": phone_score(*both("phones")),
-        "alias_cross": F.greatest(likeness(f(a, "name"), f(b, "alias")), likeness(f(b, "name"), f(a, "alias"))),
-        "same_station": same("station"), "same_offence": overlap("offence"), "shared_associates": overlap("associates"), "same_gender": F.coalesce(F.lower(f(a, "gender")) == F.lower(f(b, "gender")), F.lit(False)),
+        "tokens": F.when(single, likely * 0.5).otherwise(plain), "fuzzy_tokens": _fuzzy_dice(*both("_words"), F.lit(0.85)), "sound": similarity.sound_overlap(*both("_n"), *both("_codes")),
+        "address": similarity.jaccard(*both("_tokens")), "age": age_score(*both("age")), "alias": F.when((f(a, "_alias") == f(b, "_alias")) & (f(a, "alias") != ""), 1.0).otherwise(0.0),
+        "phone": F.when(F.coalesce(F.arrays_overlap(*both("_phones")), F.lit(False)), 1.0).otherwise(0.0), "alias_cross": F.greatest(likeness(a, b, "_n", "_alias"), likeness(b, a, "_n", "_alias")),
+        "same_station": same("station"), "same_offence": overlap("offence"), "shared_associates": overlap("associates"), "same_gender": F.coalesce(F.lower(f(a, "gender")) == F.lower(f(b, "gender")), F.lit(False)), "_likely": likely,
     })
-    likely = similarity.name_similarity(T.normal_name(f(a, "name")), T.normal_name(f(b, "name")))
-    return out.withColumns({"name": F.when(F.col("tokens") == 1.0, F.greatest(likely, F.lit(0.95))).otherwise(likely), "same_age_and_gender": F.col("same_gender") & (F.col("fuzzy_tokens") > 0) & same("age") & (f(a, "age") > 0)})
+    likely = F.col("_likely")
+    return out.withColumns({"name": F.when(F.col("tokens") == 1.0, F.greatest(likely, F.lit(0.95))).otherwise(likely), "same_age_and_gender": F.col("same_gender") & (F.col("fuzzy_tokens") > 0) & same("age") & (f(a, "age") > 0)}).drop("_likely")
 
 
 def match_score(rows: DataFrame, a: str = "a", b: str = "b", common: tuple[str, ...] = ()) -> DataFrame:
@@ -104,7 +118,7 @@ def match_score(rows: DataFrame, a: str = "a", b: str = "b", common: tuple[str,
     for c, w in BOOSTS.items():
         score = score + F.when(boosted.get(c, col(c)), w).otherwise(0.0)
     strong = (col("phone") > 0) | (col("address") > 0.8) | ((col("age") > 0.8) & col("same_gender")) | (col("same_station") & col("shared_associates"))
-    x, y = (similarity.words(T.normal_name(col(f"{s}.name"))) for s in (a, b))
+    x, y = col(f"{a}._words"), col(f"{b}._words")
     known = F.array(*map(F.lit, common)).cast("array<string>")
     odd = F.size(F.array_except(F.array_union(F.array_except(x, y), F.array_except(y, x)), known))
     score = score - 0.15 * odd * F.when(strong, 0.3).otherwise(1.0)
@@ -165,7 +179,7 @@ def resolve_in_epochs(records: DataFrame, days: int = 365, years: int = 2, commo
         else:
             named = lambda df: df.where("NOT placeholder").select("record_id", "case_id", "day", F.col("p.name").alias("name"))
             pairs = phonetic_candidates(named(new), named(known), "record_id", "name", "case_id", "day", years, most).drop("rank")
-            both = pairs.join(new.select("record_id", F.col("p").alias("a")), "record_id").join(known.select(F.col("record_id").alias("candidate"), F.col("p").alias("b"), "canonical"), "candidate")
+            both = pairs.join(new.select("record_id", prepared(F.col("p")).alias("a")), "record_id").join(known.select(F.col("record_id").alias("candidate"), prepared(F.col("p")).alias("b"), "canonical"), "candidate")
             scored = match_score(evidence(both), common=common).select("record_id", "canonical", "score")
             ids = known.select("accused_id", "canonical")
         found = checkpointed(resolve(new.select("record_id", "case_id", "accused_id", "own_canonical", "placeholder"), scored, ids))

@@ -82,7 +82,7 @@ def match_scores(t):
     common = ("building", "automobile", "machinery", "household", "furniture")
     words = F.array_except(similarity.words(T.normal_name(F.col("p.name"))), F.array(*map(F.lit, common)))
     key = F.explode(F.array_distinct(F.transform(words, lambda w: F.concat_ws(":", F.col("p.station"), similarity.soundex_or_zero(w)))))
-    a, b = new.select(key.alias("k"), F.col("id").alias("new_id"), F.col("p").alias("a")), known.select(key.alias("k"), F.col("id").alias("known_id"), F.col("p").alias("b"))
+    a, b = new.select(key.alias("k"), F.col("id").alias("new_id"), identity.prepared(F.col("p")).alias("a")), known.select(key.alias("k"), F.col("id").alias("known_id"), identity.prepared(F.col("p")).alias("b"))
     s = identity.match_score(identity.evidence(a.join(b, "k").drop("k").dropDuplicates(["new_id", "known_id"])), common=common)
     return s.groupBy("new_id").agg(F.max_by("known_id", F.struct("score", -F.col("known_id"))).alias("known_id"), F.max("score").alias("score"))
 
