@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -98,7 +97,8 @@ ROLES = (
 
 def holds(c: Column, words: tuple[str, ...]) -> Column:
     """Whether a text holds any of some words, in any case."""
-    return F.coalesce(F.lower(c).rlike("|".join(map(re.escape, words))), F.lit(False))
+    listed = F.array(*map(F.lit, words))
+    return F.coalesce(T.once(F.lower(c), lambda low: F.exists(listed, lambda w: F.contains(low, w))), F.lit(False))
 
 
 def role(c: Column) -> Column:
@@ -135,7 +135,7 @@ def seizure_filter(sentence: Column, text: Column | None = None, drug: Column |
     80 characters, in one clause)."""
     seized = holds(sentence, SEIZED)
     whole = seized if text is None else seized | holds(text, SEIZED)
-    reason = [(holds(sentence, USED) & ~seized, "CONSUMPTION_ONLY"), (holds(sentence, SOLD) & ~seized, "SALE_ONLY"), (~whole & F.coalesce(F.trim(sentence) != "", F.lit(False)), "NO_SEIZURE")]
+    reason = [(~seized & holds(sentence, USED), "CONSUMPTION_ONLY"), (~seized & holds(sentence, SOLD), "SALE_ONLY"), (~whole & F.coalesce(F.trim(sentence) != "", F.lit(False)), "NO_SEIZURE")]
     if drug is not None:
         reason.append((holds(sentence, EQUIPMENT) & ~_near_in_clause(F.lower(sentence), F.lower(F.trim(drug)), SEIZURE_OF, 80), "EQUIPMENT"))
     found = ladder(reason)
@@ -159,10 +159,19 @@ def without_ignored(rows: DataFrame, name: str, ignored: DataFrame, ignored_name
     return out.where(~F.coalesce(F.lower(name).rlike("|".join(parts)), F.lit(False))) if parts else out
 
 
+#: So many known words are looked up where a text lies; more are joined.
+LISTED = 1000
+
+
 def longest_keyword(rows: DataFrame, text: str, words: DataFrame, word: str) -> DataFrame:
-    """rows with the longest known word of one token that their text holds, as keyword: distinct tokens of a text meet the
-    known words, and only the tokens that are known are grouped, by a digest of the text."""
+    """rows with the longest known word of one token that their text holds, as keyword. Up to LISTED known words go to every
+    task as one list, and rows stay where they are. Beyond, distinct tokens of a text meet the known words, and only the
+    tokens that are known are grouped, by a digest of the text."""
     known = words.select(F.lower(F.col(word)).alias("_w")).where("_w <> ''").distinct()
+    if known.limit(LISTED + 1).count() <= LISTED:
+        held = F.array_intersect(F.regexp_extract_all(F.lower(text), F.lit(r"(\w+)"), 1), F.col("_known"))
+        longest = F.array_max(F.transform(held, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
+        return rows.crossJoin(F.broadcast(known.agg(F.collect_list("_w").alias("_known")))).withColumn("keyword", longest).drop("_known")
     digest = F.md5(F.col(text).cast("binary"))
     tokens = rows.select(digest.alias("_text"), F.explode(F.array_distinct(F.split(F.lower(text), r"\W+"))).alias("_w"))
     best = tokens.join(small(known), "_w").groupBy("_text").agg(F.max(F.struct(F.length("_w").alias("n"), F.col("_w").alias("w")))["w"].alias("keyword"))
@@ -171,7 +180,7 @@ def longest_keyword(rows: DataFrame, text: str, words: DataFrame, word: str) ->
 
 def sentences(c: Column) -> Column:
     """A text's sentences: cut at line ends, and at a full stop behind a letter or a closing bracket, with a blank after it."""
-    return F.filter(F.transform(F.split(c, r"\n|(?<=[a-z)][.])\s"), lambda s: F.trim(s)), lambda s: s != "")
+    return F.filter(F.transform(T.cut(c, r"\s(?:(?<=\n)|(?<=[a-z)][.]\s))"), lambda s: F.trim(s)), lambda s: s != "")
 
 
 #: What things are packed in.

@@ -6,7 +6,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from caseloom.operators import aggregates, identity, joins
+from caseloom.operators import aggregates, extraction, identity, joins
 
 
 @pytest.mark.parametrize("days", [["2000-04-30", "1999-11-08", None], [None, "1999-11-08", "2000-04-30"]])
@@ -68,3 +68,11 @@ def test_first_phonetic_candidates_of_long_lists(spark, monkeypatch, people):
         got.setdefault(p.id, []).append((p.candidate, p.rank))
     assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in expected.items()}
     assert people > 1 or not made  # no pairs of a common sound were made
+
+
+def test_seized_items_read_a_text_once(spark):
+    texts = spark.range(3).select("id", F.concat(F.lit("A-1 was seized with "), F.col("id") + 1, F.lit(" kg ganja. A\u00012 had 2 g charas seized")).alias("t"))
+    names = spark.createDataFrame([("ganja", "Cannabis"), ("charas", "Charas")], "raw string, standard string")
+    out = extraction.seized_items(texts, "id", "t", names, "raw", "standard")
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Range (") == 1
+    assert {(r.id, r.item, r.weight_g) for r in out.collect()} == {(i, *x) for i in range(3) for x in (("Cannabis", 1000.0 * (i + 1)), ("Charas", 2.0))}
