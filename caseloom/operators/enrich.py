@@ -97,17 +97,28 @@ def net_or_gross(rows: DataFrame, keys: list[str], sentence: str) -> DataFrame:
     return rows.withColumn("_kind", kind).join(has_net, keys, "left").where(~F.coalesce((F.col("_kind") == "gross") & F.col("_net"), F.lit(False))).drop("_kind", "_net")
 
 
-def is_gross_beside_net(text: Column, sentence: Column, weight_g: Column) -> Column:
-    """Whether a weight is the gross one of a sentence of the text that states both: its own sentence speaks of a gross weight, and
-    some sentence gives this weight (to a tenth of a gram) behind "gross", and a net or actual weight too."""
+def gross_beside_net(text: Column) -> Column:
+    """array<double>: the gross weights, in grams to a tenth, of a text's sentences that state a gross weight and a net or actual one."""
     from .rules import sentences
 
     amount = r"\D{0,40}?(\d+(?:[.,]\d+)?)\s*(kg|kilo|g)[a-z]*\b"
     gross, net = r"gross\s+w(?:eigh)?t\b" + amount, r"(?:net\s+w(?:eigh)?t|actual\s+weight)\b" + amount
-    grams = lambda s: F.regexp_replace(F.regexp_extract(s, gross, 1), ",", ".").cast("double") * F.when(F.regexp_extract(s, gross, 2) == "g", 1.0).otherwise(1000.0)
-    both = F.filter(F.transform(sentences(text), F.lower), lambda s: s.rlike(gross) & s.rlike(net))
-    stated = F.exists(both, lambda s: F.round(grams(s), 1) == F.round(weight_g, 1))
-    return F.coalesce(F.lower(sentence).rlike(r"gross\s+w(?:eigh)?t\b") & stated, F.lit(False))
+    # words are looked for before patterns; a sentence without an amount behind "gross" gives null
+    both = lambda s: F.contains(s, F.lit("gross")) & (F.contains(s, F.lit("net")) | F.contains(s, F.lit("actual"))) & s.rlike(net)
+    grams = lambda s: F.round(F.regexp_replace(F.regexp_extract(s, gross, 1), ",", ".").try_cast("double") * F.when(F.regexp_extract(s, gross, 2) == "g", 1.0).otherwise(1000.0), 1)
+    low = F.lower(text)
+    stated = F.contains(low, F.lit("gross")) & (F.contains(low, F.lit("net")) | F.contains(low, F.lit("actual")))
+    found = F.transform(F.filter(F.transform(sentences(text), F.lower), both), grams)
+    return F.when(stated, F.array_compact(found)).otherwise(F.array().cast("array<double>"))
+
+
+def is_gross_beside_net(text: Column, sentence: Column, weight_g: Column, stated: Column | None = None) -> Column:
+    """Whether a weight is the gross one of a sentence of the text that states both: its own sentence speaks of a gross weight, and
+    some sentence gives this weight (to a tenth of a gram) behind "gross", and a net or actual weight too. stated: what
+    `gross_beside_net` gives of the text, where many weights of a text are asked for."""
+    low = F.lower(sentence)
+    held = F.array_contains(gross_beside_net(text) if stated is None else stated, F.round(weight_g, 1))
+    return F.coalesce(F.contains(low, F.lit("gross")) & low.rlike(r"gross\s+w(?:eigh)?t\b") & held, F.lit(False))
 
 
 def identity_in_text(text: Column, name: Column, chars: int = 120) -> Column:

@@ -6,7 +6,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from caseloom.operators import aggregates, extraction, identity, joins
+from caseloom.operators import aggregates, enrich, extraction, identity, joins
 
 
 @pytest.mark.parametrize("days", [["2000-04-30", "1999-11-08", None], [None, "1999-11-08", "2000-04-30"]])
@@ -76,3 +76,12 @@ def test_seized_items_read_a_text_once(spark):
     out = extraction.seized_items(texts, "id", "t", names, "raw", "standard")
     assert out._jdf.queryExecution().optimizedPlan().toString().count("Range (") == 1
     assert {(r.id, r.item, r.weight_g) for r in out.collect()} == {(i, *x) for i in range(3) for x in (("Cannabis", 1000.0 * (i + 1)), ("Charas", 2.0))}
+
+
+def test_gross_weights_of_a_text_are_read_once_for_all_its_weights(spark):
+    text = F.lit("Gross weight 2,5 kg, net wt 2 kg. gross wt 9 g and actual weight of 7 g\nThe gross weight was 4 kg. Gross and net weight 3 kg")
+    sentence, weights = F.lit("the gross weight"), F.array(*map(F.lit, (2500.0, 9.04, 4000.0, 3000.0)))
+    rows = spark.range(1).select(sentence.alias("s"), enrich.gross_beside_net(text).alias("g")).select("*", F.explode(weights).alias("w"))
+    assert rows.first().g == [2500.0, 9.0]
+    assert [r.x for r in rows.select(enrich.is_gross_beside_net(text, F.col("s"), F.col("w"), F.col("g")).alias("x")).collect()] == [True, True, False, False]
+    assert spark.range(1).select(enrich.gross_beside_net(F.lit(None).cast("string"))).first()[0] == []
