@@ -10,18 +10,21 @@ from .joins import met
 
 
 def edges(parts: list[tuple[DataFrame, str, str, str, str, str, float]]) -> DataFrame:
-    """src, dst, relation, strength from (table, key, kind, key, kind, relation, strength); nodes are "kind:key"."""
+    """src, dst, relation, strength from (table, key, kind, key, kind, relation, strength); nodes are "kind:key". Edges are told
+    apart by their keys as the tables hold them, after keys of one hash have met: names are made once an edge, and no task
+    gathers groups of what it reads before the shuffle, where nearly all rows differ."""
     out = None
     for df, a, a_kind, b, b_kind, relation, strength in parts:
-        one = df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(F.concat(F.lit(f"{a_kind}:"), F.col(a).cast("string")).alias("src"), F.concat(F.lit(f"{b_kind}:"), F.col(b).cast("string")).alias("dst"), F.lit(relation).alias("relation"), F.lit(float(strength)).alias("strength")).distinct()
+        keys = df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(F.col(a).alias("a"), F.col(b).alias("b"))
+        one = keys.repartition("a").distinct().select(F.concat(F.lit(f"{a_kind}:"), F.col("a").cast("string")).alias("src"), F.concat(F.lit(f"{b_kind}:"), F.col("b").cast("string")).alias("dst"), F.lit(relation).alias("relation"), F.lit(float(strength)).alias("strength"))
         out = one if out is None else out.unionByName(one)
     return out
 
 
 def out_degree(e: DataFrame) -> DataFrame:
-    """node, degree: outgoing edges only; 0 for nodes that only have incoming ones."""
-    nodes = e.select(F.col("src").alias("node")).union(e.select("dst")).distinct()
-    return nodes.join(e.groupBy(F.col("src").alias("node")).agg(F.count(F.lit(1)).alias("degree")), "node", "left").na.fill(0, ["degree"])
+    """node, degree: outgoing edges only; 0 for nodes that only have incoming ones. One pass over the edges, one grouping."""
+    ends = e.select(F.explode(F.array(F.struct(F.col("src").alias("node"), F.lit(1).alias("n")), F.struct(F.col("dst").alias("node"), F.lit(0).alias("n")))).alias("x"))
+    return ends.select("x.*").groupBy("node").agg(F.sum(F.when(F.col("node").isNotNull(), F.col("n")).otherwise(0)).alias("degree"))
 
 
 def components(e: DataFrame, piece: int = 20_000) -> DataFrame:

@@ -6,7 +6,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from caseloom.operators import aggregates, enrich, extraction, identity, joins
+from caseloom.operators import aggregates, enrich, extraction, graph, identity, joins
 
 
 @pytest.mark.parametrize("days", [["2000-04-30", "1999-11-08", None], [None, "1999-11-08", "2000-04-30"]])
@@ -85,3 +85,11 @@ def test_gross_weights_of_a_text_are_read_once_for_all_its_weights(spark):
     assert rows.first().g == [2500.0, 9.0]
     assert [r.x for r in rows.select(enrich.is_gross_beside_net(text, F.col("s"), F.col("w"), F.col("g")).alias("x")).collect()] == [True, True, False, False]
     assert spark.range(1).select(enrich.gross_beside_net(F.lit(None).cast("string"))).first()[0] == []
+
+
+def test_edges_are_not_gathered_before_they_are_dealt(spark):
+    rows = spark.createDataFrame([(1, 5), (1, 5), (2, 5), (None, 5), (2, None)], "a long, b long")
+    e = graph.edges([(rows, "a", "person", "b", "case", "involved", 1.0), (rows, "b", "case", "a", "person", "of", 1.0)])
+    plan = e._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" not in plan[plan.rindex("Exchange hashpartitioning") :] and plan.count("Exchange hashpartitioning") == 2
+    assert {tuple(r) for r in graph.out_degree(e).collect()} == {("person:1", 1), ("person:2", 1), ("case:5", 2)}
