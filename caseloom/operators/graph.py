@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..shared import checkpointed
-from .joins import met
+from .joins import met, small
 
 
 def edges(parts: list[tuple[DataFrame, str, str, str, str, str, float]]) -> DataFrame:
@@ -50,14 +50,15 @@ def clusters(e: DataFrame) -> DataFrame:
 def simple_paths(e: DataFrame, starts: DataFrame, ends: DataFrame, most_nodes: int = 3) -> DataFrame:
     """path: all paths from a start to an end (tables of one column) without a repeated node, of at least two and at most
     most_nodes nodes. Paths grow from both sides and meet in the middle, so a hub there is reached from each side but never
-    left: a path of n nodes is one of n / 2 nodes (rounded up) that grew from a start, and one that grew from an end."""
-    step = e.select("src", "dst").distinct()
-    one = lambda df: df.select(F.array(F.col(df.columns[0])).alias("path")).distinct()
+    left: a path of n nodes is one of n / 2 nodes (rounded up) that grew from a start, and one that grew from an end. Edges may
+    repeat: the paths are told apart, not all edges of the table."""
+    step = e.select("src", "dst")
+    one = lambda df: small(df.select(F.array(F.col(df.columns[0])).alias("path")).distinct())
     ahead, behind = [one(starts)], [one(ends)]
     for _ in range(2, (most_nodes + 1) // 2 + 1):
-        ahead.append(ahead[-1].join(step, F.element_at("path", -1) == F.col("src")).where(~F.array_contains("path", F.col("dst"))).select(F.concat("path", F.array("dst")).alias("path")))
+        ahead.append(ahead[-1].join(step, F.element_at("path", -1) == F.col("src")).where(~F.array_contains("path", F.col("dst"))).select(F.concat("path", F.array("dst")).alias("path")).distinct())
     for _ in range(2, most_nodes // 2 + 2):
-        behind.append(behind[-1].join(step, F.element_at("path", 1) == F.col("dst")).where(~F.array_contains("path", F.col("src"))).select(F.concat(F.array("src"), "path").alias("path")))
+        behind.append(behind[-1].join(step, F.element_at("path", 1) == F.col("dst")).where(~F.array_contains("path", F.col("src"))).select(F.concat(F.array("src"), "path").alias("path")).distinct())
     found = None
     for n in range(2, most_nodes + 1):
         left, right = ahead[(n + 1) // 2 - 1], behind[n // 2]

@@ -93,3 +93,11 @@ def test_edges_are_not_gathered_before_they_are_dealt(spark):
     plan = e._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" not in plan[plan.rindex("Exchange hashpartitioning") :] and plan.count("Exchange hashpartitioning") == 2
     assert {tuple(r) for r in graph.out_degree(e).collect()} == {("person:1", 1), ("person:2", 1), ("case:5", 2)}
+
+
+def test_paths_of_repeated_edges_leave_the_edges_as_they_lie(spark):
+    e = spark.createDataFrame([("a", "m"), ("a", "m"), ("m", "b"), ("m", "b"), ("m", "a")], "src string, dst string")
+    start, end = (spark.createDataFrame([(x,)], "node string") for x in "ab")
+    paths = graph.simple_paths(e, start, end)
+    assert [r.path for r in paths.collect()] == [["a", "m", "b"]]
+    assert "Aggregate [src" not in paths._jdf.queryExecution().optimizedPlan().toString()
