@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import similarity
 from ..functions import text as T
 from ..operators import graph, identity, joins
+from ..shared import checkpointed
 from .base import Registry
 
 R = Registry()
@@ -149,12 +150,12 @@ SELECT l_orderkey, a_key, b_key, CASE WHEN x = y THEN 'exact' WHEN list_sort(str
   WHEN len(list_intersect({_CODE_SQL.format('x')}, {_CODE_SQL.format('y')})) > 0 THEN 'sound' WHEN jaro_winkler_similarity(x, y) >= 0.85 THEN 'likeness' END AS rule FROM p""")
 def extracted_name_rules(t):
     """Names as a text gives them (whole, turned round, the last word) against the other names of their case."""
-    n = t.lineitem.join(t.part, F.col("p_partkey") == F.col("l_partkey")).select("l_orderkey", "p_partkey", "p_name", "p_size").distinct()
+    n = t.lineitem.join(t.part, F.col("p_partkey") == F.col("l_partkey")).select("l_orderkey", "p_partkey", "p_name", "p_size").repartition("l_orderkey").distinct()  # cases meet where they lie from here on
     first, last, way = F.split_part("p_name", F.lit(" "), F.lit(1)), F.split_part("p_name", F.lit(" "), F.lit(2)), F.col("p_size") % 3
     a = n.select("l_orderkey", F.col("p_partkey").alias("a_key"), F.when(way == 0, F.col("p_name")).when(way == 1, F.concat_ws(" ", last, first)).otherwise(last).alias("x"))
     pairs = a.join(n.select("l_orderkey", F.col("p_partkey").alias("b_key"), F.col("p_name").alias("y")), "l_orderkey").where("a_key <> b_key")
-    rules = pairs.select("x", "y").distinct().withColumn("rule", identity.extracted_matches(F.col("x"), F.col("y")))  # each pair of names once
-    return pairs.join(rules, ["x", "y"]).select("l_orderkey", "a_key", "b_key", "rule")
+    rules = checkpointed(pairs.select("x", "y").distinct().withColumn("rule", identity.extracted_matches(F.col("x"), F.col("y"))))  # each pair of names once
+    return pairs.join(joins.small(rules), ["x", "y"]).select("l_orderkey", "a_key", "b_key", "rule")
 
 
 @R.query("SELECT c_custkey, 1 AS c FROM customer UNION ALL SELECT c_custkey, 2 FROM customer WHERE c_custkey % 2 = 0")

@@ -101,3 +101,10 @@ def test_paths_of_repeated_edges_leave_the_edges_as_they_lie(spark):
     paths = graph.simple_paths(e, start, end)
     assert [r.path for r in paths.collect()] == [["a", "m", "b"]]
     assert "Aggregate [src" not in paths._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_pairs_of_names_are_not_dealt_to_meet_their_rules(spark):
+    from caseloom.plans import registry
+
+    plan = registry.QUERIES["extracted_name_rules"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(x#" not in plan and "hashpartitioning(l_orderkey" in plan
