@@ -70,6 +70,18 @@ def test_first_phonetic_candidates_of_long_lists(spark, monkeypatch, people):
     assert people > 1 or not made  # no pairs of a common sound were made
 
 
+def test_phonetic_records_meet_only_near_their_days(spark, monkeypatch):
+    """What meets is little more than the pairs, and a grid of many cells gets the tasks that its pairs ask for."""
+    names = ["Smith", "Smyth", "Katherine", "Catherine"]
+    df = spark.createDataFrame([(i, names[i % 4], f"c{i}", date(2000, 1, 1) + timedelta(i * 10)) for i in range(600)], "id long, name string, case string, day date")
+    made, met = [], joins.met
+    monkeypatch.setattr(joins, "met", lambda *a: made.append(met(*a)) or made[-1])
+    pairs = joins.phonetic_candidates(df, df, "id", "name", "case", "day").count()
+    assert pairs < made[0].count() < 1.3 * pairs
+    many = spark.range(200).select(F.lit("k").alias("k"), F.col("id").alias("x"))
+    assert met(many, many.withColumnRenamed("x", "y"), ["k"], 10).rdd.getNumPartitions() == 400 // joins.CELLS_A_TASK > 4
+
+
 def test_seized_items_read_a_text_once(spark):
     texts = spark.range(3).select("id", F.concat(F.lit("A-1 was seized with "), F.col("id") + 1, F.lit(" kg ganja. A\u00012 had 2 g charas seized")).alias("t"))
     names = spark.createDataFrame([("ganja", "Cannabis"), ("charas", "Charas")], "raw string, standard string")
