@@ -1,20 +1,24 @@
 """Whose is an item: items of a case go to the people whom their sentences name.
 
-Cases stream through tasks, people first: their codes and the words of their names become one Aho-Corasick automaton per
-case, and every sentence is read once, however many people the case has. The items of a large case are dealt to pieces, each
-with a copy of the case's people.
+Cases stream through tasks, people first. Of a case of many people the words of all names become one Aho-Corasick automaton, and
+every sentence is read once, however many they are. The items of a large case are dealt to pieces, each with a copy of the
+case's people.
 """
 
 from __future__ import annotations
 
+import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import ahocorasick
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from ..shared import checkpointed
 from .joins import small
@@ -25,6 +29,8 @@ REACH = 100
 #: Signs of use, and of many people at once.
 USE = ("smoked", "smoking", "consumed", "consuming", "consumption", "urine test", "tested positive", "drug detection test", "positive")
 ALL = ("accused persons", "they", "all accused", "all of them")
+#: The words of the names of at most so many people are looked for without an automaton.
+FEW = 16
 #: The name of an item that says that nothing was found.
 NOTHING = "NO_DRUGS_DETECTED"
 
@@ -37,13 +43,21 @@ def _dealt(sentence: str, at: int) -> bool:
     return bool(_DEAL.search(sentence, max(0, at - REACH), at))
 
 
+@lru_cache(10_000)
 def codes_in(sentence: str | None) -> list[str]:
     """Codes of people in a sentence, without those it only deals with; none if it speaks of a range ("A2 to A4"), which
     is of all together."""
     s = sentence or ""
-    if _RANGE.search(s):
+    met = list(_CODE.finditer(s))
+    if len(met) > 1 and _RANGE.search(s):
         return []
-    return list(dict.fromkeys(f"A-{int(m[1])}" for m in _CODE.finditer(s) if not _dealt(s, m.start())))
+    return list(dict.fromkeys(f"A-{int(m[1])}" for m in met if not _dealt(s, m.start())))
+
+
+@lru_cache(100_000)
+def _words(name: str) -> list[str]:
+    """The words of a lower-case name by which it is known."""
+    return [w for w in dict.fromkeys(name.split()) if len(w) > 2] if len(name) > 3 else []
 
 
 @dataclass
@@ -53,36 +67,43 @@ class _Case:
     people: list[tuple[str, str | None, str | None]] = field(default_factory=list)
     by_code: dict[str, int] = field(default_factory=dict)
     words: list[list[str]] = field(default_factory=list)
-    automaton: ahocorasick.Automaton = field(default_factory=ahocorasick.Automaton)
-    ready: bool = False
+    automaton: ahocorasick.Automaton | None = None
+    owners: dict[str, list[int]] | None = None
 
     def add(self, person: str, code: str | None, name: str | None) -> None:
         m = _CODE.search(code or "")
         if m:
             self.by_code.setdefault(f"A-{int(m[1])}", len(self.people))
         name = (name or "").strip().lower()
-        self.words.append([w for w in dict.fromkeys(name.split()) if len(w) > 2] if len(name) > 3 else [])
+        self.words.append(_words(name))
         self.people.append((person, code, name))
 
-    def named(self, sentence: str) -> list[int]:
-        """Who is named: by two words of the name, or by its only one."""
-        if not self.ready:
-            self.owners: dict[str, list[int]] = {}
+    def _told_of(self, low: str) -> tuple[Iterable[int], Callable[[str], int]]:
+        """Who may be named in a sentence, in order, and where a word of theirs first stands in it (-1: nowhere). The words of a
+        few people are looked for one by one, which is less than an automaton of them takes to make."""
+        if len(self.people) <= FEW:
+            return range(len(self.people)), low.find
+        if self.owners is None:
+            self.owners, self.automaton = {}, ahocorasick.Automaton()
             for i, own in enumerate(self.words):
                 for w in own:
                     self.owners.setdefault(w, []).append(i)
                     self.automaton.add_word(w, w)
             self.automaton.make_automaton()
-            self.ready = True
         if not self.owners:
-            return []
-        low, first = sentence.lower(), {}
+            return [], low.find
+        first: dict[str, int] = {}
         for end, w in self.automaton.iter(low):
             first.setdefault(w, end - len(w) + 1)
-        out = []
-        for i in sorted({i for w in first for i in self.owners[w]}):
-            held = [w for w in self.words[i] if w in first]
-            if len(held) >= min(2, len(self.words[i])) and not _dealt(low, first[held[0]]):
+        return sorted({i for w in first for i in self.owners[w]}), lambda w: first.get(w, -1)
+
+    def named(self, sentence: str) -> list[int]:
+        """Who is named: by two words of the name, or by its only one."""
+        low, out = sentence.lower(), []
+        told, place = self._told_of(low)
+        for i in told:
+            held = [at for at in map(place, self.words[i]) if at >= 0]
+            if held and len(held) >= min(2, len(self.words[i])) and not _dealt(low, held[0]):
                 out.append(i)
         return out
 
@@ -107,21 +128,22 @@ class _Case:
 
 
 def _attributed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by case, piece, kind (people before items) and order."""
+    """Rows come sorted by case, piece, kind (people before items) and order; what an item has of its own passes through."""
     key, case = None, _Case()
     for batch in batches:
-        items, people, how = [], [], []
-        for r in batch.to_pylist():
-            if (r["case"], r["piece"]) != key:
-                key, case = (r["case"], r["piece"]), _Case()
-            if r["kind"] == 0:
-                case.add(r["person"], r["code"], r["name"])
+        people, how = [], []
+        rows = zip(*(batch.column(c).to_numpy(zero_copy_only=False).tolist() for c in ("case", "piece", "kind", "person", "code", "name", "sentence", "sources", "ref")))
+        for of, piece, kind, person, code, name, sentence, sources, ref in rows:
+            if (of, piece) != key:
+                key, case = (of, piece), _Case()
+            if kind == 0:
+                case.add(person, code, name)
                 continue
-            found, rule = case.attribute(r["name"], r["sentence"], r["sources"], r["ref"])
-            items.append(r["item"])
+            found, rule = case.attribute(name, sentence, json.loads(sources) if sources else None, ref)
             people.append([case.people[i][0] for i in found])
             how.append(rule)
-        yield pa.RecordBatch.from_arrays([pa.array(items, pa.int64()), pa.array(people, pa.list_(pa.string())), pa.array(how, pa.string())], names=["_item", "_people", "attribution"])
+        own = batch.column("row").filter(pc.equal(batch.column("kind"), 1))
+        yield pa.RecordBatch.from_arrays([own, pa.array(people, pa.list_(pa.string())), pa.array(how, pa.string())], names=["_row", "_people", "attribution"])
 
 
 def attribute(items: DataFrame, people: DataFrame, case: str, sentence: str, person: str, code: str, name: str, order: list[str], item_name: str | None = None, sources: str | None = None, ref: str | None = None, piece: int = 2000) -> DataFrame:
@@ -135,23 +157,26 @@ def attribute(items: DataFrame, people: DataFrame, case: str, sentence: str, per
     orphan         the case has no people: person is null
 
     sources (an array column) is what was merged into an item: the first of them that holds codes counts; ref is a code given
-    apart. Items of a null case are orphans; of people that share a code the first stands for it. The people of one case
-    are held in a task's memory."""
+    apart. Items of a null case are orphans; of people that share a code the first stands for it. Items move once, with all their
+    columns; of a large case they are dealt to pieces by what they hold. The people of one case are held in a task's memory."""
     text = lambda c: (F.lit(None) if c is None else F.col(c)).cast("string")
-    kept = checkpointed(items.withColumn("_item", F.monotonically_increasing_id()))  # item numbers are drawn once
-    sized = kept.where(F.col(case).isNotNull()).groupBy(case).agg(F.ceil(F.count(F.lit(1)) / F.lit(piece)).cast("int").alias("_pieces"))
+    sized = items.where(F.col(case).isNotNull()).groupBy(case).agg(F.ceil(F.count(F.lit(1)) / F.lit(piece)).cast("int").alias("_pieces"))
     pieces = checkpointed(sized.where("_pieces > 1"))
     n = F.coalesce("_pieces", F.lit(1))
     none = lambda kind, *names: [F.lit(None).cast(kind).alias(x) for x in names]
+    # a column that is all null, or of lists, costs the square of a batch's rows on its way to Python
+    empty = lambda *names: [F.lit("").alias(x) for x in names]
     who = people.join(small(pieces), case, "left").select(
         F.col(case).cast("string").alias("case"), F.explode(F.sequence(F.lit(0), n - 1)).alias("piece"), F.lit(0).alias("kind"), F.struct(*order).alias("order"), text(person).alias("person"), text(code).alias("code"), text(name).alias("name"),
-        *none("long", "item"), *none("string", "sentence"), *none("array<string>", "sources"), *none("string", "ref"),
+        *none(items.schema, "row"), *empty("sentence", "sources", "ref"),
     )
-    what = kept.where(F.col(case).isNotNull()).join(small(pieces), case, "left").select(
-        F.col(case).cast("string").alias("case"), F.pmod(F.col("_item"), n).cast("int").alias("piece"), F.lit(1).alias("kind"), *none(who.schema["order"].dataType, "order"), *none("string", "person", "code"), text(item_name).alias("name"),
-        F.col("_item").alias("item"), text(sentence).alias("sentence"), (F.lit(None) if sources is None else F.col(sources)).cast("array<string>").alias("sources"), text(ref).alias("ref"),
+    dealt = F.xxhash64(*(c for c, kind in items.dtypes if "map<" not in kind))  # a map has no hash
+    what = items.where(F.col(case).isNotNull()).join(small(pieces), case, "left").select(
+        F.col(case).cast("string").alias("case"), F.pmod(dealt, n).cast("int").alias("piece"), F.lit(1).alias("kind"), *none(who.schema["order"].dataType, "order"), *empty("person", "code"), text(item_name).alias("name"),
+        F.struct(*items.columns).alias("row"), text(sentence).alias("sentence"), F.lit("").alias("sources") if sources is None else F.coalesce(F.to_json(F.col(sources).cast("array<string>")), F.lit("")).alias("sources"), F.coalesce(text(ref), F.lit("")).alias("ref"),
     )
     met = who.where("case IS NOT NULL").unionByName(what).repartition("case", "piece").sortWithinPartitions("case", "piece", "kind", "order").drop("order")
-    found = met.mapInArrow(_attributed, "_item long, _people array<string>, attribution string")
-    out = kept.join(found, "_item", "left").withColumn("attribution", F.coalesce("attribution", F.lit("orphan")))
-    return out.withColumn("person", F.explode_outer("_people")).drop("_item", "_people")
+    told = StructType([StructField("_row", items.schema), StructField("_people", ArrayType(StringType())), StructField("attribution", StringType())])
+    out = met.mapInArrow(_attributed, told).select("_row.*", "_people", "attribution")
+    orphans = items.where(F.col(case).isNull()).select("*", F.lit(None).cast("array<string>").alias("_people"), F.lit("orphan").alias("attribution"))
+    return out.unionByName(orphans).withColumn("person", F.explode_outer("_people")).drop("_people")

@@ -76,6 +76,26 @@ def test_attribution(spark, piece):
         assert len(got) == (len(items) if df is what else 0)
 
 
+@pytest.mark.parametrize("few", [0, 16])
+def test_few_people_need_no_automaton(monkeypatch, few):
+    made, automaton = [], attribution.ahocorasick.Automaton
+    monkeypatch.setattr(attribution, "FEW", few, raising=False)
+    monkeypatch.setattr(attribution.ahocorasick, "Automaton", lambda: made.append(1) or automaton())
+    case = attribution._Case()
+    for person, name in (("p1", "Raju Kumar"), ("p2", "Sita"), ("p3", "Ram Raju Bose"), ("p4", "Bo")):
+        case.add(person, None, name)
+    assert [case.named(s) for s in ("raju was there", "Raju, BOSE and sita", "bought from Sita", "Kumar's Raju, sold to Sita", "")] == [[], [1, 2], [], [0], []]
+    assert len(made) == (not few)
+
+
+def test_items_move_once_to_their_people(spark):
+    items, people = spark.createDataFrame([("k", "A-1", {"a": 1})], "case string, s string, m map<string, int>"), spark.createDataFrame([("k", "p", "A1", "x", 1)], "case string, person string, code string, name string, nth int")
+    out = attribution.attribute(items, people, "case", "s", "person", "code", "name", ["nth"])
+    assert out.collect() == [("k", "A-1", {"a": 1}, "individual", "p")]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "_item" not in plan and "array<string> AS sources" not in plan  # no second join, no lists on the way to Python
+
+
 def test_codes_near_names(spark):
     text = "Yesterday RAJU KUMAR (A-2) met a.4; far, far away behind the hills and far from here lives Sita with A 5"
     rows = [("Raju Kumar",), ("raju bose",), ("Sita",), ("Nobody",), ("",), (None,)]
