@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import nested
 from ..functions import text as T
+from ..shared import checkpointed
 from .identity import NAMESPACE
 
 FAILED, NOBODY = "LLM_EXTRACTION_FAILED", "NO_ACCUSED_IN_TEXT"
@@ -34,23 +35,24 @@ def synthetic_id(case: Column, name: Column, seq: Column) -> Column:
 def codes_near(text: Column, name: Column, reach: int = NEAR) -> Column:
     """Plain codes within so many characters of a name's first mention, in order. A name that the text does not hold is looked
     up by its first words, as many as the text holds; none without any."""
-    low, words = F.lower(text), F.split(F.lower(F.trim(name)), r"\s+")
+    words = F.split(F.lower(F.trim(name)), r"\s+")
     starts = F.transform(F.reverse(F.sequence(F.lit(1), F.size(words))), lambda n: F.array_join(F.slice(words, 1, n), " "))
-    held = F.try_element_at(F.filter(starts, lambda s: (s != "") & F.contains(low, s)), F.lit(1))
-    at = F.position(held, low)
-    window = F.substring(text, F.greatest(at - reach, F.lit(1)), F.least(at - 1, F.lit(reach)) + F.length(held) + reach)
-    return F.when(held.isNotNull(), F.transform(F.regexp_extract_all(window, F.lit(_CODE), 1), plain_code))
 
+    def near(low: Column, held: Column) -> Column:
+        window = lambda at: F.substring(text, F.greatest(at - reach, F.lit(1)), F.least(at - 1, F.lit(reach)) + F.length(held) + reach)
+        return F.when(held.isNotNull(), T.once(F.position(held, low), lambda at: F.transform(F.regexp_extract_all(window(at), F.lit(_CODE), 1), plain_code)))
 
-def paired(extracted: DataFrame, texts: DataFrame, stubs: DataFrame, case: str, name: str, text: str, stub: str, code: str) -> DataFrame:
-    """extracted (case, name and others) with _stub and _code: of the codes near the name, the first that a stub of the case has
-    (the smallest stub of that code). A case's text moves once, to all its names."""
+    # what is bound is made once, not wherever it stands
+    return T.once(F.lower(text), lambda low: T.once(F.try_element_at(F.filter(starts, lambda s: (s != "") & F.contains(low, s)), F.lit(1)), lambda held: near(low, held)))
+
+
+def _best(extracted: DataFrame, texts: DataFrame, stubs: DataFrame, case: str, name: str, text: str, stub: str, code: str) -> DataFrame:
+    """case, name, _s (stub, code): names that are paired. A case's text moves once, to all its names."""
     named = extracted.select(case, name).where(F.col(name).isNotNull()).groupBy(case).agg(F.collect_set(name).alias("_names"))
     near = texts.join(named, case).select(case, F.explode(F.transform("_names", lambda n: F.struct(n.alias("n"), codes_near(F.col(text), n).alias("codes")))).alias("x"))
     each = near.select(case, F.col("x.n").alias(name), F.posexplode("x.codes").alias("_at", "_plain"))
     own = stubs.groupBy(case, plain_code(F.col(code)).alias("_plain")).agg(F.min(F.struct(F.col(stub).alias("stub"), F.col(code).alias("code"))).alias("_s"))
-    best = each.join(own, [case, "_plain"]).groupBy(case, name).agg(F.min_by("_s", "_at").alias("_s"))
-    return extracted.join(best, [case, name], "left").withColumn("_stub", F.col("_s.stub")).withColumn("_code", F.col("_s.code")).drop("_s")
+    return each.join(own, [case, "_plain"]).groupBy(case, name).agg(F.min_by("_s", "_at").alias("_s"))
 
 
 def assembled(cases: DataFrame, extracted: DataFrame, stubs: DataFrame, case: str, name: str, seq: str, text: str, state: str, stub: str, code: str, stub_name: str, person: str) -> DataFrame:
@@ -64,20 +66,20 @@ def assembled(cases: DataFrame, extracted: DataFrame, stubs: DataFrame, case: st
     kinds = stubs.groupBy(case).agg(F.max(F.col(person).isNotNull()).alias("_known"))
     branch = F.when(F.col("_known"), "A").when(F.col("_known").isNotNull(), "B").otherwise("C")
     own = cases.join(kinds, case, "left").withColumn("branch", branch).drop("_known").where("branch <> 'A'")
-    heads = own.select(case, "branch", (F.coalesce(F.col(state), F.lit("")) == "failed").alias("_failed"))
-    people = extracted.select(case, name, seq).join(heads.where("NOT _failed").drop("_failed"), case)
-    some = paired(people, own.select(case, text), stubs, case, name, text, stub, code)
-    found = F.col("_stub").isNotNull()
+    own = own.select(case, "branch", (F.coalesce(F.col(state), F.lit("")) == "failed").alias("_failed"), text)
+    # only a case of B that did not fail has anybody to pair: its pairs are kept, for its rows and for its other stubs
+    asked = own.where("branch = 'B' AND NOT _failed")
+    best = checkpointed(_best(extracted.join(asked.select(case), case, "left_semi"), asked, stubs, case, name, text, stub, code))
+    heads, people = own.drop(text), extracted.select(case, name, seq, F.lit(True).alias("_told"))
+    # a case with nobody, or that failed, has one row without a person
+    some = heads.join(people.withColumnRenamed(case, "_case"), (F.col(case) == F.col("_case")) & ~F.col("_failed"), "left").drop("_case").join(best, [case, name], "left")
+    some = some.where("_told OR _failed OR branch = 'C'")  # a case of B has stubs in its place
+    found, told, nothing = F.col("_s").isNotNull(), F.col("_told").isNotNull(), F.lit(None).cast("string")
     rows = some.select(
-        case, "branch", F.when(found, F.col("_stub").cast("string")).otherwise(synthetic_id(F.col(case), F.col(name), F.col(seq))).alias("accused_id"), F.col("_code").alias("person_code"), F.col(name).alias("full_name"),
-        F.lit(None).cast("string").alias("role"), F.when(found, "paired").when(F.col("branch") == "B", "unmatched").otherwise("text").alias("source"),
+        case, "branch", F.when(found, F.col("_s.stub").cast("string")).when(told, synthetic_id(F.col(case), F.col(name), F.col(seq))).alias("accused_id"), F.col("_s.code").alias("person_code"), F.col(name).alias("full_name"),
+        F.when(F.col("_failed"), FAILED).when(~told, NOBODY).alias("role"), F.when(found, "paired").when(~told, nothing).when(F.col("branch") == "B", "unmatched").otherwise("text").alias("source"),
     )
-    taken = some.where(found).select(case, F.col("_stub").alias(stub)).distinct()
-    left = stubs.join(heads.where("branch = 'B' AND NOT _failed").select(case), case, "left_semi").join(taken, [case, stub], "left_anti")
+    left = stubs.join(heads.where("branch = 'B' AND NOT _failed").select(case), case, "left_semi").join(best.select(case, F.col("_s.stub").alias(stub)).distinct(), [case, stub], "left_anti")
     shown = F.coalesce(T.blank_to_null(F.col(stub_name)), T.blank_to_null(F.col(code)), F.lit("Unknown"))
-    filled = left.select(case, F.lit("B").alias("branch"), F.col(stub).cast("string").alias("accused_id"), F.col(code).alias("person_code"), shown.alias("full_name"), F.lit(None).cast("string").alias("role"), F.lit("stub").alias("source"))
-    # only C can be left without any row: a case of B has stubs
-    empty = heads.where("_failed OR branch = 'C'").join(people.select(case).distinct(), case, "left_anti")
-    nothing = F.lit(None).cast("string")
-    said = empty.select(case, "branch", nothing.alias("accused_id"), nothing.alias("person_code"), nothing.alias("full_name"), F.when(F.col("_failed"), FAILED).otherwise(NOBODY).alias("role"), nothing.alias("source"))
-    return rows.unionByName(filled).unionByName(said)
+    filled = left.select(case, F.lit("B").alias("branch"), F.col(stub).cast("string").alias("accused_id"), F.col(code).alias("person_code"), shown.alias("full_name"), nothing.alias("role"), F.lit("stub").alias("source"))
+    return rows.unionByName(filled)

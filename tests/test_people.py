@@ -103,6 +103,12 @@ def test_codes_near_names(spark):
     assert got == [["A2", "A4"], ["A2", "A4"], ["A5"], None, None, None]
 
 
+def test_a_text_is_lowered_and_searched_once_for_a_name(spark):
+    df = spark.createDataFrame([("Raju (A-2) met a.4", "raju")], "t string, n string").select(branches.codes_near(F.col("t"), F.col("n")).alias("c"))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("lower(t#") == 1
+    assert df.first().c == ["A2", "A4"]
+
+
 def test_branches(spark):
     cases = [("a", "Raju A-1", None), ("b", "Raju (A-1) and, from very far behind the hills, Sita", None), ("c", "Raju A-1", None), ("d", "", None), ("e", None, "failed"), ("f", "x", "failed"), ("g", "", None)]
     extracted = [("a", "Raju", "1"), ("b", "Raju", "1"), ("b", "Sita far", None), ("b", None, "3"), ("c", "Raju", "1"), ("f", "Raju", "1")]
