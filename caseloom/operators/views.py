@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -9,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import nested
-from ..shared import checkpointed, remove
+from ..shared import checkpointed, remove, replace
 
 
 @dataclass(frozen=True)
@@ -67,9 +68,10 @@ def refresh_changed(path: str, key: str, changed: DataFrame, build: Callable[[Da
         return 0
     kept = spark.read.parquet(path).where(F.col("_bucket").isin(touched)).join(keys, key, "left_anti")
     fresh = _bucketed(build(keys), key, buckets)
-    new = checkpointed(kept.select(fresh.columns).unionByName(fresh))  # read in full before its source is replaced
-    new.repartition("_bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_bucket").parquet(path)
-    left = {r["_bucket"] for r in new.select("_bucket").distinct().collect()}
-    for gone in sorted(set(touched) - left):  # a folder of which no row is left is not written, so it is removed
-        remove(spark, f"{path}/_bucket={gone}")
+    # written beside the view in full, before its folders take the place of the old ones
+    beside = f"{path.rstrip('/')}-new-{uuid.uuid4().hex}"
+    kept.select(fresh.columns).unionByName(fresh).repartition("_bucket").write.partitionBy("_bucket").parquet(beside)
+    for bucket in sorted(touched):  # a folder of which no row is left is not written, so it is only removed
+        replace(spark, f"{beside}/_bucket={bucket}", f"{path}/_bucket={bucket}")
+    remove(spark, beside)
     return len(touched)

@@ -30,3 +30,12 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder of any store that Spark writes to."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def replace(spark: SparkSession, new: str, old: str) -> None:
+    """Put a folder in the place of another one of the same store; where the new one does not exist, the old one only goes."""
+    to = spark._jvm.org.apache.hadoop.fs.Path(old)
+    folder, moved = to.getFileSystem(spark._jsc.hadoopConfiguration()), spark._jvm.org.apache.hadoop.fs.Path(new)
+    folder.delete(to, True)
+    if folder.exists(moved) and not folder.rename(moved, to):
+        raise OSError(f"{new} was not moved to {old}")

@@ -32,6 +32,16 @@ def test_refresh_after_random_changes(spark, tmp_path):
     assert not [p for p in (tmp_path / "view").glob("_bucket=*")]
 
 
+def test_a_refresh_writes_what_it_keeps_once(spark, tmp_path, monkeypatch):
+    kept, checkpointed, path = [], views.checkpointed, str(tmp_path / "view")
+    monkeypatch.setattr(views, "checkpointed", lambda df: kept.append(df.columns) or checkpointed(df))
+    view = spark.range(20).withColumn("n", F.lit(1))
+    views.store(view, "id", path, 2)
+    views.refresh_changed(path, "id", view.select("id").where("id < 10"), lambda keys: keys.withColumn("n", F.lit(2)), 2)
+    assert kept == [["id"]] and [p.name for p in tmp_path.iterdir()] == ["view"]
+    assert {tuple(r) for r in spark.read.parquet(path).select("id", "n").collect()} == {(i, 2 if i < 10 else 1) for i in range(20)}
+
+
 def test_with_children(spark):
     parents = spark.createDataFrame([("a",), ("b",), (None,)], "id string")
     one = spark.createDataFrame([("a", 2, "x"), ("a", 1, None), ("a", 1, None), (None, 3, "x"), ("z", 1, "x")], "p string, n int, kind string")
