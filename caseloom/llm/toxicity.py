@@ -30,6 +30,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +49,8 @@ NEAR = 0.02
 #: Whether a character belongs to a word; from the end of the table on all do.
 _IN_WORD = np.array([bool(re.match(r"\w", chr(c))) for c in range(0x3040)] + [True])
 _BASE = 0x9E3779B97F4A7C15
-_CHARS = 400_000
+#: Texts are counted and scored in parts of about so many characters and of so many texts at most.
+_CHARS, _TEXTS = 400_000, 256
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -92,17 +94,18 @@ class Terms:
         return owner[new], term[new], np.diff(np.r_[new, len(term)])
 
 
-def parts_of(texts: list[str | None]) -> Iterator[list[str | None]]:
-    """Texts in parts of about so many characters."""
-    part, size = [], 0
-    for t in texts:
-        part.append(t)
-        size += len(t or "")
-        if size >= _CHARS:
+def parts_of(texts: pa.Array) -> Iterator[list[str | None]]:
+    """Texts in parts; of a whole batch, only one part's texts are Python strings at a time."""
+    for start in range(0, len(texts), _TEXTS):
+        part, size = [], 0
+        for t in texts.slice(start, _TEXTS).to_pylist():
+            part.append(t)
+            size += len(t or "")
+            if size >= _CHARS:
+                yield part
+                part, size = [], 0
+        if part:
             yield part
-            part, size = [], 0
-    if part:
-        yield part
 
 
 def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,7 +259,7 @@ def document_counts(docs: DataFrame, vocabulary: np.ndarray, width: int = 8192)
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms, total, n = Terms(), np.zeros(size, "i8"), 0
         for batch in batches:
-            for part in parts_of(batch["text"].to_pylist()):
+            for part in parts_of(batch["text"]):
                 term = np.sort(terms.of(part)[1])
                 at = np.minimum(np.searchsorted(held.value, term), size - 1)
                 total += np.bincount(at[held.value[at] == term], minlength=size)
@@ -271,6 +274,7 @@ def document_counts(docs: DataFrame, vocabulary: np.ndarray, width: int = 8192)
 
     slices = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "slice int, counts binary")
     summed = {r["slice"]: np.frombuffer(r["counts"], "<i8") for r in slices.groupBy("slice").applyInPandas(add, "slice int, counts binary").collect()}  # 8 bytes a term
+    held.destroy()
     out = [summed.get(i, np.zeros(min(width, size - i * width), "i8")) for i in range(-(-size // width))]
     return np.concatenate([np.empty(0, "i8"), *out]), int(summed.get(-1, np.zeros(1, "i8"))[0])
 
@@ -326,6 +330,7 @@ def _fit(docs: DataFrame, labels: DataFrame, label: str, learn, per_class: int,
     held = docs.sparkSession.sparkContext.broadcast(vocabulary)
     # at most 2 * per_class rows of at most most_terms * (folds + 1) numbers
     found = counted.mapInArrow(lambda it: _chosen(it, held.value), "doc_id long, y int, fold int, terms array<int>, counts array<long>").toArrow()
+    held.destroy()
     found = found.sort_by([("doc_id", "ascending"), ("y", "ascending")])
     docs_of, y, fold_of = found["doc_id"].to_numpy(), found["y"].to_numpy().astype("i8"), found["fold"].to_numpy()
     if len(np.unique(y)) < 2:
@@ -340,17 +345,23 @@ def _fit(docs: DataFrame, labels: DataFrame, label: str, learn, per_class: int,
         kept, place = chosen[terms] & example[own], np.cumsum(example) - 1
         return Index.build(vocabulary[chosen], weight[chosen], docs_of[example], y[example], place[own[kept]], number[terms[kept]], tf[kept], k, prior)
 
-    index = docs.sparkSession.sparkContext.broadcast(index_of(member[:, 0], np.ones(len(y), bool)))
-    without = docs.sparkSession.sparkContext.broadcast([index_of(member[:, 1 + f], fold_of != f) for f in range(folds)])
-    examples = docs.sparkSession.sparkContext.broadcast((fold_of, np.searchsorted(own, np.arange(len(y) + 1)), vocabulary[terms], tf))
-    votes = np.array([v for _, v in sorted(docs.sparkSession.range(len(y)).repartition(max(1, len(y) // 200)).mapInArrow(lambda it: _votes_of_folds(it, without, examples), "at long, vote double").collect())])  # a number per example
+    spark = docs.sparkSession
+    examples = spark.sparkContext.broadcast((np.searchsorted(own, np.arange(len(y) + 1)), vocabulary[terms], tf))
+    votes = np.full(len(y), np.nan)
+    for f in np.unique(fold_of):  # a job for each fold, so that a task holds one index only
+        others, mine = spark.sparkContext.broadcast(index_of(member[:, 1 + f], fold_of != f)), np.flatnonzero(fold_of == f)
+        rows = spark.range(0, len(mine), 1, max(1, len(mine) // 200)).mapInArrow(partial(_votes_of_others, index=others, examples=examples, mine=mine), "at long, vote double")
+        for at, vote in rows.collect():  # a number per example
+            votes[at] = vote
+        others.destroy()
+    examples.destroy()
     of_class = np.array([sizes[c] / max((y == c).sum(), 1) for c in (0, 1)])[y]
     told = ~np.isnan(votes)
     if len(np.unique(y[told])) < 2:
         curve = (float(np.log(prior / (1 - prior))), 1.0)
     else:
         curve = logistic(votes[told], y[told], (of_class / of_class.mean())[told])
-    return Model(index, curve, prior)
+    return Model(spark.sparkContext.broadcast(index_of(member[:, 0], np.ones(len(y), bool))), curve, prior)
 
 
 def _chosen(batches: Iterator[pa.RecordBatch], vocabulary: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -365,21 +376,35 @@ def _chosen(batches: Iterator[pa.RecordBatch], vocabulary: np.ndarray) -> Iterat
         yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["y"], batch["fold"], *lists], names=["doc_id", "y", "fold", "terms", "counts"])
 
 
-def _votes_of_folds(batches: Iterator[pa.RecordBatch], without: Broadcast, examples: Broadcast) -> Iterator[pa.RecordBatch]:
-    """Votes about examples by those of other folds, over terms chosen there; not a number without neighbours."""
-    fold_of, cuts, terms, tf = examples.value
+def _votes_of_others(batches: Iterator[pa.RecordBatch], index: Broadcast, examples: Broadcast, mine: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Votes about the examples `mine` of a fold by those of other folds, over terms chosen there; not a number without neighbours."""
+    index, (cuts, terms, tf) = index.value, examples.value
     for batch in batches:
-        votes = []
-        for i in batch["id"].to_pylist():
-            index, own = without.value[fold_of[i]], slice(cuts[i], cuts[i + 1])
-            vote = None
+        at, votes = mine[batch["id"].to_numpy()], []
+        for i in at.tolist():
+            own, vote = slice(cuts[i], cuts[i + 1]), None
             if len(index.vocabulary):
-                _, at, n = index.known(np.zeros(own.stop - own.start, "i8"), terms[own], tf[own])
-                if len(at):
-                    q = index.query(at, n)
-                    vote = index.vote(*index.nearest(at, q, index.dense_parts([(at, q)])[0], index.k))
+                _, known, n = index.known(np.zeros(own.stop - own.start, "i8"), terms[own], tf[own])
+                if len(known):
+                    q = index.query(known, n)
+                    vote = index.vote(*index.nearest(known, q, index.dense_parts([(known, q)])[0], index.k))
             votes.append(float("nan") if vote is None else vote)
-        yield pa.RecordBatch.from_arrays([batch["id"], pa.array(votes, pa.float64())], names=["at", "vote"])
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(votes, pa.float64())], names=["at", "vote"])
+
+
+def _scores(texts: pa.Array, model: Model, counter: Terms) -> Iterator[tuple[float, np.ndarray, np.ndarray]]:
+    """Of each text the score, and the nearest examples with their cosines."""
+    index, none = model.index.value if model.index else None, (np.empty(0, "i8"), np.empty(0))
+    for part in parts_of(texts):
+        if not index:
+            yield from [(model.prior, *none)] * len(part)
+            continue
+        owner, terms, n = index.known(*counter.of(part))
+        cuts = np.searchsorted(owner, np.arange(len(part) + 1)).tolist()
+        queries = [(terms[a:z], index.query(terms[a:z], n[a:z])) if a < z else (terms[:0], np.empty(0)) for a, z in zip(cuts[:-1], cuts[1:], strict=True)]
+        for (own, q), row in zip(queries, index.dense_parts(queries), strict=True):
+            at, s = index.nearest(own, q, row, index.k) if len(own) else none
+            yield model.probability(index.vote(at, s)), at, s
 
 
 def _scored(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
@@ -387,15 +412,9 @@ def _scored(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Reco
     kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("label", pa.int32())]))
     for batch in batches:
         scores, evidence = [], []
-        for part in parts_of(batch["text"].to_pylist()):
-            owner, terms, n = index.known(*counter.of(part)) if index else (np.empty(0, "i8"),) * 3
-            cuts = np.searchsorted(owner, np.arange(len(part) + 1)).tolist()
-            queries = [(terms[a:z], index.query(terms[a:z], n[a:z])) if a < z else (terms[:0], np.empty(0)) for a, z in zip(cuts[:-1], cuts[1:], strict=True)]
-            dense = index.dense_parts(queries) if index else [None] * len(part)
-            for (own, q), row in zip(queries, dense, strict=True):
-                at, s = index.nearest(own, q, row, index.k) if len(own) else (np.empty(0, "i8"), np.empty(0))
-                scores.append(model.probability(index.vote(at, s) if index else None))
-                evidence.append([{"doc_id": int(index.doc_ids[i]), "similarity": float(x), "label": int(index.labels[i])} for i, x in zip(at[:3], s[:3], strict=True)])
+        for score, at, s in _scores(batch["text"], model, counter):
+            scores.append(score)
+            evidence.append([{"doc_id": int(index.doc_ids[i]), "similarity": float(x), "label": int(index.labels[i])} for i, x in zip(at[:3], s[:3], strict=True)])
         yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(scores, pa.float64()), pa.array(evidence, kind)], names=["doc_id", "score", "evidence"])
 
 
@@ -409,14 +428,12 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of docs, all columns, whose score is under one half."""
 
-    @F.pandas_udf("double")
-    def toxic(text):
-        import pandas as pd
-
-        batch = pa.RecordBatch.from_arrays([pa.array(range(len(text)), pa.int64()), pa.array(text, pa.string())], names=["doc_id", "text"])
-        return pd.Series(next(_scored(iter([batch]), model))["score"].to_pylist(), dtype="float64")
+    def toxic(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        counter = Terms()
+        for texts in batches:
+            yield pa.array([score for score, _, _ in _scores(texts, model, counter)], pa.float64())
 
-    return docs.where(toxic(docs["text"].cast("string")) < 0.5)
+    return docs.where(F.arrow_udf(toxic, "double")(docs["text"].cast("string")) < 0.5)
 
 
 def op1_toxicity(spark, sf_dir):

@@ -1,10 +1,14 @@
 import itertools
 import random
 import re
+import tracemalloc
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark import Broadcast
 from pyspark.sql import functions as F
 
 from caseloom.llm import quality, toxicity
@@ -194,3 +198,35 @@ def test_scores_do_not_use_other_columns(spark):
     a = {r.doc_id: r.score for r in toxicity.score(docs, index).collect()}
     b = {r.doc_id: r.score for r in toxicity.score(docs.withColumn("lang", F.lit("zz")).withColumn("source", F.lit(None).cast("string")), index).collect()}
     assert a == b
+
+
+def test_memory_of_a_batch_of_short_texts():
+    """Thousands of short texts come in one batch; cosines with all examples are held for a few of them at a time."""
+    n = 4000
+    index = toxicity.Index.build(np.sort(toxicity.Terms().of(["foul fair"])[1]), np.ones(2), np.arange(n), np.arange(n) % 2, np.arange(n), np.arange(n) % 2, np.ones(n), 5, 0.5)
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(3000)), "text": ["foul", None, "x"] * 1000})
+    tracemalloc.start()
+    (out,) = toxicity._scored(iter([batch]), toxicity.Model(SimpleNamespace(value=index), (0.0, 1.0), 0.5))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert out.num_rows == 3000 and len(set(out["score"].to_pylist()[::3])) == 1 and set(out["score"].to_pylist()[1::3]) == {0.5}
+    assert peak < 40e6
+
+
+def test_one_index_is_broadcast_at_a_time(spark, monkeypatch):
+    held, most = [], []
+    send, destroy = spark.sparkContext.broadcast, Broadcast.destroy
+
+    def sent(value):
+        held.append(send(value))
+        most.append(sum(len(x.value) if isinstance(x.value, list) else isinstance(x.value, toxicity.Index) for x in held))
+        return held[-1]
+
+    def destroyed(one, *args):
+        held[:] = [x for x in held if x is not one]
+        destroy(one, *args)
+
+    monkeypatch.setattr(spark.sparkContext, "broadcast", sent)
+    monkeypatch.setattr(Broadcast, "destroy", destroyed)
+    model = toxicity.fit(spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet"))
+    assert max(most) == 1 and held == [model.index]
