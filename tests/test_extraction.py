@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from caseloom.functions import text as T
 from caseloom.operators import enrich, extraction, merge, rules
+from caseloom.plans import lookups
 
 
 def one(spark, column):
@@ -24,6 +25,21 @@ def test_segments_of_any_length(spark):
     assert [x[:2] for x in got] == [("A-1", False), ("A-2", False), ("A-4", True), ("A-5", False)] and got[0][2] > 1800
 
 
+def test_segment_counts_without_a_group(spark):
+    texts = [("k", "Then A-1 had 1 kg; A2 to A 4 had 5 kg. a.2 ran"), ("k", "A-1 ran"), ("n", None), ("e", ""), ("x", "nobody")]
+    rows = spark.createDataFrame(texts, "k string, t string")
+    out = extraction.segment_counts(rows, "k", "t")
+    assert sorted((r.k, r.segments, r.people) for r in out.collect()) == [("k", 1, 1), ("k", 4, 3)]
+    assert out.dtypes[1:] == [("segments", "bigint"), ("people", "bigint")]
+
+
+def test_texts_are_made_after_the_shuffle(spark):
+    """What person_segments and seized_items deal out and hold are numbers, and texts are grouped once."""
+    plan = lookups.R.queries["person_segments"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("HashAggregate(") == 2 and "partial_collect_list" in plan
+    assert not any("apprehended" in x for x in plan.split("Exchange", 1)[1].splitlines())
+
+
 def test_seized_items(spark):
     names = spark.createDataFrame([("ganja", "Cannabis"), ("charas", "Charas"), ("hash", "Charas")], "raw string, standard string")
     texts = [
