@@ -6,6 +6,9 @@ against a snapshot of earlier ones, so a result does not depend on the order in
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -108,25 +111,52 @@ def evidence(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return out.withColumns({"name": F.when(F.col("tokens") == 1.0, F.greatest(likely, F.lit(0.95))).otherwise(likely), "same_age_and_gender": F.col("same_gender") & (F.col("fuzzy_tokens") > 0) & same("age") & (f(a, "age") > 0)}).drop("_likely")
 
 
+def _weighed(e: dict, odd, only_common, where: Callable = lambda c, x, y: F.when(c, x).otherwise(y), least: Callable = lambda x, y: F.least(x, F.lit(y)), greatest: Callable = lambda x, y: F.greatest(x, F.lit(y))) -> tuple:
+    """strong and the score, not rounded, of a value per evidence, of columns or arrays; it never falls where evidence or
+    strong grows or odd falls."""
+    score = sum(w * e[c] for c, w in WEIGHTS.items())
+    boosted = {"phone": e["phone"] > 0, "alias_cross": e["alias_cross"] > 0.85}
+    for c, w in BOOSTS.items():
+        score = score + where(boosted.get(c, e[c]), w, 0.0)
+    strong = (e["phone"] > 0) | (e["address"] > 0.8) | ((e["age"] > 0.8) & e["same_gender"]) | (e["same_station"] & e["shared_associates"])
+    score = score - 0.15 * odd * where(strong, 0.3, 1.0)
+    score = where(only_common & ~strong, score * 0.6, score)
+    other = (e["address"] > 0) | (e["phone"] > 0) | (e["age"] > 0.3) | (e["alias"] > 0) | (e["alias_cross"] > 0)
+    score = where(other, score, least(score, 0.64))
+    return strong, greatest(least(score, 1.0), 0.0)
+
+
 def match_score(rows: DataFrame, a: str = "a", b: str = "b", common: tuple[str, ...] = ()) -> DataFrame:
     """rows of `evidence` with strong (corroborated beyond the name) and score between 0 and 1. Words of only one name
     that are not common lower the score; names of common words alone, and names without any other evidence, stay below
     what is adopted."""
-    col = F.col
-    score = sum((w * col(c) for c, w in WEIGHTS.items()), F.lit(0.0))
-    boosted = {"phone": col("phone") > 0, "alias_cross": col("alias_cross") > 0.85}
-    for c, w in BOOSTS.items():
-        score = score + F.when(boosted.get(c, col(c)), w).otherwise(0.0)
-    strong = (col("phone") > 0) | (col("address") > 0.8) | ((col("age") > 0.8) & col("same_gender")) | (col("same_station") & col("shared_associates"))
-    x, y = col(f"{a}._words"), col(f"{b}._words")
+    x, y = F.col(f"{a}._words"), F.col(f"{b}._words")
     known = F.array(*map(F.lit, common)).cast("array<string>")
     odd = F.size(F.array_except(F.array_union(F.array_except(x, y), F.array_except(y, x)), known))
-    score = score - 0.15 * odd * F.when(strong, 0.3).otherwise(1.0)
     only_common = (F.size(F.array_except(x, known)) == 0) | (F.size(F.array_except(y, known)) == 0)
-    score = F.when(only_common & ~strong, score * 0.6).otherwise(score)
-    other = (col("address") > 0) | (col("phone") > 0) | (col("age") > 0.3) | (col("alias") > 0) | (col("alias_cross") > 0)
-    score = F.when(other, score).otherwise(F.least(score, F.lit(0.64)))
-    return rows.withColumn("strong", strong).withColumn("score", F.round(F.greatest(F.lit(0.0), F.least(score, F.lit(1.0))), 2))
+    used = {*WEIGHTS, *BOOSTS, "same_gender"}
+    strong, score = _weighed({c: F.col(c) for c in used}, odd, only_common)
+    return rows.withColumn("strong", strong).withColumn("score", F.round(score, 2))
+
+
+def likeliest(asked: DataFrame, known: DataFrame, common: tuple[str, ...] = (), ties_from: float = 0.0) -> DataFrame:
+    """_a, _b, score: for each asked person the known ones of the highest score among all that share a key, are of another
+    case and lie within its bounds; all of them where that score is `ties_from` or more, else one at least. asked: _a, a (a struct as
+    `evidence` takes it), _case, _from, _until, keys (an array of structs); known: _b, b, _case, _at, keys."""
+    from ..shared import checkpointed
+    from .joins import dealt
+    from .likeliest import search
+
+    a, b = checkpointed(asked.withColumn("a", prepared(F.col("a")))), checkpointed(known.withColumn("b", prepared(F.col("b"))))
+    on = [*asked.schema["keys"].dataType.elementType.names, "_left", "_right"]
+    keyed = lambda df: df.select(*(c for c in df.columns if c != "keys"), F.explode("keys").alias("_k")).select("*", "_k.*").drop("_k")
+    left, right = dealt(keyed(a), keyed(b), on[:-2], 10_000)
+    weighed = lambda e, odd, only_common: _weighed(e, odd, only_common, np.where, np.minimum, np.maximum)[1]
+    types = [df.schema[c].dataType.simpleString() for df, c in ((a, "_a"), (b, "_b"))]
+    found = left.groupBy(*on).cogroup(right.groupBy(*on)).applyInPandas(search(weighed, common, ties_from), "_a {}, _b {}".format(*types))
+    pairs = checkpointed(found.distinct()).join(a.select("_a", "a"), "_a").join(b.select("_b", "b"), "_b")
+    scored = checkpointed(match_score(evidence(pairs), common=common).select("_a", "_b", "score"))
+    return scored.join(scored.groupBy("_a").agg(F.max("score").alias("_best")), "_a").where("score = _best").drop("_best")
 
 
 def canonical_id(name: Column, gender: Column, station: Column) -> Column:
@@ -156,37 +186,41 @@ def resolve(records: DataFrame, scored: DataFrame, known_ids: DataFrame) -> Data
     return r.select("record_id", chosen.alias("canonical_person_id"), F.when(hidden, 0.0).when(~direct, F.coalesce(score, F.lit(0.0))).alias("match_score"), tier.alias("tier"), (tier == 2).alias("review"))
 
 
-def resolve_in_epochs(records: DataFrame, days: int = 365, years: int = 2, common: tuple[str, ...] = (), most: int = 200) -> DataFrame:
+def resolve_in_epochs(records: DataFrame, days: int = 365, years: int = 2, common: tuple[str, ...] = ()) -> DataFrame:
     """record_id, canonical_person_id, match_score, tier, review of records (record_id, case_id, accused_id, day, p: a struct as
     `evidence` takes it) in the order in which they came: windows of so many days are resolved one after the other, each
     against the identities that the windows before it gave. Within a window the order does not matter.
 
-    A record's candidates are the first `most` earlier ones of other cases whose names sound alike, by
-    `joins.phonetic_candidates`; the best score decides, as in `resolve`. Records without a day come in the first window;
-    they have no candidates and are none."""
+    A record's candidates are all earlier ones of other cases whose names sound alike, as `joins.phonetic_candidates` has
+    them; the best score decides, as in `resolve`. Scores do not depend on identities, so the best ones are found for all
+    windows at once (`likeliest`), and windows only pass identities on. Records without a day come in the first window; they
+    have no candidates and are none."""
     from ..shared import checkpointed
-    from .joins import phonetic_candidates
+    from .joins import phonetic_keys
 
     window = F.coalesce(F.floor(F.datediff(F.col("day").cast("date"), F.lit("1970-01-01")) / F.lit(days)), F.lit(-(2**31))).cast("int")
     own = records.withColumn("_window", window).withColumn("own_canonical", canonical_id(F.col("p.name"), F.col("p.gender"), F.col("p.station"))).withColumn("placeholder", is_placeholder(F.col("p.name")))
     own = checkpointed(own)
-    known, out = None, None
-    for w in sorted(r["_window"] for r in own.select("_window").distinct().collect()):  # one per window of time
+    windows = sorted(r["_window"] for r in own.select("_window").distinct().collect())  # one per window of time
+    if not windows:
+        return own.select("record_id").withColumns({"canonical_person_id": F.lit(""), "match_score": F.lit(0.0), "tier": F.lit(0), "review": F.lit(False)})
+    first = own.where("accused_id IS NOT NULL").groupBy("accused_id").agg(F.min("_window").alias("_first"))
+    named = own.where("NOT placeholder").withColumn("day", F.col("day").cast("date")).withColumn("name", F.col("p.name")).dropna(subset=["day", "case_id", "name"])
+    open_ = named.join(first, "accused_id", "left").where((F.col("_window") > windows[0]) & ~F.coalesce(F.col("_first") < F.col("_window"), F.lit(False)))  # the others have a known id
+    asked, known = phonetic_keys(open_, named, "name")
+    number = lambda c: F.datediff(c, F.lit("1970-01-01"))
+    side = lambda df, i, **c: df.select(F.col("record_id").alias(f"_{i}"), F.col("p").alias(i), F.col("case_id").alias("_case"), "keys", *(x.alias(f"_{n}") for n, x in c.items()))
+    asked, known = side(asked, "a", **{"from": number(F.add_months("day", -12 * years)), "until": F.col("_window") * days - 1}), side(known, "b", at=number(F.col("day")))
+    links = checkpointed(likeliest(asked, known, common, ADOPT).join(own.select(F.col("record_id").alias("_a"), "_window"), "_a"))
+    out = None
+    for w in windows:
         new = own.where(F.col("_window") == w)
-        if known is None:
-            scored = new.limit(0).select("record_id", F.lit("").alias("canonical"), F.lit(0.0).alias("score"))
-            ids = new.limit(0).select("accused_id", F.lit("").alias("canonical"))
-        else:
-            named = lambda df: df.where("NOT placeholder").select("record_id", "case_id", "day", F.col("p.name").alias("name"))
-            pairs = phonetic_candidates(named(new), named(known), "record_id", "name", "case_id", "day", years, most).drop("rank")
-            both = pairs.join(new.select("record_id", prepared(F.col("p")).alias("a")), "record_id").join(known.select(F.col("record_id").alias("candidate"), prepared(F.col("p")).alias("b"), "canonical"), "candidate")
-            scored = match_score(evidence(both), common=common).select("record_id", "canonical", "score")
-            ids = known.select("accused_id", "canonical")
+        done = own.select("record_id", F.lit("").alias("canonical")).limit(0) if out is None else out.select("record_id", F.col("canonical_person_id").alias("canonical"))
+        scored = links.where(F.col("_window") == w).join(done.withColumnRenamed("record_id", "_b"), "_b").select(F.col("_a").alias("record_id"), "canonical", "score")
+        ids = own.where("accused_id IS NOT NULL").select("record_id", "accused_id").join(done, "record_id").select("accused_id", "canonical")
         found = checkpointed(resolve(new.select("record_id", "case_id", "accused_id", "own_canonical", "placeholder"), scored, ids))
         out = found if out is None else out.unionByName(found)
-        grown = new.join(found.select("record_id", F.col("canonical_person_id").alias("canonical")), "record_id").select("record_id", "case_id", "accused_id", "day", "p", "placeholder", "canonical")
-        known = checkpointed(grown if known is None else known.unionByName(grown))
-    return own.select("record_id").limit(0).withColumns({"canonical_person_id": F.lit(""), "match_score": F.lit(0.0), "tier": F.lit(0), "review": F.lit(False)}) if out is None else out
+    return out
 
 
 def fingerprint(tiers: list[list[Column]]) -> Column:

@@ -57,8 +57,8 @@ def split_by_reference(rows: DataFrame, key: str, parents: DataFrame, parent_key
     return rows.join(known, key, "left_semi"), rows.join(known, key, "left_anti")
 
 
-def met(left: DataFrame, right: DataFrame, keys: list[str], piece: int = 2000) -> DataFrame:
-    """The equi-join of two tables (no other columns in common) on keys. A key of more than `piece` rows on either side is
+def dealt(left: DataFrame, right: DataFrame, keys: list[str], piece: int = 2000) -> tuple[DataFrame, DataFrame]:
+    """Two tables whose rows of a key meet by keys, _left and _right. A key of more than `piece` rows on either side is
     dealt to a grid: both sides' rows go to pieces, and every piece of the one meets every piece of the other in a task of
     its own, so that no task gets all pairs of a common key. Tasks are as many as the cells of all grids ask for, however few
     bytes their rows have."""
@@ -67,13 +67,19 @@ def met(left: DataFrame, right: DataFrame, keys: list[str], piece: int = 2000) -
     cells = hot.agg(F.sum(F.col("_lefts").cast("long") * F.col("_rights"))).first()[0] or 0
     tasks = min(math.ceil(cells / CELLS_A_TASK), MOST_TASKS)
 
-    def dealt(df: DataFrame, own: str, other: str) -> DataFrame:
+    def side(df: DataFrame, own: str, other: str) -> DataFrame:
         n = lambda c: F.coalesce(c, F.lit(1))
         held = df.join(small(hot), keys, "left").withColumn(own[:-1], F.pmod(F.xxhash64(*df.columns), n(own)).cast("int"))
         held = held.withColumn(other[:-1], F.explode(F.sequence(F.lit(0), n(other) - 1))).drop("_lefts", "_rights")
         return held.repartition(tasks, *keys, "_left", "_right") if tasks > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else held
 
-    return dealt(left, "_lefts", "_rights").join(dealt(right, "_rights", "_lefts"), [*keys, "_left", "_right"]).drop("_left", "_right")
+    return side(left, "_lefts", "_rights"), side(right, "_rights", "_lefts")
+
+
+def met(left: DataFrame, right: DataFrame, keys: list[str], piece: int = 2000) -> DataFrame:
+    """The equi-join of two tables (no other columns in common) on keys, common keys `dealt` to many tasks."""
+    left, right = dealt(left, right, keys, piece)
+    return left.join(right, [*keys, "_left", "_right"]).drop("_left", "_right")
 
 
 def blocked_pairs(rows: DataFrame, id_: str, keys: Column, most: int | None = None) -> DataFrame:
@@ -119,6 +125,17 @@ def phonetic_candidates(asked: DataFrame, known: DataFrame, id_: str, name: str,
     return found if listed is None else found.unionByName(listed)
 
 
+def phonetic_keys(asked: DataFrame, known: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """Both tables with keys, an array of structs: records share one where their names sound alike as in `phonetic_candidates`."""
+    from ..functions.phonetics import metaphones
+
+    names = asked.select(F.col(name).alias("_name")).union(known.select(F.col(name).alias("_name"))).distinct()
+    coded = checkpointed(names.select("_name", F.soundex("_name").alias("sound"), metaphones(F.col("_name"))["first"].alias("code")))
+    left = asked.withColumn("_name", F.col(name)).join(coded, "_name").withColumn("keys", F.filter(_asked_lists(), lambda k: k["key"] != ""))
+    held = _lists(coded).groupBy("_name").agg(F.collect_list(F.struct("rank", "key", "other")).alias("keys"))
+    return left.drop("_name", "sound", "code"), known.withColumn("_name", F.col(name)).join(held, "_name").drop("_name")
+
+
 def _lists(coded: DataFrame) -> DataFrame:
     """_name, rank, key, other: the lists that hold a name: that of its sound key, and those of its code but for one other
     sound key, by which records of that sound ask for it."""

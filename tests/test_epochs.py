@@ -52,3 +52,36 @@ def test_epochs_against_a_loop(spark):
     assert {i: (c if i != 6 else None, t) for i, (c, t) in got.items()} == plain
     assert got[2] == (got[1][0], 1) and got[7][1] == 1 and got[5] == (got[4][0], 0) and got[8][1] == 3 and len({got[i][0] for i in (6, 8, 9)}) == 3
     assert identity.resolve_in_epochs(df.limit(0)).count() == 0
+
+
+def test_the_best_of_many_candidates_is_not_the_latest(spark):
+    """More than 200 later candidates sound alike; the same person, with the same phone, came before all of them."""
+    made = lambda i, name, phone, day, case: (i, case, None, day, (name, "", 30, "Male", [phone] if phone else [], "12 mill road", "s1", ["theft"], []))
+    rows = [made(0, "Raju Kumar", "8000000001", date(2020, 1, 1), "c0"), *(made(i, "Rajiv Kamr", None, date(2020, 2, 1), f"c{i}") for i in range(1, 301)), made(999, "Raju Kumar", "8000000001", date(2021, 1, 15), "c999")]
+    df = spark.createDataFrame(rows, f"record_id long, case_id string, accused_id string, day date, p {PERSON}")
+    got = {r.record_id: r for r in identity.resolve_in_epochs(df).collect()}
+    assert got[999].tier == 1 and got[999].match_score == 1.0 and got[999].canonical_person_id == got[0].canonical_person_id
+
+
+def test_likeliest_against_all_pairs(spark):
+    """All of the highest scores among a person's candidates, over names, sets and gaps of many kinds."""
+    import random
+
+    r = random.Random(5)
+    some = lambda values, most: r.sample(values, r.randint(0, most))
+    names = ["Raju Kumar", "Kumar Raju", "Raju Kumaar", "Rajiv Kumr", "Ram", "Rom", "Rum", "Mr Ram Kumar s/o Shyam", "", "!!", "Kumar", "Rajendra Prasad Singh", "Rajender Singh", None]
+    person = lambda: (r.choice(names), r.choice(["", "Ram", "Raju", None]), r.choice([0, 20, 21, 29, 40, None]), r.choice(["Male", "male", "F", None]), some(["8000000001", "8000000002", "123"], 2), r.choice(["12 mill road near temple", "temple gate", None]), r.choice(["s1", "s2", None]), some(["theft", "fraud"], 2), some(["x", "y"], 1))
+    rows = [(i, person(), f"c{r.randrange(20)}", r.randrange(100)) for i in range(120)]
+    df = spark.createDataFrame(rows, f"i long, p {PERSON}, case string, at long")
+    keys = F.array(F.struct(F.lit("k").alias("k")))
+    asked = df.select(F.col("i").alias("_a"), F.col("p").alias("a"), F.col("case").alias("_case"), (F.col("at") - 50).alias("_from"), (F.col("at") - 1).alias("_until"), keys.alias("keys"))
+    known = df.select(F.col("i").alias("_b"), F.col("p").alias("b"), F.col("case").alias("_case"), F.col("at").alias("_at"), keys.alias("keys"))
+    pairs = asked.withColumnRenamed("_case", "x").join(known.withColumnRenamed("_case", "y"), (F.col("x") != F.col("y")) & F.col("_at").between(F.col("_from"), F.col("_until")))
+    scores = {(p._a, p._b): p.score for p in identity.match_score(identity.evidence(pairs), common=("kumar",)).collect()}
+    best = {}
+    for (a, _), s in scores.items():
+        best[a] = max(best.get(a, 0.0), s)
+    got = {(p._a, p._b): p.score for p in identity.likeliest(asked, known, ("kumar",)).collect()}
+    assert got == {p: s for p, s in scores.items() if s == best[p[0]]}
+    least = {(p._a, p._b): p.score for p in identity.likeliest(asked, known, ("kumar",), 0.7).collect()}
+    assert {p for p, s in least.items() if s >= 0.7} == {p for p, s in got.items() if s >= 0.7} and {p[0]: s for p, s in least.items()} == best
