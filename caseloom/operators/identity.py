@@ -6,6 +6,7 @@ against a snapshot of earlier ones, so a result does not depend on the order in
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 import numpy as np
@@ -150,9 +151,12 @@ def likeliest(asked: DataFrame, known: DataFrame, common: tuple[str, ...] = (),
     a, b = checkpointed(asked.withColumn("a", prepared(F.col("a")))), checkpointed(known.withColumn("b", prepared(F.col("b"))))
     on = [*asked.schema["keys"].dataType.elementType.names, "_left", "_right"]
     keyed = lambda df: df.select(*(c for c in df.columns if c != "keys"), F.explode("keys").alias("_k")).select("*", "_k.*").drop("_k")
-    left, right = dealt(keyed(a), keyed(b), on[:-2], 10_000)
+    people = a.count()
+    left, right = dealt(keyed(a), keyed(b), on[:-2], min(max(people // 64, 2000), 20_000), 10_000)
     weighed = lambda e, odd, only_common: _weighed(e, odd, only_common, np.where, np.minimum, np.maximum)[1]
     types = [df.schema[c].dataType.simpleString() for df, c in ((a, "_a"), (b, "_b"))]
+    tasks = max(int(a.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(people / 2000))
+    left, right = left.repartition(tasks, *on), right.repartition(tasks, *on)  # few bytes may be much work
     found = left.groupBy(*on).cogroup(right.groupBy(*on)).applyInPandas(search(weighed, common, ties_from), "_a {}, _b {}".format(*types))
     pairs = checkpointed(found.distinct()).join(a.select("_a", "a"), "_a").join(b.select("_b", "b"), "_b")
     scored = checkpointed(match_score(evidence(pairs), common=common).select("_a", "_b", "score"))

@@ -57,13 +57,13 @@ def split_by_reference(rows: DataFrame, key: str, parents: DataFrame, parent_key
     return rows.join(known, key, "left_semi"), rows.join(known, key, "left_anti")
 
 
-def dealt(left: DataFrame, right: DataFrame, keys: list[str], piece: int = 2000) -> tuple[DataFrame, DataFrame]:
-    """Two tables whose rows of a key meet by keys, _left and _right. A key of more than `piece` rows on either side is
-    dealt to a grid: both sides' rows go to pieces, and every piece of the one meets every piece of the other in a task of
+def dealt(left: DataFrame, right: DataFrame, keys: list[str], piece: int = 2000, of_right: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Two tables whose rows of a key meet by keys, _left and _right. A key of more than `piece` rows on either side (`of_right`
+    on the right one, if given) is dealt to a grid: both sides' rows go to pieces, and every piece of the one meets every piece of the other in a task of
     its own, so that no task gets all pairs of a common key. Tasks are as many as the cells of all grids ask for, however few
     bytes their rows have."""
-    count = lambda df, name: df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / F.lit(piece)).cast("int").alias(name))
-    hot = checkpointed(count(left, "_lefts").join(count(right, "_rights"), keys).where("_lefts > 1 OR _rights > 1"))
+    count = lambda df, name, n: df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / F.lit(n)).cast("int").alias(name))
+    hot = checkpointed(count(left, "_lefts", piece).join(count(right, "_rights", of_right or piece), keys).where("_lefts > 1 OR _rights > 1"))
     cells = hot.agg(F.sum(F.col("_lefts").cast("long") * F.col("_rights"))).first()[0] or 0
     tasks = min(math.ceil(cells / CELLS_A_TASK), MOST_TASKS)
 
