@@ -82,10 +82,10 @@ def match_scores(t):
     known, new = _people(t)
     common = ("building", "automobile", "machinery", "household", "furniture")
     words = F.array_except(similarity.words(T.normal_name(F.col("p.name"))), F.array(*map(F.lit, common)))
-    key = F.explode(F.array_distinct(F.transform(words, lambda w: F.concat_ws(":", F.col("p.station"), similarity.soundex_or_zero(w)))))
-    a, b = new.select(key.alias("k"), F.col("id").alias("new_id"), identity.prepared(F.col("p")).alias("a")), known.select(key.alias("k"), F.col("id").alias("known_id"), identity.prepared(F.col("p")).alias("b"))
-    s = identity.match_score(identity.evidence(a.join(b, "k").drop("k").dropDuplicates(["new_id", "known_id"])), common=common)
-    return s.groupBy("new_id").agg(F.max_by("known_id", F.struct("score", -F.col("known_id"))).alias("known_id"), F.max("score").alias("score"))
+    keys = F.array_distinct(F.transform(words, lambda w: F.struct(F.concat_ws(":", F.col("p.station"), similarity.soundex_or_zero(w)).alias("k"))))
+    side = lambda df, i, n, **c: df.select(F.col("id").alias(f"_{i}"), F.col("p").alias(i), F.lit(n).alias("_case"), keys.alias("keys"), *(x.alias(f"_{c}") for c, x in c.items()))
+    s = identity.likeliest(side(new, "a", 0, **{"from": F.lit(0), "until": F.lit(0)}), side(known, "b", 1, at=F.lit(0)), common)
+    return s.groupBy("_a").agg(F.min("_b").alias("known_id"), F.max("score").alias("score")).withColumnRenamed("_a", "new_id")
 
 
 @R.query("SELECT c_custkey AS record_id, CASE WHEN c_custkey % 10 = 0 THEN 3 WHEN c_custkey % 4 = 0 THEN 0 WHEN c_custkey % 3 = 0 THEN 1 WHEN c_custkey % 3 = 1 THEN 2 ELSE 3 END AS tier, c_custkey % 10 <> 0 AND c_custkey % 4 <> 0 AND c_custkey % 3 = 1 AS review FROM customer")

@@ -85,3 +85,13 @@ def test_likeliest_against_all_pairs(spark):
     assert got == {p: s for p, s in scores.items() if s == best[p[0]]}
     least = {(p._a, p._b): p.score for p in identity.likeliest(asked, known, ("kumar",), 0.7).collect()}
     assert {p for p, s in least.items() if s >= 0.7} == {p for p, s in got.items() if s >= 0.7} and {p[0]: s for p, s in least.items()} == best
+
+
+def test_match_scores_of_few_pairs(spark, monkeypatch):
+    """All pairs of a key were scored and dealt with both people; now only what can be the best is."""
+    from caseloom.plans import registry
+
+    made, evidence = [], identity.evidence
+    monkeypatch.setattr(identity, "evidence", lambda pairs: made.append(pairs) or evidence(pairs))
+    rows = registry.QUERIES["match_scores"](spark, "/root/testdata/sf0.01").collect()
+    assert len(rows) == 300 and made[0].count() < 1.2 * len(rows)
